@@ -1,0 +1,7 @@
+"""Streaming: nothing to build.
+
+The reference processes everything in batch (no watermark, window, state or
+late-data notion anywhere), so this package holds no operators. The batch
+readers in ``refloom.sources`` are plain DataFrame plans and can be pointed at a
+``readStream`` source by a user if incremental loading is ever needed.
+"""
