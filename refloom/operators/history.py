@@ -56,39 +56,47 @@ def snapshot_codes(history_raw: DataFrame) -> DataFrame:
     return history_raw.select(c.alias("code")).filter(valid_code("code")).distinct()
 
 
-def walk(e: DataFrame, max_depth: int = MAX_DEPTH, checkpoint_every: int = 1) -> DataFrame:
+def walk(e: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
     """G1: every ``(origin_code, current_code, depth)`` reachable in 1..max_depth steps.
 
-    A DataFrame loop over the frontier, at most ``max_depth`` rounds. The frontier is
-    de-duplicated per round on ``(origin, current)``, so split/merge paths do not
-    multiply rows; the set of rows equals the distinct rows of the recursive
-    UNION ALL walk (every ``(code, depth)`` reachable by some path is kept).
-    Each round is checkpointed to the reliable checkpoint directory, so lineage
-    stays one join deep and a lost executor recomputes one round only.
-
-    The frontier joins the edges on ``current_code``; a code that many origins
-    reach is a skewed key on the frontier side only, which AQE splits (or the
-    edge side is broadcast when its runtime size allows).
+    Origins are all the edges' old codes, so the rows at depth ``d`` are exactly the
+    pairs ``d`` steps apart, ``E_d``, and ``E_(a+b) = E_a . E_b``. The walk doubles
+    the known span each round: with depths ``1..s`` known, one join of those rows
+    with ``E_s`` (the rows at depth ``s``) adds depths ``s+1..2s``. Depth 20 takes 5
+    rounds instead of 20; every depth is produced once, from its unique split
+    ``d = d' + s`` with ``d' <= s``. When a round adds nothing, no longer path
+    exists (its first ``s+1`` steps would have been found), so the loop stops.
+
+    Rows are distinct per ``(origin, current, depth)``, equal to the distinct rows of
+    the recursive UNION ALL walk (a cycle keeps going to ``max_depth``). Each round
+    is written to the reliable checkpoint directory, so lineage stays one join
+    deep and a lost executor recomputes one round at most.
+
+    The join key is ``current_code`` on the known side and ``origin_code`` on the
+    ``E_s`` side; a code that many origins reach is skewed on the known side only,
+    which AQE splits (or the ``E_s`` side is broadcast when its runtime size allows).
     """
-    step = e.select(F.col("old_code").alias("current_code"), F.col("new_code").alias("next_code"))
-    frontier = e.select(
+    first = e.select(
         F.col("old_code").alias("origin_code"), F.col("new_code").alias("current_code"), F.lit(1).alias("depth")
     ).distinct()
-    frontier = cut_lineage(frontier)
-    rounds = [frontier]
-    for depth in range(2, max_depth + 1):
-        nxt = (
-            frontier.join(step, "current_code")
-            .select("origin_code", F.col("next_code").alias("current_code"), F.lit(depth).alias("depth"))
+    pieces = [cut_lineage(first)]
+    span = 1
+    while span < max_depth:
+        known = reduce(DataFrame.unionByName, pieces)
+        e_span = pieces[-1] if span == 1 else known.filter(F.col("depth") == span)
+        step = e_span.select(F.col("origin_code").alias("current_code"), F.col("current_code").alias("next_code"))
+        add = (
+            known.filter(F.col("depth") <= max_depth - span)
+            .join(step, "current_code")
+            .select("origin_code", F.col("next_code").alias("current_code"), (F.col("depth") + span).alias("depth"))
             .distinct()
         )
-        if checkpoint_every and depth % checkpoint_every == 0:
-            nxt = cut_lineage(nxt)
-        if nxt.isEmpty():
+        add = cut_lineage(add)
+        if add.isEmpty():
             break
-        rounds.append(nxt)
-        frontier = nxt
-    return reduce(DataFrame.unionByName, rounds)
+        pieces.append(add)
+        span *= 2
+    return reduce(DataFrame.unionByName, pieces)
 
 
 def walk_sql(spark, edges_view: str, max_depth: int = MAX_DEPTH) -> DataFrame:

@@ -153,17 +153,28 @@ def keyword_filter(df: DataFrame, keys: Sequence[str], link: str, keywords: Colu
     return keep_matching_or_all(df, keys, hit)
 
 
-def page_relevance(df: DataFrame, keys: Sequence[str], link: str, page_text: str, keywords: Column) -> DataFrame:
-    """Keep a page's links when a keyword is in the folded link or in the folded
-    page text; a page where none is kept keeps all its links. Without keywords,
-    everything is kept."""
-    folded_link = fold(F.col(link))
-    hit = F.exists(keywords, lambda k: folded_link.contains(k)) | F.exists(
-        keywords, lambda k: F.col("_page_folded").contains(k)
+def page_relevance(pages: DataFrame, keep: Sequence[str], html: str, links: Column, keywords: Column) -> DataFrame:
+    """Per page, keep its links where a keyword is in the folded link or in the
+    folded page text; when none is kept (or there are no keywords), keep all.
+
+    The group is one page, so the decision is made inside the page's row with array
+    functions (no shuffle); the page text is folded once per page. Rows:
+    ``(keep…, pos, link)`` with ``pos`` the link's position in ``links``.
+    """
+    page_hit = F.exists(keywords, lambda k: F.col("_page_folded").contains(k))
+
+    def link_hit(l: Column) -> Column:
+        fl = fold(l)
+        return F.exists(keywords, lambda k: fl.contains(k))
+
+    staged = pages.select(
+        *keep, fold(F.col(html)).alias("_page_folded"), links.alias("_links"), keywords.alias("_kw")
+    ).select(
+        *keep,
+        (page_hit | (F.size("_kw") == 0) | ~F.exists("_links", link_hit)).alias("_keep_all"),
+        F.posexplode("_links").alias("pos", "link"),
     )
-    pages = df.withColumn("_page_folded", fold(F.col(page_text)))
-    out = keep_matching_or_all(pages, keys, hit | (F.size(keywords) == 0))
-    return out.drop("_page_folded")
+    return staged.filter(F.col("_keep_all") | link_hit(F.col("link"))).select(*keep, "pos", "link")
 
 
 def first_nonempty_stage(df: DataFrame, keys: Sequence[str], stage: str = "stage") -> DataFrame:

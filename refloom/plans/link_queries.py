@@ -254,11 +254,9 @@ _KW_LIST = "[" + ", ".join(sq(w) for w in _relevance_keywords()) + "]"
     "P16 F10 F2",
 )
 def page_relevance(spark, sf):
-    p = _pages(spark, sf)
     arr = LO.candidate_link_array("html", base=BASE, host=HOST, marker=MARKER, file_path=FPATH)
-    rows = p.select("page_id", "html", F.posexplode(arr).alias("pos", "link"))
     kw = keyword_tokens(F.lit(RELEVANCE_QUERY))
-    return LO.page_relevance(rows, ["page_id"], "link", "html", kw).select("page_id", "pos", "link")
+    return LO.page_relevance(_pages(spark, sf), ["page_id"], "html", arr, kw)
 
 
 # ------------------------------------------------------------------ F14, A8, F15, O1, O2, F20-F22
