@@ -10,6 +10,7 @@ characters go through a literal map, evaluated only on values that contain one.
 
 from __future__ import annotations
 
+import re
 import sys
 import unicodedata
 from collections.abc import Iterable, Mapping, Sequence
@@ -58,27 +59,32 @@ def _char_class(chars: Iterable[str]) -> str:
 
 @lru_cache(maxsize=1)
 def _fold_plan() -> tuple[str, str, str, dict[str, str]]:
-    """One ``translate`` table doing both jobs: 1->1 folds, and each expanding
-    character -> its own marker from a contiguous private-use block, so that
-    finding expanding characters is a single range test instead of a class of
-    hundreds of code points."""
+    """One ``translate`` table doing three jobs: 1->1 folds; each expanding character
+    -> its own marker from a contiguous private-use block (so finding them is one
+    range test instead of a class of hundreds of code points); and deletion of any
+    character already in that block (translate deletes sources without a target)."""
     src, dst, multi = fold_tables()
     chars = sorted(multi)
     markers = [chr(MARKER_BASE + i) for i in range(len(chars))]
     marker_range = f"[\\x{{{MARKER_BASE:X}}}-\\x{{{MARKER_BASE + max(len(chars) - 1, 0):X}}}]"
     expansions = {m: multi[ch] for m, ch in zip(markers, chars)}
-    return src + "".join(chars), dst + "".join(markers), marker_range, expansions
+    return src + "".join(chars) + "".join(markers), dst + "".join(markers), marker_range, expansions
 
 
-# Private-use plane 15: folds to nothing, so pre-existing characters there are dropped
-# before they could be mistaken for markers.
+# Private-use plane 15 (folds to nothing): pre-existing characters there are deleted
+# by the same translate, so they cannot be mistaken for markers.
 MARKER_BASE = 0xF0000
+NON_ASCII = r"[^\x00-\x7F]"
 
 
 def fold(c: Column | str) -> Column:
-    """NFKD, drop non-ASCII, collapse whitespace runs to one space, strip, lowercase."""
+    """NFKD, drop non-ASCII, collapse whitespace runs to one space, strip, lowercase.
+
+    Pure-ASCII values skip the character table entirely.
+    """
     src, dst, marker_range, expansions = _fold_plan()
-    x = F.translate(F.regexp_replace(_col(c), marker_range, ""), src, dst)
+    raw = _col(c)
+    x = F.translate(raw, src, dst)
     if expansions:
         # Segment i of the text is followed by the expansion of marker i.
         lookup = F.create_map(*[F.lit(v) for kv in sorted(expansions.items()) for v in kv])
@@ -89,7 +95,7 @@ def fold(c: Column | str) -> Column:
             "",
         )
         x = F.when(x.rlike(marker_range), expanded).otherwise(x)
-    x = F.regexp_replace(x, r"[^\x00-\x7F]", "")
+    x = F.when(raw.rlike(NON_ASCII), F.regexp_replace(x, NON_ASCII, "")).otherwise(raw)
     x = F.regexp_replace(x, PY_ASCII_SPACE_CLASS + "+", " ")
     return F.lower(F.trim(x))
 
@@ -111,18 +117,18 @@ def keyword_tokens(
     c: Column | str, stopwords: Sequence[str] = STOPWORDS, min_len: int = MIN_TOKEN_LEN, folded: bool = False
 ) -> Column:
     """``[a-zA-Z0-9]+`` tokens of the folded text, length >= min_len, minus
-    stopwords; duplicates and order kept."""
-    text = _col(c) if folded else fold(c)
-    toks = F.regexp_extract_all(text, F.lit("([a-zA-Z0-9]+)"), 1)
-    stop = F.array(*[F.lit(s) for s in stopwords]) if stopwords else None
+    stopwords; duplicates and order kept.
 
-    def keep(t: Column) -> Column:
-        cond = F.length(t) >= min_len
-        if stop is not None:
-            cond = cond & ~F.array_contains(stop, t)
-        return cond
-
-    return F.filter(toks, keep)
+    One regex pass: a token starts where no alphanumeric precedes it, is not a
+    stopword (lookahead), and runs for at least ``min_len`` characters (greedy, so
+    it is the whole run).
+    """
+    text = _col(c) if folded else fold(c)
+    alnum = "[a-zA-Z0-9]"
+    stops = sorted({re.escape(w) for w in stopwords if len(w) >= min_len}, key=lambda w: (-len(w), w))
+    not_stop = f"(?!(?:{'|'.join(stops)})(?!{alnum}))" if stops else ""
+    pattern = f"(?<!{alnum}){not_stop}({alnum}{{{int(min_len)},}})"
+    return F.regexp_extract_all(text, F.lit(pattern), 1)
 
 
 def keyword_score(folded: Column | str, weights: Sequence[tuple[str, int]] = DATASET_TERMS) -> Column:
