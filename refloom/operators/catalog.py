@@ -92,3 +92,13 @@ def split_missing_url(resources: DataFrame) -> tuple[DataFrame, DataFrame]:
         "reason", F.concat(F.lit("resource '"), name, F.lit("' has no URL"))
     )
     return ok, rejects
+
+
+def reference_tables(datasets: DataFrame, resources: DataFrame, year: int, dataset_key: str = "slug",
+                     resource_key: str = "dataset_id") -> DataFrame:
+    """Best dataset (U5, F4, O3) -> its resources that are the year's reference
+    tables (P10) -> file names (F6). The best dataset is one row (a proven bound), so
+    it is broadcast to the resources."""
+    best = best_dataset(score_datasets(dedupe_datasets(datasets))).select(F.col(dataset_key).alias("_key"))
+    res = resources.join(F.broadcast(best), resources[resource_key] == F.col("_key"), "left_semi")
+    return with_file_names(matching_resources(res, year))

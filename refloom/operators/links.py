@@ -298,3 +298,47 @@ def sitemap_pages(selected: DataFrame, locs: DataFrame, max_pages: int = 12,
     low = F.lower(F.col(loc))
     pages = locs.filter(low.contains(page_path.lower()) | low.contains(info_path.lower()))
     return pages.join(F.broadcast(selected.select(order)), order).orderBy(order, loc_pos).limit(int(max_pages))
+
+
+# ------------------------------------------------------------------ X4
+# How each source kind is ranked and how its year is settled.
+KIND_RULES = {
+    "codes": {"params": SELECT_FOR_YEAR, "tokens": KIND_TOKENS["codes"], "extensions": KIND_EXTENSIONS["codes"],
+              "year": "clamp"},
+    "units": {"params": SELECT_FOR_YEAR, "tokens": KIND_TOKENS["units"], "extensions": KIND_EXTENSIONS["units"],
+              "year": "target"},
+    "history": {"params": PICK_BEST, "tokens": (), "extensions": (), "year": 1943, "no_target": True},
+}
+
+
+def choose_sources(df: DataFrame, target_year: int, rules: dict | None = None) -> DataFrame:
+    """Per source kind, the file to use.
+
+    Rows ``(kind, stage, pos, link)``: U6 keeps each kind's first stage that has any
+    link, P13 keeps its keyword links (or all), then each kind is ranked with its
+    own parameters (O1 / O2) and its year settled (F20 clamp, or F21 default).
+    One plan for all kinds: the per-kind rules are CASE expressions, the choices
+    aggregates keyed by kind. Rows: ``(kind, link, pos, score, year, selected_year)``.
+    """
+    rules = rules or KIND_RULES
+    kw_map = F.create_map(*[x for k in rules for x in (F.lit(k), F.array(*[F.lit(w) for w in KIND_KEYWORDS[k]]))])
+    staged = first_nonempty_stage(df, ["kind"])
+    kept = keyword_filter(staged, ["kind"], "link", F.element_at(kw_map, F.col("kind")))
+    y = L.best_year("link")
+    score = accepted = None
+    for kind, r in rules.items():
+        s = L.link_score(F.col("link"), None if r.get("no_target") else target_year,
+                         preferred_tokens=r["tokens"], year=y, **r["params"])
+        a = L.ends_with_any("link", r["extensions"])
+        score = F.when(F.col("kind") == kind, s) if score is None else score.when(F.col("kind") == kind, s)
+        accepted = F.when(F.col("kind") == kind, a) if accepted is None else accepted.when(F.col("kind") == kind, a)
+    scored = kept.filter(accepted.otherwise(False)).withColumn("year", y).withColumn("score", score)
+    order = F.struct(F.col("score"), (-F.col("pos")).alias("neg_pos"))
+    best = scored.groupBy("kind").agg(F.max_by(F.struct("link", "pos", "score", "year"), order).alias("b"))
+    selected = None
+    for kind, r in rules.items():
+        rule = r["year"]
+        v = (L.clamp_year("b.year", target_year) if rule == "clamp"
+             else L.default_year("b.year", target_year if rule == "target" else int(rule)))
+        selected = F.when(F.col("kind") == kind, v) if selected is None else selected.when(F.col("kind") == kind, v)
+    return best.select("kind", "b.link", "b.pos", "b.score", "b.year", selected.alias("selected_year"))

@@ -601,3 +601,51 @@ def html_gate(spark, sf):
     docs = B.table(spark, sf, "documents").select(F.lit("document").alias("kind"), F.col("doc_id").alias("id"),
                                                   html_gate_text(F.col("text")).alias("looks_html"))
     return pages.unionByName(docs)
+
+
+# ------------------------------------------------------------------ X4
+_STAGE_BY_NAME = "CASE WHEN contains(link, '/map_') THEN 0 WHEN contains(link, '/cog_') THEN 1 ELSE 2 END"
+
+
+def _source_rows(spark, sf):
+    l = F.col("link")
+    stage = F.when(l.contains("/map_"), 0).when(l.contains("/cog_"), 1).otherwise(2)
+    return B.links(spark, sf).select(_kind_col().alias("kind"), stage.alias("stage"), "pos", "link")
+
+
+def _kind_rank_sql() -> str:
+    parts = []
+    for kind in ("codes", "units", "history"):
+        r = LO.KIND_RULES[kind]
+        p = r["params"]
+        score = _score_sql(p["extension_weights"], p["target_bonus"], p["previous_bonus"], p["older_base"],
+                           p["future_base"], r["tokens"], target=None if r.get("no_target") else TARGET)
+        acc = " OR ".join(f"lower(link) LIKE '%{e}'" for e in r["extensions"]) or "TRUE"
+        parts.append(f"SELECT kind, pos, link, y AS year, {score} AS score FROM kept WHERE kind = {sq(kind)} AND ({acc})")
+    return " UNION ALL ".join(parts)
+
+
+@query(
+    "source_choice",
+    with_views(
+        ("links",),
+        f"""SELECT kind, link, pos, score, year,
+                   CASE kind WHEN 'codes' THEN greatest(least(coalesce(year, {TARGET}), {TARGET}), {TARGET - 1})
+                             WHEN 'units' THEN coalesce(year, {TARGET}) ELSE coalesce(year, 1943) END AS selected_year
+            FROM (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY score DESC, pos) AS rn FROM ranked)
+            WHERE rn = 1""",
+        extra=(
+            ("kw", f"SELECT * FROM (VALUES {_KW_VALUES}) t(kind, word)"),
+            ("src", f"SELECT {_KIND.replace('grp', 'grp')} AS kind, {_STAGE_BY_NAME} AS stage, pos, link FROM links"),
+            ("staged", "SELECT * FROM (SELECT *, min(stage) OVER (PARTITION BY kind) AS s0 FROM src) WHERE stage = s0"),
+            ("flagged", """SELECT s.*, EXISTS (SELECT 1 FROM kw WHERE kw.kind = s.kind AND contains(lower(s.link), kw.word)) AS hit
+                           FROM staged s"""),
+            ("kept", f"""SELECT kind, pos, link, list_max({_YEARS}) AS y FROM (
+                           SELECT *, max(hit) OVER (PARTITION BY kind) AS any_hit FROM flagged) WHERE hit OR NOT any_hit"""),
+            ("ranked", _kind_rank_sql()),
+        ),
+    ),
+    "X4 U6 P13 O1 O2 F20 F21",
+)
+def source_choice(spark, sf):
+    return LO.choose_sources(_source_rows(spark, sf), TARGET)

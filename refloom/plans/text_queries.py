@@ -11,6 +11,9 @@ from refloom.plans.oracle import with_views
 from refloom.plans.registry import query
 
 RESOURCE_YEAR = 2026
+# The best dataset of the fixture publishes reference tables for 2027, so the
+# composite is run for that year (its resources for 2026 do not exist).
+COMPOSITE_YEAR = 2027
 
 
 def FOLD(x: str) -> str:
@@ -146,3 +149,23 @@ _SUFFIX = (
 )
 def safe_file_name(spark, sf):
     return catalog.with_file_names(B.resources(spark, sf)).select("dataset_id", "pos", "file_name")
+
+
+@query(
+    "reference_tables",
+    with_views(
+        ("datasets", "resources"),
+        f"""SELECT r.dataset_id, r.pos, r.title, r.url, r.format,
+                   CASE WHEN s = '' THEN 'resource' ELSE s END
+                   || CASE WHEN x = '' THEN '.' || lower(coalesce(nullif(r.format, ''), 'bin')) ELSE x END AS file_name
+            FROM (SELECT *, {FOLD(TRUTHY('title', 'format', 'url'))} AS t, {_SLUG} AS s, {_SUFFIX} AS x FROM resources) r
+            WHERE r.dataset_id IN (SELECT slug FROM best)
+              AND contains(t, '{COMPOSITE_YEAR}') AND contains(t, 'table') AND contains(t, 'refer')""",
+        extra=_DEDUP + (("best", """SELECT * FROM (SELECT * FROM scored
+                                     ORDER BY score DESC, n_resources DESC, query_pos, item_pos LIMIT 1) WHERE score > 0"""),),
+    ),
+    "X3 S8-shaped catalog: U5 F4 O3 P10 O4 F6",
+)
+def reference_tables(spark, sf):
+    out = catalog.reference_tables(B.datasets(spark, sf), B.resources(spark, sf), COMPOSITE_YEAR)
+    return out.select("dataset_id", "pos", "title", "url", "format", "file_name")
