@@ -68,23 +68,26 @@ def history_code_set(history_raw: DataFrame) -> DataFrame:
     """U2 or A5, by layout (P9): the distinct codes a history contributes."""
     if hist.is_snapshot(history_raw):
         return hist.snapshot_codes(history_raw)
-    return hist.edge_codes(hist.edges(history_raw))
+    return hist.edge_codes(hist.edges(history_raw, distinct=False))
 
 
-def mapping_pairs(resolution: DataFrame, history_codes: DataFrame) -> DataFrame:
-    """J1 + U1 (+A6): distinct ``(cog_initial, cog_reference)``.
+def mapping_pairs(resolution: DataFrame, history_codes: DataFrame, lookup: str = "code") -> DataFrame:
+    """J1 + U1 (+P7, A6): distinct ``(cog_initial, cog_reference)``.
 
     History codes resolve through the code list (left join, fans out per matching
     row) and fall back to themselves; every resolved code and every district
-    identity row are added.
+    identity row are added. The resolved pairs and the identity rows come out of one
+    pass over the resolution (an ``explode`` of at most two values per row), so the
+    code list is read twice in total, not three times.
     """
-    res = resolution.select("code", "reference_code")
-    from_history = history_codes.join(res, "code", "left").select(
+    res = resolution.select(F.col("code").alias("_res_code"), "reference_code")
+    from_history = history_codes.join(res, F.col(lookup) == F.col("_res_code"), "left").select(
         F.col("code").alias("cog_initial"),
-        F.coalesce(F.col("reference_code"), F.col("code")).alias("cog_reference"),
+        F.coalesce(F.col("reference_code"), F.col(lookup)).alias("cog_reference"),
     )
-    from_codes = res.select(F.col("code").alias("cog_initial"), F.col("reference_code").alias("cog_reference"))
-    return from_history.unionByName(from_codes).unionByName(identity_rows(resolution)).distinct()
+    targets = F.array_compact(F.array(F.col("reference_code"), F.when(is_type("type_code", DISTRICT_TYPE), F.col("code"))))
+    from_codes = resolution.select(F.col("code").alias("cog_initial"), F.explode(targets).alias("cog_reference"))
+    return from_history.unionByName(from_codes).distinct()
 
 
 def code_mapping(
@@ -100,7 +103,8 @@ def code_mapping(
 
     ``resolve_history=False`` reproduces the reference: history codes contribute
     themselves, the walk result is not chained in. ``resolve_history=True`` is a
-    documented extension: a vanished code first moves to its terminal code (G2).
+    documented extension: a history code is looked up through its terminal code
+    (G2), so a vanished code maps to the reference of the code that replaced it.
     ``cog_year`` defaults to the target year, as in the reference.
     """
     resolution = resolve_reference(codes_raw)
@@ -108,8 +112,8 @@ def code_mapping(
         e = hist.edges(history_raw)
         term = hist.terminals(hist.walk(e)).select(F.col("origin_code").alias("code"), "current_code")
         codes = hist.edge_codes(e)
-        moved = codes.join(term, "code", "left").select(F.coalesce("current_code", "code").alias("code"))
-        pairs = mapping_pairs(resolution, moved)
+        moved = codes.join(term, "code", "left").select("code", F.coalesce("current_code", "code").alias("_lookup"))
+        pairs = mapping_pairs(resolution, moved, lookup="_lookup")
     else:
         pairs = mapping_pairs(resolution, history_code_set(history_raw))
     uu = urban_units(units_raw)

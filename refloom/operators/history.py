@@ -26,7 +26,7 @@ def is_snapshot(history_raw: DataFrame) -> bool:
     return has_columns(history_raw, SNAPSHOT_SIGNATURE)
 
 
-def edges(history_raw: DataFrame) -> DataFrame:
+def edges(history_raw: DataFrame, distinct: bool = True) -> DataFrame:
     """P6 + A4: distinct valid ``(old_code, new_code)`` pairs without self-loops.
 
     A snapshot layout has no edges (typed, empty).
@@ -34,19 +34,19 @@ def edges(history_raw: DataFrame) -> DataFrame:
     if is_snapshot(history_raw):
         return history_raw.sparkSession.createDataFrame([], "old_code string, new_code string")
     r = select_roles(history_raw, {"old_code": OLD_CANDIDATES, "new_code": NEW_CANDIDATES})
-    return (
-        r.filter(valid_code("old_code") & valid_code("new_code") & (F.col("old_code") != F.col("new_code")))
-        .distinct()
-    )
+    r = r.filter(valid_code("old_code") & valid_code("new_code") & (F.col("old_code") != F.col("new_code")))
+    return r.distinct() if distinct else r
 
 
 def edge_codes(e: DataFrame) -> DataFrame:
-    """Distinct origin codes and new codes of the edges.
+    """Distinct origin codes and new codes of the edges (one pass, one shuffle).
 
     The reference takes the origins from the walk result; the walk's origins are
     exactly the distinct ``old_code`` values, so the walk is not needed here.
+    Duplicate edges may be passed in (``edges(raw, distinct=False)``): the code set
+    is the same.
     """
-    return e.select(F.col("old_code").alias("code")).union(e.select(F.col("new_code").alias("code"))).distinct()
+    return e.select(F.explode(F.array("old_code", "new_code")).alias("code")).distinct()
 
 
 def snapshot_codes(history_raw: DataFrame) -> DataFrame:

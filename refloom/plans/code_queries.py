@@ -53,7 +53,7 @@ def code_edges(spark, sf):
 
 @query("history_codes", with_views(("history_codes",), "SELECT code FROM history_codes"), "U2")
 def history_codes(spark, sf):
-    return history.edge_codes(history.edges(B.history_raw(spark, sf)))
+    return history.edge_codes(history.edges(B.history_raw(spark, sf), distinct=False))
 
 
 @query(

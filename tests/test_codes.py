@@ -42,6 +42,14 @@ def test_golden_metro_mapping(spark):
     assert {(r.cog_year, r.target_year) for r in rows} == {(2025, 2025)}
 
 
+def test_resolve_history_extension(spark):
+    cog, uu, hist = _frames(spark)
+    rows = codes.code_mapping(cog, uu, hist, 2025, metro_only=True, resolve_history=True).collect()
+    pairs = {(r.cog_initial, r.cog_reference) for r in rows}
+    assert {("01901", "01001"), ("01900", "01001"), ("20004", "2A004"), ("01960", "01961")} <= pairs
+    assert ("01901", "01901") not in pairs and ("01961", "01961") in pairs
+
+
 def test_national_mapping_keeps_overseas(spark):
     cog, uu, hist = _frames(spark)
     rows = codes.code_mapping(cog, uu, hist, 2025, metro_only=False).collect()
