@@ -110,3 +110,23 @@ def test_row_count_control(spark):
     else:
         raise AssertionError("expected a failure")
     assert quality.row_count_control(spark.range(5), None) == 5
+
+
+def test_build_mapping_table_checks_before_writing(spark):
+    import tempfile
+    from pathlib import Path
+
+    from refloom.operators import sinks
+
+    cog, uu, hist = _frames(spark)
+    out = tempfile.mkdtemp(prefix="refloom-sink-")
+    try:
+        sinks.build_mapping_table(spark, cog, uu, hist, 2025, expected_rows=10, tolerance=0, path=out)
+    except quality.RowCountError:
+        pass
+    else:
+        raise AssertionError("expected the control to fail")
+    assert not (Path(out) / "cog_tuu_tduu_2025").exists()
+    where, n = sinks.build_mapping_table(spark, cog, uu, hist, 2025, expected_rows=18, tolerance=2, path=out)
+    assert n == 16 and where.endswith("cog_tuu_tduu_2025")
+    assert spark.read.parquet(where).count() == 16
