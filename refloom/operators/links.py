@@ -111,18 +111,20 @@ def result_page_array(html: Column | str, base: str = L.DEFAULT_BASE, page_path:
 
 
 def first_seen(df: DataFrame, keys: Sequence[str], item: str, order: str = "pos", limit: int | None = None) -> DataFrame:
-    """U4 (+O5 with ``limit``): first occurrence of each item per key, in first-seen
-    order, optionally the first ``limit`` items. Rows ``(keys…, item, pos, rank)``.
-
-    The per-item minimum is an aggregate; the top-``limit`` is a ``row_number``
-    filter that Spark applies partially before the shuffle (``WindowGroupLimit``).
+    """U4 (+O5 with ``limit``): first occurrence of each item per key, with its first
+    position ``order`` (first-seen order = ascending ``order``).
+
+    The per-item minimum is an aggregate (partial before the shuffle). With a
+    ``limit``, only the first ``limit`` items per key are kept and numbered
+    (``rank``, 1-based) by a ``row_number`` filter that Spark applies partially
+    before the shuffle (``WindowGroupLimit``), so a hot key never reaches one task
+    whole. Without a limit no window is needed: ``order`` already is the order.
     """
     firsts = df.groupBy(*keys, item).agg(F.min(order).alias(order))
+    if limit is None:
+        return firsts
     w = Window.partitionBy(*keys).orderBy(F.col(order), F.col(item))
-    ranked = firsts.withColumn("rank", F.row_number().over(w))
-    if limit is not None:
-        ranked = ranked.filter(F.col("rank") <= int(limit))
-    return ranked
+    return firsts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= int(limit))
 
 
 # ------------------------------------------------------------------ fallbacks

@@ -225,7 +225,9 @@ def first_tabular_member(members: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ S5 rows
-def _rows_batches(batches, members_by_archive: dict, columns: Sequence[str], batch_rows: int = 8192):
+def _rows_batches(batches, columns: Sequence[str], batch_rows: int = 8192):
+    """Data lines of the (archive_path, member) rows of each input batch; each archive
+    is opened once per batch and only the listed members are decompressed."""
     out_cols = list(columns) + ["archive", "member", "_extra"]
     schema = pa.schema([(c, pa.string()) for c in list(columns) + ["archive", "member"]] + [("_extra", pa.list_(pa.string()))])
     pos = {c: i for i, c in enumerate(columns)}
@@ -234,13 +236,13 @@ def _rows_batches(batches, members_by_archive: dict, columns: Sequence[str], bat
         return pa.RecordBatch.from_pydict({c: buf[c] for c in out_cols}, schema=schema)
 
     for batch in batches:
-        for path in batch.column("path").to_pylist():
-            wanted = members_by_archive.get(path, [])
-            if not wanted:
-                continue
+        wanted: dict[str, list[str]] = {}
+        for path, member in zip(batch.column("archive_path").to_pylist(), batch.column("member").to_pylist()):
+            wanted.setdefault(path, []).append(member)
+        for path in sorted(wanted):
             archive = posixpath.basename(path)
             with _open_path(path) as fh, zipfile.ZipFile(fh) as zf:
-                for member in sorted(wanted):
+                for member in sorted(wanted[path]):
                     with zf.open(member) as raw:
                         stream = _text_stream(raw)
                         first = stream.readline()
@@ -251,8 +253,7 @@ def _rows_batches(batches, members_by_archive: dict, columns: Sequence[str], bat
                         idx = [pos[h] for h in header]
                         buf = {c: [] for c in out_cols}
                         n = 0
-                        reader = csv.reader(stream, delimiter=delim)
-                        for fields in reader:
+                        for fields in csv.reader(stream, delimiter=delim):
                             if not fields:
                                 continue
                             for c in columns:
@@ -271,13 +272,20 @@ def _rows_batches(batches, members_by_archive: dict, columns: Sequence[str], bat
                             yield flush(buf)
 
 
-def read_member_rows(index: DataFrame, members: dict[str, list[str]], columns: Sequence[str]) -> DataFrame:
-    """S5 for one logical table: all data lines of its members, as text columns in
-    union-by-name order (missing columns NULL, short rows padded, surplus cells in
-    ``_extra``), plus provenance ``archive`` and ``member``."""
+def read_member_rows(members: DataFrame, columns: Sequence[str], n_tasks: int | None = None) -> DataFrame:
+    """S5 for one logical table: all data lines of the given ``(archive_path, member)``
+    rows, as text columns in union-by-name order (missing columns NULL, short rows
+    padded, surplus cells in ``_extra``), plus provenance ``archive`` and ``member``.
+
+    Members are spread over tasks (an archive with many members is read by many
+    tasks, each decompressing only its own members); one member is one deflate
+    stream, so it stays in one task.
+    """
     schema = ", ".join(f"`{c}` string" for c in columns) + ", archive string, member string, _extra array<string>"
-    wanted = index.filter(F.col("path").isin(list(members)))
-    return wanted.select("path").mapInArrow(lambda it: _rows_batches(it, members, list(columns)), schema)
+    spark = members.sparkSession
+    tasks = n_tasks or max(1, spark.sparkContext.defaultParallelism * 2)
+    spread = members.select("archive_path", "member").repartition(tasks, "archive_path", "member")
+    return spread.mapInArrow(lambda it: _rows_batches(it, list(columns)), schema)
 
 
 def union_columns(headers_in_order: Sequence[Sequence[str]]) -> list[str]:
@@ -295,10 +303,13 @@ def load_archives(spark: SparkSession, source_dir: str) -> tuple[dict[str, DataF
     """Archives -> {table_name: DataFrame of text columns}, plus the load
     manifest ``(table_name, n_files, n_archives)`` (K3).
 
-    The driver collects one row per (table, header, first file) - metadata only.
+    The member listing (one row per file) is checkpointed once and reused by every
+    table; the driver collects one row per distinct (table, header) - metadata only.
     """
+    from refloom.session import cut_lineage
+
     index = archive_index(spark, source_dir)
-    members = csv_members(list_members(index)).cache()
+    members = cut_lineage(csv_members(list_members(index)))
     if members.isEmpty():
         raise ArchiveError("no CSV file found in the archives")
     manifest = files_per_table(members)
@@ -307,16 +318,11 @@ def load_archives(spark: SparkSession, source_dir: str) -> tuple[dict[str, DataF
         .agg(F.min(F.struct("archive_path", "member")).alias("first"))
         .collect()
     )
-    files = members.select("table_name", "archive_path", "member").collect()
     tables: dict[str, DataFrame] = {}
     for name in sorted({r["table_name"] for r in meta}):
         ordered = sorted(
             (r for r in meta if r["table_name"] == name), key=lambda r: (r["first"]["archive_path"], r["first"]["member"])
         )
         cols = union_columns([r["header"] or [] for r in ordered])
-        by_archive: dict[str, list[str]] = {}
-        for f in files:
-            if f["table_name"] == name:
-                by_archive.setdefault(f["archive_path"], []).append(f["member"])
-        tables[name] = read_member_rows(index, by_archive, cols)
+        tables[name] = read_member_rows(members.filter(F.col("table_name") == name), cols)
     return tables, manifest

@@ -73,19 +73,26 @@ class DbfReader(DataSourceReader):
 
     def read(self, partition: _Range) -> Iterator[tuple]:
         widths = [w for _, _, w in self.fields]
+        block = 8192  # records per read
         with _open(self.path) as fh:
             fh.seek(self.header_len + partition.start * self.record_len)
-            for _ in range(partition.start, partition.stop):
-                rec = fh.read(self.record_len)
-                if len(rec) < self.record_len:
+            remaining = partition.stop - partition.start
+            while remaining > 0:
+                take = min(block, remaining)
+                data = fh.read(take * self.record_len)
+                got = len(data) // self.record_len
+                for i in range(got):
+                    rec = data[i * self.record_len : (i + 1) * self.record_len]
+                    if rec[:1] == b"*":
+                        continue
+                    pos, out = 1, []
+                    for w in widths:
+                        out.append(rec[pos : pos + w].decode(self.encoding, errors="replace").strip())
+                        pos += w
+                    yield tuple(out)
+                if got < take:
                     break
-                if rec[:1] == b"*":
-                    continue
-                pos, out = 1, []
-                for w in widths:
-                    out.append(rec[pos : pos + w].decode(self.encoding, errors="replace").strip())
-                    pos += w
-                yield tuple(out)
+                remaining -= take
 
 
 class DbfDataSource(DataSource):
