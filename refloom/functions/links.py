@@ -83,6 +83,11 @@ def _remove_dot_segments(path: Column, passes: int = 6) -> Column:
     return p
 
 
+def _dots(path: Column) -> Column:
+    """Dot-segment removal only where a dot segment can occur."""
+    return F.when(path.contains("/.") | path.startswith("."), _remove_dot_segments(path)).otherwise(path)
+
+
 def join_url(base: Column | str, link: Column | str) -> Column:
     """resolve ``link`` against ``base`` like ``urllib.parse.urljoin`` for
     hierarchical http(s) URLs: scheme -> as is; ``//`` -> base scheme; ``/`` -> base
@@ -100,10 +105,10 @@ def join_url(base: Column | str, link: Column | str) -> Column:
         F.when(u == "", b)
         .when(u.rlike(_SCHEME), u)
         .when(u.startswith("//"), F.concat(scheme, F.lit(":"), u))
-        .when(u.startswith("/"), F.concat(authority, _remove_dot_segments(lpath), lrest))
+        .when(u.startswith("/"), F.concat(authority, _dots(lpath), lrest))
         .when(u.startswith("?"), F.concat(authority, bpath, u))
         .when(u.startswith("#"), F.concat(authority, bpath, bquery, u))
-        .otherwise(F.concat(authority, _remove_dot_segments(rel_path), lrest))
+        .otherwise(F.concat(authority, _dots(rel_path), lrest))
     )
 
 

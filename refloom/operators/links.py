@@ -9,13 +9,14 @@ unbounded group without such a limit: one group may hold a third of all rows.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from refloom.functions import links as L
-from refloom.functions.text import fold
+from refloom.functions.text import fold, keyword_tokens
 
 # The two ranking parameter sets of the reference.
 SELECT_FOR_YEAR = {
@@ -155,28 +156,38 @@ def keyword_filter(df: DataFrame, keys: Sequence[str], link: str, keywords: Colu
     return keep_matching_or_all(df, keys, hit)
 
 
-def page_relevance(pages: DataFrame, keep: Sequence[str], html: str, links: Column, keywords: Column) -> DataFrame:
+def query_keywords(spark, query: str) -> list[str]:
+    """F10 for a query parameter: the keyword list, computed once by Spark."""
+    return list(spark.range(1).select(keyword_tokens(F.lit(query)).alias("k")).first()["k"])
+
+
+def _contains_any_of(text: Column, words: Sequence[str]) -> Column:
+    """Substring test for any of ``words`` with a single reference to ``text`` (one
+    regex alternation), so an expensive ``text`` is evaluated once."""
+    return text.rlike("|".join(re.escape(w) for w in words))
+
+
+def page_relevance(pages: DataFrame, keep: Sequence[str], html: str, links: Column, keywords: Sequence[str]) -> DataFrame:
     """Per page, keep its links where a keyword is in the folded link or in the
     folded page text; when none is kept (or there are no keywords), keep all.
 
-    The group is one page, so the decision is made inside the page's row with array
-    functions (no shuffle); the page text is folded once per page. Rows:
-    ``(keep…, pos, link)`` with ``pos`` the link's position in ``links``.
+    The group is one page, so the decision is made inside the page's row (no
+    shuffle). Keywords are space-free tokens and ``fold(a + ' ' + b)`` equals
+    ``fold(a) + ' ' + fold(b)``, so "some link of the page hits" is tested on one
+    fold of the space-joined links. Page-level values are computed below the
+    generator (once per page); ``posexplode_outer`` keeps Spark from inferring and
+    pushing a second evaluation of the link array below the scan.
+    Rows: ``(keep…, pos, link)`` with ``pos`` the link's position in ``links``.
     """
-    page_hit = F.exists(keywords, lambda k: F.col("_page_folded").contains(k))
-
-    def link_hit(l: Column) -> Column:
-        fl = fold(l)
-        return F.exists(keywords, lambda k: fl.contains(k))
-
-    staged = pages.select(
-        *keep, fold(F.col(html)).alias("_page_folded"), links.alias("_links"), keywords.alias("_kw")
-    ).select(
-        *keep,
-        (page_hit | (F.size("_kw") == 0) | ~F.exists("_links", link_hit)).alias("_keep_all"),
-        F.posexplode("_links").alias("pos", "link"),
-    )
-    return staged.filter(F.col("_keep_all") | link_hit(F.col("link"))).select(*keep, "pos", "link")
+    words = list(keywords)
+    if not words:
+        return pages.select(*keep, F.posexplode(links).alias("pos", "link"))
+    page_hit = _contains_any_of(fold(F.col(html)), words)
+    any_link_hit = _contains_any_of(fold(F.array_join(links, " ")), words)
+    decided = pages.select(*keep, links.alias("_links"), (page_hit | ~any_link_hit).alias("_keep_all"))
+    rows = decided.select(*keep, "_keep_all", F.posexplode_outer("_links").alias("pos", "link"))
+    keep_row = F.col("link").isNotNull() & (F.col("_keep_all") | _contains_any_of(fold(F.col("link")), words))
+    return rows.filter(keep_row).select(*keep, "pos", "link")
 
 
 def first_nonempty_stage(df: DataFrame, keys: Sequence[str], stage: str = "stage") -> DataFrame:

@@ -255,7 +255,7 @@ _KW_LIST = "[" + ", ".join(sq(w) for w in _relevance_keywords()) + "]"
 )
 def page_relevance(spark, sf):
     arr = LO.candidate_link_array("html", base=BASE, host=HOST, marker=MARKER, file_path=FPATH)
-    kw = keyword_tokens(F.lit(RELEVANCE_QUERY))
+    kw = LO.query_keywords(spark, RELEVANCE_QUERY)
     return LO.page_relevance(_pages(spark, sf), ["page_id"], "html", arr, kw)
 
 
