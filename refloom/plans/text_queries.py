@@ -86,7 +86,7 @@ _DS_COLS = "dataset_key, id, slug, page, title, query_pos, item_pos, n_resources
 
 @query("dataset_dedupe", with_views(("datasets",), f"SELECT {_DS_COLS} FROM dedup", extra=_DEDUP[:1]), "U5 F5")
 def dataset_dedupe(spark, sf):
-    return catalog.dedupe_datasets(B.datasets(spark, sf)).select(*_DS_COLS.split(", "))
+    return catalog.dedupe_datasets(B.datasets(spark, sf).drop("description")).select(*_DS_COLS.split(", "))
 
 
 @query("dataset_scores", with_views(("datasets",), f"SELECT {_DS_COLS}, score FROM scored", extra=_DEDUP), "F4 F3 F2")
