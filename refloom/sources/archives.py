@@ -259,7 +259,8 @@ def _rows_batches(batches, columns: Sequence[str], batch_rows: int = 8192):
                             for c in columns:
                                 buf[c].append(None)
                             for j, v in enumerate(fields[: len(idx)]):
-                                buf[columns[idx[j]]][-1] = v
+                                # an empty field is NULL, as in SQL CSV readers
+                                buf[columns[idx[j]]][-1] = v if v != "" else None
                             buf["archive"].append(archive)
                             buf["member"].append(member)
                             buf["_extra"].append(fields[len(idx):] or None)

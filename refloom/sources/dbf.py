@@ -5,7 +5,7 @@ fixed-width records after a header. The reader splits the record range into
 partitions, so a large table is read by many tasks, each seeking to its slice.
 Every field is returned as trimmed text (codes keep their leading zeros); deleted
 records are skipped. The text encoding comes from the ``encoding`` option, else
-the ``.cpg`` sidecar, else UTF-8.
+each file's ``.cpg`` sidecar, else UTF-8. A directory is read file by file.
 """
 
 from __future__ import annotations
@@ -58,36 +58,60 @@ def sidecar_encoding(path: str) -> str | None:
 
 
 class _Range(InputPartition):
-    def __init__(self, start: int, stop: int):
-        self.start, self.stop = start, stop
+    def __init__(self, path: str, start: int, stop: int):
+        self.path, self.start, self.stop = path, start, stop
+
+
+def list_dbf_files(path: str) -> list[str]:
+    """A ``.dbf`` file, or every ``.dbf`` file of a directory (sorted)."""
+    if path.lower().endswith(".dbf"):
+        return [path]
+    if "://" in path and not path.startswith("file:"):
+        from pyarrow import fs
+
+        filesystem, inner = fs.FileSystem.from_uri(path)
+        infos = filesystem.get_file_info(fs.FileSelector(inner))
+        scheme = path.split("://", 1)[0]
+        return sorted(f"{scheme}://{i.path}" for i in infos if i.path.lower().endswith(".dbf"))
+    import os
+
+    local = path[len("file:"):] if path.startswith("file:") else path
+    return sorted(os.path.join(local, n) for n in os.listdir(local) if n.lower().endswith(".dbf"))
 
 
 class DbfReader(DataSourceReader):
-    def __init__(self, path: str, encoding: str):
-        self.path, self.encoding = path, encoding
-        self.n, self.header_len, self.record_len, self.fields = read_header(path)
+    def __init__(self, paths: list[str], encoding: str | None):
+        self.paths, self.encoding = paths, encoding
+        self.headers = {p: read_header(p) for p in paths}
+        self.fields = self.headers[paths[0]][3]
 
     def partitions(self):
         step = RECORDS_PER_PARTITION
-        return [_Range(s, min(s + step, self.n)) for s in range(0, max(self.n, 1), step)] or [_Range(0, 0)]
+        parts = []
+        for p in self.paths:
+            n = self.headers[p][0]
+            parts.extend(_Range(p, s, min(s + step, n)) for s in range(0, n, step))
+        return parts or [_Range(self.paths[0], 0, 0)]
 
     def read(self, partition: _Range) -> Iterator[tuple]:
-        widths = [w for _, _, w in self.fields]
+        _, header_len, record_len, fields = self.headers[partition.path]
+        widths = [w for _, _, w in fields]
+        encoding = self.encoding or sidecar_encoding(partition.path) or "utf-8"
         block = 8192  # records per read
-        with _open(self.path) as fh:
-            fh.seek(self.header_len + partition.start * self.record_len)
+        with _open(partition.path) as fh:
+            fh.seek(header_len + partition.start * record_len)
             remaining = partition.stop - partition.start
             while remaining > 0:
                 take = min(block, remaining)
-                data = fh.read(take * self.record_len)
-                got = len(data) // self.record_len
+                data = fh.read(take * record_len)
+                got = len(data) // record_len
                 for i in range(got):
-                    rec = data[i * self.record_len : (i + 1) * self.record_len]
+                    rec = data[i * record_len : (i + 1) * record_len]
                     if rec[:1] == b"*":
                         continue
                     pos, out = 1, []
                     for w in widths:
-                        out.append(rec[pos : pos + w].decode(self.encoding, errors="replace").strip())
+                        out.append(rec[pos : pos + w].decode(encoding, errors="replace").strip())
                         pos += w
                     yield tuple(out)
                 if got < take:
@@ -96,18 +120,20 @@ class DbfReader(DataSourceReader):
 
 
 class DbfDataSource(DataSource):
+    """``spark.read.format("dbf").option("path", file_or_directory)``; all files of a
+    directory must share the first file's fields."""
+
     @classmethod
     def name(cls) -> str:
         return "dbf"
 
     def schema(self) -> StructType:
-        _, _, _, fields = read_header(self.options["path"])
+        paths = list_dbf_files(self.options["path"])
+        _, _, _, fields = read_header(paths[0])
         return StructType([StructField(n, StringType(), True) for n, _, _ in fields])
 
     def reader(self, schema: StructType) -> DataSourceReader:
-        path = self.options["path"]
-        enc = self.options.get("encoding") or sidecar_encoding(path) or "utf-8"
-        return DbfReader(path, enc)
+        return DbfReader(list_dbf_files(self.options["path"]), self.options.get("encoding"))
 
 
 def read_dbf(spark: SparkSession, path: str, encoding: str | None = None) -> DataFrame:
