@@ -145,3 +145,22 @@ def code_mapping_snapshot(spark, sf):
 )
 def row_count_control(spark, sf):
     return quality.row_count_report(_mapping(spark, sf, True), EXPECTED_METRO_ROWS, TOLERANCE)
+
+
+@query(
+    "code_mapping_no_history",
+    with_views(
+        ("cog_resolution", "arrondissement_resolution", "uu_base"),
+        """SELECT m.cog_initial, m.cog_reference, uu.tuu, uu.tduu, 2025 AS cog_year, 2025 AS target_year
+           FROM (SELECT DISTINCT cog_initial, cog_reference FROM (
+                   SELECT code AS cog_initial, reference_code AS cog_reference FROM cog_resolution
+                   UNION SELECT cog_initial, cog_reference FROM arrondissement_resolution)) m
+           LEFT JOIN uu_base uu ON uu.code = m.cog_reference
+           WHERE (substr(m.cog_initial, 1, 2) BETWEEN '01' AND '95') OR substr(m.cog_initial, 1, 2) IN ('2A', '2B')""",
+    ),
+    "X1 with the empty-history fallback (S9)",
+)
+def code_mapping_no_history(spark, sf):
+    return codes.code_mapping(
+        B.cog_raw(spark, sf), B.uu_raw(spark, sf), history.empty_history(spark), TARGET_YEAR, metro_only=True
+    )

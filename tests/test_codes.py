@@ -130,3 +130,11 @@ def test_build_mapping_table_checks_before_writing(spark):
     where, n = sinks.build_mapping_table(spark, cog, uu, hist, 2025, expected_rows=18, tolerance=2, path=out)
     assert n == 16 and where.endswith("cog_tuu_tduu_2025")
     assert spark.read.parquet(where).count() == 16
+
+
+def test_empty_history_fallback(spark):
+    cog, uu, _ = _frames(spark)
+    empty = history.empty_history(spark)
+    assert empty.columns == ["old_code", "new_code"] and empty.count() == 0
+    rows = codes.code_mapping(cog, uu, empty, 2025).collect()
+    assert {r.cog_initial for r in rows} == {"01001", "01002", "01003", "01004", "2A004", "75056", "75101"}

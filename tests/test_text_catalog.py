@@ -81,3 +81,13 @@ def test_best_dataset_and_dedupe(spark):
     assert dd.count() == 3
     best = catalog.best_dataset(catalog.score_datasets(dd)).first()
     assert best.dataset_key == "b" and best.score == 19
+
+
+def test_missing_url_rejects(spark):
+    res = spark.createDataFrame(
+        [("a", "https://x.org/a.csv", None), ("b", None, "https://x.org/latest.csv"), (None, None, None)],
+        "title string, url string, latest string",
+    )
+    ok, rejects = catalog.split_missing_url(res)
+    assert sorted(r.title for r in ok.collect()) == ["a", "b"]
+    assert [r.reason for r in rejects.collect()] == ["resource '<untitled>' has no URL"]
