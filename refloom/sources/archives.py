@@ -286,7 +286,10 @@ def read_member_rows(members: DataFrame, columns: Sequence[str], n_tasks: int |
     spark = members.sparkSession
     tasks = n_tasks or max(1, spark.sparkContext.defaultParallelism * 2)
     spread = members.select("archive_path", "member").repartition(tasks, "archive_path", "member")
-    return spread.mapInArrow(lambda it: _rows_batches(it, list(columns)), schema)
+    rows = spread.mapInArrow(lambda it: _rows_batches(it, list(columns)), schema)
+    # One very large member is read by one task; the rebalance hint lets AQE split
+    # its output into evenly sized partitions for whatever comes next.
+    return rows.hint("rebalance")
 
 
 def union_columns(headers_in_order: Sequence[Sequence[str]]) -> list[str]:
