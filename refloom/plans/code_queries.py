@@ -25,7 +25,7 @@ def code_filter(spark, sf):
 
 @query(
     "code_resolution",
-    with_views(("cog_resolution",), "SELECT code, reference_code, type_code, parent_code FROM cog_resolution"),
+    with_views(("resolved",), "SELECT code, reference_code, type_code, parent_code FROM resolved"),
     "P5 A2 P1",
 )
 def code_resolution(spark, sf):
@@ -34,24 +34,24 @@ def code_resolution(spark, sf):
 
 @query(
     "district_identity",
-    with_views(("arrondissement_resolution",), "SELECT cog_initial, cog_reference FROM arrondissement_resolution"),
+    with_views(("districts",), "SELECT cog_initial, cog_reference FROM districts"),
     "P7",
 )
 def district_identity(spark, sf):
     return codes.identity_rows(codes.resolve_reference(B.cog_raw(spark, sf)))
 
 
-@query("urban_units", with_views(("uu_base",), "SELECT code, tuu, tduu FROM uu_base"), "A3")
+@query("urban_units", with_views(("units",), "SELECT code, tuu, tduu FROM units"), "A3")
 def urban_units(spark, sf):
     return codes.urban_units(B.uu_raw(spark, sf))
 
 
-@query("code_edges", with_views(("history_edges",), "SELECT old_code, new_code FROM history_edges"), "P6 A4")
+@query("code_edges", with_views(("edges",), "SELECT old_code, new_code FROM edges"), "P6 A4")
 def code_edges(spark, sf):
     return history.edges(B.history_raw(spark, sf))
 
 
-@query("history_codes", with_views(("history_codes",), "SELECT code FROM history_codes"), "U2")
+@query("history_codes", with_views(("hist_codes",), "SELECT code FROM hist_codes"), "U2")
 def history_codes(spark, sf):
     return history.edge_codes(history.edges(B.history_raw(spark, sf), distinct=False))
 
@@ -69,7 +69,7 @@ def snapshot_codes(spark, sf):
 
 @query(
     "history_walk",
-    with_views(("walk",), "SELECT DISTINCT origin_code, current_code, depth FROM walk"),
+    with_views(("steps",), "SELECT origin_code, current_code, depth FROM steps GROUP BY ALL"),
     "G1 J3 U3",
 )
 def history_walk(spark, sf):
@@ -79,11 +79,9 @@ def history_walk(spark, sf):
 @query(
     "history_terminal",
     with_views(
-        ("walk",),
-        """SELECT origin_code, current_code, depth FROM (
-             SELECT origin_code, current_code, depth,
-                    row_number() OVER (PARTITION BY origin_code ORDER BY depth DESC, current_code) AS rn
-             FROM walk) WHERE rn = 1""",
+        ("steps",),
+        """SELECT origin_code, current_code, depth FROM steps
+           QUALIFY row_number() OVER (PARTITION BY origin_code ORDER BY depth DESC, current_code) = 1""",
     ),
     "G2 W1",
 )
@@ -100,12 +98,12 @@ def _mapping(spark, sf, metro_only):
 _MAP_COLS = "cog_initial, cog_reference, tuu, tduu, cog_year, target_year"
 
 
-@query("code_mapping_metro", with_views(("mapping_metro",), f"SELECT {_MAP_COLS} FROM mapping_metro"), "X1 J1 J2 U1 A6 P8 K2")
+@query("code_mapping_metro", with_views(("map_metro",), f"SELECT {_MAP_COLS} FROM map_metro"), "X1 J1 J2 U1 A6 P8 K2")
 def code_mapping_metro(spark, sf):
     return _mapping(spark, sf, True)
 
 
-@query("code_mapping_all", with_views(("mapping_all",), f"SELECT {_MAP_COLS} FROM mapping_all"), "X1 J1 J2 U1 A6")
+@query("code_mapping_all", with_views(("map_all",), f"SELECT {_MAP_COLS} FROM map_all"), "X1 J1 J2 U1 A6")
 def code_mapping_all(spark, sf):
     return _mapping(spark, sf, False)
 
@@ -113,14 +111,14 @@ def code_mapping_all(spark, sf):
 @query(
     "code_mapping_snapshot",
     with_views(
-        ("cog_resolution", "arrondissement_resolution", "uu_base", "history_snapshot"),
+        ("resolved", "districts", "units", "history_snapshot"),
         """SELECT m.cog_initial, m.cog_reference, uu.tuu, uu.tduu, 2025 AS cog_year, 2025 AS target_year
            FROM (SELECT DISTINCT cog_initial, cog_reference FROM (
                    SELECT h.code AS cog_initial, coalesce(r.reference_code, h.code) AS cog_reference
-                   FROM hcodes h LEFT JOIN cog_resolution r ON r.code = h.code
-                   UNION SELECT code, reference_code FROM cog_resolution
-                   UNION SELECT cog_initial, cog_reference FROM arrondissement_resolution)) m
-           LEFT JOIN uu_base uu ON uu.code = m.cog_reference
+                   FROM hcodes h LEFT JOIN resolved r ON r.code = h.code
+                   UNION SELECT code, reference_code FROM resolved
+                   UNION SELECT cog_initial, cog_reference FROM districts)) m
+           LEFT JOIN units uu ON uu.code = m.cog_reference
            WHERE (substr(m.cog_initial, 1, 2) BETWEEN '01' AND '95') OR substr(m.cog_initial, 1, 2) IN ('2A', '2B')""",
         extra=(("hcodes", f"SELECT DISTINCT COM AS code FROM history_snapshot WHERE {VALID('COM')}"),),
     ),
@@ -135,11 +133,11 @@ def code_mapping_snapshot(spark, sf):
 @query(
     "row_count_control",
     with_views(
-        ("mapping_metro",),
+        ("map_metro",),
         f"""SELECT count(*) AS n_rows, CAST({EXPECTED_METRO_ROWS} AS BIGINT) AS expected_rows,
                    CAST({TOLERANCE} AS BIGINT) AS tolerance,
                    abs(count(*) - {EXPECTED_METRO_ROWS}) <= {TOLERANCE} AS passed
-            FROM mapping_metro""",
+            FROM map_metro""",
     ),
     "K4 A1",
 )
@@ -150,12 +148,12 @@ def row_count_control(spark, sf):
 @query(
     "code_mapping_no_history",
     with_views(
-        ("cog_resolution", "arrondissement_resolution", "uu_base"),
+        ("resolved", "districts", "units"),
         """SELECT m.cog_initial, m.cog_reference, uu.tuu, uu.tduu, 2025 AS cog_year, 2025 AS target_year
            FROM (SELECT DISTINCT cog_initial, cog_reference FROM (
-                   SELECT code AS cog_initial, reference_code AS cog_reference FROM cog_resolution
-                   UNION SELECT cog_initial, cog_reference FROM arrondissement_resolution)) m
-           LEFT JOIN uu_base uu ON uu.code = m.cog_reference
+                   SELECT code AS cog_initial, reference_code AS cog_reference FROM resolved
+                   UNION SELECT cog_initial, cog_reference FROM districts)) m
+           LEFT JOIN units uu ON uu.code = m.cog_reference
            WHERE (substr(m.cog_initial, 1, 2) BETWEEN '01' AND '95') OR substr(m.cog_initial, 1, 2) IN ('2A', '2B')""",
     ),
     "X1 with the empty-history fallback (S9)",
