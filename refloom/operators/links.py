@@ -62,10 +62,6 @@ KNOWN_HISTORY_PATTERNS = (
 )
 
 
-def _cols(names: Sequence[str]) -> list[Column]:
-    return [F.col(n) for n in names]
-
-
 # ------------------------------------------------------------------ extraction
 def explode_positions(df: DataFrame, keep: Sequence[str], array_col: Column, name: str = "link") -> DataFrame:
     """Array column -> rows ``(keep…, pos, name)``; ``pos`` is 0-based."""
@@ -261,6 +257,24 @@ def enumerate_urls(
     )
 
 
+def known_url_targets(spark, target_year: int, kind: str = "codes") -> DataFrame:
+    """J4 input for the fixed download locations: one row per product id, in order,
+    with the target year. ``enumerate_urls(known_url_targets(...), "product",
+    "target_year", patterns)`` gives the 42 candidates (years x ids x patterns)."""
+    ids = KNOWN_CODE_IDS if kind == "codes" else KNOWN_HISTORY_IDS
+    rows = [(i, pid, int(target_year)) for i, pid in enumerate(ids)]
+    return spark.createDataFrame(rows, "id_pos int, product string, target_year int")
+
+
+def enumerate_known(spark, target_year: int, kind: str = "codes", base: str = L.DEFAULT_BASE) -> DataFrame:
+    """J4 exactly as the reference orders it: year outer, product id, pattern inner."""
+    patterns = KNOWN_CODE_PATTERNS if kind == "codes" else KNOWN_HISTORY_PATTERNS
+    out = enumerate_urls(known_url_targets(spark, target_year, kind), "product", "target_year", patterns, base=base)
+    n_ids, n_pat = len(KNOWN_CODE_IDS), len(patterns)
+    order = (F.col("ord") / n_pat).cast("int") * (n_ids * n_pat) + F.col("id_pos") * n_pat + F.col("ord") % n_pat
+    return out.select(order.alias("ord"), "year", "product", "url")
+
+
 def available(candidates: DataFrame, inventory: DataFrame, url: str = "url", inventory_url: str = "link") -> DataFrame:
     """Keep candidates present in an inventory of known URLs (left semi join; the
     candidate order columns are kept for ordering)."""

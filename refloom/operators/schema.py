@@ -27,24 +27,22 @@ def column_key(name: str) -> str:
 
 
 def pick_column(columns: Sequence[str], candidates: Sequence[str]) -> str:
-    """Exact pass over all candidates (by normalized key), then substring pass.
+    """First an exact match on the normalized key (candidates in order), then a
+    substring match (candidates in order, columns in order).
 
-    When two columns share a normalized key the later one wins but keeps the earlier
-    one's position in the substring scan (dict semantics).
+    Columns sharing a normalized key collapse to the last one, kept at the first
+    one's place in the scan order (dict semantics).
     """
-    by_key: dict[str, str] = {}
+    keyed: dict[str, str] = {}
     for column in columns:
-        by_key[column_key(column)] = column
-    for candidate in candidates:
-        key = column_key(candidate)
-        if key in by_key:
-            return by_key[key]
-    for candidate in candidates:
-        key = column_key(candidate)
-        for col_key, column in by_key.items():
-            if key in col_key:
-                return column
-    raise RoleNotFound(f"no compatible column; available columns: {', '.join(columns)}")
+        keyed[column_key(column)] = column
+    wanted = [column_key(c) for c in candidates]
+    found = next((keyed[k] for k in wanted if k in keyed), None)
+    if found is None:
+        found = next((col for k in wanted for key, col in keyed.items() if k in key), None)
+    if found is None:
+        raise RoleNotFound(f"no compatible column; available columns: {', '.join(columns)}")
+    return found
 
 
 def select_roles(df: DataFrame, roles: Mapping[str, Sequence[str]]) -> DataFrame:

@@ -121,3 +121,12 @@ def test_redirect_targets_keep_plus(spark):
 def test_file_name_from_url(spark):
     df = spark.createDataFrame([("https://x.org/a/b.csv?x=1",), ("https://x.org/a/",), ("",)], "u string")
     assert [r.n for r in df.select(L.file_name_from_url("u").alias("n")).collect()] == ["b.csv", "a", "insee_file"]
+
+
+def test_enumerate_known_candidates(spark):
+    rows = LO.enumerate_known(spark, 2025).orderBy("ord").collect()
+    assert len(rows) == 42
+    assert [r.url.rsplit("/", 2)[-2:] for r in rows[:2]] == [["2521852", "cog2025.xls"], ["2521852", "cog2025.xlsx"]]
+    assert rows[7].url.endswith("/2560452/cog2025.xls") and rows[21].url.endswith("/2521852/cog2024.xls")
+    hist = LO.enumerate_known(spark, 2025, "history").orderBy("ord").collect()
+    assert hist[0].url.endswith("/8377162/v_commune_depuis_1943.csv") and hist[2].url.endswith("v_mvt_commune_2025.csv")
