@@ -10,7 +10,6 @@ characters go through a literal map, evaluated only on values that contain one.
 
 from __future__ import annotations
 
-import re
 import sys
 import unicodedata
 from collections.abc import Sequence
@@ -112,16 +111,16 @@ def keyword_tokens(
     """``[a-zA-Z0-9]+`` tokens of the folded text, length >= min_len, minus
     stopwords; duplicates and order kept.
 
-    One regex pass: a token starts where no alphanumeric precedes it, is not a
-    stopword (lookahead), and runs for at least ``min_len`` characters (greedy, so
-    it is the whole run).
+    ``[a-zA-Z0-9]{min_len,}`` matched left to right yields exactly the maximal runs
+    of at least ``min_len`` characters (a greedy match at a run's start takes the
+    whole run; a shorter run cannot match anywhere inside it). Stopwords are then
+    removed with ``array_remove`` (every occurrence, other duplicates kept).
     """
     text = _col(c) if folded else fold(c)
-    alnum = "[a-zA-Z0-9]"
-    stops = sorted({re.escape(w) for w in stopwords if len(w) >= min_len}, key=lambda w: (-len(w), w))
-    not_stop = f"(?!(?:{'|'.join(stops)})(?!{alnum}))" if stops else ""
-    pattern = f"(?<!{alnum}){not_stop}({alnum}{{{int(min_len)},}})"
-    return F.regexp_extract_all(text, F.lit(pattern), 1)
+    toks = F.regexp_extract_all(text, F.lit(f"([a-zA-Z0-9]{{{int(min_len)},}})"), 1)
+    for w in sorted({w for w in stopwords if len(w) >= min_len}):
+        toks = F.array_remove(toks, w)
+    return toks
 
 
 def keyword_score(folded: Column | str, weights: Sequence[tuple[str, int]] = DATASET_TERMS) -> Column:
