@@ -13,7 +13,6 @@ import re
 from pyspark.sql import functions as F
 
 from refloom.functions import links as L
-from refloom.functions.text import fold, keyword_tokens
 from refloom.operators import links as LO
 from refloom.operators.quality import html_gate_text
 from refloom.plans import bindings as B

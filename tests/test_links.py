@@ -1,6 +1,5 @@
 """Link functions and per-group choices (cases asserted by the reference's tests)."""
 
-import random
 from urllib.parse import urljoin
 
 import pytest

@@ -8,7 +8,6 @@ import zipfile
 from pathlib import Path
 
 import pytest
-from pyspark.sql import functions as F
 
 from refloom.sources import archives as A
 from refloom.sources.catalog import read_catalog

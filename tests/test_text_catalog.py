@@ -5,7 +5,6 @@ import unicodedata
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from refloom.functions import text as T
 from refloom.operators import catalog
