@@ -93,10 +93,15 @@ class DbfReader(DataSourceReader):
             parts.extend(_Range(p, s, min(s + step, n)) for s in range(0, n, step))
         return parts or [_Range(self.paths[0], 0, 0)]
 
-    def read(self, partition: _Range) -> Iterator[tuple]:
+    def read(self, partition: _Range) -> Iterator:
+        """Arrow record batches, one per block of records (no per-row conversion)."""
+        import pyarrow as pa
+
         _, header_len, record_len, fields = self.headers[partition.path]
+        names = [n for n, _, _ in self.fields]
         widths = [w for _, _, w in fields]
         encoding = self.encoding or sidecar_encoding(partition.path) or "utf-8"
+        schema = pa.schema([(n, pa.string()) for n in names])
         block = 8192  # records per read
         with _open(partition.path) as fh:
             fh.seek(header_len + partition.start * record_len)
@@ -105,15 +110,17 @@ class DbfReader(DataSourceReader):
                 take = min(block, remaining)
                 data = fh.read(take * record_len)
                 got = len(data) // record_len
+                cols: list[list[str]] = [[] for _ in widths]
                 for i in range(got):
-                    rec = data[i * record_len : (i + 1) * record_len]
-                    if rec[:1] == b"*":
+                    base = i * record_len
+                    if data[base : base + 1] == b"*":
                         continue
-                    pos, out = 1, []
-                    for w in widths:
-                        out.append(rec[pos : pos + w].decode(encoding, errors="replace").strip())
+                    pos = base + 1
+                    for j, w in enumerate(widths):
+                        cols[j].append(data[pos : pos + w].decode(encoding, errors="replace").strip())
                         pos += w
-                    yield tuple(out)
+                if cols and cols[0]:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in cols], schema=schema)
                 if got < take:
                     break
                 remaining -= take
