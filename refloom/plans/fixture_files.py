@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refloom.session import ensure_checkpoint_dir
+from refloom.session import ensure_checkpoint_dir, ship_package
 
 
 def scratch_dir(spark: SparkSession, tag: str) -> str:
@@ -46,6 +46,7 @@ def _write_bytes(path: str, data: bytes) -> None:
 
 def _run(df: DataFrame) -> None:
     """Force the writer job; its output is one small row per written file."""
+    ship_package(df.sparkSession)
     df.collect()
 
 

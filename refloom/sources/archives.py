@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from refloom.functions.text import identifier
 from refloom.operators.schema import normalize_headers
+from refloom.session import ship_package
 
 # Suffixes the builder treats as tabular, archive nesting limit,
 # longest CSV line accepted, and the delimiters voted on.
@@ -176,6 +177,7 @@ def archive_index(spark: SparkSession, source_dir: str, pattern: str = "*.zip")
 def list_members(index: DataFrame, descend: bool = False) -> DataFrame:
     """S2 (+S3 with ``descend=True``): one row per archive member, nested archives
     walked to depth 5. ``chain`` lists the nested archives leading to the member."""
+    ship_package(index.sparkSession)
     return index.select("path").mapInArrow(lambda it: _members_batches(it, descend), MEMBER_SCHEMA)
 
 
@@ -284,6 +286,7 @@ def read_member_rows(members: DataFrame, columns: Sequence[str], n_tasks: int |
     """
     schema = ", ".join(f"`{c}` string" for c in columns) + ", archive string, member string, _extra array<string>"
     spark = members.sparkSession
+    ship_package(spark)
     tasks = n_tasks or max(1, spark.sparkContext.defaultParallelism * 2)
     spread = members.select("archive_path", "member").repartition(tasks, "archive_path", "member")
     rows = spread.mapInArrow(lambda it: _rows_batches(it, list(columns)), schema)

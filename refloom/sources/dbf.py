@@ -144,6 +144,9 @@ class DbfDataSource(DataSource):
 
 
 def read_dbf(spark: SparkSession, path: str, encoding: str | None = None) -> DataFrame:
+    from refloom.session import ship_package
+
+    ship_package(spark)
     spark.dataSource.register(DbfDataSource)
     reader = spark.read.format("dbf").option("path", path)
     if encoding:
