@@ -129,3 +129,20 @@ def test_enumerate_known_candidates(spark):
     assert rows[7].url.endswith("/2560452/cog2025.xls") and rows[21].url.endswith("/2521852/cog2024.xls")
     hist = LO.enumerate_known(spark, 2025, "history").orderBy("ord").collect()
     assert hist[0].url.endswith("/8377162/v_commune_depuis_1943.csv") and hist[2].url.endswith("v_mvt_commune_2025.csv")
+
+
+def test_choose_sources_per_kind(spark):
+    rows = [
+        ("codes", 1, 0, f"{BASE}/2560452/cog2024.xls"),
+        ("codes", 2, 0, f"{BASE}/8377162/v_commune_2025.csv"),
+        ("units", 1, 0, f"{BASE}/7777777/uu2020_2025.csv"),
+        ("history", 0, 0, f"{BASE}/8377162/v_mvt_commune_2025.csv"),
+        ("history", 1, 0, f"{BASE}/9/historique_communes_depuis_1943.csv"),
+    ]
+    df = spark.createDataFrame(rows, "kind string, stage int, pos long, link string")
+    got = {r.kind: (r.link.rsplit("/", 1)[-1], r.selected_year) for r in LO.choose_sources(df, 2025).collect()}
+    assert got == {
+        "codes": ("cog2024.xls", 2024),
+        "units": ("uu2020_2025.csv", 2025),
+        "history": ("v_mvt_commune_2025.csv", 2025),
+    }
