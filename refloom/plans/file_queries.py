@@ -122,18 +122,12 @@ def dbf_load(spark, sf):
 @query("geojson_load", _UNITS_SQL, "S7")
 def geojson_load(spark, sf):
     out = FF.scratch_dir(spark, "geojson")
-
-    def build(_key, rows):
-        return {
-            "type": "FeatureCollection",
-            "features": [
-                {"type": "Feature", "geometry": None,
-                 "properties": {"CODGEO": c, "TUU2020": int(t), "LIBUU2020": b}}
-                for c, t, b in zip(rows["CODGEO"], rows["TUU2020"], rows["LIBUU2020"])
-            ],
-        }
-
-    FF.write_json_documents(_units_rows(spark, sf), "file", build, out, ".geojson")
+    FF.write_json_lists(
+        _units_rows(spark, sf), "file", out, ".geojson",
+        lambda _k: ('{"type": "FeatureCollection", "features": [', "]}"),
+        lambda r: {"type": "Feature", "geometry": None,
+                   "properties": {"CODGEO": r["CODGEO"], "TUU2020": int(r["TUU2020"]), "LIBUU2020": r["LIBUU2020"]}},
+    )
     return read_geojson(spark, out).select("CODGEO", "TUU2020", "LIBUU2020")
 
 
@@ -159,17 +153,21 @@ def catalog_json_load(spark, sf):
         (k % 3).alias("n_res"),
     )
 
-    def build(key, part):
-        items = [
-            {"id": i, "slug": s, "page": p, "title": t, "description": txt,
-             "resources": [{"title": f"r{j}", "url": f"https://data.example.org/d/{o}/{j}.csv"} for j in range(int(n))]}
-            for i, s, p, t, txt, n, o in zip(part["id"], part["slug"], part["page"], part["title"], part["description"],
-                                             part["n_res"], part["ord"])
-        ]
-        items = [{k2: (None if (isinstance(v, float) and v != v) else v) for k2, v in it.items()} for it in items]
-        return {"data": items} if int(key) % 2 == 0 else {"data": [], "results": items}
-
-    FF.write_json_documents(rows, "file", build, out, ".json")
+    def item(r):
+        def clean(v):
+            return None if isinstance(v, float) and v != v else v
+
+        return {
+            "id": clean(r["id"]), "slug": clean(r["slug"]), "page": r["page"], "title": r["title"],
+            "description": clean(r["description"]),
+            "resources": [{"title": f"r{j}", "url": f"https://data.example.org/d/{r['ord']}/{j}.csv"}
+                          for j in range(int(r["n_res"]))],
+        }
+
+    def envelope(key):
+        return ('{"data": [', "]}") if int(key) % 2 == 0 else ('{"data": [], "results": [', "]}")
+
+    FF.write_json_lists(rows, "file", out, ".json", envelope, item)
     return read_catalog(spark, out).select(
         "query_pos", "item_pos", "id", "slug", "page", "title", "description", "n_resources"
     )

@@ -32,16 +32,18 @@ def scratch_dir(spark: SparkSession, tag: str) -> str:
     return path
 
 
-def _write_bytes(path: str, data: bytes) -> None:
+def _open_out(path: str):
     if "://" in path:
         from pyarrow import fs
 
         filesystem, inner = fs.FileSystem.from_uri(path)
-        with filesystem.open_output_stream(inner) as out:
-            out.write(data)
-    else:
-        with open(path, "wb") as out:
-            out.write(data)
+        return filesystem.open_output_stream(inner)
+    return open(path, "wb")
+
+
+def _write_bytes(path: str, data: bytes) -> None:
+    with _open_out(path) as out:
+        out.write(data)
 
 
 def _run(df: DataFrame) -> None:
@@ -50,79 +52,161 @@ def _run(df: DataFrame) -> None:
     df.collect()
 
 
+def _runs(batches, key: str):
+    """(key value, rows) runs in order. Rows arrive sorted by ``key`` within the
+    partition, possibly split over several Arrow batches: a file's rows may span
+    batches, so writers stay open across them and close when the key changes."""
+    for pdf in batches:
+        if pdf.empty:
+            continue
+        keys = pdf[key].tolist()
+        start = 0
+        for i in range(1, len(keys) + 1):
+            if i == len(keys) or keys[i] != keys[start]:
+                yield keys[start], pdf.iloc[start:i]
+                start = i
+
+
+def _stream_files(df: DataFrame, key: str, order: list[str], open_file, schema: str = "file string, n long") -> None:
+    """Write one file per ``key`` value with bounded memory: ``open_file(key) -> writer``
+    with ``add(rows)`` and ``close() -> n``."""
+
+    def write(it):
+        current, writer = None, None
+        for k, rows in _runs(it, key):
+            if k != current:
+                if writer is not None:
+                    yield pd.DataFrame({"file": [str(current)], "n": [writer.close()]})
+                current, writer = k, open_file(k)
+            writer.add(rows)
+        if writer is not None:
+            yield pd.DataFrame({"file": [str(current)], "n": [writer.close()]})
+
+    _run(df.repartition(key).sortWithinPartitions(key, *order).mapInPandas(write, schema))
+
+
 # ------------------------------------------------------------------ zip archives of CSV members
+class _ArchiveWriter:
+    def __init__(self, path: str):
+        self.out = _open_out(path)
+        self.zip = zipfile.ZipFile(self.out, "w", zipfile.ZIP_DEFLATED)
+        self.member, self.stream, self.n = None, None, 0
+
+    def add(self, rows) -> None:
+        for member, part in rows.groupby("member", sort=False):
+            if member != self.member:
+                if self.stream is not None:
+                    self.stream.close()
+                self.member, self.stream = member, self.zip.open(member, "w")
+                text = io.StringIO()
+                csv.writer(text, delimiter=part["sep"].iloc[0], lineterminator="\n").writerow(list(part["header"].iloc[0]))
+                self.stream.write(text.getvalue().encode("utf-8"))
+            text = io.StringIO()
+            w = csv.writer(text, delimiter=part["sep"].iloc[0], lineterminator="\n")
+            for fields in part["fields"]:
+                w.writerow(list(fields))
+            self.stream.write(text.getvalue().encode("utf-8"))
+            self.n += len(part)
+
+    def close(self) -> int:
+        if self.stream is not None:
+            self.stream.close()
+        self.zip.close()
+        self.out.close()
+        return self.n
+
+
 def write_archives(lines: DataFrame, out: str) -> None:
     """``lines(archive, member, header, sep, ord, fields array<string>)`` -> one zip per
     archive holding one CSV member per (archive, member), rows in ``ord`` order."""
-
-    def write(it):
-        for pdf in it:
-            for archive, part in pdf.groupby("archive", sort=True):
-                buf = io.BytesIO()
-                with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
-                    for member, rows in part.groupby("member", sort=True):
-                        rows = rows.sort_values("ord")
-                        text = io.StringIO()
-                        w = csv.writer(text, delimiter=rows["sep"].iloc[0], lineterminator="\n")
-                        w.writerow(list(rows["header"].iloc[0]))
-                        for fields in rows["fields"]:
-                            w.writerow(list(fields))
-                        z.writestr(member, text.getvalue())
-                _write_bytes(os.path.join(out, archive), buf.getvalue())
-                yield pd.DataFrame({"archive": [archive], "n": [len(part)]})
-
-    _run(lines.repartition("archive").mapInPandas(write, "archive string, n long"))
+    _stream_files(lines, "archive", ["member", "ord"], lambda k: _ArchiveWriter(os.path.join(out, k)))
 
 
 # ------------------------------------------------------------------ dBASE
-def dbf_bytes(fields: list[tuple[str, int]], records: list[list[str]]) -> bytes:
-    """A dBASE III table of character fields (name, width)."""
+def _dbf_header(fields: list[tuple[str, int]], n_records: int) -> bytes:
     import struct
 
     rec_len = 1 + sum(w for _, w in fields)
     header_len = 32 + 32 * len(fields) + 1
-    out = io.BytesIO()
-    out.write(struct.pack("<B3BIHH20x", 3, 125, 1, 1, len(records), header_len, rec_len))
+    head = io.BytesIO()
+    head.write(struct.pack("<B3BIHH20x", 3, 125, 1, 1, n_records, header_len, rec_len))
     for name, w in fields:
-        out.write(struct.pack("<11sc4xBB14x", name.encode("ascii"), b"C", w, 0))
-    out.write(b"\x0d")
+        head.write(struct.pack("<11sc4xBB14x", name.encode("ascii"), b"C", w, 0))
+    head.write(b"\x0d")
+    return head.getvalue()
+
+
+def _dbf_records(fields: list[tuple[str, int]], records) -> bytes:
+    out = io.BytesIO()
     for vals in records:
         out.write(b" ")
         for (_, w), v in zip(fields, vals):
             out.write((v or "").encode("utf-8").ljust(w, b" ")[:w])
-    out.write(b"\x1a")
     return out.getvalue()
 
 
+def dbf_bytes(fields: list[tuple[str, int]], records: list[list[str]]) -> bytes:
+    """A whole dBASE III table of character fields (name, width)."""
+    return _dbf_header(fields, len(records)) + _dbf_records(fields, records) + b"\x1a"
+
+
+class _DbfWriter:
+    def __init__(self, path: str, fields, n_records: int):
+        self.fields, self.names = fields, [n for n, _ in fields]
+        self.out = _open_out(path)
+        self.out.write(_dbf_header(fields, n_records))
+        self.n = 0
+        _write_bytes(path[:-4] + ".cpg", b"UTF-8")
+
+    def add(self, rows) -> None:
+        recs = [[None if v is None else str(v) for v in r] for r in rows[self.names].itertuples(index=False)]
+        self.out.write(_dbf_records(self.fields, recs))
+        self.n += len(recs)
+
+    def close(self) -> int:
+        self.out.write(b"\x1a")
+        self.out.close()
+        return self.n
+
+
 def write_dbf_files(rows: DataFrame, key: str, fields: list[tuple[str, int]], out: str) -> None:
     """One ``<key>.dbf`` (+ ``.cpg``) per key value; field values are the text columns
-    named like ``fields``, in ``ord`` order."""
-    names = [n for n, _ in fields]
+    named like ``fields``, in ``ord`` order. The record count goes in the header, so
+    the counts per file (one row per file) are computed first."""
+    counts = {str(r[0]): int(r[1]) for r in rows.groupBy(key).count().collect()}
+    _stream_files(rows, key, ["ord"], lambda k: _DbfWriter(os.path.join(out, f"{k}.dbf"), fields, counts[str(k)]))
 
-    def write(it):
-        for pdf in it:
-            for k, part in pdf.groupby(key, sort=True):
-                part = part.sort_values("ord")
-                recs = [[None if v is None else str(v) for v in r] for r in part[names].itertuples(index=False)]
-                _write_bytes(os.path.join(out, f"{k}.dbf"), dbf_bytes(fields, recs))
-                _write_bytes(os.path.join(out, f"{k}.cpg"), b"UTF-8")
-                yield pd.DataFrame({"file": [str(k)], "n": [len(part)]})
 
-    _run(rows.repartition(key).mapInPandas(write, "file string, n long"))
+# ------------------------------------------------------------------ JSON documents
+class _JsonListWriter:
+    """A JSON document whose one list is streamed: ``prefix`` + items + ``suffix``."""
 
+    def __init__(self, path: str, prefix: str, suffix: str, item):
+        self.out, self.suffix, self.item, self.n = _open_out(path), suffix, item, 0
+        self.out.write(prefix.encode("utf-8"))
 
-# ------------------------------------------------------------------ JSON documents
-def write_json_documents(rows: DataFrame, key: str, build, out: str, suffix: str) -> None:
-    """One JSON document per key value: ``build(key, pandas rows in ord order) -> obj``."""
+    def add(self, rows) -> None:
+        parts = []
+        for r in rows.to_dict("records"):
+            parts.append(("," if self.n else "") + json.dumps(self.item(r), ensure_ascii=False))
+            self.n += 1
+        self.out.write("".join(parts).encode("utf-8"))
 
-    def write(it):
-        for pdf in it:
-            for k, part in pdf.groupby(key, sort=True):
-                doc = build(k, part.sort_values("ord"))
-                _write_bytes(os.path.join(out, f"{k}{suffix}"), json.dumps(doc, ensure_ascii=False).encode("utf-8"))
-                yield pd.DataFrame({"file": [str(k)], "n": [len(part)]})
+    def close(self) -> int:
+        self.out.write(self.suffix.encode("utf-8"))
+        self.out.close()
+        return self.n
+
+
+def write_json_lists(rows: DataFrame, key: str, out: str, suffix: str, envelope, item) -> None:
+    """One JSON document per key value: ``envelope(key) -> (prefix, suffix)`` around
+    the streamed list of ``item(row)`` in ``ord`` order."""
+
+    def open_file(k):
+        prefix, tail = envelope(k)
+        return _JsonListWriter(os.path.join(out, f"{k}{suffix}"), prefix, tail, item)
 
-    _run(rows.repartition(key).mapInPandas(write, "file string, n long"))
+    _stream_files(rows, key, ["ord"], open_file)
 
 
 def text_fields(*cols) -> "F.Column":
