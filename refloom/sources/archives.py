@@ -158,8 +158,8 @@ def _member_arrow_schema() -> pa.Schema:
 
 # ------------------------------------------------------------------ S1
 def archive_index(spark: SparkSession, source_dir: str, pattern: str = "*.zip") -> DataFrame:
-    """The archives of a directory (non-recursive, case-sensitive glob), sorted by
-    path, one per partition. Error when there is none."""
+    """The archives of a directory (non-recursive, case-sensitive glob), range
+    partitioned by path (contents are not read here). Error when there is none."""
     listing = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)
@@ -170,7 +170,10 @@ def archive_index(spark: SparkSession, source_dir: str, pattern: str = "*.zip")
     n = listing.count()
     if n == 0:
         raise ArchiveError(f"no zip archive found in {source_dir!r}")
-    return listing.repartitionByRange(n, "path")
+    # Listing members is cheap per archive; rows are spread per member later, so a
+    # few archives per task is fine and keeps the task count bounded.
+    parts = max(1, min(n, spark.sparkContext.defaultParallelism * 4))
+    return listing.repartitionByRange(parts, "path")
 
 
 # ------------------------------------------------------------------ S2, S3
