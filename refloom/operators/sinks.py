@@ -13,12 +13,22 @@ from refloom.operators import codes, quality
 
 
 def write_table(df: DataFrame, name: str, schema: str | None = None, path: str | None = None,
-                partition_by: str | None = None, mode: str = "overwrite") -> str:
+                partition_by: str | None = None, mode: str = "overwrite",
+                bucket_by: str | None = None, buckets: int = 64) -> str:
     """K1: create-or-replace a table (``schema.name`` in the catalog, created when
-    absent) or a parquet directory when ``path`` is given. Returns where it went."""
+    absent) or a parquet directory when ``path`` is given. Returns where it went.
+
+    ``bucket_by`` (catalog tables only) stores the rows hashed into ``buckets`` by a
+    key, e.g. a code list by ``code``: later joins on that key with a table bucketed
+    the same way need no shuffle on either side.
+    """
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(partition_by)
+    if bucket_by:
+        if path is not None:
+            raise ValueError("bucketing needs a catalog table (path writes cannot be bucketed)")
+        writer = writer.bucketBy(int(buckets), bucket_by).sortBy(bucket_by)
     if path is not None:
         target = f"{path.rstrip('/')}/{name}"
         writer.parquet(target)

@@ -138,3 +138,22 @@ def test_empty_history_fallback(spark):
     assert empty.columns == ["old_code", "new_code"] and empty.count() == 0
     rows = codes.code_mapping(cog, uu, empty, 2025).collect()
     assert {r.cog_initial for r in rows} == {"01001", "01002", "01003", "01004", "2A004", "75056", "75101"}
+
+
+def test_bucketed_tables_join_without_shuffle(spark):
+    from refloom.operators import sinks
+
+    cog, uu, _ = _frames(spark)
+    res = codes.resolve_reference(cog)
+    units = codes.urban_units(uu)
+    sinks.write_table(res, "res_b", schema="refloom_test", bucket_by="code", buckets=4)
+    sinks.write_table(units, "units_b", schema="refloom_test", bucket_by="code", buckets=4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        a, b = spark.table("refloom_test.res_b"), spark.table("refloom_test.units_b")
+        joined = a.join(b, "code")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" not in plan
+        assert joined.count() == res.join(units, "code").count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
