@@ -229,6 +229,16 @@ def best_link(
     return scored.groupBy(*keys).agg(pick.alias("b")).select(*keys, "b.link", "b.pos", "b.score", "b.year")
 
 
+def link_rejects(df: DataFrame, keys: Sequence[str], accepted_extensions: Sequence[str], link: str = "link") -> DataFrame:
+    """Quirk 16 as data: groups that have links but none with an accepted extension
+    (where the reference raises), one row per group with a reason. An aggregate."""
+    acc = L.ends_with_any(link, accepted_extensions).cast("int")
+    agg = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_links"), F.max(acc).alias("_any"))
+    return agg.filter(F.col("_any") == 0).select(
+        *keys, "n_links", F.lit("no link with an accepted extension").alias("reason")
+    )
+
+
 # ------------------------------------------------------------------ candidates
 def enumerate_urls(
     targets: DataFrame,

@@ -146,3 +146,12 @@ def test_choose_sources_per_kind(spark):
         "units": ("uu2020_2025.csv", 2025),
         "history": ("v_mvt_commune_2025.csv", 2025),
     }
+
+
+def test_link_rejects(spark):
+    df = spark.createDataFrame(
+        [("a", 0, f"{BASE}/1/page.html"), ("a", 1, f"{BASE}/1/x.pdf"), ("b", 0, f"{BASE}/2/cog2025.xls")],
+        "grp string, pos long, link string",
+    )
+    rows = LO.link_rejects(df, ["grp"], LO.KIND_EXTENSIONS["codes"]).collect()
+    assert [(r.grp, r.n_links) for r in rows] == [("a", 2)]
