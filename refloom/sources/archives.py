@@ -298,6 +298,16 @@ def read_member_rows(members: DataFrame, columns: Sequence[str], n_tasks: int |
     return rows.hint("rebalance")
 
 
+def row_counts(tables: dict[str, DataFrame]) -> DataFrame | None:
+    """Quirk 7's addition: rows per loaded table (the manifest counts files), as one
+    lazy plan: a global count per table, unioned."""
+    from functools import reduce
+
+    parts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
+             for name, df in sorted(tables.items())]
+    return reduce(DataFrame.unionByName, parts) if parts else None
+
+
 def union_columns(headers_in_order: Sequence[Sequence[str]]) -> list[str]:
     """Union of normalized headers, in order of first appearance."""
     cols: list[str] = []

@@ -31,6 +31,7 @@ def test_load_archives_end_to_end(spark):
     assert {r.table_name: r.n_files for r in manifest.collect()} == {"exports_sites": 2, "exports_supports": 1}
     assert sorted(tuple(r) for r in tables["exports_sites"].select("id", "nom").collect()) == [("1", "Alpha"), ("2", "Beta")]
     assert [tuple(r) for r in tables["exports_supports"].select("id", "hauteur").collect()] == [("10", "25")]
+    assert {r.table_name: r.n_rows for r in A.row_counts(tables).collect()} == {"exports_sites": 2, "exports_supports": 1}
 
 
 def test_union_by_name_across_archives_and_ragged_rows(spark):
