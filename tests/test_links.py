@@ -155,3 +155,12 @@ def test_link_rejects(spark):
     )
     rows = LO.link_rejects(df, ["grp"], LO.KIND_EXTENSIONS["codes"]).collect()
     assert [(r.grp, r.n_links) for r in rows] == [("a", 2)]
+
+
+def test_select_sitemaps_fallback(spark):
+    plain = spark.createDataFrame([(i, f"https://x.org/sitemap-{i}.xml") for i in range(10)], "pos long, url string")
+    assert sorted(r.pos for r in LO.select_sitemaps(plain).collect()) == [0, 1, 2, 3]
+    mixed = spark.createDataFrame(
+        [(i, f"https://x.org/{'stat' if i % 2 else 'misc'}-{i}.xml") for i in range(30)], "pos long, url string"
+    )
+    assert sorted(r.pos for r in LO.select_sitemaps(mixed).collect()) == [1, 3, 5, 7, 9, 11, 13, 15]
