@@ -344,7 +344,8 @@ KIND_RULES = {
               "year": "clamp"},
     "units": {"params": SELECT_FOR_YEAR, "tokens": KIND_TOKENS["units"], "extensions": KIND_EXTENSIONS["units"],
               "year": "target"},
-    "history": {"params": PICK_BEST, "tokens": (), "extensions": (), "year": 1943, "no_target": True},
+    "history": {"params": PICK_BEST, "tokens": (), "extensions": (), "year": 1943, "no_target": True,
+                "unfiltered_stages": (0,)},
 }
 
 
@@ -355,12 +356,19 @@ def choose_sources(df: DataFrame, target_year: int, rules: dict | None = None) -
     link, P13 keeps its keyword links (or all), then each kind is ranked with its
     own parameters (O1 / O2) and its year settled (F20 clamp, or F21 default).
     One plan for all kinds: the per-kind rules are CASE expressions, the choices
-    aggregates keyed by kind. Rows: ``(kind, link, pos, score, year, selected_year)``.
+    aggregates keyed by kind. Stages listed in a kind's ``unfiltered_stages`` skip
+    the keyword filter (the known history locations are taken as they are).
+    Rows: ``(kind, link, pos, score, year, selected_year)``.
     """
     rules = rules or KIND_RULES
     kw_map = F.create_map(*[x for k in rules for x in (F.lit(k), F.array(*[F.lit(w) for w in KIND_KEYWORDS[k]]))])
     staged = first_nonempty_stage(df, ["kind"])
-    kept = keyword_filter(staged, ["kind"], "link", F.element_at(kw_map, F.col("kind")))
+    unfiltered = F.lit(False)
+    for kind, r in rules.items():
+        for st in r.get("unfiltered_stages", ()):
+            unfiltered = unfiltered | ((F.col("kind") == kind) & (F.col("stage") == int(st)))
+    keywords = F.when(unfiltered, F.array().cast("array<string>")).otherwise(F.element_at(kw_map, F.col("kind")))
+    kept = keyword_filter(staged, ["kind"], "link", keywords)
     y = L.best_year("link")
     score = accepted = None
     for kind, r in rules.items():

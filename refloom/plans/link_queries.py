@@ -637,7 +637,8 @@ def _kind_rank_sql() -> str:
             ("kw", f"SELECT * FROM (VALUES {_KW_VALUES}) t(kind, word)"),
             ("src", f"SELECT {_KIND.replace('grp', 'grp')} AS kind, {_STAGE_BY_NAME} AS stage, pos, link FROM links"),
             ("staged", "SELECT * FROM (SELECT *, min(stage) OVER (PARTITION BY kind) AS s0 FROM src) WHERE stage = s0"),
-            ("flagged", """SELECT s.*, EXISTS (SELECT 1 FROM kw WHERE kw.kind = s.kind AND contains(lower(s.link), kw.word)) AS hit
+            ("flagged", """SELECT s.*, NOT (s.kind = 'history' AND s.stage = 0)
+                                  AND EXISTS (SELECT 1 FROM kw WHERE kw.kind = s.kind AND contains(lower(s.link), kw.word)) AS hit
                            FROM staged s"""),
             ("kept", f"""SELECT kind, pos, link, list_max({_YEARS}) AS y FROM (
                            SELECT *, max(hit) OVER (PARTITION BY kind) AS any_hit FROM flagged) WHERE hit OR NOT any_hit"""),

@@ -164,3 +164,14 @@ def test_select_sitemaps_fallback(spark):
         [(i, f"https://x.org/{'stat' if i % 2 else 'misc'}-{i}.xml") for i in range(30)], "pos long, url string"
     )
     assert sorted(r.pos for r in LO.select_sitemaps(mixed).collect()) == [1, 3, 5, 7, 9, 11, 13, 15]
+
+
+def test_known_history_links_skip_keyword_filter(spark):
+    rows = [
+        ("history", 0, 0, f"{BASE}/8377162/v_mouv_commune_2025.csv"),
+        ("history", 0, 1, f"{BASE}/8377162/v_commune_depuis_1943.dbf"),
+    ]
+    df = spark.createDataFrame(rows, "kind string, stage int, pos long, link string")
+    got = LO.choose_sources(df, 2025).first()
+    # both known links stay candidates; the csv wins on the extension weight
+    assert got.link.endswith("v_mouv_commune_2025.csv") and got.selected_year == 2025
