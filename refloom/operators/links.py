@@ -338,52 +338,77 @@ def sitemap_pages(selected: DataFrame, locs: DataFrame, max_pages: int = 12,
 
 
 # ------------------------------------------------------------------ X4
-# How each source kind is ranked and how its year is settled.
-KIND_RULES = {
-    "codes": {"params": SELECT_FOR_YEAR, "tokens": KIND_TOKENS["codes"], "extensions": KIND_EXTENSIONS["codes"],
-              "year": "clamp"},
-    "units": {"params": SELECT_FOR_YEAR, "tokens": KIND_TOKENS["units"], "extensions": KIND_EXTENSIONS["units"],
-              "year": "target"},
-    "history": {"params": PICK_BEST, "tokens": (), "extensions": (), "year": 1943, "no_target": True,
-                "unfiltered_stages": (0,)},
-}
+# How each source kind and stage is filtered, ranked and dated.
+# Stages per kind, in the order they are tried:
+#   codes:   0 info page, 1 endpoint probe, 2 known locations, 3 search for t, 4 search for t-1
+#   units:   0 info page, 1 endpoint probe, 2..5 the four search queries
+#   history: 0 known locations, 1 search
+# "target" is the target year's offset (None: no target year); "year" is how the chosen
+# link's year is settled: "clamp" (F20), "target" (default to the stage's target, F21) or a
+# fixed default year; "keywords" None means the stage is not keyword-filtered.
+SOURCE_RULES = (
+    {"kind": "codes", "stages": (0, 2), "params": SELECT_FOR_YEAR, "tokens": KIND_TOKENS["codes"],
+     "extensions": KIND_EXTENSIONS["codes"], "keywords": KIND_KEYWORDS["codes"], "target": 0, "year": "clamp"},
+    {"kind": "codes", "stages": (3, 3), "params": PICK_BEST, "tokens": (), "extensions": (),
+     "keywords": KIND_KEYWORDS["codes"], "target": 0, "year": "target"},
+    {"kind": "codes", "stages": (4, 4), "params": PICK_BEST, "tokens": (), "extensions": (),
+     "keywords": KIND_KEYWORDS["codes"], "target": -1, "year": "target"},
+    {"kind": "units", "stages": (0, 1), "params": SELECT_FOR_YEAR, "tokens": KIND_TOKENS["units"],
+     "extensions": KIND_EXTENSIONS["units"], "keywords": KIND_KEYWORDS["units"], "target": 0, "year": "target"},
+    {"kind": "units", "stages": (2, 5), "params": PICK_BEST, "tokens": (), "extensions": (),
+     "keywords": KIND_KEYWORDS["units_search"], "target": 0, "year": "target"},
+    {"kind": "history", "stages": (0, 0), "params": PICK_BEST, "tokens": (), "extensions": (),
+     "keywords": None, "target": None, "year": 1943},
+    {"kind": "history", "stages": (1, 1), "params": PICK_BEST, "tokens": (), "extensions": (),
+     "keywords": KIND_KEYWORDS["history"], "target": None, "year": 1943},
+)
+
+
+def _by_rule(rules, value_of, default=None) -> Column:
+    out = None
+    for r in rules:
+        lo, hi = r["stages"]
+        cond = (F.col("kind") == r["kind"]) & F.col("stage").between(lo, hi)
+        v = value_of(r)
+        out = F.when(cond, v) if out is None else out.when(cond, v)
+    return out.otherwise(default) if default is not None else out
 
 
-def choose_sources(df: DataFrame, target_year: int, rules: dict | None = None) -> DataFrame:
+def choose_sources(df: DataFrame, target_year: int, rules=SOURCE_RULES) -> DataFrame:
     """Per source kind, the file to use.
 
     Rows ``(kind, stage, pos, link)``: U6 keeps each kind's first stage that has any
-    link, P13 keeps its keyword links (or all), then each kind is ranked with its
-    own parameters (O1 / O2) and its year settled (F20 clamp, or F21 default).
-    One plan for all kinds: the per-kind rules are CASE expressions, the choices
-    aggregates keyed by kind. Stages listed in a kind's ``unfiltered_stages`` skip
-    the keyword filter (the known history locations are taken as they are).
-    Rows: ``(kind, link, pos, score, year, selected_year)``.
+    link; P13 keeps that stage's keyword links (or all of them); each (kind, stage)
+    is ranked with its own parameters (O1 for the direct stages, O2 for searches)
+    and its year settled (F20 clamp, or F21 default). One plan for all kinds: the
+    rules are CASE expressions over (kind, stage), the choices aggregates keyed by
+    kind. Rows: ``(kind, stage, link, pos, score, year, selected_year)``.
     """
-    rules = rules or KIND_RULES
-    kw_map = F.create_map(*[x for k in rules for x in (F.lit(k), F.array(*[F.lit(w) for w in KIND_KEYWORDS[k]]))])
+    t = int(target_year)
     staged = first_nonempty_stage(df, ["kind"])
-    unfiltered = F.lit(False)
-    for kind, r in rules.items():
-        for st in r.get("unfiltered_stages", ()):
-            unfiltered = unfiltered | ((F.col("kind") == kind) & (F.col("stage") == int(st)))
-    keywords = F.when(unfiltered, F.array().cast("array<string>")).otherwise(F.element_at(kw_map, F.col("kind")))
+    empty = F.array().cast("array<string>")
+    keywords = _by_rule(
+        rules, lambda r: F.array(*[F.lit(w) for w in r["keywords"]]) if r["keywords"] else empty, empty
+    )
     kept = keyword_filter(staged, ["kind"], "link", keywords)
     y = L.best_year("link")
-    score = accepted = None
-    for kind, r in rules.items():
-        s = L.link_score(F.col("link"), None if r.get("no_target") else target_year,
-                         preferred_tokens=r["tokens"], year=y, **r["params"])
-        a = L.ends_with_any("link", r["extensions"])
-        score = F.when(F.col("kind") == kind, s) if score is None else score.when(F.col("kind") == kind, s)
-        accepted = F.when(F.col("kind") == kind, a) if accepted is None else accepted.when(F.col("kind") == kind, a)
-    scored = kept.filter(accepted.otherwise(False)).withColumn("year", y).withColumn("score", score)
+    score = _by_rule(
+        rules,
+        lambda r: L.link_score(F.col("link"), None if r["target"] is None else t + r["target"],
+                               preferred_tokens=r["tokens"], year=y, **r["params"]),
+    )
+    accepted = _by_rule(rules, lambda r: L.ends_with_any("link", r["extensions"]), F.lit(False))
+    scored = kept.filter(accepted).withColumn("year", y).withColumn("score", score)
     order = F.struct(F.col("score"), (-F.col("pos")).alias("neg_pos"))
-    best = scored.groupBy("kind").agg(F.max_by(F.struct("link", "pos", "score", "year"), order).alias("b"))
-    selected = None
-    for kind, r in rules.items():
+    best = scored.groupBy("kind").agg(F.max_by(F.struct("stage", "link", "pos", "score", "year"), order).alias("b"))
+    chosen = best.select("kind", "b.stage", "b.link", "b.pos", "b.score", "b.year")
+
+    def settle(r):
         rule = r["year"]
-        v = (L.clamp_year("b.year", target_year) if rule == "clamp"
-             else L.default_year("b.year", target_year if rule == "target" else int(rule)))
-        selected = F.when(F.col("kind") == kind, v) if selected is None else selected.when(F.col("kind") == kind, v)
-    return best.select("kind", "b.link", "b.pos", "b.score", "b.year", selected.alias("selected_year"))
+        if rule == "clamp":
+            return L.clamp_year("year", t + (r["target"] or 0))
+        if rule == "target":
+            return L.default_year("year", t + (r["target"] or 0))
+        return L.default_year("year", int(rule))
+
+    return chosen.withColumn("selected_year", _by_rule(rules, settle))

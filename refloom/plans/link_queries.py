@@ -613,34 +613,50 @@ def _source_rows(spark, sf):
 
 
 def _kind_rank_sql() -> str:
+    """Per (kind, stage) ranking, restated from the rule table."""
     parts = []
-    for kind in ("codes", "units", "history"):
-        r = LO.KIND_RULES[kind]
+    for r in LO.SOURCE_RULES:
         p = r["params"]
+        target = None if r["target"] is None else TARGET + r["target"]
         score = _score_sql(p["extension_weights"], p["target_bonus"], p["previous_bonus"], p["older_base"],
-                           p["future_base"], r["tokens"], target=None if r.get("no_target") else TARGET)
+                           p["future_base"], r["tokens"], target=target)
         acc = " OR ".join(f"lower(link) LIKE '%{e}'" for e in r["extensions"]) or "TRUE"
-        parts.append(f"SELECT kind, pos, link, y AS year, {score} AS score FROM kept WHERE kind = {sq(kind)} AND ({acc})")
+        if r["year"] == "clamp":
+            sel = f"greatest(least(coalesce(y, {target}), {target}), {target - 1})"
+        elif r["year"] == "target":
+            sel = f"coalesce(y, {target})"
+        else:
+            sel = f"coalesce(y, {int(r['year'])})"
+        lo, hi = r["stages"]
+        parts.append(
+            f"SELECT kind, stage, pos, link, y AS year, {score} AS score, {sel} AS selected_year FROM kept "
+            f"WHERE kind = {sq(r['kind'])} AND stage BETWEEN {lo} AND {hi} AND ({acc})"
+        )
     return " UNION ALL ".join(parts)
 
 
+def _kw_rows() -> str:
+    rows = []
+    for r in LO.SOURCE_RULES:
+        for w in r["keywords"] or ():
+            rows.append(f"({sq(r['kind'])}, {r['stages'][0]}, {r['stages'][1]}, {sq(w)})")
+    return ", ".join(rows)
+
+
 @query(
     "source_choice",
     with_views(
         ("links",),
-        f"""SELECT kind, link, pos, score, year,
-                   CASE kind WHEN 'codes' THEN greatest(least(coalesce(year, {TARGET}), {TARGET}), {TARGET - 1})
-                             WHEN 'units' THEN coalesce(year, {TARGET}) ELSE coalesce(year, 1943) END AS selected_year
-            FROM (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY score DESC, pos) AS rn FROM ranked)
-            WHERE rn = 1""",
+        """SELECT kind, stage, link, pos, score, year, selected_year
+           FROM ranked QUALIFY row_number() OVER (PARTITION BY kind ORDER BY score DESC, pos) = 1""",
         extra=(
-            ("kw", f"SELECT * FROM (VALUES {_KW_VALUES}) t(kind, word)"),
-            ("src", f"SELECT {_KIND.replace('grp', 'grp')} AS kind, {_STAGE_BY_NAME} AS stage, pos, link FROM links"),
+            ("kw", f"SELECT * FROM (VALUES {_kw_rows()}) t(kind, lo, hi, word)"),
+            ("src", f"SELECT {_KIND} AS kind, {_STAGE_BY_NAME} AS stage, pos, link FROM links"),
             ("staged", "SELECT * FROM (SELECT *, min(stage) OVER (PARTITION BY kind) AS s0 FROM src) WHERE stage = s0"),
-            ("flagged", """SELECT s.*, NOT (s.kind = 'history' AND s.stage = 0)
-                                  AND EXISTS (SELECT 1 FROM kw WHERE kw.kind = s.kind AND contains(lower(s.link), kw.word)) AS hit
+            ("flagged", """SELECT s.*, EXISTS (SELECT 1 FROM kw WHERE kw.kind = s.kind AND s.stage BETWEEN kw.lo AND kw.hi
+                                               AND contains(lower(s.link), kw.word)) AS hit
                            FROM staged s"""),
-            ("kept", f"""SELECT kind, pos, link, list_max({_YEARS}) AS y FROM (
+            ("kept", f"""SELECT kind, stage, pos, link, list_max({_YEARS}) AS y FROM (
                            SELECT *, max(hit) OVER (PARTITION BY kind) AS any_hit FROM flagged) WHERE hit OR NOT any_hit"""),
             ("ranked", _kind_rank_sql()),
         ),
