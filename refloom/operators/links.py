@@ -192,6 +192,51 @@ def first_nonempty_stage(df: DataFrame, keys: Sequence[str], stage: str = "stage
     return df.join(best, list(keys)).filter(F.col(stage) == F.col("_first_stage")).drop("_first_stage")
 
 
+def collect_candidates(
+    pages: DataFrame,
+    keywords_by_query: dict[str, Sequence[str]] | None = None,
+    relevance_stage: int = 3,
+    self_link_stages: Sequence[int] = (2, 3),
+    **candidate_kw,
+) -> DataFrame:
+    """U6 + U4 (+P16) for search queries: pages ``(query, stage, page_pos, page_url,
+    html)`` fetched per stage (0 search page, 1 result pages, 2 web results, 3
+    sitemap pages) -> per query, the candidate links of the first stage that yields
+    any, first-seen over (page_pos, link position). On ``self_link_stages`` a page
+    URL that is itself a file link comes first; on ``relevance_stage`` the page
+    relevance filter (P16) applies with the query's keywords.
+
+    Rows ``(query, stage, pos, link)``; all decisions are per page row or
+    aggregates per query.
+    """
+    file_path = candidate_kw.get("file_path", L.FILE_PATH)
+    arr = candidate_link_array("html", **candidate_kw)
+    is_self = F.col("stage").isin(*[int(x) for x in self_link_stages]) & F.lower("page_url").contains(file_path.lower())
+    links = F.when(is_self, F.concat(F.array(F.col("page_url")), arr)).otherwise(arr)
+    plain = pages.filter(F.col("stage") != relevance_stage).select(
+        "query", "stage", "page_pos", F.posexplode(links).alias("link_pos", "link")
+    )
+    parts = [plain]
+    for q, words in (keywords_by_query or {}).items():
+        rel = pages.filter((F.col("stage") == relevance_stage) & (F.col("query") == q)).withColumn("_links", links)
+        picked = page_relevance(rel, ["query", "stage", "page_pos"], "html", F.col("_links"), list(words))
+        parts.append(picked.withColumnRenamed("pos", "link_pos"))
+    if not keywords_by_query:
+        parts.append(
+            pages.filter(F.col("stage") == relevance_stage).select(
+                "query", "stage", "page_pos", F.posexplode(links).alias("link_pos", "link")
+            )
+        )
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p)
+    first = first_nonempty_stage(rows, ["query"])
+    ordered = first.withColumn("_ord", F.struct("page_pos", "link_pos"))
+    firsts = ordered.groupBy("query", "stage", "link").agg(F.min("_ord").alias("_ord"))
+    return firsts.select("query", "stage", "link", F.col("_ord.page_pos").alias("page_pos"),
+                         F.col("_ord.link_pos").alias("link_pos"))
+
+
 # ------------------------------------------------------------------ ranking
 def score_links(
     df: DataFrame,
