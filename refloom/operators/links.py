@@ -163,10 +163,26 @@ def _contains_any_of(text: Column, words: Sequence[str]) -> Column:
     return text.rlike("|".join(re.escape(w) for w in words))
 
 
-def page_relevance(pages: DataFrame, keep: Sequence[str], html: str, links: Column, keywords: Sequence[str]) -> DataFrame:
+def _keyword_test(text: Column, keywords, key: Column | None) -> Column:
+    """Any keyword contained in ``text``: one regex test; with keywords per key
+    value, one CASE branch per key (only the matching branch runs)."""
+    if isinstance(keywords, dict):
+        out = None
+        for k, words in keywords.items():
+            test = _contains_any_of(text, list(words)) if words else F.lit(False)
+            out = F.when(key == F.lit(k), test) if out is None else out.when(key == F.lit(k), test)
+        return F.lit(False) if out is None else out.otherwise(F.lit(False))
+    return _contains_any_of(text, list(keywords)) if keywords else F.lit(False)
+
+
+def page_relevance(pages: DataFrame, keep: Sequence[str], html: str, links: Column, keywords,
+                   keyword_key: str | None = None) -> DataFrame:
     """Per page, keep its links where a keyword is in the folded link or in the
     folded page text; when none is kept (or there are no keywords), keep all.
 
+    ``keywords`` is a list, or a dict of lists keyed by the value of column
+    ``keyword_key`` (e.g. one list per search query).
+
     The group is one page, so the decision is made inside the page's row (no
     shuffle). Keywords are space-free tokens and ``fold(a + ' ' + b)`` equals
     ``fold(a) + ' ' + fold(b)``, so "some link of the page hits" is tested on one
@@ -175,14 +191,22 @@ def page_relevance(pages: DataFrame, keep: Sequence[str], html: str, links: Colu
     pushing a second evaluation of the link array below the scan.
     Rows: ``(keep…, pos, link)`` with ``pos`` the link's position in ``links``.
     """
-    words = list(keywords)
-    if not words:
+    key = F.col(keyword_key) if keyword_key else None
+    no_words = (not keywords) or (isinstance(keywords, dict) and not any(keywords.values()))
+    if no_words:
         return pages.select(*keep, F.posexplode(links).alias("pos", "link"))
-    page_hit = _contains_any_of(fold(F.col(html)), words)
-    any_link_hit = _contains_any_of(fold(F.array_join(links, " ")), words)
-    decided = pages.select(*keep, links.alias("_links"), (page_hit | ~any_link_hit).alias("_keep_all"))
-    rows = decided.select(*keep, "_keep_all", F.posexplode_outer("_links").alias("pos", "link"))
-    keep_row = F.col("link").isNotNull() & (F.col("_keep_all") | _contains_any_of(fold(F.col("link")), words))
+    page_hit = _keyword_test(fold(F.col(html)), keywords, key)
+    any_link_hit = _keyword_test(fold(F.array_join(links, " ")), keywords, key)
+    has_words = F.lit(True) if not isinstance(keywords, dict) else F.coalesce(
+        key.isin(*[k for k, w in keywords.items() if w]), F.lit(False)
+    )
+    extra = [keyword_key] if keyword_key and keyword_key not in keep else []
+    decided = pages.select(
+        *keep, *extra, links.alias("_links"), (page_hit | ~any_link_hit | ~has_words).alias("_keep_all")
+    )
+    rows = decided.select(*keep, *extra, "_keep_all", F.posexplode_outer("_links").alias("pos", "link"))
+    link_hit = _keyword_test(fold(F.col("link")), keywords, key)
+    keep_row = F.col("link").isNotNull() & (F.col("_keep_all") | link_hit)
     return rows.filter(keep_row).select(*keep, "pos", "link")
 
 
@@ -216,21 +240,11 @@ def collect_candidates(
     plain = pages.filter(F.col("stage") != relevance_stage).select(
         "query", "stage", "page_pos", F.posexplode(links).alias("link_pos", "link")
     )
-    parts = [plain]
-    for q, words in (keywords_by_query or {}).items():
-        rel = pages.filter((F.col("stage") == relevance_stage) & (F.col("query") == q)).withColumn("_links", links)
-        picked = page_relevance(rel, ["query", "stage", "page_pos"], "html", F.col("_links"), list(words))
-        parts.append(picked.withColumnRenamed("pos", "link_pos"))
-    if not keywords_by_query:
-        parts.append(
-            pages.filter(F.col("stage") == relevance_stage).select(
-                "query", "stage", "page_pos", F.posexplode(links).alias("link_pos", "link")
-            )
-        )
-    rows = parts[0]
-    for p in parts[1:]:
-        rows = rows.unionByName(p)
-    first = first_nonempty_stage(rows, ["query"])
+    relevant = page_relevance(
+        pages.filter(F.col("stage") == relevance_stage).withColumn("_links", links),
+        ["query", "stage", "page_pos"], "html", F.col("_links"), dict(keywords_by_query or {}), keyword_key="query",
+    ).withColumnRenamed("pos", "link_pos")
+    first = first_nonempty_stage(plain.unionByName(relevant), ["query"])
     ordered = first.withColumn("_ord", F.struct("page_pos", "link_pos"))
     firsts = ordered.groupBy("query", "stage", "link").agg(F.min("_ord").alias("_ord"))
     return firsts.select("query", "stage", "link", F.col("_ord.page_pos").alias("page_pos"),
