@@ -346,3 +346,21 @@ def load_archives(spark: SparkSession, source_dir: str) -> tuple[dict[str, DataF
         cols = union_columns([r["header"] or [] for r in ordered])
         tables[name] = read_member_rows(members.filter(F.col("table_name") == name), cols)
     return tables, manifest
+
+
+def store_archives(spark: SparkSession, source_dir: str, schema: str = "anfr", path: str | None = None) -> DataFrame:
+    """X2 + K1: load the archives and store every logical table as ``schema.table``
+    (or under ``path``); returns the manifest ``(table_name, n_files, n_archives,
+    n_rows)`` with qualified names. Rows are counted from the stored tables."""
+    from refloom.operators.sinks import write_table
+
+    tables, manifest = load_archives(spark, source_dir)
+    stored = {}
+    for name, df in sorted(tables.items()):
+        where = write_table(df, name, schema=None if path else schema, path=path)
+        stored[name] = spark.read.parquet(where) if path else spark.table(where)
+    counts = row_counts(stored)
+    qualified = F.concat(F.lit(f"{schema}."), F.col("table_name"))
+    return manifest.join(counts, "table_name").select(
+        qualified.alias("table_name"), "n_files", "n_archives", "n_rows"
+    )
