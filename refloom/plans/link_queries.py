@@ -665,3 +665,18 @@ def _kw_rows() -> str:
 )
 def source_choice(spark, sf):
     return LO.choose_sources(_source_rows(spark, sf), TARGET)
+
+
+@query(
+    "link_rejects",
+    with_views(
+        ("links",),
+        f"""SELECT grp, year, count(*) AS n_links, 'no link with an accepted extension' AS reason
+            FROM (SELECT grp, link, list_max({_YEARS}) AS year FROM links)
+            GROUP BY grp, year HAVING NOT bool_or(lower(link) LIKE '%.csv')""",
+    ),
+    "Quirk 16: reject rows per group without an accepted link",
+)
+def link_rejects(spark, sf):
+    keyed = B.links(spark, sf).withColumn("year", L.best_year("link"))
+    return LO.link_rejects(keyed, ["grp", "year"], (".csv",))
