@@ -450,14 +450,15 @@ def choose_sources(df: DataFrame, target_year: int, rules=SOURCE_RULES) -> DataF
         rules, lambda r: F.array(*[F.lit(w) for w in r["keywords"]]) if r["keywords"] else empty, empty
     )
     kept = keyword_filter(staged, ["kind"], "link", keywords)
-    y = L.best_year("link")
+    accepted = _by_rule(rules, lambda r: L.ends_with_any("link", r["extensions"]), F.lit(False))
+    # the year is computed once per row; every rule's score reads the column
+    dated = kept.filter(accepted).withColumn("year", L.best_year("link"))
     score = _by_rule(
         rules,
         lambda r: L.link_score(F.col("link"), None if r["target"] is None else t + r["target"],
-                               preferred_tokens=r["tokens"], year=y, **r["params"]),
+                               preferred_tokens=r["tokens"], year=F.col("year"), **r["params"]),
     )
-    accepted = _by_rule(rules, lambda r: L.ends_with_any("link", r["extensions"]), F.lit(False))
-    scored = kept.filter(accepted).withColumn("year", y).withColumn("score", score)
+    scored = dated.withColumn("score", score)
     order = F.struct(F.col("score"), (-F.col("pos")).alias("neg_pos"))
     best = scored.groupBy("kind").agg(F.max_by(F.struct("stage", "link", "pos", "score", "year"), order).alias("b"))
     chosen = best.select("kind", "b.stage", "b.link", "b.pos", "b.score", "b.year")
