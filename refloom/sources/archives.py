@@ -364,3 +364,29 @@ def store_archives(spark: SparkSession, source_dir: str, schema: str = "anfr", p
     return manifest.join(counts, "table_name").select(
         qualified.alias("table_name"), "n_files", "n_archives", "n_rows"
     )
+
+
+def _sniff_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    schema = pa.schema([("path", pa.string()), ("looks_html", pa.bool_()), ("error", pa.string())])
+    for batch in batches:
+        paths, flags, errors = [], [], []
+        for path in batch.column("path").to_pylist():
+            try:
+                with _open_path(path) as fh:
+                    flags.append(_looks_html(fh.read(SNIFF_BYTES)))
+                errors.append(None)
+            except Exception as e:  # noqa: BLE001 - an unreadable file is reported
+                flags.append(None)
+                errors.append(f"{type(e).__name__}: {e}")
+            paths.append(path)
+        yield pa.RecordBatch.from_pydict({"path": paths, "looks_html": flags, "error": errors}, schema=schema)
+
+
+def html_gate_files(spark: SparkSession, source: str, pattern: str = "*") -> DataFrame:
+    """K5 for downloaded files: ``(path, looks_html, error)`` per file. Only the first
+    4096 bytes of each file are read (in tasks, by path); contents never reach the JVM."""
+    ship_package(spark)
+    listing = (
+        spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(source).select("path")
+    )
+    return listing.mapInArrow(_sniff_batches, "path string, looks_html boolean, error string")
