@@ -157,3 +157,17 @@ def test_bucketed_tables_join_without_shuffle(spark):
         assert joined.count() == res.join(units, "code").count()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_write_table_partitioned_by_year(spark):
+    import tempfile
+
+    from refloom.operators import sinks
+
+    cog, uu, hist = _frames(spark)
+    out = tempfile.mkdtemp(prefix="refloom-k2-")
+    m = codes.code_mapping(cog, uu, hist, 2025)
+    where = sinks.write_table(m, codes.mapping_table_name(2025), path=out, partition_by="target_year")
+    assert where.endswith("cog_tuu_tduu_2025")
+    back = spark.read.parquet(where)
+    assert back.filter("target_year = 2025").count() == 16

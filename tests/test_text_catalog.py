@@ -90,3 +90,10 @@ def test_missing_url_rejects(spark):
     ok, rejects = catalog.split_missing_url(res)
     assert sorted(r.title for r in ok.collect()) == ["a", "b"]
     assert [r.reason for r in rejects.collect()] == ["resource '<untitled>' has no URL"]
+
+
+def test_ordered_listing_missing_title_first(spark):
+    res = spark.createDataFrame(
+        [(2, "Table de références 2026"), (0, None), (1, "Annexe"), (3, "Annexe")], "pos long, title string"
+    )
+    assert [r.pos for r in catalog.ordered_listing(res).collect()] == [0, 1, 3, 2]
