@@ -171,3 +171,19 @@ def catalog_json_load(spark, sf):
     return read_catalog(spark, out).select(
         "query_pos", "item_pos", "id", "slug", "page", "title", "description", "n_resources"
     )
+
+
+@query(
+    "dbf_urban_units",
+    f"""SELECT CODE AS code, TUU AS tuu, TDUU AS tduu FROM (
+          SELECT {CODE('p_partkey')} AS CODE, CAST(p_size % 9 AS VARCHAR) AS TUU, p_brand AS TDUU FROM part)
+        WHERE regexp_full_match(CODE, '^[0-9]{{5}}$|^2[AB][0-9]{{3}}$')
+        GROUP BY ALL""",
+    "S6 + P1 + P4 + A3: urban units read from dBASE files",
+)
+def dbf_urban_units(spark, sf):
+    from refloom.operators import codes
+
+    out = FF.scratch_dir(spark, "dbf-units")
+    FF.write_dbf_files(_units_rows(spark, sf), "file", [("CODGEO", 8), ("TUU2020", 2), ("LIBUU2020", 12)], out)
+    return codes.urban_units(read_dbf(spark, out))
