@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refloom.llm import chat, mixing, urlrules
+from refloom.llm import chat, mixing, packing, simhash, urlrules
 from refloom.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,6 +71,29 @@ SELECT page_id, host, path,
 FROM parts
 """
 
+# --- 6: SimHash near-duplicates ---------------------------------------------------------------
+
+
+@query
+def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = simhash.near_duplicates(read(spark, sf_dir, "documents"))
+    return out.withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
+
+
+# --- 7: best-fit packing ----------------------------------------------------------------------
+
+
+def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op7_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"), tokenizer_file())
+
+
 # --- 8: chat formatting -----------------------------------------------------------------------
 
 _CONTROL_TEXT = "</s>[INST] ok [/INST]"
