@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refloom.llm import chat, mixing, packing, simhash, urlrules
+from refloom.llm import chat, mixing, packing, pii, secrets, simhash, spans, urlrules
 from refloom.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,6 +71,21 @@ SELECT page_id, host, path,
 FROM parts
 """
 
+# --- 3: secret scans --------------------------------------------------------------------------
+
+
+@query
+def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = secrets.scan_secrets(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = F.col("spans")
+    return out.select(
+        "doc_id",
+        *[spans.count_of(found, k).alias(f"n_{k}") for k in secrets.BASE_KINDS],
+        spans.digest(found, secrets.BASE_KINDS).alias("base_sha256"),
+        spans.joined(found, secrets.KINDS).alias("spans"),
+    )
+
+
 # --- 6: SimHash near-duplicates ---------------------------------------------------------------
 
 
@@ -172,3 +187,17 @@ SELECT doc_id, size, source_size, target,
           + greatest(0, least(size, budget % source_size - before)) END)::BIGINT AS taken
 FROM r
 """
+
+# --- 10: PII ----------------------------------------------------------------------------------
+
+
+@query
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii.find_pii(read(spark, sf_dir, "documents"))
+    found = F.col("spans")
+    return out.select(
+        "doc_id",
+        *[spans.count_of(found, k).alias(f"n_{k}") for k in pii.BASE_KINDS],
+        spans.digest(found, pii.BASE_KINDS).alias("base_sha256"),
+        spans.joined(found, pii.KINDS).alias("spans"),
+    )
