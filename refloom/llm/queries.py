@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refloom.llm import chat, mixing, packing, pii, secrets, simhash, spans, urlrules
+from refloom.llm import chat, minhash, mixing, packing, pii, secrets, simhash, spans, urlrules
 from refloom.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,6 +86,14 @@ def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- 4: document fingerprints -----------------------------------------------------------------
+
+
+@query
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.successor_likeness(read(spark, sf_dir, "documents"))
+
+
 # --- 6: SimHash near-duplicates ---------------------------------------------------------------
 
 
