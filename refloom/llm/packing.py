@@ -12,8 +12,9 @@ from __future__ import annotations
 import bisect
 import math
 import re
+import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -29,24 +30,61 @@ from refloom.session import cut_lineage
 # --- tokens -----------------------------------------------------------------------------------
 
 
+class Recent(dict):
+    """A dictionary that ``make`` fills and that forgets what was not asked for lately.
+
+    Holds at most twice ``size`` entries: when it is full it becomes the old generation,
+    from which entries come back as they are asked for.
+    """
+
+    def __init__(self, size: int, make: Callable[[str], bytes]):
+        super().__init__()
+        self.size, self.make, self.old = size, make, {}
+
+    def __missing__(self, key: str) -> bytes:
+        if len(self) >= self.size:
+            self.old = dict(self)
+            self.clear()
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
+        return value
+
+
 class WordTokenizer:
     """Ids of whole texts by a tokenizers file whose words are encoded one by one.
 
     The file lower-cases, squeezes white space and splits into words, and each word's ids
-    depend on that word alone. So a word's ids are looked up once and kept. Texts with
-    characters outside a plain Latin set, whose case or class libraries may see
-    differently, and texts that may hold special tokens go to the library whole.
+    depend on that word alone. So the ids of a word, and of a run of words between white
+    space, are looked up and kept while they recur. Texts with characters outside a plain
+    Latin set, whose case or class libraries may see differently, and texts that may hold
+    special tokens go to the library whole.
     """
 
     _WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
-    _OTHER = re.compile(r"[^\t-\r -~\xa0-\xb1\xb4-\xb8\xba\xbb\xbf-įı-ɏ‐-‧]|<\|")
-    _KEPT = 400_000
+    _OTHER = re.compile(r"[^\t-\r -~\xa0-\xb1\xb4-\xb8\xba\xbb\xbf-įı-ſ‐-‧]|<\|")
+    _KEPT = 300_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.kept: dict[str, bytes] = {}
+        merge, alphabet = self.whole.model.tokenize, self._alphabet()
+
+        def word_ids(word: str) -> bytes:
+            ids = [t.id for t in merge(word.translate(alphabet))]
+            return struct.pack(f"<{len(ids)}I", *ids)
+
+        words = Recent(self._KEPT, word_ids).__getitem__
+        find = self._WORDS.findall
+        self.runs = Recent(self._KEPT, lambda run: b"".join(map(words, find(run))))
+
+    def _alphabet(self) -> dict[int, str]:
+        """How the file's pre-tokenizer spells each character of the plain set in bytes."""
+        plain = [c for c in map(chr, [*range(0x21, 0x180), *range(0x2010, 0x2028)]) if not self._OTHER.match(c) and not c.isspace()]
+        split = self.whole.pre_tokenizer.pre_tokenize_str
+        return {ord(c): split(c)[0][0] for c in plain}
 
     def _bytes(self, text: str) -> bytes:
         return np.asarray(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -55,17 +93,7 @@ class WordTokenizer:
         """The ids as little-endian unsigned 32-bit numbers."""
         if self._OTHER.search(text):
             return self._bytes(text)
-        words = self._WORDS.findall(text.lower())
-        kept = self.kept
-        try:
-            return b"".join([kept[w] for w in words])
-        except KeyError:
-            if len(kept) > self._KEPT:
-                kept.clear()
-            for w in words:
-                if w not in kept:
-                    kept[w] = self._bytes(w)
-            return b"".join([kept[w] for w in words])
+        return b"".join(map(self.runs.__getitem__, text.lower().split()))
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
