@@ -17,6 +17,7 @@ _ARROW = {
     T.DoubleType: pa.float64(),
     T.StringType: pa.string(),
     T.BooleanType: pa.bool_(),
+    T.BinaryType: pa.binary(),
 }
 
 #: Rows handled at once in a task; bounds the Python objects alive, not what is processed.

@@ -11,7 +11,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refloom.llm import chat, minhash, mixing, packing, pii, secrets, simhash, spans, urlrules
+from refloom.llm import (
+    chat,
+    minhash,
+    mixing,
+    packing,
+    pii,
+    quality_model,
+    quality_rules,
+    secrets,
+    simhash,
+    spans,
+    urlrules,
+)
 from refloom.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,6 +83,15 @@ SELECT page_id, host, path,
 FROM parts
 """
 
+# --- 2: quality rules -------------------------------------------------------------------------
+
+
+@query
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality_rules.judge(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "quality.*")
+
+
 # --- 3: secret scans --------------------------------------------------------------------------
 
 
@@ -94,6 +115,24 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.successor_likeness(read(spark, sf_dir, "documents"))
 
 
+# --- 5: quality classifier --------------------------------------------------------------------
+
+#: Documents scored at least so are predicted to be of label 1.
+GOOD_FROM = 0.3
+
+
+@query
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_model.fit(docs, read(spark, sf_dir, "labels"))
+    return quality_model.score(docs, model).select(
+        "doc_id",
+        quality_model.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= GOOD_FROM).cast("int").alias("predicted"),
+    )
+
+
 # --- 6: SimHash near-duplicates ---------------------------------------------------------------
 
 

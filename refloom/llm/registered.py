@@ -1,7 +1,10 @@
-"""What the driver entry adds: the operators' queries and, when it is there, the pipeline."""
+"""What the driver entry adds: the operators' queries and the pipeline."""
 
 from __future__ import annotations
 
-from refloom.llm.queries import QUERIES, SQL
+import corpus_pipeline
 
-__all__ = ["QUERIES", "SQL"]
+from refloom.llm import queries
+
+QUERIES = queries.QUERIES | {"pipeline": corpus_pipeline.run}
+SQL = queries.SQL | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
