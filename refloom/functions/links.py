@@ -70,22 +70,32 @@ def absolute_file_links(text: Column | str, host: str = DEFAULT_HOST, file_path:
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.\-]*:"
 
 
-def _remove_dot_segments(path: Column, passes: int = 6) -> Column:
-    """RFC 3986 dot-segment removal for paths, in a bounded number of rewrite passes
-    (each pass removes one ``seg/..`` level everywhere)."""
-    p = F.regexp_replace(path, r"/(\./)+", "/")
-    p = F.regexp_replace(p, r"/\.$", "/")
-    for _ in range(passes):
-        p = F.regexp_replace(p, r"/(?!\.\./)[^/]+/\.\./", "/")
-        p = F.regexp_replace(p, r"/(?!\.\.$)[^/]+/\.\.$", "/")
-        p = F.regexp_replace(p, r"^/\.\./", "/")
-        p = F.regexp_replace(p, r"^/\.\.$", "/")
-    return p
-
-
-def _dots(path: Column) -> Column:
-    """Dot-segment removal only where a dot segment can occur."""
-    return F.when(path.contains("/.") | path.startswith("."), _remove_dot_segments(path)).otherwise(path)
+def _remove_dot_segments(path: Column, relative: bool) -> Column:
+    """Dot-segment removal at any depth: one fold of the segments that pushes a name and
+    pops on ``..`` (above the root there is nothing to pop). Inner empty segments go where
+    a relative path was joined to a directory."""
+    ends = parts = F.split(path, "/", -1)
+    if relative:
+        n = F.size(parts)
+        inner = F.filter(F.slice(parts, 2, F.greatest(n - 2, F.lit(0))), lambda s: s != "")
+        ends = F.when(n > 1, F.concat(F.slice(parts, 1, 1), inner, F.slice(parts, -1, 1))).otherwise(parts)
+
+    def step(done: Column, s: Column) -> Column:
+        popped = F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))
+        return F.when(s == "..", popped).when(s == ".", done).otherwise(F.concat(done, F.array(s)))
+
+    kept = F.aggregate(ends, F.array().cast("array<string>"), step)
+    at_dot = F.element_at(parts, -1).isin(".", "..")
+    joined = F.array_join(F.when(at_dot, F.concat(kept, F.array(F.lit("")))).otherwise(kept), "/")
+    return F.when(joined.startswith("/"), joined).otherwise(F.concat(F.lit("/"), joined))
+
+
+def _dots(path: Column, relative: bool = False) -> Column:
+    """Segment removal only where there can be something to remove."""
+    needed = path.contains("/.")
+    if relative:
+        needed = needed | path.contains("//")
+    return F.when(needed, _remove_dot_segments(path, relative)).otherwise(path)
 
 
 def join_url(base: Column | str, link: Column | str) -> Column:
@@ -108,7 +118,7 @@ def join_url(base: Column | str, link: Column | str) -> Column:
         .when(u.startswith("/"), F.concat(authority, _dots(lpath), lrest))
         .when(u.startswith("?"), F.concat(authority, bpath, u))
         .when(u.startswith("#"), F.concat(authority, bpath, bquery, u))
-        .otherwise(F.concat(authority, _dots(rel_path), lrest))
+        .otherwise(F.concat(authority, _dots(rel_path, relative=True), lrest))
     )
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterable, Mapping, Sequence
-from functools import lru_cache, reduce
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,22 +27,23 @@ def column_key(name: str) -> str:
 
 
 def pick_column(columns: Sequence[str], candidates: Sequence[str]) -> str:
-    """First an exact match on the normalized key (candidates in order), then a
-    substring match (candidates in order, columns in order).
+    """The column with the smallest rank (how it fits, candidate, place).
 
-    Columns sharing a normalized key collapse to the last one, kept at the first
-    one's place in the scan order (dict semantics).
+    A column fits a candidate exactly (same normalized key) or loosely (its key
+    contains the candidate's); any exact fit beats every loose one. Of columns that
+    share a key the last one stands, at the place of the first.
     """
-    keyed: dict[str, str] = {}
-    for column in columns:
-        keyed[column_key(column)] = column
-    wanted = [column_key(c) for c in candidates]
-    found = next((keyed[k] for k in wanted if k in keyed), None)
-    if found is None:
-        found = next((col for k in wanted for key, col in keyed.items() if k in key), None)
-    if found is None:
-        raise RoleNotFound(f"no compatible column; available columns: {', '.join(columns)}")
-    return found
+    keys = [column_key(c) for c in columns]
+    last = dict(zip(keys, columns))
+    ranks = [
+        (0 if key == wanted else 1, nth, keys.index(key), last[key])
+        for nth, wanted in enumerate(map(column_key, candidates))
+        for key in last
+        if wanted in key
+    ]
+    if not ranks:
+        raise RoleNotFound(f"none of {list(candidates)} fits; the columns are: {', '.join(columns)}")
+    return min(ranks)[3]
 
 
 def select_roles(df: DataFrame, roles: Mapping[str, Sequence[str]]) -> DataFrame:
@@ -66,34 +67,30 @@ def has_columns(df: DataFrame, names: Iterable[str]) -> bool:
 
 
 # ---------------------------------------------------------------- P3
-@lru_cache(maxsize=1)
-def _sql_keywords() -> frozenset[str]:
-    """Words that get a leading underscore as column names.
-
-    The rule being reproduced is the embedded SQL engine's own keyword catalog
-    (every category), so the list is read from that catalog when the library is
-    importable; otherwise a short list of always-reserved words is used.
-    """
-    try:
-        import duckdb  # optional; only its keyword catalog is used
-
-        con = duckdb.connect()
-        try:
-            return frozenset(r[0].lower() for r in con.execute("SELECT keyword_name FROM duckdb_keywords()").fetchall())
-        finally:
-            con.close()
-    except Exception:  # noqa: BLE001
-        # SQL reserved words.
-        return frozenset(
-            "all analyse analyze and any array as asc asymmetric both case cast check collate column "
-            "constraint create default deferrable desc distinct do else end except false fetch for foreign "
-            "from grant group having in initially intersect into lateral leading limit not null offset on "
-            "only or order placing primary references returning select some symmetric table then to "
-            "trailing true union unique using variadic when where window with".split()
-        )
-
-
-def normalize_header(name: str, position: int) -> str:
+# SQL words that may not stand as a column name without a leading
+# underscore (the reserved ones and those that are common as column names). Other
+# words are added by the ``keywords`` parameter.
+SQL_WORDS = frozenset(
+    (
+        "access action all analyse analyze and any array as asc asymmetric attribute both case cast catalog "
+        "century check class collate column comment comments constraint content cost create csv current cycle "
+        "data database day days decade default deferrable delete desc describe dictionary distance distinct "
+        "do document domain double else end error event except extension external false family fetch filter "
+        "first for foreign from function global group groups having header hour hours identity in index "
+        "initially input intersect into key label lambda language last lateral leading left level limit local "
+        "location map mapping match method minute minutes mode month months name names new next no not null "
+        "object off offset old on only option options or order others over owner partition pivot pivot_longer "
+        "pivot_wider placing position primary prior procedure program qualify quarter range ref references "
+        "relative resource resources returning right role row rows rule sample schema scope search second "
+        "seconds select sequence server session set share show simple some source start statement statistics "
+        "storage summarize symmetric system table tables target template text then time timestamp to trailing "
+        "transaction true type types union unique unknown unpivot update user using valid value values "
+        "variadic version view week weeks when where window with work year years zone"
+    ).split()
+)
+
+
+def normalize_header(name: str, position: int, keywords: frozenset[str] = SQL_WORDS) -> str:
     """P3 for one header cell (before de-duplication)."""
     if name == "":
         return f"column{position}"
@@ -105,18 +102,18 @@ def normalize_header(name: str, position: int) -> str:
         elif ch in " \t\n\r\x0b\x0c":
             kept.append(" ")
     out = "_".join(t for t in "".join(kept).split(" ") if t)
-    if out == "" or out.lower() in _sql_keywords() or out[0].isdigit():
+    if out == "" or out.lower() in keywords or out[0].isdigit():
         out = "_" + out
     return out.lower()
 
 
-def normalize_headers(names: Sequence[str]) -> list[str]:
+def normalize_headers(names: Sequence[str], keywords: frozenset[str] = SQL_WORDS) -> list[str]:
     """Fold accents, keep ``[a-z0-9_]``, spaces to ``_``, prefix digits/keywords with
     ``_``, then make duplicates unique with ``_1``, ``_2`` … (first free suffix)."""
     out: list[str] = []
     seen: set[str] = set()
     for i, raw in enumerate(names):
-        base = normalize_header(raw, i)
+        base = normalize_header(raw, i, keywords)
         name = base
         k = 0
         while name in seen:

@@ -17,17 +17,28 @@ from refloom.sources.dbf import read_dbf
 from refloom.sources.delimited import read_tabular
 from refloom.sources.geojson import read_geojson
 
-N_ARCHIVES = 4
+# Rows whose keys are this far apart stand in different files, so files grow in number
+# with the rows.
+KEYS_A_FILE = 250
+
+
+def _block(k):
+    """Number of a row's archive: two for each block of keys, by parity of the key."""
+    return F.floor(k / KEYS_A_FILE) * 2 + k % 2
+
+
+def _BLOCK(k: str) -> str:
+    return f"({k} // {KEYS_A_FILE} * 2 + {k} % 2)"
 
 
 def _archive_dir(spark, sf) -> str:
-    """Archives ``clients-<k>.zip``: ``exports/clients.csv`` (two header layouts and
-    delimiters, by parity of k) and ``exports/fournisseurs.csv``."""
+    """Archives ``clients-<n>.zip``: ``exports/clients.csv`` (two header layouts and
+    delimiters, by parity of n) and ``exports/fournisseurs.csv``."""
     c = B.table(spark, sf, "customer")
     k = F.col("c_custkey")
     even = (k % 2) == 0
     clients = c.select(
-        F.concat(F.lit("clients-"), (k % N_ARCHIVES).cast("string"), F.lit(".zip")).alias("archive"),
+        F.concat(F.lit("clients-"), _block(k).cast("string"), F.lit(".zip")).alias("archive"),
         F.lit("exports/clients.csv").alias("member"),
         F.when(even, F.array(F.lit("ID"), F.lit("Nom"), F.lit("Segment Marché")))
         .otherwise(F.array(F.lit("nom"), F.lit("id"), F.lit("Solde"))).alias("header"),
@@ -39,7 +50,7 @@ def _archive_dir(spark, sf) -> str:
     s = B.table(spark, sf, "supplier")
     sk = F.col("s_suppkey")
     suppliers = s.select(
-        F.concat(F.lit("clients-"), (sk % N_ARCHIVES).cast("string"), F.lit(".zip")).alias("archive"),
+        F.concat(F.lit("clients-"), _block(sk).cast("string"), F.lit(".zip")).alias("archive"),
         F.lit("exports/fournisseurs.csv").alias("member"),
         F.array(F.lit("Id"), F.lit("Nom Fournisseur"), F.lit("Nation")).alias("header"),
         F.lit(";").alias("sep"),
@@ -56,7 +67,7 @@ def _archive_dir(spark, sf) -> str:
     f"""SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS nom,
                CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END AS segment_marche,
                CASE WHEN c_custkey % 2 = 1 THEN printf('%.2f', c_acctbal) END AS solde,
-               'clients-' || CAST(c_custkey % {N_ARCHIVES} AS VARCHAR) || '.zip' AS archive,
+               'clients-' || CAST({_BLOCK('c_custkey')} AS VARCHAR) || '.zip' AS archive,
                'exports/clients.csv' AS member, CAST(NULL AS VARCHAR[]) AS _extra
         FROM customer""",
     "X2 S1 S2 S5 P3 F9",
@@ -68,11 +79,11 @@ def archive_load(spark, sf):
 
 @query(
     "archive_manifest",
-    f"""SELECT 'exports_clients' AS table_name, count(DISTINCT c_custkey % {N_ARCHIVES}) AS n_files,
-               count(DISTINCT c_custkey % {N_ARCHIVES}) AS n_archives FROM customer
+    f"""SELECT 'exports_clients' AS table_name, count(DISTINCT {_BLOCK('c_custkey')}) AS n_files,
+               count(DISTINCT {_BLOCK('c_custkey')}) AS n_archives FROM customer
         UNION ALL
-        SELECT 'exports_fournisseurs', count(DISTINCT s_suppkey % {N_ARCHIVES}),
-               count(DISTINCT s_suppkey % {N_ARCHIVES}) FROM supplier""",
+        SELECT 'exports_fournisseurs', count(DISTINCT {_BLOCK('s_suppkey')}),
+               count(DISTINCT {_BLOCK('s_suppkey')}) FROM supplier""",
     "K3 A7 X2",
 )
 def archive_manifest(spark, sf):
@@ -93,14 +104,14 @@ def lenient_csv_load(spark, sf):
         F.col("p_size").alias("Taille"),
     )
     p.write.mode("overwrite").option("header", True).option("sep", ";").csv(out)
-    return read_tabular(spark, out + "/*.csv")
+    return read_tabular(spark, out + "/*.csv").drop("_extra")
 
 
 def _units_rows(spark, sf):
     p = B.table(spark, sf, "part")
     k = F.col("p_partkey")
     return p.select(
-        (k % 5).cast("string").alias("file"),
+        F.floor(k / KEYS_A_FILE).cast("string").alias("file"),
         k.alias("ord"),
         B.code_of(k).alias("CODGEO"),
         (F.col("p_size") % 9).cast("string").alias("TUU2020"),
@@ -115,7 +126,7 @@ _UNITS_SQL = f"""SELECT {CODE('p_partkey')} AS CODGEO, CAST(p_size % 9 AS VARCHA
 @query("dbf_load", _UNITS_SQL, "S6")
 def dbf_load(spark, sf):
     out = FF.scratch_dir(spark, "dbf")
-    FF.write_dbf_files(_units_rows(spark, sf), "file", [("CODGEO", 8), ("TUU2020", 2), ("LIBUU2020", 12)], out)
+    FF.write_dbf_files(_units_rows(spark, sf), "file", ["CODGEO", "TUU2020", "LIBUU2020"], out)
     return read_dbf(spark, out)
 
 
@@ -133,8 +144,8 @@ def geojson_load(spark, sf):
 
 @query(
     "catalog_json_load",
-    """SELECT CAST(doc_id % 7 AS INTEGER) AS query_pos,
-              CAST(row_number() OVER (PARTITION BY doc_id % 7 ORDER BY doc_id) - 1 AS INTEGER) AS item_pos,
+    f"""SELECT CAST(dense_rank() OVER (ORDER BY doc_id // {KEYS_A_FILE}) - 1 AS INTEGER) AS query_pos,
+              CAST(row_number() OVER (PARTITION BY doc_id // {KEYS_A_FILE} ORDER BY doc_id) - 1 AS INTEGER) AS item_pos,
               CASE WHEN doc_id % 11 = 0 THEN NULL ELSE source || '-' || lang END AS id, source AS slug,
               'p' || CAST(doc_id AS VARCHAR) AS page, lang || ' ' || CAST(doc_id AS VARCHAR) AS title,
               text AS description, CAST(doc_id % 3 AS INTEGER) AS n_resources
@@ -146,7 +157,7 @@ def catalog_json_load(spark, sf):
     d = B.table(spark, sf, "documents")
     k = F.col("doc_id")
     rows = d.select(
-        (k % 7).cast("string").alias("file"), k.alias("ord"),
+        F.lpad(F.floor(k / KEYS_A_FILE).cast("string"), 12, "0").alias("file"), k.alias("ord"),
         F.when(k % 11 == 0, F.lit(None).cast("string")).otherwise(F.concat_ws("-", "source", "lang")).alias("id"),
         F.col("source").alias("slug"), F.concat(F.lit("p"), k.cast("string")).alias("page"),
         F.concat_ws(" ", F.col("lang"), k.cast("string")).alias("title"), F.col("text").alias("description"),
@@ -185,5 +196,75 @@ def dbf_urban_units(spark, sf):
     from refloom.operators import codes
 
     out = FF.scratch_dir(spark, "dbf-units")
-    FF.write_dbf_files(_units_rows(spark, sf), "file", [("CODGEO", 8), ("TUU2020", 2), ("LIBUU2020", 12)], out)
+    FF.write_dbf_files(_units_rows(spark, sf), "file", ["CODGEO", "TUU2020", "LIBUU2020"], out)
     return codes.urban_units(read_dbf(spark, out))
+
+
+# ------------------------------------------------------------------ ragged and unreadable files
+def _quoted(c):
+    return F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+
+
+def _ragged_rows(spark, sf):
+    """Documents as records: the text quoted, every seventh row short, every fifth with surplus cells."""
+    d = B.table(spark, sf, "documents")
+    k = F.col("doc_id")
+    cells = [k.cast("string"), F.coalesce(F.col("text"), F.lit(""))]
+    return d.select(
+        F.floor(k / KEYS_A_FILE).cast("string").alias("file"), k.alias("ord"),
+        F.when(k % 7 == 0, F.array(*cells)).when(
+            k % 5 == 0, F.array(*cells, F.coalesce("lang", F.lit("")), F.lit("more"), F.lit(""), F.col("source"))
+        ).otherwise(F.array(*cells, F.coalesce("lang", F.lit("")))).alias("fields"),
+    )
+
+
+@query(
+    "ragged_csv_load",
+    """SELECT via, CAST(doc_id AS VARCHAR) AS no, nullif(text, '') AS texte,
+              CASE WHEN doc_id % 7 <> 0 THEN nullif(lang, '') END AS langue,
+              CASE WHEN doc_id % 7 <> 0 AND doc_id % 5 = 0 THEN ['more', '', source] END AS extra
+       FROM documents, (VALUES ('file'), ('zip')) v(via)""",
+    "S4 S5: quotes, line breaks, short and surplus cells, the same rows through both readers",
+)
+def ragged_csv_load(spark, sf):
+    rows = _ragged_rows(spark, sf)
+    header = F.array(F.lit("No."), F.lit("Texte"), F.lit("Langue"))
+    boxed = FF.scratch_dir(spark, "ragged-zip")
+    FF.write_archives(
+        rows.select(F.concat("file", F.lit(".zip")).alias("archive"), F.lit("t.csv").alias("member"), header.alias("header"),
+                    F.lit(";").alias("sep"), "ord", "fields"),
+        boxed,
+    )
+    plain = FF.scratch_dir(spark, "ragged-file")
+    line = F.array_join(F.transform("fields", _quoted), ";")
+    FF.write_text_files(rows.select("file", "ord", line.alias("line")), "file", "\n\nNo.;Texte;Langue\n", plain, ".csv")
+    zipped, _ = A.load_archives(spark, boxed)
+    cols = [F.col("_no").alias("no"), "texte", "langue", F.col("_extra").alias("extra")]
+    return (
+        read_tabular(spark, plain + "/*.csv").select(F.lit("file").alias("via"), *cols)
+        .unionAll(zipped["t"].select(F.lit("zip").alias("via"), *cols))
+    )
+
+
+@query(
+    "archive_rejects",
+    f"""SELECT DISTINCT {_BLOCK('c_custkey')} || '-clients.zip' AS archive, '' AS member_path,
+               CASE {_BLOCK('c_custkey')} % 3 WHEN 1 THEN 'the archive is an HTML page'
+                    ELSE 'BadZipFile: File is not a zip file' END AS reason,
+               (SELECT count(*) FROM customer WHERE {_BLOCK('c_custkey')} % 3 = 0) AS rows_loaded
+        FROM customer WHERE {_BLOCK('c_custkey')} % 3 <> 0""",
+    "S2 X2: archives that are pages or torn are named, the others load",
+)
+def archive_rejects(spark, sf):
+    k = F.col("c_custkey")
+    rows = B.table(spark, sf, "customer").select(
+        F.concat(_block(k).cast("string"), F.lit("-clients.zip")).alias("archive"), F.lit("clients.csv").alias("member"),
+        F.array(F.lit("ID"), F.lit("Nom")).alias("header"), F.lit(";").alias("sep"), k.alias("ord"),
+        FF.text_fields(k, F.col("c_name")).alias("fields"),
+    )
+    out = FF.scratch_dir(spark, "rejects")
+    FF.write_archives(rows, out, spoil=True)
+    tables, _ = A.load_archives(spark, out, strict=False)
+    loaded = tables["clients"].agg(F.count(F.lit(1)).alias("rows_loaded"))
+    rejects = A.archive_rejects(A.list_members(A.archive_index(spark, out)))
+    return rejects.select("*", loaded.scalar().alias("rows_loaded"))

@@ -32,13 +32,35 @@ def scratch_dir(spark: SparkSession, tag: str) -> str:
     return path
 
 
-def _open_out(path: str):
-    if "://" in path:
+class _Whole:
+    """A file that appears under its name only when it is complete: a task that is retried
+    or run twice writes its own copy, and the last one to finish replaces the others."""
+
+    def __init__(self, path: str):
         from pyarrow import fs
 
-        filesystem, inner = fs.FileSystem.from_uri(path)
-        return filesystem.open_output_stream(inner)
-    return open(path, "wb")
+        self.fs, inner = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+        folder, _, name = inner.rpartition("/")
+        self.path, self.part = inner, f"{folder}/.{name}.{uuid.uuid4().hex}"
+        self.out = self.fs.open_output_stream(self.part)
+        self.write, self.flush, self.tell = self.out.write, self.out.flush, self.out.tell
+
+    def close(self) -> None:
+        self.out.close()
+        self.fs.move(self.part, self.path)
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, kind, *_):
+        if kind is None:
+            self.close()
+        else:
+            self.out.close()
+
+
+def _open_out(path: str) -> _Whole:
+    return _Whole(path)
 
 
 def _write_bytes(path: str, data: bytes) -> None:
@@ -116,10 +138,50 @@ class _ArchiveWriter:
         return self.n
 
 
-def write_archives(lines: DataFrame, out: str) -> None:
+class _SpoiltWriter:
+    """A file named like an archive that is an HTML page, or bytes that are no archive."""
+
+    def __init__(self, path: str, page: bool):
+        self.path, self.page, self.n = path, page, 0
+
+    def add(self, rows) -> None:
+        self.n += len(rows)
+
+    def close(self) -> int:
+        _write_bytes(self.path, b"<html><body>try again</body></html>" if self.page else b"torn off")
+        return self.n
+
+
+def write_archives(lines: DataFrame, out: str, spoil: bool = False) -> None:
     """``lines(archive, member, header, sep, ord, fields array<string>)`` -> one zip per
-    archive holding one CSV member per (archive, member), rows in ``ord`` order."""
-    _stream_files(lines, "archive", ["member", "ord"], lambda k: _ArchiveWriter(os.path.join(out, k)))
+    archive holding one CSV member per (archive, member), rows in ``ord`` order. With
+    ``spoil``, archives ``<n>-…`` are pages where n % 3 is 1 and torn where it is 2."""
+
+    def open_file(k):
+        kind = int(k.split("-")[0]) % 3 if spoil else 0
+        path = os.path.join(out, k)
+        return _SpoiltWriter(path, kind == 1) if kind else _ArchiveWriter(path)
+
+    _stream_files(lines, "archive", ["member", "ord"], open_file)
+
+
+class _TextWriter:
+    def __init__(self, path: str, head: str):
+        self.out, self.n = _open_out(path), 0
+        self.out.write(head.encode("utf-8"))
+
+    def add(self, rows) -> None:
+        self.out.write("".join(f"{line}\n" for line in rows["line"]).encode("utf-8"))
+        self.n += len(rows)
+
+    def close(self) -> int:
+        self.out.close()
+        return self.n
+
+
+def write_text_files(rows: DataFrame, key: str, head: str, out: str, suffix: str) -> None:
+    """One text file per key value: ``head``, then ``line`` in ``ord`` order."""
+    _stream_files(rows, key, ["ord"], lambda k: _TextWriter(os.path.join(out, f"{k}{suffix}"), head))
 
 
 # ------------------------------------------------------------------ dBASE
@@ -140,8 +202,11 @@ def _dbf_records(fields: list[tuple[str, int]], records) -> bytes:
     out = io.BytesIO()
     for vals in records:
         out.write(b" ")
-        for (_, w), v in zip(fields, vals):
-            out.write((v or "").encode("utf-8").ljust(w, b" ")[:w])
+        for (name, w), v in zip(fields, vals):
+            cell = (v or "").encode("utf-8")
+            if len(cell) > w:
+                raise ValueError(f"{name}: {v!r} is wider than {w} bytes")
+            out.write(cell.ljust(w, b" "))
     return out.getvalue()
 
 
@@ -169,10 +234,12 @@ class _DbfWriter:
         return self.n
 
 
-def write_dbf_files(rows: DataFrame, key: str, fields: list[tuple[str, int]], out: str) -> None:
+def write_dbf_files(rows: DataFrame, key: str, names: list[str], out: str) -> None:
     """One ``<key>.dbf`` (+ ``.cpg``) per key value; field values are the text columns
-    named like ``fields``, in ``ord`` order. The record count goes in the header, so
-    the counts per file (one row per file) are computed first."""
+    ``names``, in ``ord`` order, as wide as their longest value. The record count goes in
+    the header, so the counts per file (one row per file) are computed first."""
+    widest = rows.agg(*[F.max(F.octet_length(n)).alias(n) for n in names]).first()
+    fields = [(n, max(1, widest[n] or 0)) for n in names]
     counts = {str(r[0]): int(r[1]) for r in rows.groupBy(key).count().collect()}
     _stream_files(rows, key, ["ord"], lambda k: _DbfWriter(os.path.join(out, f"{k}.dbf"), fields, counts[str(k)]))
 

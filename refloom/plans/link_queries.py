@@ -187,6 +187,25 @@ def url_join(spark, sf):
     return rows.select("page_id", "pos", "href", L.join_url(F.col("url"), F.col("href")).alias("joined"))
 
 
+@query(
+    "url_join_deep",
+    """SELECT page_id, depth, up, host || '/' || array_to_string(
+              list_concat(list_transform(range(greatest(depth - up, 0)), lambda i: 'd' || i), ['z']), '/') AS joined
+       FROM (SELECT page_id, page_id % 14 AS depth, page_id % 13 AS up,
+                    regexp_extract(url, '^([a-z]+://[^/]*)', 1) AS host FROM pages)""",
+    "F13: any number of parent steps",
+)
+def url_join_deep(spark, sf):
+    i = F.col("page_id")
+    p = _pages(spark, sf).select("page_id", (i % 14).alias("depth"), (i % 13).alias("up"),
+                                 F.regexp_extract("url", "^([a-z]+://[^/]*)", 1).alias("host"))
+    folders = F.transform(F.slice(F.sequence(F.lit(0), F.col("depth")), 1, F.col("depth").cast("int")),
+                          lambda n: F.concat(F.lit("d"), n.cast("string"), F.lit("/")))
+    base = F.concat("host", F.lit("/"), F.array_join(folders, ""), F.lit("page.html"))
+    link = F.concat(F.repeat(F.lit("../"), F.col("up").cast("int")), F.lit("z"))
+    return p.select("page_id", "depth", "up", L.join_url(base, link).alias("joined"))
+
+
 # ------------------------------------------------------------------ P13, P16
 _KIND = "CASE WHEN grp IN ('g0', 'g1', 'g2') THEN 'codes' WHEN grp IN ('g3', 'g4') THEN 'units' ELSE 'history' END"
 

@@ -14,13 +14,20 @@ Only per-member metadata (distinct headers per table) ever reaches the driver.
 
 from __future__ import annotations
 
+import contextlib
 import csv
 import io
+import itertools
 import posixpath
+import re
+import shutil
+import sys
+import tempfile
 import zipfile
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,15 +35,13 @@ from refloom.functions.text import identifier
 from refloom.operators.schema import normalize_headers
 from refloom.session import ship_package
 
-# Suffixes the builder treats as tabular, archive nesting limit,
-# longest CSV line accepted, and the delimiters voted on.
+# Suffixes the builder treats as tabular, archive nesting limit, and the
+# delimiters voted on. Cells and lines have no length limit: a long one is read whole.
 TABULAR_SUFFIXES = (".csv", ".xls", ".xlsx", ".dbf", ".shp", ".gpkg", ".geojson")
 MAX_NESTING = 5
-MAX_LINE = 10_000_000
 DELIMITERS = (";", ",", "\t", "|")
 SNIFF_BYTES = 4096
-
-csv.field_size_limit(MAX_LINE)
+SPOOL_BYTES = 32 << 20
 
 MEMBER_SCHEMA = (
     "archive string, archive_path string, chain array<string>, member string, depth int, suffix string, "
@@ -49,7 +54,7 @@ class ArchiveError(RuntimeError):
 
 
 # ------------------------------------------------------------------ helpers (run in tasks)
-def _open_path(path: str):
+def open_path(path: str):
     """Open a file by URI for random access (zip needs seeks): local paths directly,
     anything else through Arrow's filesystem layer (HDFS, S3, GCS, ABFS)."""
     if path.startswith("file:"):
@@ -72,28 +77,52 @@ def sniff_delimiter(first_line: str) -> str:
 
 
 def _looks_html(head: bytes) -> bool:
-    text = head[:SNIFF_BYTES].decode("utf-8", errors="ignore").lower()
-    return "<html" in text or "<!doctype html" in text
+    """K5 on bytes: a doctype or an html tag among the first characters, in any case."""
+    return re.search(rb"<(?:!doctype )?html", head[:SNIFF_BYTES].replace(b"\x00", b""), re.IGNORECASE) is not None
 
 
-def _text_stream(raw) -> io.TextIOWrapper:
+def text_stream(raw) -> io.TextIOWrapper:
     return io.TextIOWrapper(raw, encoding="utf-8-sig", errors="replace", newline="")
 
 
+def text_records(stream, sep: str | None = None) -> tuple[str, Iterator[list[str]]]:
+    """(delimiter, records that are not blank, the header first) of a delimited text.
+
+    The delimiter is voted on over the first line that is not blank; header and rows come
+    from one parser, so either may hold quoted line breaks.
+    """
+    csv.field_size_limit(sys.maxsize)
+    first = next((line for line in stream if line.strip()), "")
+    delim = sep or sniff_delimiter(first)
+    return delim, (r for r in csv.reader(itertools.chain([first], stream), delimiter=delim) if r)
+
+
+def _dbf_names(raw) -> list[str]:
+    from refloom.sources.dbf import parse_header
+
+    return [name for name, _, _ in parse_header(raw)[3]]
+
+
 def _header_of(zf: zipfile.ZipFile, name: str) -> tuple[list[str] | None, bool]:
     with zf.open(name) as raw:
-        head = raw.read(SNIFF_BYTES)
-    html = _looks_html(head)
-    if not name.lower().endswith(".csv"):
+        html = _looks_html(raw.read(SNIFF_BYTES))
+    kind = posixpath.splitext(name)[1].lower()
+    if html or kind not in (".csv", ".dbf"):
         return None, html
     with zf.open(name) as raw:
-        stream = _text_stream(raw)
-        first = stream.readline()
-        if first == "":
-            return [], html
-        delim = sniff_delimiter(first)
-        row = next(csv.reader([first], delimiter=delim), [])
-    return row, html
+        return (next(text_records(text_stream(raw))[1], []) if kind == ".csv" else _dbf_names(raw)), html
+
+
+@contextlib.contextmanager
+def nested_zip(zf: zipfile.ZipFile, name: str) -> Iterator[zipfile.ZipFile]:
+    """An archive inside an archive, opened without holding it in memory: beyond
+    ``SPOOL_BYTES`` it is spooled to a file that is gone when it is closed."""
+    with tempfile.SpooledTemporaryFile(max_size=SPOOL_BYTES) as spool:
+        with zf.open(name) as raw:
+            shutil.copyfileobj(raw, spool, 1 << 20)
+        spool.seek(0)
+        with zipfile.ZipFile(spool) as inner:
+            yield inner
 
 
 def _walk(zf: zipfile.ZipFile, chain: list[str], depth: int, descend: bool) -> Iterator[tuple]:
@@ -107,18 +136,18 @@ def _walk(zf: zipfile.ZipFile, chain: list[str], depth: int, descend: bool) -> I
             header, html = _header_of(zf, name)
         except Exception as e:  # noqa: BLE001 - a broken member is reported, not fatal
             header, html, error = None, False, f"{type(e).__name__}: {e}"
+        if html and suffix in TABULAR_SUFFIXES + (".zip",):
+            error = "the member is an HTML page"
         yield (list(chain), name, depth, suffix, int(info.file_size), html, header, error)
         if descend and suffix == ".zip" and not html:
             if depth + 1 > MAX_NESTING:
                 yield (list(chain) + [name], "", depth + 1, "", 0, False, None, "nesting too deep")
                 continue
             try:
-                inner = zipfile.ZipFile(io.BytesIO(zf.read(name)))
+                with nested_zip(zf, name) as inner:
+                    yield from _walk(inner, chain + [name], depth + 1, descend)
             except zipfile.BadZipFile as e:
                 yield (list(chain) + [name], "", depth + 1, "", 0, False, None, f"BadZipFile: {e}")
-                continue
-            with inner:
-                yield from _walk(inner, chain + [name], depth + 1, descend)
 
 
 def _members_batches(batches: Iterator[pa.RecordBatch], descend: bool) -> Iterator[pa.RecordBatch]:
@@ -128,11 +157,11 @@ def _members_batches(batches: Iterator[pa.RecordBatch], descend: bool) -> Iterat
             archive = posixpath.basename(path)
             out = {c: [] for c in cols}
             try:
-                with _open_path(path) as fh:
+                with open_path(path) as fh:
                     head = fh.read(SNIFF_BYTES)
                     fh.seek(0)
                     if _looks_html(head):
-                        rows = [([], "", 0, "", 0, True, None, "archive looks like an HTML page")]
+                        rows = [([], "", 0, "", 0, True, None, "the archive is an HTML page")]
                     else:
                         with zipfile.ZipFile(fh) as zf:
                             rows = list(_walk(zf, [], 0, descend))
@@ -191,12 +220,21 @@ def table_name(member) -> "F.Column":
 
 
 def csv_members(members: DataFrame) -> DataFrame:
-    """CSV members (any case) at the top level of their archive, with their table."""
-    return members.filter((F.col("depth") == 0) & (F.col("suffix") == ".csv")).withColumn(
+    """Readable CSV members (any case) at the top level of their archive, with their table."""
+    readable = F.col("error").isNull()
+    return members.filter(readable & (F.col("depth") == 0) & (F.col("suffix") == ".csv")).withColumn(
         "table_name", table_name(F.col("member"))
     )
 
 
+def archive_rejects(members: DataFrame) -> DataFrame:
+    """Archives and members that could not be read, with the reason: HTML pages saved as
+    archives or tables, broken zips, broken members, nesting beyond the limit."""
+    return members.filter(F.col("error").isNotNull()).select(
+        "archive", F.array_join(F.concat("chain", F.array("member")), "!/").alias("member_path"), F.col("error").alias("reason")
+    )
+
+
 def files_per_table(csv_rows: DataFrame) -> DataFrame:
     """A7 + K3: number of files per logical table (not rows), and their archives."""
     return csv_rows.groupBy("table_name").agg(
@@ -230,52 +268,39 @@ def first_tabular_member(members: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ S5 rows
-def _rows_batches(batches, columns: Sequence[str], batch_rows: int = 8192):
-    """Data lines of the (archive_path, member) rows of each input batch; each archive
-    is opened once per batch and only the listed members are decompressed."""
-    out_cols = list(columns) + ["archive", "member", "_extra"]
-    schema = pa.schema([(c, pa.string()) for c in list(columns) + ["archive", "member"]] + [("_extra", pa.list_(pa.string()))])
-    pos = {c: i for i, c in enumerate(columns)}
+def _columns_of(rows: list[list[str]], places: Sequence[int], n_columns: int, width: int) -> list[pa.Array]:
+    """Arrow columns of some records: cell ``i`` goes to column ``places[i]``; an empty or
+    missing cell is NULL, as in SQL CSV readers; the last column holds surplus cells."""
+    nothing = pa.nulls(len(rows), pa.string())
+    out = [nothing] * n_columns
+    # a row of the header's width is the rule; others are padded or cut to it
+    cells = zip(*(r if len(r) == width else (r + [None] * (width - len(r)))[:width] for r in rows))
+    for place, values in zip(places, cells):
+        column = pa.array(values, pa.string())
+        out[place] = pc.if_else(pc.equal(column, ""), None, column)
+    return [*out, pa.array([r[width:] or None for r in rows], pa.list_(pa.string()))]
 
-    def flush(buf):
-        return pa.RecordBatch.from_pydict({c: buf[c] for c in out_cols}, schema=schema)
 
+def _rows_batches(batches, columns: Sequence[str], batch_rows: int = 8192):
+    """Data records of the (archive_path, member) rows of each input batch; each archive
+    is opened once per batch and only the listed members are decompressed."""
+    names = [*columns, "archive", "member", "_extra"]
+    place = {c: i for i, c in enumerate(columns)}
     for batch in batches:
         wanted: dict[str, list[str]] = {}
         for path, member in zip(batch.column("archive_path").to_pylist(), batch.column("member").to_pylist()):
             wanted.setdefault(path, []).append(member)
         for path in sorted(wanted):
-            archive = posixpath.basename(path)
-            with _open_path(path) as fh, zipfile.ZipFile(fh) as zf:
+            with open_path(path) as fh, zipfile.ZipFile(fh) as zf:
                 for member in sorted(wanted[path]):
                     with zf.open(member) as raw:
-                        stream = _text_stream(raw)
-                        first = stream.readline()
-                        if first == "":
-                            continue
-                        delim = sniff_delimiter(first)
-                        header = normalize_headers(next(csv.reader([first], delimiter=delim), []))
-                        idx = [pos[h] for h in header]
-                        buf = {c: [] for c in out_cols}
-                        n = 0
-                        for fields in csv.reader(stream, delimiter=delim):
-                            if not fields:
-                                continue
-                            for c in columns:
-                                buf[c].append(None)
-                            for j, v in enumerate(fields[: len(idx)]):
-                                # an empty field is NULL, as in SQL CSV readers
-                                buf[columns[idx[j]]][-1] = v if v != "" else None
-                            buf["archive"].append(archive)
-                            buf["member"].append(member)
-                            buf["_extra"].append(fields[len(idx):] or None)
-                            n += 1
-                            if n >= batch_rows:
-                                yield flush(buf)
-                                buf = {c: [] for c in out_cols}
-                                n = 0
-                        if n:
-                            yield flush(buf)
+                        _, records = text_records(text_stream(raw))
+                        header = normalize_headers(next(records, []))
+                        places = [place[h] for h in header]
+                        while rows := list(itertools.islice(records, batch_rows)):
+                            *cells, extra = _columns_of(rows, places, len(columns), len(header))
+                            source = [pa.array([v] * len(rows), pa.string()) for v in (posixpath.basename(path), member)]
+                            yield pa.RecordBatch.from_arrays([*cells, *source, extra], names=names)
 
 
 def read_member_rows(members: DataFrame, columns: Sequence[str], n_tasks: int | None = None) -> DataFrame:
@@ -319,17 +344,25 @@ def union_columns(headers_in_order: Sequence[Sequence[str]]) -> list[str]:
 
 
 # ------------------------------------------------------------------ X2
-def load_archives(spark: SparkSession, source_dir: str) -> tuple[dict[str, DataFrame], DataFrame]:
+def load_archives(spark: SparkSession, source_dir: str, strict: bool = True) -> tuple[dict[str, DataFrame], DataFrame]:
     """Archives -> {table_name: DataFrame of text columns}, plus the load
     manifest ``(table_name, n_files, n_archives)`` (K3).
 
+    An archive or member that cannot be read is an error; with ``strict=False`` the rest
+    is loaded and ``archive_rejects`` of the listing names what is missing.
+
     The member listing (one row per file) is checkpointed once and reused by every
     table; the driver collects one row per distinct (table, header) - metadata only.
     """
     from refloom.session import cut_lineage
 
     index = archive_index(spark, source_dir)
-    members = cut_lineage(csv_members(list_members(index)))
+    listed = cut_lineage(list_members(index))
+    rejects = archive_rejects(listed)
+    if strict and (some := rejects.orderBy("archive", "member_path").take(3)):
+        shown = "; ".join(f"{r.archive} {r.member_path}: {r.reason}" for r in some)
+        raise ArchiveError(f"{rejects.count()} archives or members cannot be read: {shown}")
+    members = csv_members(listed)
     if members.isEmpty():
         raise ArchiveError("no CSV file found in the archives")
     manifest = files_per_table(members)
@@ -372,7 +405,7 @@ def _sniff_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         paths, flags, errors = [], [], []
         for path in batch.column("path").to_pylist():
             try:
-                with _open_path(path) as fh:
+                with open_path(path) as fh:
                     flags.append(_looks_html(fh.read(SNIFF_BYTES)))
                 errors.append(None)
             except Exception as e:  # noqa: BLE001 - an unreadable file is reported

@@ -13,6 +13,9 @@ from __future__ import annotations
 import struct
 from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StringType, StructField, StructType
@@ -21,29 +24,60 @@ RECORDS_PER_PARTITION = 200_000
 
 
 def _open(path: str):
-    from refloom.sources.archives import _open_path
+    from refloom.sources.archives import open_path
 
-    return _open_path(path)
+    return open_path(path)
 
 
-def read_header(path: str) -> tuple[int, int, int, list[tuple[str, str, int]]]:
-    """(n_records, header_len, record_len, [(name, type, width)])."""
-    with _open(path) as fh:
-        head = fh.read(32)
-        n_records, header_len, record_len = struct.unpack("<IHH", head[4:12])
-        desc = fh.read(header_len - 32)
+def parse_header(fh) -> tuple[int, int, int, list[tuple[str, str, int]]]:
+    """(n_records, header_len, record_len, [(name, type, width)]) of an open file."""
+    head = fh.read(32)
+    n_records, header_len, record_len = struct.unpack("<IHH", head[4:12])
+    desc = fh.read(header_len - 32)
     fields = []
     for off in range(0, len(desc), 32):
-        if desc[off] == 0x0D:
-            break
         chunk = desc[off : off + 32]
-        if len(chunk) < 32:
+        if chunk[:1] == b"\x0d" or len(chunk) < 32:
             break
         name = chunk[:11].split(b"\x00", 1)[0].decode("ascii", errors="replace").strip()
         fields.append((name, chr(chunk[11]), chunk[16]))
     return n_records, header_len, record_len, fields
 
 
+def read_header(path: str) -> tuple[int, int, int, list[tuple[str, str, int]]]:
+    with _open(path) as fh:
+        return parse_header(fh)
+
+
+def _text_column(cells: np.ndarray, encoding: str) -> pa.Array:
+    """A fixed-width field of many records (one row of bytes each) as trimmed text."""
+    n, width = cells.shape
+    fixed = pa.FixedSizeBinaryArray.from_buffers(pa.binary(width), n, [None, pa.py_buffer(np.ascontiguousarray(cells))])
+    if encoding.lower().replace("-", "") in ("utf8", "ascii"):
+        try:
+            return pc.utf8_trim_whitespace(fixed.cast(pa.binary()).cast(pa.string()))
+        except pa.ArrowInvalid:  # bytes that are no UTF-8: decoded with replacement below
+            pass
+    return pa.array([v.decode(encoding, errors="replace").strip() for v in fixed.to_pylist()], pa.string())
+
+
+def record_batches(fh, record_len: int, fields: list[tuple[str, str, int]], remaining: int, encoding: str, block: int = 8192):
+    """Arrow batches of up to ``remaining`` records from the current place; deleted ones are left out."""
+    names = [n for n, _, _ in fields]
+    ends = np.cumsum([1, *(w for _, _, w in fields)])
+    while remaining > 0:
+        data = fh.read(min(block, remaining) * record_len)
+        got = len(data) // record_len
+        if not got:
+            break
+        table = np.frombuffer(data, np.uint8, got * record_len).reshape(got, record_len)
+        table = table[table[:, 0] != ord("*")]
+        if len(table):
+            columns = [_text_column(table[:, a:b], encoding) for a, b in zip(ends[:-1], ends[1:])]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+        remaining -= got
+
+
 def sidecar_encoding(path: str) -> str | None:
     base = path[:-4] if path.lower().endswith(".dbf") else path
     for ext in (".cpg", ".CPG"):
@@ -83,7 +117,10 @@ class DbfReader(DataSourceReader):
     def __init__(self, paths: list[str], encoding: str | None):
         self.paths, self.encoding = paths, encoding
         self.headers = {p: read_header(p) for p in paths}
-        self.fields = self.headers[paths[0]][3]
+        names = [n for n, _, _ in self.headers[paths[0]][3]]
+        other = [p for p in paths if [n for n, _, _ in self.headers[p][3]] != names]
+        if other:  # one schema for all: a file with other fields would be mislabelled
+            raise ValueError(f"{len(other)} dBASE files have other fields than {paths[0]}: {other[:3]}")
 
     def partitions(self):
         step = RECORDS_PER_PARTITION
@@ -95,35 +132,11 @@ class DbfReader(DataSourceReader):
 
     def read(self, partition: _Range) -> Iterator:
         """Arrow record batches, one per block of records (no per-row conversion)."""
-        import pyarrow as pa
-
         _, header_len, record_len, fields = self.headers[partition.path]
-        names = [n for n, _, _ in self.fields]
-        widths = [w for _, _, w in fields]
         encoding = self.encoding or sidecar_encoding(partition.path) or "utf-8"
-        schema = pa.schema([(n, pa.string()) for n in names])
-        block = 8192  # records per read
         with _open(partition.path) as fh:
             fh.seek(header_len + partition.start * record_len)
-            remaining = partition.stop - partition.start
-            while remaining > 0:
-                take = min(block, remaining)
-                data = fh.read(take * record_len)
-                got = len(data) // record_len
-                cols: list[list[str]] = [[] for _ in widths]
-                for i in range(got):
-                    base = i * record_len
-                    if data[base : base + 1] == b"*":
-                        continue
-                    pos = base + 1
-                    for j, w in enumerate(widths):
-                        cols[j].append(data[pos : pos + w].decode(encoding, errors="replace").strip())
-                        pos += w
-                if cols and cols[0]:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in cols], schema=schema)
-                if got < take:
-                    break
-                remaining -= take
+            yield from record_batches(fh, record_len, fields, partition.stop - partition.start, encoding)
 
 
 class DbfDataSource(DataSource):

@@ -1,51 +1,132 @@
-"""Delimited-text scan (S4, S10, P3): header on, delimiter sniffed from the first
-line, every column as text, short rows padded with NULL (PERMISSIVE), long lines up
-to 10,000,000 characters, column names normalized like the reference's loader.
+"""Delimited-text scan (S4, S10, P3): header on, delimiter sniffed from the header line,
+every column as text, empty cells NULL, short rows padded with NULL, surplus cells in
+``_extra``, column names normalized, quotes doubled inside quoted cells.
 
-Spark's own CSV reader does the scan, so large files split across tasks. Note:
-Spark drops cells beyond the header's width (the archive path keeps them in
-``_extra``).
+Spark's CSV reader does the scan. A file whose lines all hold an even number of quotes
+cannot have a cell that spans lines, so it is split across tasks; only otherwise is a
+file read as one record stream. Cells beyond the header are parsed from the raw record
+of those rows alone. Files of one path may differ in delimiter and header: each keeps
+its own layout and the result is their union by name.
 """
 
 from __future__ import annotations
 
 import csv
+import io
 import posixpath
+import sys
+from collections.abc import Iterator
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from refloom.operators.schema import normalize_headers
-from refloom.sources.archives import MAX_LINE, TABULAR_SUFFIXES, sniff_delimiter
+from refloom.session import ship_package
+from refloom.sources.archives import TABULAR_SUFFIXES, open_path, text_records, text_stream
 
 
 class UnsupportedFormat(ValueError):
     pass
 
 
-def header_line(spark: SparkSession, path: str) -> str:
-    """First line of the (first) file: a one-row scan of the first split."""
-    rows = spark.read.text(path).limit(1).collect()
-    return rows[0][0].lstrip("\ufeff") if rows else ""
+def _header_batches(batches: Iterator[pa.RecordBatch], sep: str | None) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        paths, seps, headers = [], [], []
+        for path in batch.column("path").to_pylist():
+            with open_path(path) as raw:
+                delim, records = text_records(text_stream(raw), sep)
+                paths.append(path)
+                seps.append(delim)
+                headers.append(next(records, []))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(paths, pa.string()), pa.array(seps, pa.string()), pa.array(headers, pa.list_(pa.string()))],
+            names=["path", "sep", "header"],
+        )
 
 
-def read_lenient_csv(spark: SparkSession, path: str, sep: str | None = None) -> DataFrame:
-    """S4 + P3."""
-    first = header_line(spark, path)
-    delim = sep or sniff_delimiter(first)
-    raw = next(csv.reader([first], delimiter=delim), [])
-    df = (
-        spark.read.option("header", True)
-        .option("sep", delim)
+def file_headers(spark: SparkSession, path: str, sep: str | None = None) -> DataFrame:
+    """``(path, sep, header)`` of each file, read in tasks: the first record that is not blank."""
+    ship_package(spark)
+    files = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("path"))
+    return files.mapInArrow(lambda it: _header_batches(it, sep), "path string, sep string, header array<string>")
+
+
+def _surplus(sep: str, width: Column, record: Column) -> Column:
+    """Cells of a raw record beyond ``width``; NULL without a record or without such cells."""
+
+    @F.pandas_udf("array<string>")
+    def cells(records: pd.Series, widths: pd.Series) -> pd.Series:
+        csv.field_size_limit(sys.maxsize)
+        rows = [[] if r is None else next(csv.reader(io.StringIO(r, newline=""), delimiter=sep), []) for r in records]
+        return pd.Series([row[int(w):] or None for row, w in zip(rows, widths)], dtype=object)
+
+    return cells(record, width)
+
+
+def _spans_lines(spark: SparkSession, path: str) -> bool:
+    """Whether a cell may span lines: some line holds an odd number of quotes."""
+    return not spark.read.text(path).filter(F.regexp_count("value", F.lit('"')) % 2 == 1).isEmpty()
+
+
+def _scan(spark: SparkSession, path: str, sep: str, layouts: list, headers: DataFrame | None) -> DataFrame:
+    """The rows of the files with delimiter ``sep`` under the union of their columns.
+
+    ``headers`` gives each file's layout where the files differ; one with another
+    delimiter has none here and its rows drop out.
+    """
+    names = [normalize_headers(h or []) for h in layouts]
+    width = max((len(n) for n in names), default=0)
+    raw = (
+        spark.read.schema(", ".join([*(f"_c{i} string" for i in range(width)), "_raw string"]))
+        .option("header", True)
+        .option("sep", sep)
+        .option("quote", '"')
+        .option("escape", '"')
         .option("mode", "PERMISSIVE")
-        .option("maxCharsPerColumn", MAX_LINE)
-        .option("inferSchema", False)
+        .option("columnNameOfCorruptRecord", "_raw")
+        .option("maxCharsPerColumn", -1)
         .option("encoding", "UTF-8")
+        .option("multiLine", _spans_lines(spark, path))
         .csv(path)
     )
-    names = normalize_headers(raw)
-    if len(names) == len(df.columns):
-        df = df.toDF(*names)
-    return df
+    rows, layout = raw, F.lit(0)
+    if headers is not None:
+        known = spark.createDataFrame([(list(h or []), i) for i, h in enumerate(layouts)], "header array<string>, _layout int")
+        by_file = headers.filter(F.col("sep") == sep).join(known, "header").select(F.col("path").alias("_path"), "_layout")
+        rows, layout = raw.withColumn("_path", F.col("_metadata.file_path")).join(by_file, "_path"), F.col("_layout")
+
+    def cell(name: str) -> Column:
+        """The column of that name, by layout; an empty cell is NULL, as in SQL CSV readers."""
+        out = F
+        for i, n in enumerate(names):
+            if name in n:
+                out = out.when(layout == i, F.nullif(F.col(f"_c{n.index(name)}"), F.lit("")))
+        return out.alias(name)
+
+    # a record that is not as wide as the schema comes with its raw text; one that is may
+    # still be wider than the header of its own file
+    own = F.element_at(F.array(*[F.lit(len(n)) for n in names]), layout + 1)
+    inside = F.slice(F.array(*[F.coalesce(f"_c{i}", F.lit("")) for i in range(width)]), own + 1, width) if width else F.array()
+    extra = F.when(F.col("_raw").isNotNull(), _surplus(sep, own, F.col("_raw"))).when(F.size(inside) > 0, inside)
+    columns = list(dict.fromkeys(c for n in names for c in n))
+    return rows.select(*[cell(c) for c in columns], extra.cast("array<string>").alias("_extra"))
+
+
+def read_lenient_csv(spark: SparkSession, path: str, sep: str | None = None) -> DataFrame:
+    """S4 + P3. Columns in order of first appearance over the files in path order, then ``_extra``."""
+    headers = file_headers(spark, path, sep)
+    # one row per distinct (delimiter, header): metadata, however many files there are
+    layouts = headers.groupBy("sep", "header").agg(F.min("path").alias("first")).orderBy("first").collect()
+    by_sep: dict[str, list] = {}
+    for r in layouts:
+        by_sep.setdefault(r["sep"], []).append(r["header"])
+    frames = [_scan(spark, path, d, found, headers if len(layouts) > 1 else None) for d, found in by_sep.items()]
+    names = dict.fromkeys(n for r in layouts for n in normalize_headers(r["header"] or []))
+    out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return out.select(*names, "_extra")
 
 
 def read_tabular(spark: SparkSession, path: str) -> DataFrame:
