@@ -99,26 +99,6 @@ def walk(e: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
     return reduce(DataFrame.unionByName, pieces)
 
 
-def walk_sql(spark, edges_view: str, max_depth: int = MAX_DEPTH) -> DataFrame:
-    """G1, recursive form (Spark >= 4.1 ``WITH RECURSIVE``); small-data path.
-
-    Spark caps recursion at ``spark.sql.cteRecursionLevelLimit`` levels and
-    ``spark.sql.cteRecursionRowLimit`` rows, so the loop form is the default.
-    """
-    return spark.sql(
-        f"""
-        WITH RECURSIVE w(origin_code, current_code, depth) AS (
-          SELECT old_code, new_code, 1 FROM {edges_view}
-          UNION ALL
-          SELECT w.origin_code, e.new_code, w.depth + 1
-          FROM w JOIN {edges_view} e ON e.old_code = w.current_code
-          WHERE w.depth < {int(max_depth)}
-        )
-        SELECT origin_code, current_code, depth FROM w
-        """
-    )
-
-
 def terminals(walk_rows: DataFrame) -> DataFrame:
     """G2 + W1: per origin, the deepest current code; ties go to the smallest code.
 

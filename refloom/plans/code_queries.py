@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from refloom.functions.codes import valid_code
 from refloom.operators import codes, history, quality
 from refloom.plans import bindings as B
-from refloom.plans.oracle import VALID, with_views
+from refloom.plans.oracle import METRO, VALID, with_views
 from refloom.plans.registry import query
 
 TARGET_YEAR = 2025
@@ -58,7 +58,7 @@ def history_codes(spark, sf):
 
 @query(
     "snapshot_codes",
-    with_views(("history_snapshot",), f"SELECT DISTINCT COM AS code FROM history_snapshot WHERE {VALID('COM')}"),
+    with_views(("snap_codes",), "SELECT code FROM snap_codes"),
     "A5 P9",
 )
 def snapshot_codes(spark, sf):
@@ -69,7 +69,7 @@ def snapshot_codes(spark, sf):
 
 @query(
     "history_walk",
-    with_views(("steps",), "SELECT origin_code, current_code, depth FROM steps GROUP BY ALL"),
+    with_views(("steps",), "SELECT origin_code, current_code, depth FROM steps"),
     "G1 J3 U3",
 )
 def history_walk(spark, sf):
@@ -78,11 +78,7 @@ def history_walk(spark, sf):
 
 @query(
     "history_terminal",
-    with_views(
-        ("steps",),
-        """SELECT origin_code, current_code, depth FROM steps
-           QUALIFY row_number() OVER (PARTITION BY origin_code ORDER BY depth DESC, current_code) = 1""",
-    ),
+    with_views(("terminal",), "SELECT origin_code, current_code, depth FROM terminal"),
     "G2 W1",
 )
 def history_terminal(spark, sf):
@@ -98,30 +94,19 @@ def _mapping(spark, sf, metro_only):
 _MAP_COLS = "cog_initial, cog_reference, tuu, tduu, cog_year, target_year"
 
 
-@query("code_mapping_metro", with_views(("map_metro",), f"SELECT {_MAP_COLS} FROM map_metro"), "X1 J1 J2 U1 A6 P8 K2")
+@query("code_mapping_metro", with_views(("event_map",), f"SELECT {_MAP_COLS} FROM event_map WHERE {METRO}"), "X1 J1 J2 U1 A6 P8 K2")
 def code_mapping_metro(spark, sf):
     return _mapping(spark, sf, True)
 
 
-@query("code_mapping_all", with_views(("map_all",), f"SELECT {_MAP_COLS} FROM map_all"), "X1 J1 J2 U1 A6")
+@query("code_mapping_all", with_views(("event_map",), f"SELECT {_MAP_COLS} FROM event_map"), "X1 J1 J2 U1 A6")
 def code_mapping_all(spark, sf):
     return _mapping(spark, sf, False)
 
 
 @query(
     "code_mapping_snapshot",
-    with_views(
-        ("resolved", "districts", "units", "history_snapshot"),
-        """SELECT m.cog_initial, m.cog_reference, uu.tuu, uu.tduu, 2025 AS cog_year, 2025 AS target_year
-           FROM (SELECT DISTINCT cog_initial, cog_reference FROM (
-                   SELECT h.code AS cog_initial, coalesce(r.reference_code, h.code) AS cog_reference
-                   FROM hcodes h LEFT JOIN resolved r ON r.code = h.code
-                   UNION SELECT code, reference_code FROM resolved
-                   UNION SELECT cog_initial, cog_reference FROM districts)) m
-           LEFT JOIN units uu ON uu.code = m.cog_reference
-           WHERE (substr(m.cog_initial, 1, 2) BETWEEN '01' AND '95') OR substr(m.cog_initial, 1, 2) IN ('2A', '2B')""",
-        extra=(("hcodes", f"SELECT DISTINCT COM AS code FROM history_snapshot WHERE {VALID('COM')}"),),
-    ),
+    with_views(("snap_map",), f"SELECT {_MAP_COLS} FROM snap_map WHERE {METRO}"),
     "X1 with a snapshot history (P9 A5)",
 )
 def code_mapping_snapshot(spark, sf):
@@ -133,11 +118,11 @@ def code_mapping_snapshot(spark, sf):
 @query(
     "row_count_control",
     with_views(
-        ("map_metro",),
+        ("event_map",),
         f"""SELECT count(*) AS n_rows, CAST({EXPECTED_METRO_ROWS} AS BIGINT) AS expected_rows,
                    CAST({TOLERANCE} AS BIGINT) AS tolerance,
                    abs(count(*) - {EXPECTED_METRO_ROWS}) <= {TOLERANCE} AS passed
-            FROM map_metro""",
+            FROM event_map WHERE {METRO}""",
     ),
     "K4 A1",
 )
@@ -147,15 +132,7 @@ def row_count_control(spark, sf):
 
 @query(
     "code_mapping_no_history",
-    with_views(
-        ("resolved", "districts", "units"),
-        """SELECT m.cog_initial, m.cog_reference, uu.tuu, uu.tduu, 2025 AS cog_year, 2025 AS target_year
-           FROM (SELECT DISTINCT cog_initial, cog_reference FROM (
-                   SELECT code AS cog_initial, reference_code AS cog_reference FROM resolved
-                   UNION SELECT cog_initial, cog_reference FROM districts)) m
-           LEFT JOIN units uu ON uu.code = m.cog_reference
-           WHERE (substr(m.cog_initial, 1, 2) BETWEEN '01' AND '95') OR substr(m.cog_initial, 1, 2) IN ('2A', '2B')""",
-    ),
+    with_views(("none_map",), f"SELECT {_MAP_COLS} FROM none_map WHERE {METRO}"),
     "X1 with the empty-history fallback (S9)",
 )
 def code_mapping_no_history(spark, sf):

@@ -78,60 +78,93 @@ VIEWS: dict[str, str] = {
         FROM documents""",
 }
 
-# Derived relations: the operators' semantics restated in DuckDB SQL.
+# Derived relations, as sets: each statement says which rows belong to the result, not the
+# steps by which the operators get there.
+_CODE_ROWS = f"SELECT DISTINCT com, typecom, comparent FROM cog_raw WHERE {VALID('com')}"
+_MOVES = "list_contains(['arm', 'comd'], lower(typecom)) AND regexp_matches(comparent, '[^ ]')"
+MAX_DEPTH = 20
+
+
+def _steps() -> dict[str, str]:
+    """Pairs of codes 1 to 20 steps apart, by halving: a walk of d steps is one of d // 2
+    steps and one of the rest."""
+    out = {"walk1": "SELECT old_code AS o, new_code AS c FROM edges"}
+    for d in range(2, MAX_DEPTH + 1):
+        out[f"walk{d}"] = f"SELECT DISTINCT a.o, b.c FROM walk{d // 2} a JOIN walk{d - d // 2} b ON a.c = b.o"
+    out["steps"] = " UNION ALL ".join(
+        f"SELECT o AS origin_code, c AS current_code, {d} AS depth FROM walk{d}" for d in range(1, MAX_DEPTH + 1)
+    )
+    return out
+
+
+def MAPPING(pairs: str) -> str:
+    """The mapping over (cog_initial, cog_reference) pairs: rows with a unit, and the others."""
+    return f"""
+        SELECT cog_initial, cog_reference, tuu, tduu, 2025 AS cog_year, 2025 AS target_year
+        FROM {pairs} JOIN units ON code = cog_reference
+        UNION ALL
+        SELECT cog_initial, cog_reference, NULL, NULL, 2025, 2025
+        FROM {pairs} ANTI JOIN units ON code = cog_reference"""
+
+
+def PAIRS(history: str) -> str:
+    """Pairs of the code list, districts as themselves, and codes that only the history knows."""
+    return f"""
+        SELECT code AS cog_initial, reference_code AS cog_reference FROM resolved
+        UNION SELECT cog_initial, cog_reference FROM districts
+        UNION SELECT code, code FROM (SELECT code FROM {history} EXCEPT SELECT code FROM resolved)"""
+
+
+METRO = "list_contains(list_concat(list_transform(range(1, 96), lambda i: printf('%02d', i)), ['2A', '2B']), cog_initial[1:2])"
+
 DERIVED: dict[str, str] = {
+    "moved": f"SELECT * FROM ({_CODE_ROWS}) WHERE {_MOVES}",
     "resolved": f"""
-        SELECT com AS code,
-               IF(upper(coalesce(typecom, '')) IN ('ARM', 'COMD') AND length(trim(coalesce(comparent, ''))) > 0,
-                  comparent, com) AS reference_code,
-               typecom AS type_code, comparent AS parent_code
-        FROM cog_raw WHERE {VALID('com')}
-        GROUP BY ALL""",
+        SELECT com AS code, comparent AS reference_code, typecom AS type_code, comparent AS parent_code FROM moved
+        UNION ALL
+        SELECT com, com, typecom, comparent FROM ({_CODE_ROWS} EXCEPT SELECT * FROM moved)""",
     "districts": """
         SELECT code AS cog_initial, code AS cog_reference FROM resolved
-        WHERE upper(coalesce(type_code, '')) = 'ARM' GROUP BY code""",
-    "units": f"""
-        SELECT codgeo AS code, tuu2020 AS tuu, tduu2020 AS tduu FROM uu_raw WHERE {VALID('codgeo')} GROUP BY ALL""",
+        INTERSECT SELECT com, com FROM cog_raw WHERE typecom ILIKE 'arm'""",
+    "units": f"SELECT DISTINCT codgeo AS code, tuu2020 AS tuu, tduu2020 AS tduu FROM uu_raw WHERE {VALID('codgeo')}",
     "edges": f"""
         SELECT com_av AS old_code, com_ap AS new_code FROM history_raw
-        WHERE {VALID('com_av')} AND {VALID('com_ap')} AND com_av IS DISTINCT FROM com_ap GROUP BY ALL""",
-    "steps": """
-        SELECT old_code AS origin_code, new_code AS current_code, 1 AS depth FROM edges
-        UNION ALL
-        SELECT s.origin_code, e.new_code, s.depth + 1 FROM steps s, edges e
-        WHERE e.old_code = s.current_code AND s.depth < 20""",
+        WHERE {VALID('com_av')} AND {VALID('com_ap')}
+        EXCEPT SELECT com_av, com_av FROM history_raw""",
+    **_steps(),
     "terminal": """
-        SELECT origin_code, current_code FROM steps
-        QUALIFY row_number() OVER (PARTITION BY origin_code ORDER BY depth DESC, current_code) = 1""",
-    "hist_codes": """
-        SELECT origin_code AS code FROM terminal UNION SELECT new_code FROM edges""",
-    "pairs": """
-        SELECT cog_initial, cog_reference FROM (
-          SELECT h.code AS cog_initial, coalesce(r.reference_code, h.code) AS cog_reference
-          FROM hist_codes h LEFT JOIN resolved r ON r.code = h.code
-          UNION ALL SELECT code, reference_code FROM resolved
-          UNION ALL SELECT cog_initial, cog_reference FROM districts)
-        GROUP BY ALL""",
-    "map_all": """
-        SELECT p.cog_initial, p.cog_reference, u.tuu, u.tduu, 2025 AS cog_year, 2025 AS target_year
-        FROM pairs p LEFT JOIN units u ON u.code = p.cog_reference""",
-    "map_metro": """
-        SELECT * FROM map_all
-        WHERE substr(cog_initial, 1, 2) BETWEEN '01' AND '95' OR substr(cog_initial, 1, 2) IN ('2A', '2B')""",
+        SELECT origin_code, min(current_code) AS current_code, depth FROM steps
+        WHERE (origin_code, depth) IN (SELECT origin_code, max(depth) FROM steps GROUP BY origin_code)
+        GROUP BY origin_code, depth""",
+    "hist_codes": "SELECT DISTINCT unnest([old_code, new_code]) AS code FROM edges",
+    "snap_codes": f"SELECT DISTINCT COM AS code FROM history_snapshot WHERE {VALID('COM')}",
+    "no_codes": "SELECT com AS code FROM cog_raw LIMIT 0",
+    **{
+        f"{kind}_{what}": sql
+        for kind, history in (("event", "hist_codes"), ("snap", "snap_codes"), ("none", "no_codes"))
+        for what, sql in (("pairs", PAIRS(history)), ("map", MAPPING(f"{kind}_pairs")))
+    },
 }
 
 # Dependencies between the named relations above (for assembling the WITH list).
 DEPS: dict[str, tuple[str, ...]] = {
-    "resolved": ("cog_raw",),
+    "moved": ("cog_raw",),
+    "resolved": ("cog_raw", "moved"),
     "districts": ("resolved",),
     "units": ("uu_raw",),
     "edges": ("history_raw",),
-    "steps": ("edges",),
+    "walk1": ("edges",),
+    **{f"walk{d}": (f"walk{d // 2}", f"walk{d - d // 2}") for d in range(2, MAX_DEPTH + 1)},
+    "steps": tuple(f"walk{d}" for d in range(1, MAX_DEPTH + 1)),
     "terminal": ("steps",),
-    "hist_codes": ("terminal", "edges"),
-    "pairs": ("hist_codes", "resolved", "districts"),
-    "map_all": ("pairs", "units"),
-    "map_metro": ("map_all",),
+    "hist_codes": ("edges",),
+    "snap_codes": ("history_snapshot",),
+    "no_codes": ("cog_raw",),
+    **{
+        f"{kind}_{what}": needs
+        for kind, history in (("event", "hist_codes"), ("snap", "snap_codes"), ("none", "no_codes"))
+        for what, needs in (("pairs", (history, "resolved", "districts")), ("map", (f"{kind}_pairs", "units")))
+    },
 }
 
 
@@ -150,11 +183,11 @@ def _closure(names: tuple[str, ...]) -> list[str]:
 
 
 def with_views(uses: tuple[str, ...], body: str, extra: tuple[tuple[str, str], ...] = ()) -> str:
-    """``WITH RECURSIVE <views used, in dependency order>, <extra> <body>``."""
+    """``WITH <views used, in dependency order>, <extra> <body>``."""
     parts = []
     for n in _closure(uses):
         sql = VIEWS.get(n) or DERIVED[n]
-        parts.append(f"{n} AS ({sql})")
+        parts.append(f"{n} AS MATERIALIZED ({sql})" if n.startswith("walk") else f"{n} AS ({sql})")
     for n, sql in extra:
         parts.append(f"{n} AS ({sql})")
-    return "WITH RECURSIVE " + ",\n".join(parts) + "\n" + body
+    return "WITH " + ",\n".join(parts) + "\n" + body

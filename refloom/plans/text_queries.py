@@ -36,12 +36,17 @@ def text_fold(spark, sf):
     return B.table(spark, sf, "documents").select("doc_id", fold("text").alias("folded"))
 
 
+def KEYWORDS(x: str) -> str:
+    return (
+        f"list_filter(regexp_extract_all({FOLD(x)}, '([a-zA-Z0-9]+)', 1), "
+        f"lambda t: length(t) >= 3 AND NOT list_contains({_STOP_SQL}, t))"
+    )
+
+
 @query(
     "query_keywords",
-    f"""SELECT doc_id, CAST(len(k) AS INTEGER) AS n_keywords, array_to_string(k, ' ') AS keywords FROM (
-          SELECT doc_id, list_filter(regexp_extract_all({FOLD('text')}, '([a-zA-Z0-9]+)', 1),
-                                     lambda t: length(t) >= 3 AND NOT list_contains({_STOP_SQL}, t)) AS k
-          FROM documents)""",
+    f"""SELECT doc_id, CAST(len(k) AS INTEGER) AS n_keywords, array_to_string(k, ' ') AS keywords
+        FROM (SELECT doc_id, {KEYWORDS('text')} AS k FROM documents)""",
     "F10",
 )
 def query_keywords(spark, sf):
