@@ -1,25 +1,19 @@
-"""Text column functions (F2-F6, F8-F10), all built-in Spark expressions.
-
-F2 (``fold``) reproduces "NFKD, drop non-ASCII, collapse whitespace, strip, lower"
-without a UDF. Once non-ASCII characters are dropped, NFKD acts per code point
-(canonical reordering only moves combining marks, which are dropped), so two
-tables built from ``unicodedata`` at import are exact: code points folding to one
-ASCII character go through ``translate``; the few hundred folding to several
-characters go through a literal map, evaluated only on values that contain one.
+"""Text column functions.
+
+All are built-in Spark expressions but for ``fold`` (F2): Spark has no Unicode
+decomposition, so it is one vectorised pass of Arrow's kernels over each batch.
 """
 
 from __future__ import annotations
 
-import sys
-import unicodedata
 from collections.abc import Sequence
-from functools import lru_cache
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-# Python's ASCII whitespace for ``\s`` (Java's ``\s`` misses \x1c-\x1f).
-PY_ASCII_SPACE_CLASS = r"[\t\n\x0B\f\r \x1C-\x1F]"
 # Keyword-token rule.
 STOPWORDS = ("de", "des", "du", "la", "le", "les", "et", "sur", "pour", "fichier")
 MIN_TOKEN_LEN = 3
@@ -31,65 +25,23 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-@lru_cache(maxsize=1)
-def fold_tables() -> tuple[str, str, dict[str, str]]:
-    """(from_chars, to_chars, multi) built from the running Python's Unicode database."""
-    src, dst = [], []
-    multi: dict[str, str] = {}
-    for cp in range(0x80, sys.maxunicode + 1):
-        if 0xD800 <= cp <= 0xDFFF:
-            continue
-        ch = chr(cp)
-        folded = unicodedata.normalize("NFKD", ch).encode("ascii", "ignore").decode("ascii")
-        if len(folded) == 1:
-            src.append(ch)
-            dst.append(folded)
-        elif len(folded) > 1:
-            multi[ch] = folded
-    return "".join(src), "".join(dst), multi
-
-
-@lru_cache(maxsize=1)
-def _fold_plan() -> tuple[str, str, str, dict[str, str]]:
-    """One ``translate`` table doing three jobs: 1->1 folds; each expanding character
-    -> its own marker from a contiguous private-use block (so finding them is one
-    range test instead of a class of hundreds of code points); and deletion of any
-    character already in that block (translate deletes sources without a target)."""
-    src, dst, multi = fold_tables()
-    chars = sorted(multi)
-    markers = [chr(MARKER_BASE + i) for i in range(len(chars))]
-    marker_range = f"[\\x{{{MARKER_BASE:X}}}-\\x{{{MARKER_BASE + max(len(chars) - 1, 0):X}}}]"
-    expansions = {m: multi[ch] for m, ch in zip(markers, chars)}
-    return src + "".join(chars) + "".join(markers), dst + "".join(markers), marker_range, expansions
-
-
-# Private-use plane 15 (folds to nothing): pre-existing characters there are deleted
-# by the same translate, so they cannot be mistaken for markers.
-MARKER_BASE = 0xF0000
-NON_ASCII = r"[^\x00-\x7F]"
+# Python's ASCII white space.
+_SPACES = r"[\t-\r\x1C-\x1F ]+"
+
+
+@F.arrow_udf(StringType())
+def _folded(v: pa.Array) -> pa.Array:
+    plain = pc.replace_substring_regex(pc.utf8_normalize(v, form="NFKD"), r"[^\x00-\x7F]+", "")
+    return pc.ascii_lower(pc.ascii_trim(pc.replace_substring_regex(plain, _SPACES, " "), " "))
 
 
 def fold(c: Column | str) -> Column:
     """NFKD, drop non-ASCII, collapse whitespace runs to one space, strip, lowercase.
 
-    Pure-ASCII values skip the character table entirely.
+    Whole Arrow batches at a time, so a value is decomposed once; several tests on the same
+    folded column share one evaluation.
     """
-    src, dst, marker_range, expansions = _fold_plan()
-    raw = _col(c)
-    x = F.translate(raw, src, dst)
-    if expansions:
-        # Segment i of the text is followed by the expansion of marker i.
-        lookup = F.create_map(*[F.lit(v) for kv in sorted(expansions.items()) for v in kv])
-        segments = F.split(x, marker_range, -1)
-        hits = F.regexp_extract_all(x, F.lit(f"({marker_range})"), 1)
-        expanded = F.array_join(
-            F.zip_with(segments, hits, lambda seg, hit: F.concat(seg, F.coalesce(F.try_element_at(lookup, hit), F.lit("")))),
-            "",
-        )
-        x = F.when(x.rlike(marker_range), expanded).otherwise(x)
-    x = F.when(raw.rlike(NON_ASCII), F.regexp_replace(x, NON_ASCII, "")).otherwise(raw)
-    x = F.regexp_replace(x, PY_ASCII_SPACE_CLASS + "+", " ")
-    return F.lower(F.trim(x))
+    return _folded(_col(c))
 
 
 def concat_truthy(*cols: Column | str) -> Column:

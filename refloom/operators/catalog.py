@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from refloom.functions.text import DATASET_TERMS, concat_truthy, first_truthy, fold, keyword_score, safe_file_name
@@ -33,14 +33,17 @@ def dataset_key(df: DataFrame):
 def dedupe_datasets(df: DataFrame, order: Sequence[str] = ("query_pos", "item_pos")) -> DataFrame:
     """First-seen record per key across ordered queries.
 
-    An aggregate (``min_by`` over the order) rather than a window: records without
-    any id all share the key '', which may be a large part of the input; the
-    partial aggregation keeps one row per key per task before the shuffle.
+    The first place per key is an aggregate over the key and the order alone, so neither
+    texts nor whole records are sorted or shuffled; the records are then fetched by a semi
+    join on (key, place). Records without any id all share the key '', which may be a large
+    part of the input: one row per key and task leaves for the shuffle. Records that share
+    both key and place are one record read twice; one of them stays.
     """
     keyed = df.withColumn("dataset_key", dataset_key(df))
-    cols = [c for c in keyed.columns if c != "dataset_key"]
-    first = F.min_by(F.struct(*cols), F.struct(*[F.col(c) for c in order]))
-    return keyed.groupBy("dataset_key").agg(first.alias("r")).select("dataset_key", "r.*")
+    place = F.struct(*[F.col(c) for c in order])
+    firsts = keyed.groupBy("dataset_key").agg(F.min(place).alias("_first")).select("dataset_key", "_first.*")
+    found = keyed.join(firsts, ["dataset_key", *order], "left_semi").dropDuplicates(["dataset_key"])
+    return found.select("dataset_key", *df.columns)
 
 
 def score_datasets(df: DataFrame) -> DataFrame:
@@ -62,11 +65,15 @@ def matching_resources(resources: DataFrame, year: int) -> DataFrame:
     Order by title (missing as '') then position with ``orderBy`` when a listing is
     needed (O4); the filter itself keeps every matching row.
     """
+    return resources.filter(_is_reference_table(resources, year))
+
+
+def _is_reference_table(resources: DataFrame, year: int) -> Column:
     text = fold(concat_truthy(*[_opt(resources, c) for c in RESOURCE_FIELDS]))
     cond = text.contains(str(int(year)))
     for term in RESOURCE_TERMS:
         cond = cond & text.contains(term)
-    return resources.filter(cond)
+    return cond
 
 
 def ordered_listing(resources: DataFrame, pos: str = "pos") -> DataFrame:
@@ -94,6 +101,24 @@ def split_missing_url(resources: DataFrame) -> tuple[DataFrame, DataFrame]:
     return ok, rejects
 
 
+def no_match_rejects(resources: DataFrame, year: int, dataset: str = "dataset_id") -> DataFrame:
+    """P10's errors as data: datasets with resources of which none is a reference table of
+    the year, one row each with a reason. An aggregate."""
+    hit = _is_reference_table(resources, year).cast("int")
+    found = resources.groupBy(dataset).agg(F.count(F.lit(1)).alias("n_resources"), F.max(hit).alias("_any"))
+    return found.filter(F.col("_any") == 0).select(
+        dataset, "n_resources", F.lit(f"no reference table of {int(year)}").alias("reason")
+    )
+
+
+def no_dataset_reject(scored: DataFrame) -> DataFrame:
+    """O3's error as data: one row with a reason when no record scores above zero, else none."""
+    best = scored.agg(F.count(F.lit(1)).alias("n_datasets"), F.max("score").alias("_best"))
+    return best.filter(F.coalesce("_best", F.lit(0)) <= 0).select(
+        "n_datasets", F.lit("no dataset mentions what is looked for").alias("reason")
+    )
+
+
 def reference_tables(datasets: DataFrame, resources: DataFrame, year: int, dataset_key: str = "slug",
                      resource_key: str = "dataset_id") -> DataFrame:
     """Best dataset (U5, F4, O3) -> its resources that are the year's reference

@@ -226,25 +226,27 @@ def collect_candidates(
     """U6 + U4 (+P16) for search queries: pages ``(query, stage, page_pos, page_url,
     html)`` fetched per stage (0 search page, 1 result pages, 2 web results, 3
     sitemap pages) -> per query, the candidate links of the first stage that yields
-    any, first-seen over (page_pos, link position). On ``self_link_stages`` a page
-    URL that is itself a file link comes first; on ``relevance_stage`` the page
-    relevance filter (P16) applies with the query's keywords.
+    any, first-seen over (page_pos, link_pos). On ``self_link_stages`` a page URL that
+    is itself a file link comes first (link_pos 0; the page's links follow from 1); on
+    ``relevance_stage`` the page relevance filter (P16) judges the page's links, and
+    them alone, by the query's keywords.
 
-    Rows ``(query, stage, pos, link)``; all decisions are per page row or
+    Rows ``(query, stage, link, page_pos, link_pos)``; all decisions are per page row or
     aggregates per query.
     """
     file_path = candidate_kw.get("file_path", L.FILE_PATH)
-    arr = candidate_link_array("html", **candidate_kw)
-    is_self = F.col("stage").isin(*[int(x) for x in self_link_stages]) & F.lower("page_url").contains(file_path.lower())
-    links = F.when(is_self, F.concat(F.array(F.col("page_url")), arr)).otherwise(arr)
-    plain = pages.filter(F.col("stage") != relevance_stage).select(
-        "query", "stage", "page_pos", F.posexplode(links).alias("link_pos", "link")
-    )
+    links = candidate_link_array("html", **candidate_kw)
+    keep = ["query", "stage", "page_pos"]
+    plain = pages.filter(F.col("stage") != relevance_stage).select(*keep, F.posexplode(links).alias("pos", "link"))
     relevant = page_relevance(
         pages.filter(F.col("stage") == relevance_stage).withColumn("_links", links),
-        ["query", "stage", "page_pos"], "html", F.col("_links"), dict(keywords_by_query or {}), keyword_key="query",
-    ).withColumnRenamed("pos", "link_pos")
-    first = first_nonempty_stage(plain.unionByName(relevant), ["query"])
+        keep, "html", F.col("_links"), dict(keywords_by_query or {}), keyword_key="query",
+    )
+    # a page that is itself a file stands before its links, whatever they are judged to be
+    is_self = F.col("stage").isin(*[int(x) for x in self_link_stages]) & F.lower("page_url").contains(file_path.lower())
+    own = pages.filter(is_self).select(*keep, F.lit(-1).alias("pos"), F.col("page_url").alias("link"))
+    found = plain.unionByName(relevant).unionByName(own).withColumn("link_pos", F.col("pos") + 1).drop("pos")
+    first = first_nonempty_stage(found, ["query"])
     ordered = first.withColumn("_ord", F.struct("page_pos", "link_pos"))
     firsts = ordered.groupBy("query", "stage", "link").agg(F.min("_ord").alias("_ord"))
     return firsts.select("query", "stage", "link", F.col("_ord.page_pos").alias("page_pos"),
@@ -433,6 +435,12 @@ def _by_rule(rules, value_of, default=None) -> Column:
     return out.otherwise(default) if default is not None else out
 
 
+def source_rejects(chosen: DataFrame, kinds: Sequence[str] = ("codes", "units", "history")) -> DataFrame:
+    """X4's error as data: the kinds for which no source was chosen, with a reason."""
+    wanted = chosen.sparkSession.createDataFrame([(k,) for k in kinds], "kind string")
+    return wanted.join(chosen.select("kind").distinct(), "kind", "left_anti").select("kind", F.lit("no source found").alias("reason"))
+
+
 def choose_sources(df: DataFrame, target_year: int, rules=SOURCE_RULES) -> DataFrame:
     """Per source kind, the file to use.
 

@@ -268,6 +268,54 @@ def page_relevance(spark, sf):
     return LO.page_relevance(_pages(spark, sf), ["page_id"], "html", arr, kw)
 
 
+# ------------------------------------------------------------------ U6, P16: the search chain
+# Sixteen queries over the pages, four for each stage that answers them; pages of stage 0
+# without a link come before. The last four are judged by keywords.
+CHAIN_KEYWORDS = {"q12": ["the"], "q13": ["zzz"], "q14": [], "q15": ["blog", "/de/1"]}
+_CHAIN_STAGE = "CASE WHEN page_id % 48 < 16 THEN 0 ELSE page_id % 16 // 4 END"
+_CHAIN_HTML = "CASE WHEN page_id % 48 < 16 THEN '' ELSE html END"
+_CHAIN_URL = f"CASE WHEN page_id % 3 = 0 THEN {sq(BASE + FPATH)} || 'x/' || page_id || '.zip' ELSE replace(url, {sq(FPATH)}, '/s') END"
+_CHAIN_HIT = " OR ".join(
+    f"(query = {sq(q)} AND (contains(folded, {sq(w)}) OR contains({FOLD('link')}, {sq(w)})))" for q, ws in CHAIN_KEYWORDS.items() for w in ws
+)
+
+
+@query(
+    "search_chain",
+    _with(
+        (("chain", f"""SELECT page_id, 'q' || page_id % 16 AS query, {_CHAIN_STAGE} AS stage, {_CHAIN_URL} AS page_url,
+                              {_CHAIN_HTML} AS html FROM pages"""),)
+        + tuple((n, q.replace("FROM pages", "FROM chain")) for n, q in CANDIDATE_CTES)
+        + (
+            ("judged", f"""SELECT query, stage, page_id, pos, link, stage = 3 AS judged, ({_CHAIN_HIT}) AS hit
+                           FROM cand JOIN (SELECT page_id, query, stage, {FOLD('html')} AS folded FROM chain) USING (page_id)"""),
+            ("kept", """SELECT query, stage, page_id, pos + 1 AS link_pos, link FROM judged
+                        WHERE NOT judged OR hit OR page_id NOT IN (SELECT page_id FROM judged WHERE hit)
+                        UNION ALL
+                        SELECT query, stage, page_id, 0, page_url FROM chain
+                        WHERE stage >= 2 AND contains(lower(page_url), """ + sq(FPATH) + """)"""),
+            ("first", "SELECT query, min(stage) AS stage FROM kept GROUP BY query"),
+        ),
+        """SELECT query, stage, link, min_by(page_id, (page_id, link_pos)) AS page_pos,
+                  CAST(min_by(link_pos, (page_id, link_pos)) AS INTEGER) AS link_pos
+           FROM kept JOIN first USING (query, stage) GROUP BY query, stage, link""",
+    ),
+    "U6 U4 P16: first stage with a link, self links, page relevance by query",
+)
+def search_chain(spark, sf):
+    i = F.col("page_id")
+    empty = i % 48 < 16
+    own = F.concat(F.lit(f"{BASE}{FPATH}x/"), i.cast("string"), F.lit(".zip"))
+    pages = _pages(spark, sf).select(
+        F.concat(F.lit("q"), (i % 16).cast("string")).alias("query"),
+        F.when(empty, 0).otherwise(F.floor(i % 16 / 4)).alias("stage"),
+        i.alias("page_pos"),
+        F.when(i % 3 == 0, own).otherwise(F.replace("url", F.lit(FPATH), F.lit("/s"))).alias("page_url"),
+        F.when(empty, F.lit("")).otherwise(F.col("html")).alias("html"),
+    )
+    return LO.collect_candidates(pages, CHAIN_KEYWORDS, base=BASE, host=HOST, marker=MARKER, file_path=FPATH)
+
+
 # ------------------------------------------------------------------ F14, A8, F15, O1, O2, F20-F22
 _YEARS = "CAST(regexp_extract_all(lower(link), '(19[0-9]{2}|20[0-9]{2})', 1) AS INTEGER[])"
 

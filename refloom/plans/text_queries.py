@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from refloom.functions.text import STOPWORDS, concat_truthy, fold, keyword_tokens
@@ -174,3 +175,71 @@ def safe_file_name(spark, sf):
 def reference_tables(spark, sf):
     out = catalog.reference_tables(B.datasets(spark, sf), B.resources(spark, sf), COMPOSITE_YEAR)
     return out.select("dataset_id", "pos", "title", "url", "format", "file_name")
+
+
+_LISTED = """SELECT row_number() OVER (ORDER BY coalesce(title, ''), pos) AS place, pos, title FROM
+             (SELECT * FROM resources ORDER BY coalesce(title, ''), pos LIMIT 100)"""
+
+
+@query("resource_listing", with_views(("resources",), _LISTED), "O4: order by title, then position; the listing's first hundred")
+def resource_listing(spark, sf):
+    top = catalog.ordered_listing(B.resources(spark, sf)).limit(100)  # a report of a fixed length
+    order = Window.orderBy(F.coalesce("title", F.lit("")), "pos")
+    return top.select(F.row_number().over(order).cast("long").alias("place"), "pos", "title")
+
+
+_GAPPY = """SELECT dataset_id, pos, CASE WHEN pos % 5 <> 0 THEN title END AS title,
+                   CASE WHEN pos % 3 = 0 THEN '' WHEN pos % 3 = 2 THEN url END AS url,
+                   CASE WHEN pos % 4 = 0 THEN url END AS latest FROM resources"""
+
+
+@query(
+    "resource_urls",
+    with_views(
+        ("resources",),
+        f"""SELECT dataset_id, pos, (nullif(url, '') IS NOT NULL OR latest IS NOT NULL) AS has_url,
+                   CASE WHEN nullif(url, '') IS NULL AND latest IS NULL
+                        THEN concat('resource ', chr(39), coalesce(nullif(title, ''), '<untitled>'), chr(39), ' has no URL') END AS reason
+            FROM ({_GAPPY})""",
+    ),
+    "F7: resources with a URL, and rejects with a reason",
+)
+def resource_urls(spark, sf):
+    pos = F.col("pos")
+    gappy = B.resources(spark, sf).select(
+        "dataset_id", "pos", F.when(pos % 5 != 0, F.col("title")).alias("title"),
+        F.when(pos % 3 == 0, F.lit("")).when(pos % 3 == 2, F.col("url")).alias("url"),
+        F.when(pos % 4 == 0, F.col("url")).alias("latest"),
+    )
+    ok, rejects = catalog.split_missing_url(gappy)
+    return ok.select("dataset_id", "pos", F.lit(True).alias("has_url"), F.lit(None).cast("string").alias("reason")).unionAll(
+        rejects.select("dataset_id", "pos", F.lit(False), "reason")
+    )
+
+
+_REJECT_YEAR = 2022
+
+
+@query(
+    "catalog_rejects",
+    with_views(
+        ("datasets", "resources"),
+        f"""SELECT dataset_id, count(*) AS n, 'no reference table of {_REJECT_YEAR}' AS reason
+            FROM (SELECT dataset_id, {FOLD(TRUTHY('title', 'format', 'url'))} AS t FROM resources)
+            GROUP BY dataset_id
+            HAVING NOT bool_or(contains(t, '{_REJECT_YEAR}') AND contains(t, 'table') AND contains(t, 'refer'))
+            UNION ALL
+            SELECT NULL, count(*), 'no dataset mentions what is looked for'
+            FROM scored WHERE title LIKE 'Corpus%' AND score = 0
+            HAVING count(*) > 0""",
+        extra=_DEDUP,
+    ),
+    "O3 P10: groups without an accepted record, as rows",
+)
+def catalog_rejects(spark, sf):
+    none = catalog.no_match_rejects(B.resources(spark, sf), _REJECT_YEAR)
+    scored = catalog.score_datasets(catalog.dedupe_datasets(B.datasets(spark, sf)))
+    empty = catalog.no_dataset_reject(scored.filter(F.col("title").startswith("Corpus") & (F.col("score") == 0)))
+    return none.select("dataset_id", F.col("n_resources").alias("n"), "reason").unionAll(
+        empty.filter("n_datasets > 0").select(F.lit(None).cast("string"), "n_datasets", "reason")
+    )

@@ -206,3 +206,17 @@ def test_collect_candidates_first_stage_and_self_links(spark):
         got.setdefault(r.query, []).append(r.link.rsplit("/", 1)[-1])
     assert got == {"q1": ["a.csv", "b.csv"], "q2": ["web.zip", "other.csv"], "q3": ["communes.csv", "x.csv"],
                    "q4": ["p.csv", "q.csv"]}
+
+
+def test_self_link_is_not_judged_with_the_links(spark):
+    own = f"{BASE}/51/mouvement.html"
+    html = f'<a href="{L.FILE_PATH}51/plan.csv">p</a>'
+    pages = spark.createDataFrame([("q", 3, 0, own, html)], "query string, stage int, page_pos int, page_url string, html string")
+    rows = LO.collect_candidates(pages, keywords_by_query={"q": ["mouvement"]}).orderBy("link_pos").collect()
+    assert [(r.link, r.link_pos) for r in rows] == [(own, 0), (f"{BASE}/51/plan.csv", 1)]
+
+
+def test_kinds_without_a_source_are_named(spark):
+    df = spark.createDataFrame([("codes", 0, 0, f"{BASE}/1/cog-2025.csv")], "kind string, stage int, pos long, link string")
+    rows = LO.source_rejects(LO.choose_sources(df, 2025)).collect()
+    assert sorted((r.kind, r.reason) for r in rows) == [("history", "no source found"), ("units", "no source found")]
