@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -444,32 +445,53 @@ def source_rejects(chosen: DataFrame, kinds: Sequence[str] = ("codes", "units",
 def choose_sources(df: DataFrame, target_year: int, rules=SOURCE_RULES) -> DataFrame:
     """Per source kind, the file to use.
 
-    Rows ``(kind, stage, pos, link)``: U6 keeps each kind's first stage that has any
+    Rows ``(kind, stage, pos, link)``: U6 takes each kind's first stage that has any
     link; P13 keeps that stage's keyword links (or all of them); each (kind, stage)
     is ranked with its own parameters (O1 for the direct stages, O2 for searches)
-    and its year settled (F20 clamp, or F21 default). One plan for all kinds: the
-    rules are CASE expressions over (kind, stage), the choices aggregates keyed by
-    kind. Rows: ``(kind, stage, link, pos, score, year, selected_year)``.
+    and its year settled (F20 clamp, or F21 default).
+
+    One aggregate per (kind, stage) on numbers alone (combined before the shuffle, so a
+    kind that holds most rows costs no more than another) gives the best place among the
+    keyword links and among all; the few rows it leaves, at most kinds x stages, decide
+    and go back to the links for the chosen one. Rows: ``(kind, stage, link, pos, score,
+    year, selected_year)``.
     """
     t = int(target_year)
-    staged = first_nonempty_stage(df, ["kind"])
     empty = F.array().cast("array<string>")
     keywords = _by_rule(
         rules, lambda r: F.array(*[F.lit(w) for w in r["keywords"]]) if r["keywords"] else empty, empty
     )
-    kept = keyword_filter(staged, ["kind"], "link", keywords)
+    low = F.lower("link")
     accepted = _by_rule(rules, lambda r: L.ends_with_any("link", r["extensions"]), F.lit(False))
     # the year is computed once per row; every rule's score reads the column
-    dated = kept.filter(accepted).withColumn("year", L.best_year("link"))
+    dated = df.withColumn("year", L.best_year("link"))
     score = _by_rule(
         rules,
         lambda r: L.link_score(F.col("link"), None if r["target"] is None else t + r["target"],
                                preferred_tokens=r["tokens"], year=F.col("year"), **r["params"]),
     )
-    scored = dated.withColumn("score", score)
-    order = F.struct(F.col("score"), (-F.col("pos")).alias("neg_pos"))
-    best = scored.groupBy("kind").agg(F.max_by(F.struct("stage", "link", "pos", "score", "year"), order).alias("b"))
-    chosen = best.select("kind", "b.stage", "b.link", "b.pos", "b.score", "b.year")
+    # best score first, then lowest position, as one number
+    rank = score.cast("decimal(18,0)") * F.lit(Decimal(10**19)) - F.col("pos")
+    scored = dated.select(
+        "kind", "stage", "pos", "link", "year", score.alias("score"),
+        F.exists(keywords, lambda k: low.contains(F.lower(k))).alias("_hit"),
+        F.when(accepted, rank.cast("decimal(38,0)")).alias("_rank"),
+    )
+    per_stage = scored.groupBy("kind", "stage").agg(
+        F.max(F.col("_hit").cast("int")).alias("_any"), F.max(F.when(F.col("_hit"), F.col("_rank"))).alias("_best_hit"),
+        F.max("_rank").alias("_best"),
+    )
+    first = Window.partitionBy("kind").orderBy("stage")
+    winners = (
+        per_stage.withColumn("_nth", F.row_number().over(first)).filter("_nth = 1")
+        .select("kind", "stage", F.when(F.col("_any") == 1, F.col("_best_hit")).otherwise(F.col("_best")).alias("_rank"))
+    )
+    # one row a kind; equal rows of a kind and place are one link listed twice
+    chosen = (
+        scored.join(F.broadcast(winners), ["kind", "stage", "_rank"])
+        .dropDuplicates(["kind"])
+        .select("kind", "stage", "link", "pos", "score", "year")
+    )
 
     def settle(r):
         rule = r["year"]

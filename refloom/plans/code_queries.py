@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from refloom.functions.codes import valid_code
 from refloom.operators import codes, history, quality, schema, sinks
 from refloom.plans import bindings as B
-from refloom.plans.oracle import METRO, VALID, with_views
+from refloom.plans.oracle import MAP_COLS, METRO, VALID, with_views
 from refloom.plans.registry import query
 from refloom.session import ensure_checkpoint_dir
 
@@ -96,22 +96,19 @@ def _mapping(spark, sf, metro_only):
     )
 
 
-_MAP_COLS = "cog_initial, cog_reference, tuu, tduu, cog_year, target_year"
-
-
-@query("code_mapping_metro", with_views(("event_map",), f"SELECT {_MAP_COLS} FROM event_map WHERE {METRO}"), "X1 J1 J2 U1 A6 P8 K2")
+@query("code_mapping_metro", with_views(("event_map",), f"SELECT {MAP_COLS} FROM event_map WHERE {METRO}"), "X1 J1 J2 U1 A6 P8 K2")
 def code_mapping_metro(spark, sf):
     return _mapping(spark, sf, True)
 
 
-@query("code_mapping_all", with_views(("event_map",), f"SELECT {_MAP_COLS} FROM event_map"), "X1 J1 J2 U1 A6")
+@query("code_mapping_all", with_views(("event_map",), f"SELECT {MAP_COLS} FROM event_map"), "X1 J1 J2 U1 A6")
 def code_mapping_all(spark, sf):
     return _mapping(spark, sf, False)
 
 
 @query(
     "code_mapping_snapshot",
-    with_views(("snap_map",), f"SELECT {_MAP_COLS} FROM snap_map WHERE {METRO}"),
+    with_views(("snap_map",), f"SELECT {MAP_COLS} FROM snap_map WHERE {METRO}"),
     "X1 with a snapshot history (P9 A5)",
 )
 def code_mapping_snapshot(spark, sf):
@@ -142,7 +139,7 @@ def row_count_control(spark, sf):
 
 @query(
     "table_write",
-    with_views(("event_map",), f"SELECT {_MAP_COLS} FROM event_map"),
+    with_views(("event_map",), f"SELECT {MAP_COLS} FROM event_map"),
     "K1 K2 X1: the mapping stored under its year's name and read back",
 )
 def table_write(spark, sf):
@@ -166,7 +163,7 @@ def role_columns(spark, sf):
 
 @query(
     "code_mapping_no_history",
-    with_views(("none_map",), f"SELECT {_MAP_COLS} FROM none_map WHERE {METRO}"),
+    with_views(("none_map",), f"SELECT {MAP_COLS} FROM none_map WHERE {METRO}"),
     "X1 with the empty-history fallback (S9)",
 )
 def code_mapping_no_history(spark, sf):

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from refloom.plans import bindings as B
 from refloom.plans import fixture_files as FF
-from refloom.plans.oracle import CODE
+from refloom.plans.oracle import CODE, MAP_COLS, METRO, with_views
 from refloom.plans.registry import query
+from refloom.session import cut_lineage
 from refloom.sources import archives as A
 from refloom.sources.catalog import read_catalog
 from refloom.sources.dbf import read_dbf
@@ -268,3 +269,37 @@ def archive_rejects(spark, sf):
     loaded = tables["clients"].agg(F.count(F.lit(1)).alias("rows_loaded"))
     rejects = A.archive_rejects(A.list_members(A.archive_index(spark, out)))
     return rejects.select("*", loaded.scalar().alias("rows_loaded"))
+
+
+def _from_boxes(spark, rows, name, names, dbf=False):
+    """Write a table into nested archives, choose each archive's table, and read it."""
+    out = FF.scratch_dir(spark, f"boxed-{name}")
+    FF.write_boxed(rows, name, names, out, dbf)
+    members = A.list_members(A.archive_index(spark, out), descend=True)
+    # the choice and the rows are used several times: each is made once
+    return cut_lineage(A.read_chosen(cut_lineage(A.first_tabular_member(members))))
+
+
+@query(
+    "code_mapping_from_archives",
+    with_views(("event_map",), f"SELECT {MAP_COLS} FROM event_map WHERE {METRO}"),
+    "S1 S2 S3 S10 P1 X1: the mapping from files, CSV and dBASE tables in zips inside zips",
+)
+def code_mapping_from_archives(spark, sf):
+    from refloom.operators import codes
+
+    def numbered(df):
+        # any split of the rows over files gives the same table; files grow in number with the rows
+        files = max(2, df.count() // KEYS_A_FILE)
+        part = F.pmod(F.xxhash64(*df.columns), F.lit(files))
+        return df.select(part.cast("string").alias("file"), F.lit(0).alias("ord"), *df.columns)
+
+    cog, history = B.cog_raw(spark, sf), B.history_raw(spark, sf)
+    units = B.uu_raw(spark, sf).toDF("CODGEO", "TUU2020", "TDUU2020")
+    return codes.code_mapping(
+        _from_boxes(spark, numbered(cog), "liste", cog.columns),
+        _from_boxes(spark, numbered(units), "unites", units.columns, dbf=True),
+        _from_boxes(spark, numbered(history), "mouvements", history.columns),
+        2025,
+        metro_only=True,
+    )

@@ -12,6 +12,8 @@ import csv
 import io
 import json
 import os
+import shutil
+import tempfile
 import uuid
 import zipfile
 
@@ -165,6 +167,48 @@ def write_archives(lines: DataFrame, out: str, spoil: bool = False) -> None:
     _stream_files(lines, "archive", ["member", "ord"], open_file)
 
 
+class _BoxedWriter:
+    """A zip that holds, inside another zip, one table: ``<name>.csv`` or ``<name>.dbf``."""
+
+    def __init__(self, path: str, name: str, names: list[str], widths: list[int] | None):
+        self.path, self.name, self.names, self.widths = path, name, names, widths
+        self.rows, self.n = tempfile.SpooledTemporaryFile(max_size=32 << 20), 0
+
+    def add(self, rows) -> None:
+        cells = [[None if v is None else str(v) for v in r] for r in rows[self.names].itertuples(index=False)]
+        if self.widths:
+            self.rows.write(_dbf_records(list(zip(self.names, self.widths)), cells))
+        else:
+            text = io.StringIO()
+            csv.writer(text, delimiter=";", lineterminator="\n").writerows(cells)
+            self.rows.write(text.getvalue().encode("utf-8"))
+        self.n += len(cells)
+
+    def close(self) -> int:
+        head = (";".join(self.names) + "\n").encode() if not self.widths else _dbf_header(list(zip(self.names, self.widths)), self.n)
+        member = self.name + (".dbf" if self.widths else ".csv")
+        self.rows.seek(0)
+        with tempfile.SpooledTemporaryFile(max_size=32 << 20) as inner:
+            with zipfile.ZipFile(inner, "w", zipfile.ZIP_DEFLATED) as z, z.open(member, "w") as out:
+                out.write(head)
+                shutil.copyfileobj(self.rows, out, 1 << 20)
+            inner.seek(0)
+            with _open_out(self.path) as whole, zipfile.ZipFile(whole, "w") as z:
+                z.writestr("LISEZMOI.txt", "table")
+                with z.open(f"sub/{self.name}.zip", "w") as out:
+                    shutil.copyfileobj(inner, out, 1 << 20)
+        return self.n
+
+
+def write_boxed(rows: DataFrame, name: str, names: list[str], out: str, dbf: bool = False) -> None:
+    """One ``<name>-<file>.zip`` per value of ``file``, its table in a zip inside; rows in ``ord`` order."""
+    widths = None
+    if dbf:
+        widest = rows.agg(*[F.max(F.octet_length(n)).alias(n) for n in names]).first()
+        widths = [max(1, widest[n] or 0) for n in names]
+    _stream_files(rows, "file", ["ord"], lambda k: _BoxedWriter(os.path.join(out, f"{name}-{k}.zip"), name, names, widths))
+
+
 class _TextWriter:
     def __init__(self, path: str, head: str):
         self.out, self.n = _open_out(path), 0

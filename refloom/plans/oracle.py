@@ -115,6 +115,7 @@ def PAIRS(history: str) -> str:
         UNION SELECT code, code FROM (SELECT code FROM {history} EXCEPT SELECT code FROM resolved)"""
 
 
+MAP_COLS = "cog_initial, cog_reference, tuu, tduu, cog_year, target_year"
 METRO = "list_contains(list_concat(list_transform(range(1, 96), lambda i: printf('%02d', i)), ['2A', '2B']), cog_initial[1:2])"
 
 DERIVED: dict[str, str] = {

@@ -259,10 +259,11 @@ def first_tabular_member(members: DataFrame) -> DataFrame:
     then nested archives in order). An aggregate; archives without one are absent."""
     tab = members.filter(F.col("suffix").isin(*TABULAR_SUFFIXES) & F.col("error").isNull())
     key = choice_key(F.col("chain"), F.col("member"), F.col("suffix"))
-    best = F.min_by(F.struct("chain", "member", "depth", "suffix"), key)
+    header = F.col("header") if "header" in members.columns else F.lit(None).cast("array<string>").alias("header")
+    best = F.min_by(F.struct("chain", "member", "depth", "suffix", header), key)
     return tab.groupBy("archive", "archive_path").agg(best.alias("b")).select(
         "archive", "archive_path", F.col("b.chain").alias("chain"), F.col("b.member").alias("member"),
-        F.col("b.depth").alias("depth"), F.col("b.suffix").alias("suffix"),
+        F.col("b.depth").alias("depth"), F.col("b.suffix").alias("suffix"), F.col("b.header").alias("header"),
         F.array_join(F.concat(F.col("b.chain"), F.array(F.col("b.member"))), "!/").alias("member_path"),
     )
 
@@ -323,6 +324,55 @@ def read_member_rows(members: DataFrame, columns: Sequence[str], n_tasks: int |
     return rows.hint("rebalance")
 
 
+# ------------------------------------------------------------------ the chosen member, opened
+def _chosen_batches(batches: Iterator[pa.RecordBatch], columns: Sequence[str], batch_rows: int = 8192):
+    """Records of the chosen member of each archive, at any nesting, as text columns."""
+    from refloom.sources import dbf
+
+    place = {c: i for i, c in enumerate(columns)}
+    for batch in batches:
+        for path, chain, member, suffix in zip(*(batch.column(c).to_pylist() for c in ("archive_path", "chain", "member", "suffix"))):
+            with contextlib.ExitStack() as stack:
+                zf = stack.enter_context(zipfile.ZipFile(stack.enter_context(open_path(path))))
+                for name in chain:
+                    zf = stack.enter_context(nested_zip(zf, name))
+                raw = stack.enter_context(zf.open(member))
+                if suffix == ".csv":
+                    _, records = text_records(text_stream(raw))
+                    header = normalize_headers(next(records, []))
+                    blocks = iter(lambda: list(itertools.islice(records, batch_rows)), [])
+                    made = (_columns_of(rows, [place[h] for h in header], len(columns), len(header))[:-1] for rows in blocks)
+                else:
+                    n, length, width, fields = dbf.parse_header(raw)
+                    raw.read(length - raw.tell())
+                    header = normalize_headers([f for f, _, _ in fields])
+                    made = ([b.column(header.index(c)) if c in header else pa.nulls(b.num_rows, pa.string()) for c in columns]
+                            for b in dbf.record_batches(raw, width, fields, n, "utf-8"))
+                for cells in made:
+                    source = pa.array([posixpath.basename(path)] * len(cells[0]), pa.string())
+                    yield pa.RecordBatch.from_arrays([*cells, source], names=[*columns, "archive"])
+
+
+def read_chosen(chosen: DataFrame) -> DataFrame:
+    """S3 -> S10: the rows of the members that ``first_tabular_member`` chose, CSV or dBASE, at
+    any nesting, as text columns united by name, plus ``archive``. Other formats are errors.
+
+    Distinct headers reach the driver (metadata); each member is read by one task.
+    """
+    spark = chosen.sparkSession
+    ship_package(spark)
+    found = chosen.groupBy("suffix", "header").agg(F.min("archive_path").alias("first")).orderBy("first").collect()
+    other = sorted({r["suffix"] for r in found} - {".csv", ".dbf"})
+    if other:
+        raise ArchiveError(f"no reader for members of the kind {', '.join(other)}")
+    columns = union_columns([r["header"] or [] for r in found])
+    schema = ", ".join([*(f"`{c}` string" for c in columns), "archive string"])
+    files = chosen.select("archive_path", "chain", "member", "suffix").repartition(
+        max(1, spark.sparkContext.defaultParallelism * 2), "archive_path"
+    )
+    return files.mapInArrow(lambda it: _chosen_batches(it, columns), schema).hint("rebalance")
+
+
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame | None:
     """Quirk 7's addition: rows per loaded table (the manifest counts files), as one
     lazy plan: a global count per table, unioned."""

@@ -253,3 +253,25 @@ def test_html_gate_files(spark):
     (d / "late.csv").write_bytes(b"x" * 5000 + b"<html>")
     got = {r.path.rsplit("/", 1)[-1]: r.looks_html for r in A.html_gate_files(spark, str(d)).collect()}
     assert got == {"page.csv": True, "data.csv": False, "late.csv": False}
+
+
+def test_chosen_members_are_opened_at_any_nesting(spark):
+    from refloom.plans.fixture_files import dbf_bytes
+
+    src = _tmp()
+    with zipfile.ZipFile(src / "a.zip", "w") as z:
+        z.writestr("in/box.zip", _nested_zip("t.csv", "Id;Été\n1;x\n2\n"))
+    table = io.BytesIO()
+    with zipfile.ZipFile(table, "w") as z:
+        z.writestr("deep/box.zip", _nested_zip("u.dbf", dbf_bytes([("ID", 3), ("SIZE", 2)], [["é", "5"], ["7", ""]])))
+    with zipfile.ZipFile(src / "b.zip", "w") as z:
+        z.writestr("box.zip", table.getvalue())
+    members = A.list_members(A.archive_index(spark, str(src)), descend=True)
+    rows = A.read_chosen(A.first_tabular_member(members))
+    assert rows.columns == ["id", "ete", "size", "archive"]
+    assert sorted(map(tuple, rows.collect()), key=repr) == sorted(
+        [("1", "x", None, "a.zip"), ("2", None, None, "a.zip"), ("é", None, "5", "b.zip"), ("7", None, "", "b.zip")], key=repr)
+    with zipfile.ZipFile(src / "c.zip", "w") as z:
+        z.writestr("x.gpkg", b"xx")
+    with pytest.raises(A.ArchiveError, match="gpkg"):
+        A.read_chosen(A.first_tabular_member(A.list_members(A.archive_index(spark, str(src)), descend=True)))
