@@ -143,7 +143,8 @@ def votes(text: str, span: Span) -> list[int]:
     s = text[a:b]
     digits = _NOT_DIGITS.sub("", s)
     around = text[max(0, a - CONTEXT) : a] + " \n " + text[b : b + CONTEXT // 2]
-    strict = 1 if kind in BASE_KINDS else (-1 if kind == "iban" and not iban_valid(s) else 0)
+    # digits that fit no strict pattern speak against; for the other kinds it has no pattern
+    strict = 1 if kind in BASE_KINDS else -1 if kind == "number" or (kind == "iban" and not iban_valid(s)) else 0
     known = 0
     if kind in ("iban", "masked_email") or (kind == "phone" and "(" in s):
         known = 1 if kind != "iban" or iban_valid(s) else -1
@@ -159,8 +160,8 @@ def votes(text: str, span: Span) -> list[int]:
         shape = 1
     elif kind == "name":
         shape = 1 if len(s.split()) >= 3 else 0
-    elif kind == "ip":
-        shape = 0
+    elif kind in ("ip", "card", "iban"):
+        shape = 0  # their strict checks say all that their shape can
     else:
         shape = 1 if 9 <= len(digits) <= 19 and len(s) > len(digits) else -1 if len(digits) < 8 or len(s) == len(digits) else 0
     return [strict, known, listed, int(context), shape]
@@ -199,12 +200,15 @@ def fit_reliabilities(patterns: np.ndarray, counts: np.ndarray, rounds: int = 10
     ``patterns`` (n, labelers) holds -1, 0, 1; labelers are independent given the truth.
     Each labeler has a distribution over its three answers for real and for false spans,
     with a pseudo-count of one on each answer and three on "yes" for real and "no" for
-    false ones, so a labeler that never speaks stays neutral. Starts from the majority.
+    false ones, so a labeler that never speaks stays neutral. Starts from the majority. Two
+    bounds keep the classes what they are called: no labeler counts against its own word,
+    and a span that nobody votes for is not personal.
     """
     if not len(patterns):
         return np.zeros(0), {"prior": prior, "answers": np.full((2, patterns.shape[1], 3), 1 / 3)}
     answer = patterns + 1
-    post = 1 / (1 + np.exp(-2.0 * patterns.sum(axis=1)))
+    named = (patterns > 0).any(axis=1)
+    post = np.where(named, 1 / (1 + np.exp(-2.0 * patterns.sum(axis=1))), 0.0)
     pseudo = np.ones((2, patterns.shape[1], 3))
     pseudo[0, :, 0] += 3
     pseudo[1, :, 2] += 3
@@ -220,9 +224,9 @@ def fit_reliabilities(patterns: np.ndarray, counts: np.ndarray, rounds: int = 10
         score = np.log(prior) - np.log1p(-prior)
         for lab in range(patterns.shape[1]):
             ratio = np.log(answers[1, lab]) - np.log(answers[0, lab])
-            ratio[1] = 0.0  # saying nothing is no evidence
+            ratio = np.array([min(ratio[0], 0.0), 0.0, max(ratio[2], 0.0)])  # nothing said: no evidence
             score = score + ratio[answer[:, lab]]
-        new = 1 / (1 + np.exp(-np.clip(score, -30, 30)))
+        new = np.where(named, 1 / (1 + np.exp(-np.clip(score, -30, 30))), 0.0)
         if np.abs(new - post).max() < 1e-9:
             break
         post = new
