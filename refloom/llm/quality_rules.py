@@ -77,7 +77,7 @@ def fit_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", sa
     found = sampled_lines(drawn.select(F.xxhash64("doc_id").alias("key"), "text"), "text", SAMPLE_LINES)
     found.sort(key=lambda r: (r.key, r.lines, bytes(r.x)))
     x, lengths = as_batch(found[:sample])
-    return crf.train(x, seed_labels(x), crf.windows(lengths, 200))
+    return crf.train(x, seed_labels(x), crf.windows(lengths, 200), ridge=1e-4, rounds=300)
 
 
 def with_line_counts(docs: DataFrame, model: crf.Crf, text: str, prefix: str) -> DataFrame:
