@@ -2,8 +2,7 @@
 
 Subpackages: ``functions`` (Column expressions), ``operators`` (DataFrame operators),
 ``sources`` (archive / CSV / attribute-table / catalog readers), ``plans`` (bindings
-to the driver tables, registered queries and their oracle SQL), ``streaming``
-(intentionally empty: the reference has no streaming path).
+to the driver tables, registered queries and their oracle SQL).
 """
 
 __version__ = "0.1.0"

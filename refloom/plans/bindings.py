@@ -82,17 +82,19 @@ def history_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """File links ``(grp, pos, link)`` from ``pages``: 7 groups, position = page id."""
+    """File links ``(grp, pos, link)`` from ``pages``: 7 groups, position = page id. The file's
+    kind comes from the page's language, its suffix from how the url ends, its year from
+    the length of the markup."""
     p = table(spark, sf_dir, "pages")
-    i = F.col("page_id")
-    name = F.when(i % 3 == 0, "/cog_").when(i % 3 == 1, "/base_tu_2020_").otherwise("/map_")
+    i, url = F.col("page_id"), F.col("url")
+    name = F.when(url.contains("/en/"), "/cog_").when(url.contains("/fr/"), "/base_tu_2020_").otherwise("/map_")
     ext = (
-        F.when(i % 5 == 0, ".csv").when(i % 5 == 1, ".xlsx").when(i % 5 == 2, ".xls").when(i % 5 == 3, ".zip")
-        .otherwise(".html")
+        F.when(url.contains("?page"), ".csv").when(url.contains("?utm"), ".xlsx").when(url.contains("#"), ".xls")
+        .when(url.endswith("/"), ".zip").when(url.endswith(".html"), ".html").otherwise(".csv")
     )
     link = F.concat(
         F.lit("https://data.example.org/fr/statistiques/fichier/"), i.cast("string"), name,
-        (F.lit(2015) + i % 15).cast("string"), ext,
+        (F.lit(2015) + F.length("html") % 15).cast("string"), ext,
     )
     return p.select(F.concat(F.lit("g"), (i % 7).cast("string")).alias("grp"), i.alias("pos"), link.alias("link"))
 

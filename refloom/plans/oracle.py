@@ -47,10 +47,11 @@ VIEWS: dict[str, str] = {
     "links": """
         SELECT 'g'||CAST(page_id%7 AS VARCHAR) AS grp, page_id AS pos,
                'https://data.example.org/fr/statistiques/fichier/'||CAST(page_id AS VARCHAR)
-               ||CASE page_id%3 WHEN 0 THEN '/cog_' WHEN 1 THEN '/base_tu_2020_' ELSE '/map_' END
-               ||CAST(2015+page_id%15 AS VARCHAR)
-               ||CASE page_id%5 WHEN 0 THEN '.csv' WHEN 1 THEN '.xlsx' WHEN 2 THEN '.xls' WHEN 3 THEN '.zip'
-                                ELSE '.html' END AS link
+               ||CASE WHEN contains(url, '/en/') THEN '/cog_' WHEN contains(url, '/fr/') THEN '/base_tu_2020_' ELSE '/map_' END
+               ||CAST(2015+length(html)%15 AS VARCHAR)
+               ||CASE WHEN contains(url, '?page') THEN '.csv' WHEN contains(url, '?utm') THEN '.xlsx'
+                      WHEN contains(url, '#') THEN '.xls' WHEN url LIKE '%/' THEN '.zip'
+                      WHEN url LIKE '%.html' THEN '.html' ELSE '.csv' END AS link
         FROM pages""",
     "members": """
         SELECT regexp_replace(regexp_replace(url,'^https?://',''),'/.*$','') AS archive,
