@@ -110,7 +110,7 @@ def code_mapping(
     resolution = resolve_reference(codes_raw)
     if resolve_history and not hist.is_snapshot(history_raw):
         e = hist.edges(history_raw)
-        term = hist.terminals(hist.walk(e)).select(F.col("origin_code").alias("code"), "current_code")
+        term = hist.deepest(e).select(F.col("origin_code").alias("code"), "current_code")
         codes = hist.edge_codes(e)
         moved = codes.join(term, "code", "left").select("code", F.coalesce("current_code", "code").alias("_lookup"))
         pairs = mapping_pairs(resolution, moved, lookup="_lookup")

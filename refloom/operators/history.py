@@ -113,6 +113,40 @@ def terminals(walk_rows: DataFrame) -> DataFrame:
     )
 
 
+def deepest(e: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
+    """G2 without the walk: per origin, a deepest code within ``max_depth`` steps and its depth;
+    ties go to the smallest code.
+
+    Only the pairs 1, 2, 4, 8, 16 … steps apart are kept, each joined from the one before.
+    Every origin then takes the longest of them that leads anywhere from all the codes it
+    stands on, then the next shorter one: if some walk has d steps, so has one for every
+    smaller number, so what is taken adds up to the deepest. Same rows as ``terminals(walk(e))``.
+    """
+    pair = e.select(F.col("old_code").alias("a"), F.col("new_code").alias("b")).distinct()
+    layers, span = [cut_lineage(pair)], 1
+    while 2 * span <= max_depth:
+        last = layers[-1]
+        double = last.alias("x").join(last.alias("y"), F.col("x.b") == F.col("y.a")).select("x.a", "y.b").distinct()
+        double = cut_lineage(double)
+        if double.isEmpty():
+            break
+        layers.append(double)
+        span *= 2
+    at = layers[0].select(F.col("a").alias("origin_code"), F.col("a").alias("current_code"), F.lit(0).alias("depth")).distinct()
+    for k in reversed(range(len(layers))):
+        step = 1 << k
+        ahead = (
+            at.filter(F.col("depth") <= max_depth - step)
+            .join(layers[k], F.col("current_code") == F.col("a"))
+            .select("origin_code", F.col("b").alias("current_code"), (F.col("depth") + step).alias("depth"))
+            .distinct()
+        )
+        ahead = cut_lineage(ahead)
+        at = cut_lineage(ahead.unionByName(at.join(ahead.select("origin_code").distinct(), "origin_code", "left_anti")))
+    # an origin's rows all have its depth
+    return at.groupBy("origin_code").agg(F.min("current_code").alias("current_code"), F.max("depth").alias("depth"))
+
+
 def empty_history(spark) -> DataFrame:
     """The fallback history, two text columns and no rows."""
     return spark.createDataFrame([], "old_code string, new_code string")

@@ -87,7 +87,7 @@ def history_walk(spark, sf):
     "G2 W1",
 )
 def history_terminal(spark, sf):
-    return history.terminals(history.walk(history.edges(B.history_raw(spark, sf))))
+    return history.deepest(history.edges(B.history_raw(spark, sf)))
 
 
 def _mapping(spark, sf, metro_only):

@@ -90,6 +90,18 @@ def test_walk_matches_steps_by_hand(spark):
     assert {tuple(r) for r in history.walk(e).collect()} == wanted
 
 
+def test_deepest_is_the_walks_last_row(spark):
+    import random
+
+    rng = random.Random(1)
+    pairs = [("X", "Y"), ("Y", "X"), ("s", "t"), ("s", "u"), ("t", "z"), ("u", "y")]
+    pairs += [(f"c{i:02d}", f"c{i + 1:02d}") for i in range(30)] + [(f"r{rng.randrange(40)}", f"r{rng.randrange(40)}") for _ in range(35)]
+    e = spark.createDataFrame([p for p in pairs if p[0] != p[1]], "old_code string, new_code string")
+    for depth in (1, 3, 20):
+        walked = history.terminals(history.walk(e, depth)).collect()
+        assert sorted(map(tuple, history.deepest(e, depth).collect())) == sorted(map(tuple, walked))
+
+
 def test_snapshot_layout_uses_codes_only(spark):
     snap = spark.createDataFrame(
         [("01001", "2020-01-01", "2021-01-01"), ("01999", "2020-01-01", None), ("bad", "x", "y")],
