@@ -12,6 +12,8 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 from decimal import Decimal
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -284,11 +286,24 @@ def best_link(
 ) -> DataFrame:
     """O1 (``params=SELECT_FOR_YEAR`` + tokens + extensions) / O2 (``PICK_BEST``): per
     group the link with the highest score, then the lowest position. Groups without
-    an accepted link produce no row. An aggregate (``max_by``), skew-safe."""
+    an accepted link produce no row.
+
+    The best place per group is an aggregate on one number (hashed, combined before the
+    shuffle); the chosen rows, one a group, are then fetched by a join on group and place.
+    Rows of a group that share both are one link listed twice."""
     scored = score_links(df, link, target_year, params, preferred_tokens, accepted_extensions)
-    order = F.struct(F.col("score"), (-F.col(pos)).alias("neg_pos"))
-    pick = F.max_by(F.struct(F.col(link).alias("link"), F.col(pos).alias("pos"), "score", "year"), order)
-    return scored.groupBy(*keys).agg(pick.alias("b")).select(*keys, "b.link", "b.pos", "b.score", "b.year")
+    rows = scored.select(
+        *keys, F.col(link).alias("link"), F.col(pos).alias("pos"), "score", "year", best_first(F.col("score"), F.col(pos)).alias("_rank")
+    )
+    best = rows.groupBy(*keys).agg(F.max("_rank").alias("_rank"))
+    same = reduce(and_, [F.col(f"r.`{k}`").eqNullSafe(F.col(f"b.`{k}`")) for k in [*keys, "_rank"]])
+    found = rows.alias("r").join(best.alias("b"), same, "left_semi").dropDuplicates(list(keys))
+    return found.select(*keys, "link", "pos", "score", "year")
+
+
+def best_first(score: Column, pos: Column) -> Column:
+    """Score, then lowest position, as one number whose maximum is the best."""
+    return (score.cast("decimal(18,0)") * F.lit(Decimal(10**19)) - pos).cast("decimal(38,0)")
 
 
 def link_rejects(df: DataFrame, keys: Sequence[str], accepted_extensions: Sequence[str], link: str = "link") -> DataFrame:
@@ -470,12 +485,10 @@ def choose_sources(df: DataFrame, target_year: int, rules=SOURCE_RULES) -> DataF
         lambda r: L.link_score(F.col("link"), None if r["target"] is None else t + r["target"],
                                preferred_tokens=r["tokens"], year=F.col("year"), **r["params"]),
     )
-    # best score first, then lowest position, as one number
-    rank = score.cast("decimal(18,0)") * F.lit(Decimal(10**19)) - F.col("pos")
     scored = dated.select(
         "kind", "stage", "pos", "link", "year", score.alias("score"),
         F.exists(keywords, lambda k: low.contains(F.lower(k))).alias("_hit"),
-        F.when(accepted, rank.cast("decimal(38,0)")).alias("_rank"),
+        F.when(accepted, best_first(score, F.col("pos"))).alias("_rank"),
     )
     per_stage = scored.groupBy("kind", "stage").agg(
         F.max(F.col("_hit").cast("int")).alias("_any"), F.max(F.when(F.col("_hit"), F.col("_rank"))).alias("_best_hit"),

@@ -56,5 +56,6 @@ def looks_like_html(content: Column, sniff_bytes: int = SNIFF_BYTES) -> Column:
 
 
 def html_gate_text(text: Column, sniff_bytes: int = SNIFF_BYTES) -> Column:
-    """K5 for text columns: encode to UTF-8 bytes first, so the window is in bytes."""
-    return looks_like_html(F.encode(text, "UTF-8"), sniff_bytes)
+    """K5 for text columns: the window is in UTF-8 bytes, so no more than that many characters
+    are encoded."""
+    return looks_like_html(F.encode(F.substring(text, 1, sniff_bytes), "UTF-8"), sniff_bytes)

@@ -78,7 +78,7 @@ def sniff_delimiter(first_line: str) -> str:
 
 def _looks_html(head: bytes) -> bool:
     """K5 on bytes: a doctype or an html tag among the first characters, in any case."""
-    return re.search(rb"<(?:!doctype )?html", head[:SNIFF_BYTES].replace(b"\x00", b""), re.IGNORECASE) is not None
+    return re.search(rb"<(?:!doctype )?html", head[:SNIFF_BYTES], re.IGNORECASE) is not None
 
 
 def text_stream(raw) -> io.TextIOWrapper:

@@ -7,7 +7,7 @@ record's position in its list.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 RESOURCE = (
@@ -21,10 +21,11 @@ def read_catalog(spark: SparkSession, path: str) -> DataFrame:
     raw = spark.read.schema(RESPONSE_SCHEMA).option("multiLine", True).json(path).withColumn(
         "file", F.col("_metadata.file_path")
     )
-    files = sorted(r[0] for r in raw.select("file").distinct().collect())  # one row per response file
-    order = spark.createDataFrame([(f, i) for i, f in enumerate(files)], "file string, query_pos int")
+    # ranking the files takes one row a file, wherever their records are
+    in_order = Window.orderBy("file")
+    order = raw.select("file").distinct().select("file", (F.row_number().over(in_order) - 1).alias("query_pos"))
     items = F.coalesce(F.when(F.size("data") > 0, F.col("data")), F.col("results"))
-    out = raw.join(F.broadcast(order), "file").select("query_pos", F.posexplode(items).alias("item_pos", "d"))
+    out = raw.join(order, "file").select("query_pos", F.posexplode(items).alias("item_pos", "d"))
     return out.select(
         "query_pos", "item_pos", "d.id", "d.slug", "d.page", "d.title", "d.description",
         F.coalesce(F.size("d.resources"), F.lit(0)).alias("n_resources"), "d.resources",
