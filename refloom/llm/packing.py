@@ -64,7 +64,7 @@ class WordTokenizer:
 
     _WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
     _OTHER = re.compile(r"[^\t-\r -~\xa0-\xb1\xb4-\xb8\xba\xbb\xbf-įı-ſ‐-‧]|<\|")
-    _KEPT = 300_000
+    _KEPT = 150_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
