@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: A word is a maximal run of characters other than space and U+0009 to U+000D.
@@ -36,6 +37,12 @@ def fresh(df: DataFrame, base: str) -> str:
     return base
 
 
+def row_key(df: DataFrame) -> Column:
+    """A digest of all columns of a row: rows with the same one are copies of each other."""
+    exact = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+    return F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), exact))
+
+
 def arrow_type(kind: T.DataType) -> pa.DataType:
     if isinstance(kind, T.ArrayType):
         return pa.list_(arrow_type(kind.elementType))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from refloom.llm.common import WORD, fresh
+from refloom.llm.common import WORD, fresh, row_key
 from refloom.session import cut_lineage
 
 #: Hex digits of the key that are split into ranges.
@@ -86,8 +86,13 @@ def mix(
     interchangeable). An empty table gives an empty result. The order depends on the id,
     the size and ``seed`` alone, so reruns agree.
     """
-    size = word_count(F.col(text))
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), size.alias("size"))
+    columns = [F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size")]
+    return _taken(docs.select(*columns), weights, max_epochs, seed)
+
+
+def _taken(rows: DataFrame, weights: Sequence[int], max_epochs: int, seed: str) -> DataFrame:
+    """The mix of ``doc_id, source, size`` and further columns, which order ties and stay in the result."""
+    further = [c for c in rows.columns if c not in ("doc_id", "source", "size")]
     key = F.md5(
         F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("size").cast("string"))
         .cast("binary")
@@ -105,7 +110,7 @@ def mix(
     plan = parts.alias("p").join(targets.alias("t"), F.col("p.source").eqNullSafe(F.col("t.source"))).select(
         "p.source", "p.part", "words_before", "source_size", "target"
     )
-    inside = W.partitionBy("r.source", "r.part").orderBy("key", "doc_id", "size").rowsBetween(W.unboundedPreceding, -1)
+    inside = W.partitionBy("r.source", "r.part").orderBy("key", "doc_id", "size", *further).rowsBetween(W.unboundedPreceding, -1)
     budget = F.floor("target").cast("long")
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0).cast("long")
     rest = budget - epochs * F.col("source_size") - F.col("words_before") - F.coalesce(F.sum("size").over(inside), F.lit(0))
@@ -116,6 +121,7 @@ def mix(
             "doc_id",
             F.col("r.source").alias("source"),
             "size",
+            *further,
             "source_size",
             "target",
             (epochs * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), rest))).alias("taken"),
@@ -123,26 +129,33 @@ def mix(
     )
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+def mixed_documents(
+    docs: DataFrame,
+    *,
+    doc_id: str = "doc_id",
+    source: str = "source",
+    text: str = "text",
+    weights: Sequence[int] = (1, 2, 3),
+    max_epochs: int = 3,
+    seed: str = "mix",
+) -> DataFrame:
     """The mix as documents, with the columns of ``docs``: a document stands as often as its words are taken.
 
     Whole documents only: the one cut at its source's budget stays if at least half of
-    it is taken. Rows are matched by id, source and size; rows that agree in all three
-    are copies for this purpose and each stands as often as the mix gives any of them
-    on average, rounded.
+    it is taken. Rows are matched by all their columns, so rows without an id, and unlike
+    rows that repeat one, each have their own share; rows alike in every column stand
+    together as often as the mix gives them one by one.
     """
-    doc_id, source, text = (options.get(k, k) for k in ("doc_id", "source", "text"))
+    row = fresh(docs, "row")
+    columns = [F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size")]
     taken = (
-        mix(docs, **options)
-        .groupBy("doc_id", "source", "size")
-        .agg(F.round(F.sum("taken") / F.greatest(F.sum("size"), F.lit(1))).cast("int").alias("times"))
+        _taken(docs.select(*columns, row_key(docs).alias("row")), weights, max_epochs, seed)
+        .groupBy(F.col("row").alias(row))
+        .agg(F.sum(F.round(F.col("taken") / F.greatest(F.col("size"), F.lit(1)))).cast("int").alias("times"))
         .filter("times > 0")
     )
-    d, m = docs.alias("d"), taken.alias("m")
-    same = (
-        F.col(f"d.`{doc_id}`").eqNullSafe(F.col("m.doc_id"))
-        & F.col(f"d.`{source}`").eqNullSafe(F.col("m.source"))
-        & (word_count(F.col(f"d.`{text}`")) == F.col("m.size"))
-    )
-    copies = d.join(m, same).select("d.*", F.explode(F.sequence(F.lit(1), F.col("m.times"))).alias(fresh(docs, "copy")))
+    # one row of copies, combined before the shuffle: the join has no hot key
+    d, m = docs.withColumn(row, row_key(docs)).dropDuplicates([row]).alias("d"), taken.alias("m")
+    copies = d.join(m, F.col(f"d.`{row}`") == F.col(f"m.`{row}`"))
+    copies = copies.select("d.*", F.explode(F.sequence(F.lit(1), F.col("m.times"))).alias(fresh(docs, "copy")))
     return copies.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -154,6 +154,17 @@ def test_mixed_documents_stand_as_often_as_taken(spark):
     assert mixing.mixed_documents(docs.limit(0)).count() == 0 and mixing.mix(docs.limit(0)).count() == 0
 
 
+def test_mixed_documents_without_ids_have_their_own_shares(spark):
+    rows = [(None, "s" if i % 4 else "t", f"w{i} " * 10) for i in range(200)] + [(None, "t", "same " * 10)] * 40
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    taken = {s: sum(t for _, x, _, _, _, t in plain_mix(rows) if x == s) for s in "st"}
+    kept = mixing.mixed_documents(docs).collect()
+    for s, words in taken.items():
+        assert abs(10 * sum(r.source == s for r in kept) - words) <= 5
+    times = [sum(r.text == t for r in kept) for t in {t for _, x, t in rows if x == "s"}]
+    assert max(times) - min(times) <= 1
+
+
 def test_queries_match_their_sql(spark):
     import duckdb
 
