@@ -4,14 +4,15 @@ Strong secrets stand for themselves. Weak candidates (an account name, a random-
 token, a server address) mean nothing alone: they are reported only where complementary
 parts stand in one scope. A part's scope is the interval of ``reach`` code points around
 it, cut at blank lines. Parts are joined by these intervals: for each part, the sorted
-places of the other kinds are searched for one inside its scope, so no pairs are listed.
+intervals of the other kinds are searched for one that reaches into its scope, so no pairs
+are listed. How long a part is does not matter, nor which of two comes first.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Callable
 from itertools import accumulate
@@ -64,10 +65,15 @@ def looks_random(token: str, least_bits: float = 3.0) -> bool:
     return -sum(k / n * math.log2(k / n) for k in Counter(token).values()) >= least_bits
 
 
+def by_start(spans: list[Span]) -> tuple[list[int], list[int]]:
+    """The sorted starts of ``spans``, and how far each of them and the earlier ones reach."""
+    ordered = sorted((a, b) for _, a, b in spans)
+    return [a for a, _ in ordered], list(accumulate((b for _, b in ordered), max))
+
+
 def clear_of(spans: list[Span]) -> Callable[[int, int], bool]:
     """Whether an interval overlaps none of ``spans``; one binary search a question."""
-    ordered = sorted((a, b) for _, a, b in spans)
-    starts, reached = [a for a, _ in ordered], list(accumulate((b for _, b in ordered), max))
+    starts, reached = by_start(spans)
 
     def free(a: int, b: int) -> bool:
         at = bisect_left(starts, b)
@@ -101,20 +107,18 @@ def linked_spans(text: str, lower: str, base: list[Span], reach: int) -> list[Sp
     ]
     borders = [0, *(m.start() for m in _BLANK.finditer(text)), len(text)]
 
-    def near(part: Span, others: list[int]) -> bool:
-        """Whether one of the sorted ``others`` starts in the scope of ``part``, itself apart."""
+    def near(part: Span, others: tuple[list[int], list[int]]) -> bool:
+        """Whether one of ``others`` overlaps the scope of ``part``, what starts where it starts apart."""
         _, a, b = part
+        starts, reached = others
         k = bisect_left(borders, a + 1)
         low, high = max(a - reach, borders[k - 1] if k else 0), min(b + reach, borders[min(k, len(borders) - 1)])
-        at = bisect_left(others, low)
-        if at < len(others) and others[at] == a:
-            at += 1
-        return at < len(others) and others[at] < high
+        before, after = bisect_left(starts, a), bisect_right(starts, a)
+        return bool(before and reached[before - 1] > low) or (after < len(starts) and starts[after] < high)
 
-    starts = lambda parts: sorted(a for _, a, _ in parts)
-    ids, ends = starts([*identifiers, *access]), starts(endpoints)
+    ids, ends = by_start([*identifiers, *access]), by_start(endpoints)
     weak = [s for s in weak if near(s, ids) or near(s, ends)]
-    keys = starts([*(s for s in base if s[0] != "access"), *weak])
+    keys = by_start([*(s for s in base if s[0] != "access"), *weak])
     return [
         *(s for s in identifiers if near(s, keys)),
         *weak,

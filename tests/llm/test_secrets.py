@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+from refloom.llm import secrets
 from refloom.llm.secrets import KINDS, redact_secrets, scan_secrets, secret_spans
 from refloom.llm.spans import blanked
 
@@ -61,6 +62,39 @@ def test_weak_parts_count_only_together():
     assert kinds("user=alice " + "word " * 100 + random_token, reach=600) == ["identifier", "weak"]
 
 
+def test_long_partners_link_on_either_side():
+    key, token = "k3Y" * 140, "Zx81kQp0Lm92vTrW"
+    assert kinds(f"token={key} client_id: abc123") == kinds(f"client_id: abc123 token={key}") == ["assign", "identifier"]
+    url = "https://host.org/file?sig=" + "aB3" * 130
+    assert kinds(f"{url} {token}") == kinds(f"{token} {url}") == ["weak"]
+    assert kinds(f"token={key}\n\nclient_id: abc123") == ["assign"]
+    assert kinds(f"token={key}" + " word" * 80 + " client_id: abc123") == ["assign"]
+
+
+def scopes_overlap(text, x, y, reach):
+    """By hand: the parts differ in place, are less than ``reach`` apart, and no blank line is between them."""
+    (_, a, b), (_, c, d) = sorted((x, y), key=lambda s: s[1:])
+    return a != c and c < b + reach and not re.search(r"\n[ \t\r]*\n", text[b:c] if c > b else "")
+
+
+def test_links_against_all_pairs():
+    rng, linked = random.Random(8), 0
+    parts = ["token=" + "q7R" * 20, "token=abcdef12", "password: " + "Ab1" * 12, "user=alice", "client_id: " + "n0de" * 20, "https://db.host.org/x",
+             "https://db.host.org/" + "pQ4" * 25, "host: db.org", "AKIA" + "ABCD1234" * 3, "deadbeef" * 9, "word word", "\n\n", "a\n \nb", "."]
+    for _ in range(500):
+        text = " ".join(rng.choices(parts, k=rng.randint(2, 12)))
+        reach = rng.choice([5, 20, 60])
+        every = {k: [(k, m.start(), m.end()) for m in r.finditer(text)] for k, r in (("identifier", secrets._IDENTIFIER), ("endpoint", secrets._ENDPOINT))}
+        spans = secret_spans(text, reach)
+        keys = [s for s in spans if s[0] in ("assign", "hex", "weak")]
+        ids = every["identifier"] + [s for s in spans if s[0] == "access"]
+        near = lambda s, others: any(scopes_overlap(text, s, o, reach) for o in others)
+        wanted = [s for s in every["identifier"] if near(s, keys)] + [s for s in every["endpoint"] if near(s, keys) and near(s, ids)]
+        assert sorted(s for s in spans if s[0] in ("identifier", "endpoint")) == sorted(wanted), text
+        linked += len(wanted)
+    assert linked > 300
+
+
 def test_very_long_text():
     text = "user=bob " * 20_000 + "\n\n" + "token=abcdef12 " * 20_000
     spans = secret_spans(text)
