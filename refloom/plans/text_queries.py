@@ -188,6 +188,18 @@ def resource_listing(spark, sf):
     return top.select(F.row_number().over(order).cast("long").alias("place"), "pos", "title")
 
 
+@query(
+    "resource_listing_whole",
+    with_views(
+        ("resources",),
+        "SELECT row_number() OVER (ORDER BY coalesce(title, ''), pos) AS place, pos, title FROM resources",
+    ),
+    "O4: order by title, then position, of all resources",
+)
+def resource_listing_whole(spark, sf):
+    return catalog.listing_places(B.resources(spark, sf).select("pos", "title")).select("place", "pos", "title")
+
+
 _GAPPY = """SELECT dataset_id, pos, CASE WHEN pos % 5 <> 0 THEN title END AS title,
                    CASE WHEN pos % 3 = 0 THEN '' WHEN pos % 3 = 2 THEN url END AS url,
                    CASE WHEN pos % 4 = 0 THEN url END AS latest FROM resources"""

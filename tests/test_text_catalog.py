@@ -102,3 +102,21 @@ def test_ordered_listing_missing_title_first(spark):
         [(2, "Table de références 2026"), (0, None), (1, "Annexe"), (3, "Annexe")], "pos long, title string"
     )
     assert [r.pos for r in catalog.ordered_listing(res).collect()] == [0, 1, 3, 2]
+
+
+def test_every_resource_has_its_place_in_the_listing(spark):
+    rows = [(i, None if i % 7 == 0 else f"title {i % 5}" if i % 2 else "hot") for i in range(1000)]
+    res = spark.createDataFrame(rows, "pos long, title string").repartition(9)
+    got = catalog.listing_places(res).collect()
+    wanted = sorted(rows, key=lambda r: (r[1] or "", r[0]))
+    assert sorted((r.place, r.pos, r.title) for r in got) == [(k, i, t) for k, (i, t) in enumerate(wanted, 1)]
+    assert catalog.listing_places(res.limit(0)).count() == 0
+
+
+def test_the_listing_query_returns_all_resources(spark):
+    from refloom.plans import load_all
+
+    sf = "/root/testdata/sf0.001"
+    n = spark.read.parquet(f"{sf}/documents.parquet").count()
+    got = load_all()["resource_listing_whole"].run(spark, sf).collect()
+    assert n > 100 and sorted(r.place for r in got) == list(range(1, n + 1))
