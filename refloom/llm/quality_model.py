@@ -19,12 +19,10 @@ from refloom.llm import crf
 from refloom.llm.common import add_from_text, fresh
 from refloom.llm.lines import FEATURES, count, line_matrix, with_neighbours
 from refloom.llm.pii import fit_classifier
-from refloom.llm.quality_rules import as_batch
+from refloom.llm.quality_rules import SAMPLE_LINES, as_batch, drawn_lines, one_text
 
 #: Labelled documents of each label that the model is fitted on (those with the smallest hash).
 SAMPLE_A_LABEL = 2_500
-#: Labelled documents with more lines are not drawn into that sample.
-SAMPLE_LINES = 1_000
 
 
 @dataclass(frozen=True)
@@ -98,6 +96,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
     """The model from up to ``sample`` labelled documents of either label that are not held out.
 
     A document with several labels has the commoner one (a tie: 1); null labels say nothing.
+    Of rows that repeat an id the text with the smallest hash is drawn; of a document with
+    more than ``SAMPLE_LINES`` lines that many in a row.
     """
     known = (
         labels.select(F.col(doc_id).alias("doc_id"), F.col(label).alias("label"))
@@ -109,8 +109,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
     sizes = {r.good: r["count"] for r in known.groupBy("good").count().collect()}
     first = lambda g: known.filter(F.col("good") == g).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     chosen = F.broadcast(first(0).unionByName(first(1)))  # at most two samples of (id, label)
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(chosen, "doc_id").limit(4 * sample)
-    found = sampled_lines_and_words(rows)
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(chosen, "doc_id")
+    found = sampled_lines_and_words(one_text(rows, "doc_id", "good"))
     found.sort(key=lambda r: (r.doc_id, r.lines, bytes(r.x)))
     if not found:
         return fit_model(np.zeros((0, len(FEATURES))), np.zeros(0), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
@@ -128,19 +128,17 @@ def sampled_lines_and_words(rows: DataFrame) -> list:
     def make():
         def work(texts: list[str]) -> dict:
             x, words, lengths = line_matrix([count(t) for t in texts])
-            ends = np.cumsum(lengths)
-            spans = [(e - n, e) if n <= SAMPLE_LINES else (e, e) for e, n in zip(ends.tolist(), lengths.tolist())]
+            spans = drawn_lines(texts, lengths, SAMPLE_LINES)
             return {
                 "lines": [b - a for a, b in spans],
-                "skipped": lengths > SAMPLE_LINES,
                 "x": [x[a:b].astype(np.uint8).tobytes() for a, b in spans],
                 "words": [words[a:b].astype("<i4").tobytes() for a, b in spans],
             }
 
         return work
 
-    out = add_from_text(rows.select("doc_id", "good", "text"), "text", "lines long, skipped boolean, x binary, words binary", make)
-    return out.filter(~F.col("skipped")).drop("text").collect()
+    out = add_from_text(rows.select("doc_id", "good", "text"), "text", "lines long, x binary, words binary", make)
+    return out.drop("text").collect()
 
 
 def score(docs: DataFrame, model: QualityModel, *, text: str = "text", name: str = "score") -> DataFrame:

@@ -8,6 +8,7 @@ stands around them. A document is kept if enough of its words stand on content l
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,7 +21,7 @@ from refloom.llm.lines import FEATURES, count, line_matrix
 
 #: Documents that the line model is fitted on (those whose id has the smallest hash).
 SAMPLE_DOCUMENTS = 2_000
-#: Documents with more lines are not drawn into that sample (they are judged like all).
+#: Lines in a row that a longer document of that sample stands there with (it is judged whole).
 SAMPLE_LINES = 1_000
 #: Lines that are boilerplate by rule, where the model learns from.
 SEEDS = ("many_symbols", "much_upper", "fewest_distinct", "many_echoes", "repeat", "phrase_repeat", "pipes")
@@ -46,16 +47,29 @@ def seed_labels(x: np.ndarray) -> np.ndarray:
     return (~bad).astype(np.int64)
 
 
+def one_text(rows: DataFrame, *key: str) -> DataFrame:
+    """``key`` and ``text``, one row a key: the text with the smallest hash, chosen before the shuffle."""
+    least = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least")
+    return rows.groupBy(*key).agg(least).select(*key, F.col("least.text").alias("text"))
+
+
+def drawn_lines(texts: list[str], lengths: np.ndarray, most: int) -> list[tuple[int, int]]:
+    """(first, end) of each text's lines to learn from: all, or ``most`` in a row from a place its checksum gives."""
+    spans = []
+    for text, end, n in zip(texts, np.cumsum(lengths).tolist(), lengths.tolist()):
+        first = end - n + (zlib.crc32(text.encode()) % (n - most + 1) if n > most else 0)
+        spans.append((first, first + min(n, most)))
+    return spans
+
+
 def sampled_lines(docs: DataFrame, text: str, most_lines: int) -> list:
     """Line features of a bounded sample of documents, as bytes, ordered as the sample is."""
 
     def make():
         def work(texts: list[str]) -> dict:
             x, _, lengths = line_matrix([count(t) for t in texts])
-            ends = np.cumsum(lengths)
-            small = lengths <= most_lines
-            cut = [x[e - n : e].astype(np.uint8).tobytes() if ok else b"" for e, n, ok in zip(ends, lengths, small)]
-            return {"lines": np.where(small, lengths, 0), "x": cut}
+            spans = drawn_lines(texts, lengths, most_lines)
+            return {"lines": [b - a for a, b in spans], "x": [x[a:b].astype(np.uint8).tobytes() for a, b in spans]}
 
         return work
 
@@ -70,13 +84,17 @@ def as_batch(rows: list) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fit_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", sample: int = SAMPLE_DOCUMENTS) -> crf.Crf:
-    """The line model, from the ``sample`` documents whose id has the smallest hash. No documents: neutral."""
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    chosen = rows.select(F.xxhash64("doc_id").alias("key")).orderBy("key").limit(sample).distinct()
-    drawn = rows.join(F.broadcast(chosen), F.xxhash64("doc_id") == F.col("key"), "left_semi").limit(2 * sample)
-    found = sampled_lines(drawn.select(F.xxhash64("doc_id").alias("key"), "text"), "text", SAMPLE_LINES)
+    """The line model, from the ``sample`` documents whose id has the smallest hash. No documents: neutral.
+
+    Of rows that repeat an id the text with the smallest hash is drawn; rows without an id
+    are told apart by their texts.
+    """
+    key = F.when(F.col(doc_id).isNull(), F.xxhash64(text)).otherwise(F.xxhash64(doc_id))
+    rows = docs.select(key.alias("key"), F.col(text).alias("text"))
+    chosen = rows.select("key").distinct().orderBy("key").limit(sample)
+    found = sampled_lines(one_text(rows.join(F.broadcast(chosen), "key", "left_semi"), "key"), "text", SAMPLE_LINES)
     found.sort(key=lambda r: (r.key, r.lines, bytes(r.x)))
-    x, lengths = as_batch(found[:sample])
+    x, lengths = as_batch(found)
     return crf.train(x, seed_labels(x), crf.windows(lengths, 200), ridge=1e-4, rounds=300)
 
 

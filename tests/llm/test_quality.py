@@ -137,6 +137,32 @@ def test_classifier_without_two_labels_is_neutral(spark, keep):
     assert {r.score for r in quality_model.score(docs, model).collect()} == {0.5}
 
 
+def test_repeated_ids_do_not_fill_the_samples(spark):
+    rows = documents()
+    few = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5][:24]
+    schema = "doc_id long, text string"
+    plain = spark.createDataFrame([r[:2] for r in few], schema).coalesce(1)
+    labels = spark.createDataFrame([(i, q) for i, _, q in few], "doc_id long, quality int")
+    model = quality_model.fit(plain, labels, sample=12)
+    lines = quality_rules.fit_lines(plain, sample=24)
+    for i, t, _ in few[:2] + few[-2:]:
+        more = spark.createDataFrame([(i, t)] * 500 + [r[:2] for r in few], schema).coalesce(1)
+        again = quality_model.fit(more, labels, sample=12)
+        assert again.scale == model.scale != (0.0, 0.0) and (again.chain.weights == model.chain.weights).all()
+        assert (quality_rules.fit_lines(more, sample=24).weights == lines.weights).all()
+
+
+def test_long_documents_are_learned_from(spark):
+    rows = [(i, "\n".join([t] * 200) if not q else t, q) for i, t, q in documents()]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    assert all(t.count("\n") > 2 * quality_model.SAMPLE_LINES for _, t, q in rows if not q)
+    model = quality_model.fit(docs, spark.createDataFrame([(i, q) for i, _, q in rows], "doc_id long, quality int"))
+    scored = {r.doc_id: r.score for r in quality_model.score(docs, model).collect()}
+    assert np.mean([(scored[i] >= 0.3) == bool(q) for i, _, q in rows if zlib.crc32(str(i).encode()) % 5 == 0]) > 0.95
+    long = docs.filter("text like '%|%'")
+    assert np.abs(quality_rules.fit_lines(long).weights).max() > 0 and np.abs(quality_rules.fit_lines(long.select("text", "doc_id").withColumn("doc_id", long.doc_id * 0)).weights).max() > 0
+
+
 def test_queries_on_the_tables(spark):
     from refloom.llm.queries import QUERIES
 
