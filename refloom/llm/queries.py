@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 from refloom.llm import (
     chat,
+    collocations,
+    hard_negatives,
+    htmltext,
     minhash,
     mixing,
     packing,
@@ -248,3 +251,90 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         spans.digest(found, pii.BASE_KINDS).alias("base_sha256"),
         spans.joined(found, pii.KINDS).alias("spans"),
     )
+
+# --- 11: HTML extraction ----------------------------------------------------------------------
+
+
+@query
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    out = htmltext.extract_main_text(pages, into="text")
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+# --- 12: hard-negative mining -----------------------------------------------------------------
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(rows.withColumn("label", moved))
+
+
+SQL["op12_hard_negatives"] = r"""
+WITH e AS (
+  SELECT vec_id::BIGINT AS id, (CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END)::BIGINT AS label,
+         [floor(256 * x::DOUBLE) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), pairs AS (
+  SELECT a.id AS anchor_id, b.id AS other_id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM e a JOIN e b ON a.id <> b.id WHERE a.id % 50 = 0
+), pos AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM pairs WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT p.anchor_id, positive_id, (row_number() OVER w)::INTEGER AS rank, other_id AS negative_id, positive_score, score AS negative_score
+FROM pos p JOIN pairs n ON p.anchor_id = n.anchor_id AND NOT n.same
+  AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id)
+QUALIFY row_number() OVER w <= 3
+"""
+
+# --- 13: phrase collocations ------------------------------------------------------------------
+
+
+@query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
+SQL["op13_collocations"] = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), w AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p
+), total AS (
+  SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY lang
+), g AS (
+  SELECT lang, size, unnest([array_to_string(ws[k:k + size - 1], ' ') FOR k IN range(1, len(ws) - size + 2)]) AS phrase
+  FROM w, (VALUES (1), (2), (3)) s(size)
+), f AS (
+  SELECT lang, size, phrase, count(*)::BIGINT AS n FROM g GROUP BY ALL HAVING count(*) >= 10
+), sides AS (
+  SELECT lang, phrase, size, n AS a, k, array_to_string(string_split(phrase, ' ')[1:k], ' ') AS head,
+         array_to_string(string_split(phrase, ' ')[k + 1:size], ' ') AS rest
+  FROM f JOIN (VALUES (1), (2)) ks(k) ON size > k
+), cut AS (
+  SELECT c.lang, c.phrase, c.size, a, k, l.n AS l, r.n AS r,
+         ((1000000::HUGEINT * a * a) // (l.n::HUGEINT * r.n))::BIGINT AS score
+  FROM sides c JOIN f l ON l.lang = c.lang AND l.phrase = head JOIN f r ON r.lang = c.lang AND r.phrase = rest
+), best AS (
+  SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), around AS (
+  SELECT lang, phrase, max(n) AS n FROM (
+    SELECT lang, unnest([array_to_string(string_split(phrase, ' ')[k:k + 1], ' ') FOR k IN [1, 2]]) AS phrase, n FROM f WHERE size = 3
+  ) GROUP BY ALL
+), kept AS (
+  SELECT b.* FROM best b LEFT JOIN around x ON b.lang = x.lang AND b.phrase = x.phrase
+  WHERE b.size = 3 OR x.n IS NULL OR 100 * x.n < 50 * b.a
+)
+SELECT kept.lang, row_number() OVER w AS rank, phrase, a, l, r, total.n, score
+FROM kept JOIN total ON kept.lang = total.lang
+WINDOW w AS (PARTITION BY kept.lang ORDER BY score DESC, a DESC, phrase)
+QUALIFY row_number() OVER w <= 2000
+"""
