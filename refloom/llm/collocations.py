@@ -32,15 +32,13 @@ NESTED_SHARE = 50
 #: Language of texts that name none.
 NO_LANGUAGE = "und"
 
-#: Bytes of text a hash partition stands for; bounds the n-grams that one task holds.
-PART_BYTES = 32_000_000
+#: Bytes of text a hash partition stands for at most; bounds the n-grams that one task holds.
+PART_BYTES = 16_000_000
 #: Bits of the table of survivors, all partitions together (each has 64 at least).
 TABLE_BITS = 1 << 27
-#: Bytes of text that a task gathers by language, and n-grams that it counts, before it hands them on.
+#: Bytes of text that a task gathers by language, and hashes that it holds, before it hands them on.
 _GATHERED = 16_000_000
-_HELD = 4_000_000
-
-_LOW = np.uint64((1 << phrases.KEY_BITS) - 1)
+_HELD = 6_000_000
 
 
 def _by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes, int]]:
@@ -71,48 +69,47 @@ def _placed(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return keys % n, ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(24)) % n
 
 
-def _dealt(hashed: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
-    """Partition and key of each hash."""
-    return (hashed >> np.uint64(phrases.KEY_BITS)) % np.uint64(parts), hashed & _LOW
+def _parts(size: int) -> int:
+    """Leading bits of a hash that name its partition."""
+    return (max(1, -(-size // PART_BYTES)) - 1).bit_length()
 
 
-def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    found = np.concatenate(keys)
-    order = np.argsort(found, kind="stable")
-    found = found[order]
-    starts = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]])) if len(found) else np.empty(0, np.int64)
-    return found[starts], np.add.reduceat(np.concatenate(counts)[order], starts) if len(found) else np.empty(0, np.int64)
+def _dealt(hashed: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Partition and key of each hash; what is sorted stays sorted by both."""
+    head = hashed >> np.uint64(64 - bits - phrases.KEY_BITS)
+    return head >> np.uint64(phrases.KEY_BITS), head & np.uint64((1 << phrases.KEY_BITS) - 1)
 
 
-def summaries(texts: DataFrame, parts: int) -> DataFrame:
-    """(part, mass, summary): partial summaries of the n-grams of ``texts`` (lang, text), one row a partition now and then."""
+def summaries(texts: DataFrame, bits: int) -> DataFrame:
+    """(part, mass, summary): partial summaries of the n-grams of ``texts`` (lang, text), some rows a
+    task and partition; a partition is named by the first ``bits`` bits of the hash."""
 
-    def packed(keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-        part, low = _dealt(keys, parts)
-        order = np.lexsort((low, part))
-        part, low, counts = part[order], low[order], counts[order]
-        edges = np.searchsorted(part, np.arange(parts + 1, dtype=np.uint64))
+    def packed(held: list[np.ndarray]) -> pa.RecordBatch:
+        found = np.concatenate(held)
+        held.clear()
+        found >>= np.uint64(64 - bits - phrases.KEY_BITS)
+        found.sort()
+        first = phrases.run_starts(found)
+        counts = np.diff(first, append=len(found))
+        part, low = _dealt(found[first] << np.uint64(64 - bits - phrases.KEY_BITS), bits)
+        edges = np.searchsorted(part, np.arange((1 << bits) + 1, dtype=np.uint64))
         rows = [(p, int(counts[a:b].sum()), phrases.pack(low[a:b], counts[a:b])) for p, (a, b) in enumerate(zip(edges, edges[1:], strict=False)) if a < b]
-        cols = list(zip(*rows, strict=True))
+        cols = list(zip(*rows, strict=True)) or [[]] * 3
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["part", "mass", "summary"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys: list[np.ndarray] = []
-        counts: list[np.ndarray] = []
-        held = 0
+        held: list[np.ndarray] = []
+        size = 0
         for lang, cut, context in _by_language(batches):
-            found = phrases.count(cut, context)
-            keys += phrases.hashes(found, lang)
-            counts += [g.counts for g in found.ngrams]
-            held += sum(len(g.counts) for g in found.ngrams)
-            if held >= _HELD:
-                k, c = _summed(keys, counts)
-                keys, counts, held = [k], [c], len(k)
-                if held >= _HELD // 2:
-                    yield packed(k, c)
-                    keys, counts, held = [], [], 0
+            found = phrases.cut_words(cut, context)
+            for hashed, ok in zip(phrases.hashes(found, lang), found.starts, strict=True):
+                held.append(hashed[ok])
+                size += len(held[-1])
+            if size >= _HELD:
+                yield packed(held)
+                size = 0
         if held:
-            yield packed(*_summed(keys, counts))
+            yield packed(held)
 
     kinds = [pa.int64(), pa.int64(), pa.binary()]
     return texts.mapInArrow(run, "part long, mass long, summary binary")
@@ -134,7 +131,7 @@ def survivors(partial: DataFrame, threshold: int, bits: int) -> DataFrame:
             keys.append(more[0]), counts.append(more[1])
             held += len(more[0])
             if held >= _HELD or k == len(blobs) - 1:
-                kept = phrases.merged(kept, phrases.Summary(*_summed(keys, counts), 0), capacity)
+                kept = phrases.merged(kept, phrases.Summary(np.concatenate(keys), np.concatenate(counts), 0), capacity)
                 keys, counts, held = [], [], 0
         table = np.zeros(bits, dtype=np.uint8)
         for at in _placed(kept.keys[kept.counts + kept.error >= threshold], bits):
@@ -147,36 +144,38 @@ def survivors(partial: DataFrame, threshold: int, bits: int) -> DataFrame:
 def frequent(texts: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """(lang, size, phrase, n): exact counts of all n-grams of up to three words that occur ``threshold``
     times in their language, and a row of size 0 a language with its number of words."""
-    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(1, -(-size // PART_BYTES))
+    part_bits = _parts(texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+    parts = 1 << part_bits
     bits = max(64, TABLE_BITS // parts // 64 * 64)
-    tables = {r.part: bytes(r.bits) for r in survivors(summaries(texts, parts), threshold, bits).toLocalIterator()}
-    whole = b"".join(tables.get(p, bytes(bits // 8)) for p in range(parts))
-    shared = texts.sparkSession.sparkContext.broadcast(whole)  # TABLE_BITS, or 8 bytes a partition
+    whole = bytearray(parts * bits // 8)
+    for r in survivors(summaries(texts, part_bits), threshold, bits).toLocalIterator():
+        whole[r.part * bits // 8 : (r.part + 1) * bits // 8] = r.bits
+    shared = texts.sparkSession.sparkContext.broadcast(bytes(whole))  # TABLE_BITS, or 8 bytes a partition
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.frombuffer(shared.value, np.uint8)
 
         def let_through(hashed: np.ndarray) -> np.ndarray:
-            part, low = _dealt(hashed, parts)
+            part, low = _dealt(hashed, part_bits)
             ok = np.ones(len(hashed), dtype=bool)
             for at in _placed(low, bits):
                 place = part * np.uint64(bits) + at
                 ok &= (table[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
             return ok
 
-        for lang, cut, context in _by_language(batches):
-            found = phrases.count(cut, context)
-            words = pa.array(found.words, pa.binary())
-            total = int(found.ngrams[0].counts.sum())
+        for lang, folded, context in _by_language(batches):
+            cut = phrases.cut_words(folded, context)
+            words = pa.array(cut.words, pa.binary())
+            total = int(cut.starts[0].sum())
             yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([0], pa.int32()), pa.array([""]), pa.array([total])], names=names)
-            for hashed, g in zip(phrases.hashes(found, lang), found.ngrams, strict=True):
-                ok = let_through(hashed)
-                said = [words.take(pa.array(g.parts[ok, k])) for k in range(g.size)]
-                phrase = (said[0] if g.size == 1 else pc.binary_join_element_wise(*said, b" ")).cast(pa.string())
+            for size, (hashed, ok) in enumerate(zip(phrases.hashes(cut, lang), cut.starts, strict=True), 1):
+                at = np.flatnonzero(ok)
+                parts, counts = phrases.counted(cut, size, at[let_through(hashed[at])])
+                said = [words.take(pa.array(parts[:, k])) for k in range(size)]
+                phrase = (said[0] if size == 1 else pc.binary_join_element_wise(*said, b" ")).cast(pa.string())
                 n = len(phrase)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang]).take(pa.array(np.zeros(n, np.int64))), pa.array(np.full(n, g.size), pa.int32()), phrase, pa.array(g.counts[ok], pa.int64())],
+                    [pa.array([lang]).take(pa.array(np.zeros(n, np.int64))), pa.array(np.full(n, size), pa.int32()), phrase, pa.array(counts, pa.int64())],
                     names=names,
                 )
 

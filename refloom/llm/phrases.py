@@ -1,9 +1,8 @@
 """N-gram counting within pieces of texts, one batch of text at a time.
 
 Words of a batch are numbered, so an n-gram of up to three words is one 63-bit number and
-counting is sorting numbers. Nothing but the words' bytes is kept of a batch: counts are
-exact and tell all n-grams apart. For other tasks to find the same n-gram, it has a
-64-bit hash made of its words' hashes.
+counting is sorting numbers: counts are exact and tell all n-grams apart. For other tasks
+to find the same n-gram, it has a 64-bit hash made of its words' hashes.
 """
 
 from __future__ import annotations
@@ -62,41 +61,42 @@ def tokens(folded: bytes) -> list[bytes]:
     return folded.replace(_END, b" \xff ").split()
 
 
-class Counted(NamedTuple):
-    """N-grams of ``size`` words of a slice: the words' numbers, one column a word, and how often each occurs."""
-
-    size: int
-    parts: np.ndarray
-    counts: np.ndarray
-
-
 class Slice(NamedTuple):
+    """The words of a slice, their numbers in order (ends of pieces among them), and for each size
+    from one word on whether an n-gram starts at a place."""
+
     words: list[bytes]
-    ngrams: list[Counted]
+    ids: np.ndarray
+    starts: list[np.ndarray]
 
 
-def count(folded: bytes, context: int = 0) -> Slice:
-    """Counts of all n-grams of a slice that do not lie within its first ``context`` words."""
+def cut_words(folded: bytes, context: int = 0) -> Slice:
+    """A slice as numbers. N-grams that lie within its first ``context`` words do not count."""
     found = tokens(folded)
     words = list(dict.fromkeys(found))
     number = {w: k for k, w in enumerate(words)}
     ids = np.fromiter(map(number.__getitem__, found), dtype=np.int64, count=len(found))
-    base = len(words)
-    word = ids != number.get(_END, -1)
-    key, whole = ids, word
-    out = []
-    for size in range(1, LONGEST + 1):
-        if size > 1:
-            key = key[: len(ids) - size + 1] * base + ids[size - 1 :]
-            whole = whole[: len(ids) - size + 1] & word[size - 1 :]
-        # the n-gram that starts at k ends at k + size - 1; it counts where that is behind the context
-        first = max(0, context - size + 1)
-        got, counts = np.unique(key[first:][whole[first:]], return_counts=True)
-        parts = np.empty((len(got), size), dtype=np.int64)
-        for place in range(size - 1, -1, -1):
-            got, parts[:, place] = np.divmod(got, base) if base else (got, got)
-        out.append(Counted(size, parts, counts))
-    return Slice(words, out)
+    whole = ids != number.get(_END, -1)
+    starts = [whole]
+    for size in range(2, LONGEST + 1):
+        starts.append(starts[-1][: max(0, len(ids) - size + 1)] & whole[size - 1 :])
+    # an n-gram that starts at k ends at k + size - 1; it counts where that is behind the context
+    for size, ok in enumerate(starts, 1):
+        ok[: max(0, context - size + 1)] = False
+    return Slice(words, ids, starts)
+
+
+def counted(cut: Slice, size: int, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different n-grams of ``size`` words that start at the places ``at``: word numbers (a column a word), and how often."""
+    base = max(1, len(cut.words))
+    key = cut.ids[at]
+    for place in range(1, size):
+        key = key * base + cut.ids[at + place]
+    got, counts = np.unique(key, return_counts=True)
+    parts = np.empty((len(got), size), dtype=np.int64)
+    for place in range(size - 1, -1, -1):
+        got, parts[:, place] = np.divmod(got, base)
+    return parts, counts
 
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -109,15 +109,14 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 
 
 def hashes(cut: Slice, lang: str) -> list[np.ndarray]:
-    """64-bit hashes of a slice's n-grams, one array a size, the same in every task."""
+    """64-bit hashes of what starts at each place, one array a size, the same in every task."""
     seed = xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass"))
     of_word = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in cut.words), dtype=np.uint64, count=len(cut.words))
-    out = []
-    for counted in cut.ngrams:
-        h = np.full(len(counted.counts), counted.size, dtype=np.uint64)
-        for place in range(counted.size):
-            h = _mixed(h * _MIX + of_word[counted.parts[:, place]])
-        out.append(h)
+    single = of_word[cut.ids]
+    out = [single]
+    for size in range(2, LONGEST + 1):
+        n = max(0, len(single) - size + 1)
+        out.append(_mixed(out[-1][:n] * _MIX + single[size - 1 :]))
     return out
 
 
@@ -125,7 +124,7 @@ def hashes(cut: Slice, lang: str) -> list[np.ndarray]:
 
 
 class Summary(NamedTuple):
-    """Counters of one hash partition. A key's count lies between its counter and that plus ``error``
+    """Counters of one hash partition (keys of ``KEY_BITS`` bits). A key's count lies between its counter and that plus ``error``
     (a key without a counter: between 0 and ``error``)."""
 
     keys: np.ndarray  # uint64, ascending
@@ -133,17 +132,48 @@ class Summary(NamedTuple):
     error: int
 
 
+#: Bits of a hash that a key keeps; n-grams of a partition that agree in them are counted as one.
+KEY_BITS = 40
+
 EMPTY = Summary(np.empty(0, np.uint64), np.empty(0, np.int64), 0)
 
 
+#: A key and a count share 64 bits while they are sorted; larger counts are split.
+_COUNT_BITS = 64 - KEY_BITS
+_MOST = (1 << _COUNT_BITS) - 1
+
+
+def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys, ascending, with their counts added up."""
+    while len(large := np.flatnonzero(counts > _MOST)):
+        keys, counts = np.concatenate([keys, keys[large]]), np.concatenate([counts, counts[large] - _MOST])
+        counts[large] = _MOST
+    both = (keys << np.uint64(_COUNT_BITS)) | counts.astype(np.uint64)
+    both.sort()
+    keys = both >> np.uint64(_COUNT_BITS)
+    first = run_starts(keys)
+    if not len(first):
+        return keys, np.empty(0, np.int64)
+    return keys[first], np.add.reduceat((both & np.uint64(_MOST)).astype(np.int64), first)
+
+
+def run_starts(ordered: np.ndarray) -> np.ndarray:
+    """Where the runs of equal numbers begin."""
+    if not len(ordered):
+        return np.empty(0, np.int64)
+    new = np.empty(len(ordered), dtype=bool)
+    new[0] = True
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
+    return np.flatnonzero(new)
+
+
 def merged(a: Summary, b: Summary, capacity: int) -> Summary:
     """Counters added up, then lowered by the (capacity + 1)-th largest where there are more than ``capacity``.
 
     Each unit that lowers the counters takes more than ``capacity`` units of mass away, so the
     error of summaries of mass m in all stays at most m / (capacity + 1), however they are merged.
     """
-    keys, at = np.unique(np.concatenate([a.keys, b.keys]), return_inverse=True)
-    counts = np.bincount(at, weights=np.concatenate([a.counts, b.counts]), minlength=len(keys)).astype(np.int64)
+    keys, counts = summed(np.concatenate([a.keys, b.keys]), np.concatenate([a.counts, b.counts]))
     if len(keys) <= capacity:
         return Summary(keys, counts, a.error + b.error)
     less = int(np.partition(counts, len(counts) - capacity - 1)[len(counts) - capacity - 1])
@@ -156,10 +186,6 @@ def capacity_for(mass: int, threshold: int) -> int:
     return mass // threshold + 1
 
 
-#: Bits of a key that a packed summary keeps; keys of a partition that agree in them are counted as one.
-KEY_BITS = 40
-
-
 def pack(keys: np.ndarray, counts: np.ndarray) -> bytes:
     """Counters as bytes: gaps between ascending keys and counts, each as planes of bytes (high planes are mostly zero)."""
     gaps = np.diff(keys.astype(np.uint64), prepend=np.uint64(0))
