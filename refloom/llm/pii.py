@@ -31,8 +31,11 @@ Span = tuple[str, int, int]
 
 # --- base spans -------------------------------------------------------------------------------
 
-_EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+_LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
+_AT = re.compile("@")
+_DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
+#: A match never starts inside a run of digits: where it fails at the run's start, it fails there too.
+_IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile("[0-9]")
@@ -52,11 +55,30 @@ def _is_card(s: str) -> bool:
     return 14 <= len(digits) <= 19 and luhn(digits)
 
 
+def _addresses(text: str, mark: re.Pattern, host: re.Pattern, kind: str, gap: bool = False) -> list[Span]:
+    """Leftmost non-overlapping ``local mark host``: from each mark once to the left over the local part's
+    characters (with ``gap``, one space may stand before the mark) and once to the right. No local part
+    holds a mark, so this takes time linear in the text, however long its runs are."""
+    found: list[Span] = []
+    low = 0
+    for m in mark.finditer(text):
+        at = m.start()
+        if at < low:
+            continue
+        tail = host.match(text, m.end())
+        end = at - (gap and text[at - 1 : at] == " ")
+        start = low + len(text[low:end].rstrip(_LOCAL))
+        low = m.end()
+        if tail and start < end:
+            found.append((kind, start, tail.end()))
+            low = tail.end()
+    return found
+
+
 def base_spans(text: str) -> list[Span]:
     """Leftmost non-overlapping matches of each kind that pass its check."""
     found: list[Span] = []
-    if "@" in text:
-        found += [("email", m.start(), m.end()) for m in _EMAIL.finditer(text)]
+    found += _addresses(text, _AT, _DOMAIN, "email")
     if _DIGIT.search(text):
         found += [
             ("ip", m.start(), m.end())
@@ -75,7 +97,8 @@ def base_spans(text: str) -> list[Span]:
 
 # --- loose candidates -------------------------------------------------------------------------
 
-_MASKED = re.compile(r"[A-Za-z0-9._%+-]+ ?(?:\(at\)|\[at\]|\{at\}) ?[A-Za-z0-9-]+(?: ?(?:\.|\(dot\)|\[dot\]|\{dot\}) ?[A-Za-z0-9-]+)+")
+_MASKED_AT = re.compile(r"\(at\)|\[at\]|\{at\}")
+_MASKED_DOMAIN = re.compile(r" ?+[A-Za-z0-9-]++(?: ?+(?:\.|\(dot\)|\[dot\]|\{dot\}) ?+[A-Za-z0-9-]++)++")
 _IBAN = re.compile(r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b")
 _NUMBER = re.compile(r"(?<![\w.,+-])\(?[0-9](?:[\x20()./-]?[0-9]){5,18}(?![\w])")
 _TITLES = ("Mr", "Mrs", "Ms", "Dr", "Prof", "Herr", "Frau", "Monsieur", "Madame", "Mme", "Señor", "Señora", "Sr", "Sra")
@@ -122,8 +145,7 @@ def iban_valid(s: str) -> bool:
 
 def loose_spans(text: str, base: list[Span]) -> list[Span]:
     found: list[Span] = []
-    if "(at)" in text or "[at]" in text or "{at}" in text:
-        found += [("masked_email", m.start(), m.end()) for m in _MASKED.finditer(text)]
+    found += _addresses(text, _MASKED_AT, _MASKED_DOMAIN, "masked_email", gap=True)
     if _DIGIT.search(text):
         found += [("iban", m.start(), m.end()) for m in _IBAN.finditer(text)]
         free = clear_of([*base, *found])

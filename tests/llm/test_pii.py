@@ -3,8 +3,12 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from refloom.llm import pii
 
@@ -109,3 +113,34 @@ def test_query_against_the_definition(spark):
         assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(s.startswith(k + ":") for s in own) for k in pii.BASE_KINDS]
         assert r.base_sha256 == hashlib.sha256(",".join(own).encode()).hexdigest()
         assert [s for s in r.spans.split(",") if s and s.split(":")[0] in pii.BASE_KINDS] == own
+
+
+PLAIN = {
+    "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
+    "ip": re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+    "masked_email": re.compile(
+        r"[A-Za-z0-9._%+-]+ ?(?:\(at\)|\[at\]|\{at\}) ?[A-Za-z0-9-]+(?: ?(?:\.|\(dot\)|\[dot\]|\{dot\}) ?[A-Za-z0-9-]+)+"
+    ),
+}
+
+
+@given(st.lists(st.sampled_from(["a", "B9", "1", "255", ".", "..", "@", " ", "_", "-", "(at)", "[at]", "{dot}", "(dot)", "é", "(", "\n", "+", "%"]), max_size=30).map("".join))
+@settings(max_examples=1500, deadline=None)
+def test_linear_matching_finds_what_the_plain_patterns_find(text):
+    base = pii.base_spans(text)
+    assert [s[1:] for s in base if s[0] == "email"] == [m.span() for m in PLAIN["email"].finditer(text)]
+    ips = [m for m in PLAIN["ip"].finditer(text) if all(int(p) <= 255 for p in m[0].split("."))]
+    assert [s[1:] for s in base if s[0] == "ip"] == [m.span() for m in ips]
+    masked = pii._addresses(text, pii._MASKED_AT, pii._MASKED_DOMAIN, "masked_email", gap=True)
+    assert [s[1:] for s in masked] == [m.span() for m in PLAIN["masked_email"].finditer(text)]
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["7" * 1_000_000, "a" * 1_000_000 + " x@y.org", "@" + "a" * 1_000_000, "b" * 1_000_000 + " me (at) host (dot) org", "1." * 500_000, "a.b@" * 250_000,
+     "x(at)" * 200_000, "+1 (" * 250_000, "1 " * 500_000, "AB12 " * 200_000, "Mr. " * 250_000],
+)
+def test_a_megabyte_without_words_takes_seconds(text):
+    began = time.time()
+    pii.loose_spans(text, pii.base_spans(text))
+    assert time.time() - began < 6
