@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterable, Iterator
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,10 +39,38 @@ def fresh(df: DataFrame, base: str) -> str:
     return base
 
 
-def row_key(df: DataFrame) -> Column:
-    """A digest of all columns of a row: rows with the same one are copies of each other."""
+def row_key(df: DataFrame, prefix: str = "") -> Column:
+    """A digest of all columns of a row (``prefix``: ``alias.`` in a join): rows with the same one are copies of each other."""
     exact = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
-    return F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), exact))
+    return F.md5(F.to_json(F.struct(*[F.col(f"{prefix}`{c}`").alias(c) for c in df.columns]), exact))
+
+
+#: Rows that a join may broadcast (of a key and a few numbers each: some 30 MB); more are joined by shuffle.
+BROADCAST_ROWS = 400_000
+
+
+def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
+    """Whether ``df``, which should be cheap to count, has at most ``rows`` rows."""
+    return df.limit(rows + 1).count() <= rows
+
+
+_KEPT: dict[Any, Any] = {}
+
+
+def kept(owner: Any, make: Callable[[], Any]) -> Any:
+    """What an operator keeps in a worker process between its tasks; what another one kept there goes."""
+    if owner not in _KEPT:
+        forget()
+        _KEPT[owner] = make()
+    return _KEPT[owner]
+
+
+def forget() -> None:
+    """Gives back what earlier operators kept in this worker process."""
+    if _KEPT:
+        _KEPT.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
 
 
 def arrow_type(kind: T.DataType) -> pa.DataType:
@@ -69,6 +99,7 @@ def add_from_text(
     at = df.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         work = make()
         for batch in batches:
             for start in range(0, batch.num_rows, SLICE_ROWS):

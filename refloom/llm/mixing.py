@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from refloom.llm.common import WORD, fresh, row_key
+from refloom.llm.common import WORD, fresh, row_key, small
 from refloom.session import cut_lineage
 
 #: Hex digits of the key that are split into ranges.
@@ -64,6 +64,12 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = (1, 2, 3), max_epo
     )
 
 
+def _key(doc_id: Column, size: Column, seed: str) -> Column:
+    """The hash-random key that a source's documents are ordered by."""
+    said = F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), size.cast("string"))
+    return F.md5(said.cast("binary"))
+
+
 def mix(
     docs: DataFrame,
     *,
@@ -93,10 +99,7 @@ def mix(
 def _taken(rows: DataFrame, weights: Sequence[int], max_epochs: int, seed: str) -> DataFrame:
     """The mix of ``doc_id, source, size`` and further columns, which order ties and stay in the result."""
     further = [c for c in rows.columns if c not in ("doc_id", "source", "size")]
-    key = F.md5(
-        F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("size").cast("string"))
-        .cast("binary")
-    )
+    key = _key(F.col("doc_id"), F.col("size"), seed)
     # the texts are read once; what follows works on a few numbers a document
     rows = cut_lineage(rows.withColumn("key", key))
     ranges = max(1, math.isqrt(rows.count()))
@@ -142,20 +145,52 @@ def mixed_documents(
     """The mix as documents, with the columns of ``docs``: a document stands as often as its words are taken.
 
     Whole documents only: the one cut at its source's budget stays if at least half of
-    it is taken. Rows are matched by all their columns, so rows without an id, and unlike
-    rows that repeat one, each have their own share; rows alike in every column stand
-    together as often as the mix gives them one by one.
+    it is taken. Documents without words (null or empty texts) take nothing and go. Rows are
+    ordered by all their columns, so rows without an id, and unlike rows that repeat one, each
+    have their own share; rows alike in every column stand together as often as the mix gives
+    them one by one. Null sources are a source of their own; an empty table stays empty.
+
+    A source's documents in hash-random order are taken once more than its whole epochs up to
+    one document, the cut. So texts stay where they are: each document is compared with the
+    cut of its source, one row a source.
     """
-    row = fresh(docs, "row")
+    n, size, key, row = (fresh(docs, c) for c in ("times", "size", "key", "row"))
     columns = [F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size")]
-    taken = (
-        _taken(docs.select(*columns, row_key(docs).alias("row")), weights, max_epochs, seed)
-        .groupBy(F.col("row").alias(row))
-        .agg(F.sum(F.round(F.col("taken") / F.greatest(F.col("size"), F.lit(1)))).cast("int").alias("times"))
-        .filter("times > 0")
+    taken = cut_lineage(_taken(docs.select(*columns, row_key(docs).alias("row")), weights, max_epochs, seed))
+    epochs = F.when(F.col("source_size") > 0, F.floor(F.floor("target") / F.col("source_size"))).otherwise(0).cast("long")
+    order = F.struct(_key(F.col("doc_id"), F.col("size"), seed).alias("key"), "doc_id", "size", "row")
+    cuts = taken.groupBy("source").agg(
+        F.max(epochs).alias("epochs"), F.min(F.when(F.col("taken") < (epochs + 1) * F.col("size"), order)).alias("cut")
+    )
+    # rows alike the cut in every column share what the mix gives them
+    alike = taken.alias("t").join(cuts.alias("c"), F.col("t.source").eqNullSafe(F.col("c.source")) & (F.col("t.row") == F.col("c.cut.row")))
+    alike = alike.groupBy("t.source").agg(
+        F.count("*").alias("copies"), F.sum(F.round(F.col("t.taken") / F.greatest("t.size", F.lit(1))).cast("long")).alias("stand")
+    )
+    cuts = cut_lineage(
+        cuts.alias("c").join(alike.alias("a"), F.col("c.source").eqNullSafe(F.col("a.source")), "left").select("c.*", "copies", "stand")
+    )
+    few = small(cuts)
+    c = (F.broadcast(cuts) if few else cuts).alias("c")
+    numbered = docs.withColumn(size, word_count(F.col(text))).withColumn(key, _key(F.col(doc_id), F.col(size), seed)).alias("d")
+    mine, cut = F.struct(F.col(f"d.`{doc_id}`"), F.col(f"d.`{size}`")), F.struct("c.cut.doc_id", "c.cut.size")
+    digest = row_key(docs, "d.")
+    times = (
+        F.when(F.col(f"d.`{size}`") == 0, F.lit(0))
+        .when(F.col("c.cut").isNull() | (F.col(f"d.`{key}`") < F.col("c.cut.key")), F.col("c.epochs") + 1)
+        .when(F.col(f"d.`{key}`") > F.col("c.cut.key"), F.col("c.epochs"))
+        .when(mine < cut, F.col("c.epochs") + 1)
+        .when(mine > cut, F.col("c.epochs"))
+        .when(digest < F.col("c.cut.row"), F.col("c.epochs") + 1)
+        .when(digest > F.col("c.cut.row"), F.col("c.epochs"))
+        .otherwise(F.floor(F.col("c.stand") / F.col("c.copies")))
     )
-    # one row of copies, combined before the shuffle: the join has no hot key
-    d, m = docs.withColumn(row, row_key(docs)).dropDuplicates([row]).alias("d"), taken.alias("m")
-    copies = d.join(m, F.col(f"d.`{row}`") == F.col(f"m.`{row}`"))
-    copies = copies.select("d.*", F.explode(F.sequence(F.lit(1), F.col("m.times"))).alias(fresh(docs, "copy")))
-    return copies.select(*[F.col(f"`{c}`") for c in docs.columns])
+    joined = numbered.join(c, F.col(f"d.`{source}`").eqNullSafe(F.col("c.source")))
+    own = [F.col(f"d.`{x}`").alias(x) for x in docs.columns]
+    out = joined.select(*own, times.cast("int").alias(n)).where(F.col(n) > 0)
+    rest = (F.col("stand") % F.col("copies")).cast("int")
+    extra = cuts.where(rest > 0).select(F.col("cut.row").alias(row), rest.alias(n))
+    if not extra.isEmpty():  # copies left over: one row of the group stands so many times more
+        extra = F.broadcast(extra) if few else extra
+        out = out.unionByName(docs.withColumn(row, row_key(docs)).join(extra, row).dropDuplicates([row]).drop(row))
+    return out.withColumn(n, F.explode(F.sequence(F.lit(1), F.col(n)))).drop(n)

@@ -24,7 +24,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from refloom.llm.common import SLICE_ROWS
+from refloom.llm.common import SLICE_ROWS, kept
 from refloom.session import cut_lineage
 
 # --- tokens -----------------------------------------------------------------------------------
@@ -33,21 +33,28 @@ from refloom.session import cut_lineage
 class Recent(dict):
     """A dictionary that ``make`` fills and that forgets what was not asked for lately.
 
-    Holds at most twice ``size`` entries: when it is full it becomes the old generation,
-    from which entries come back as they are asked for.
+    Holds at most twice ``size`` bytes: when it is full it becomes the old generation,
+    from which entries come back as they are asked for. An entry counts as its key, its
+    value and ``ENTRY`` bytes; one that is larger than ``size`` is not held.
     """
 
+    ENTRY = 150
+
     def __init__(self, size: int, make: Callable[[str], bytes]):
         super().__init__()
-        self.size, self.make, self.old = size, make, {}
+        self.size, self.make, self.old, self.held = size, make, {}, 0
 
     def __missing__(self, key: str) -> bytes:
-        if len(self) >= self.size:
-            self.old = dict(self)
-            self.clear()
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
+        took = self.ENTRY + len(key) + len(value)
+        if self.held + took > self.size:
+            if took > self.size:
+                return value
+            self.old, self.held = dict(self), 0
+            self.clear()
+        self.held += took
         self[key] = value
         return value
 
@@ -64,7 +71,8 @@ class WordTokenizer:
 
     _WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
     _OTHER = re.compile(r"[^\t-\r -~\xa0-\xb1\xb4-\xb8\xba\xbb\xbf-įı-ſ‐-‧]|<\|")
-    _KEPT = 150_000
+    #: Bytes of words, and of runs, held in each generation.
+    _HELD = 24_000_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -76,9 +84,9 @@ class WordTokenizer:
             ids = [t.id for t in merge(word.translate(alphabet))]
             return struct.pack(f"<{len(ids)}I", *ids)
 
-        words = Recent(self._KEPT, word_ids).__getitem__
+        words = Recent(self._HELD, word_ids).__getitem__
         find = self._WORDS.findall
-        self.runs = Recent(self._KEPT, lambda run: b"".join(map(words, find(run))))
+        self.runs = Recent(self._HELD, lambda run: b"".join(map(words, find(run))))
 
     def _alphabet(self) -> dict[int, str]:
         """How the file's pre-tokenizer spells each character of the plain set in bytes."""
@@ -96,14 +104,9 @@ class WordTokenizer:
         return b"".join(map(self.runs.__getitem__, text.lower().split()))
 
 
-_TOKENIZERS: dict[str, WordTokenizer] = {}
-
-
 def tokenizer(path: str) -> WordTokenizer:
-    """One a worker process and file; what it has looked up serves later tasks too."""
-    if path not in _TOKENIZERS:
-        _TOKENIZERS[path] = WordTokenizer(path)
-    return _TOKENIZERS[path]
+    """One a worker process and file; what it has looked up serves later tasks until another operator runs."""
+    return kept(("tokenizer", path), lambda: WordTokenizer(path))
 
 
 def token_pieces(docs: DataFrame, path: str, *, doc_id: str, text: str, capacity: int, end_id: int) -> DataFrame:

@@ -176,3 +176,25 @@ def test_queries_match_their_sql(spark):
     for name, sql in SQL.items():
         df = QUERIES[name](spark, sf)
         assert sorted(map(repr, map(tuple, df.collect()))) == sorted(map(repr, con.execute(f"SELECT {', '.join(df.columns)} FROM ({sql})").fetchall()))
+
+
+@pytest.mark.parametrize("limit", [None, 0])
+def test_mixed_documents_stand_as_often_as_the_mix_takes_them(spark, monkeypatch, limit):
+    """Against the mix row by row: ties, copies alike in every column, null ids and sources; joined by broadcast and by shuffle."""
+    from collections import Counter
+
+    from refloom.llm import common, mixing
+
+    if limit is not None:
+        monkeypatch.setattr(mixing, "small", lambda df: False)
+    rng = random.Random(8)
+    rows = [(rng.choice([None, *range(40)]), " ".join(["w"] * rng.choice([0, 1, 2, 5, 30])), rng.choice(["a", "b", None, "c", "hot", "hot"])) for _ in range(300)]
+    rows += [(7, "one two three four", "hot")] * 90 + [(8, "one two", "d")] * 41 + [(9, None, "e"), (9, "", "e")]
+    docs = spark.createDataFrame([(*r, "k", 1) for r in rows], "doc_id int, text string, source string, key string, times int").repartition(5)
+    columns = [F.col("doc_id"), F.col("source"), mixing.word_count(F.col("text")).alias("size"), common.row_key(docs).alias("row"), F.col("text")]
+    want = Counter()
+    for r in mixing._taken(docs.select(*columns), (1, 2, 3), 3, "mix").collect():
+        want[r.doc_id, r.text, r.source] += int(r.taken / max(r.size, 1) + 0.5)
+    got = Counter((r.doc_id, r.text, r.source) for r in mixing.mixed_documents(docs).collect())
+    assert got == +want
+    assert mixing.mixed_documents(docs).columns == docs.columns and mixing.mixed_documents(docs.limit(0)).count() == 0
