@@ -9,6 +9,8 @@ n_resources)``; resource rows: ``(dataset_id, pos, title, url, format, …)``.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,6 +18,9 @@ from pyspark.sql import functions as F
 from refloom.functions.text import DATASET_TERMS, concat_truthy, first_truthy, fold, keyword_score, safe_file_name
 from refloom.session import cut_lineage
 
+#: Datasets whose first places may be broadcast; more are joined by shuffle.
+BROADCAST_KEYS = 200_000
+
 # What a reference-table resource mentions (besides the year).
 RESOURCE_TERMS = ("table", "refer")
 RESOURCE_FIELDS = ("title", "description", "type", "format", "mime", "url", "latest")
@@ -35,16 +40,19 @@ def dedupe_datasets(df: DataFrame, order: Sequence[str] = ("query_pos", "item_po
     """First-seen record per key across ordered queries.
 
     The first place per key is an aggregate over the key and the order alone, so neither
-    texts nor whole records are sorted or shuffled; the records are then fetched by a semi
-    join on (key, place). Records without any id all share the key '', which may be a large
-    part of the input: one row per key and task leaves for the shuffle. Records that share
-    both key and place are one record read twice; one of them stays.
+    texts nor whole records are sorted or shuffled; the records are then filtered out in
+    place by a semi join on (key, place), broadcast where the keys are few. Records without
+    any id all share the key '', which may be a large part of the input: one row per key and
+    task leaves for the shuffle. Unknown (null) places come last. Records that share both key
+    and place are one record read twice; one of them stays.
     """
     keyed = df.withColumn("dataset_key", dataset_key(df))
-    place = F.struct(*[F.col(c) for c in order])
-    firsts = keyed.groupBy("dataset_key").agg(F.min(place).alias("_first")).select("dataset_key", "_first.*")
-    found = keyed.join(firsts, ["dataset_key", *order], "left_semi").dropDuplicates(["dataset_key"])
-    return found.select("dataset_key", *df.columns)
+    place = F.struct(*[x for c in order for x in (F.col(c).isNull().alias(f"no_{c}"), F.col(c).alias(c))])
+    firsts = cut_lineage(keyed.groupBy("dataset_key").agg(F.min(place).alias("_first")).select("dataset_key", *[f"_first.{c}" for c in order]))
+    few = firsts.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
+    same = reduce(and_, [F.col(f"r.`{c}`").eqNullSafe(F.col(f"f.`{c}`")) for c in ["dataset_key", *order]])
+    found = keyed.alias("r").join((F.broadcast(firsts) if few else firsts).alias("f"), same, "left_semi")
+    return found.dropDuplicates(["dataset_key"]).select("dataset_key", *df.columns)
 
 
 def score_datasets(df: DataFrame) -> DataFrame:

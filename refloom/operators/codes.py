@@ -130,6 +130,14 @@ def code_mapping(
     return out
 
 
+def mapping_size(pairs: DataFrame, units: DataFrame) -> int:
+    """Rows that the mapping of ``(cog_initial, cog_reference)`` pairs must have: one a pair and unit of
+    its reference, one for a pair without a unit. Summed from counts, not from the mapping's rows."""
+    counted = units.groupBy("code").agg(F.count("*").alias("n"))
+    sized = pairs.groupBy("cog_reference").agg(F.count("*").alias("pairs")).join(counted, F.col("cog_reference") == F.col("code"), "left")
+    return int(sized.agg(F.sum(F.col("pairs") * F.coalesce("n", F.lit(1)))).first()[0] or 0)
+
+
 def mapping_table_name(target_year: int) -> str:
     """K2: year-suffixed output name."""
     return f"cog_tuu_tduu_{int(target_year)}"

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from refloom.functions import links as L
 from refloom.functions.text import fold, keyword_tokens
+from refloom.session import cut_lineage
 
 # The two ranking parameter sets of the reference.
 SELECT_FOR_YEAR = {
@@ -128,20 +129,33 @@ def first_seen(df: DataFrame, keys: Sequence[str], item: str, order: str = "pos"
 
 
 # ------------------------------------------------------------------ fallbacks
+#: Groups whose flags or winners may be broadcast (a key and a number each); more are joined by shuffle.
+BROADCAST_GROUPS = 200_000
+
+
+def with_group_values(df: DataFrame, keys: Sequence[str], *values: Column) -> DataFrame:
+    """``df`` plus aggregates of each row's group; null keys are a group like any other.
+
+    The aggregates (one row a group, combined before the shuffle) are written once and counted;
+    few are broadcast, so the rows are not moved; many are joined by shuffle, where AQE splits
+    groups that hold a large part of the rows.
+    """
+    groups = cut_lineage(df.groupBy(*keys).agg(*values))
+    few = groups.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS
+    g = (F.broadcast(groups) if few else groups).alias("g")
+    same = reduce(and_, [F.col(f"r.`{k}`").eqNullSafe(F.col(f"g.`{k}`")) for k in keys])
+    added = [F.col(f"g.`{c}`") for c in groups.columns if c not in keys]
+    return df.alias("r").join(g, same).select("r.*", *added)
+
+
 def keep_matching_or_all(df: DataFrame, keys: Sequence[str], hit: Column) -> DataFrame:
     """Keep the rows of a group that hit; a group without any hit keeps all.
 
-    The per-group flag is an aggregate (one row per group, pre-combined map-side),
-    joined back on the group key; AQE broadcasts it when small and splits skewed
-    partitions of the row side otherwise.
+    A row whose test is null (a null link) does not hit; rows with null keys are a group.
     """
-    flagged = df.withColumn("_hit", hit)
-    any_hit = flagged.groupBy(*keys).agg(F.max("_hit").alias("_any_hit"))
-    return (
-        flagged.join(any_hit, list(keys))
-        .filter(F.col("_hit") | ~F.col("_any_hit"))
-        .drop("_hit", "_any_hit")
-    )
+    flagged = df.withColumn("_hit", F.coalesce(hit, F.lit(False)))
+    kept = with_group_values(flagged, keys, F.max("_hit").alias("_any_hit"))
+    return kept.filter(F.col("_hit") | ~F.col("_any_hit")).drop("_hit", "_any_hit")
 
 
 def keyword_filter(df: DataFrame, keys: Sequence[str], link: str, keywords: Column | Sequence[str]) -> DataFrame:
@@ -214,9 +228,9 @@ def page_relevance(pages: DataFrame, keep: Sequence[str], html: str, links: Colu
 
 
 def first_nonempty_stage(df: DataFrame, keys: Sequence[str], stage: str = "stage") -> DataFrame:
-    """Per key, keep only the rows of the lowest stage that has any row."""
-    best = df.groupBy(*keys).agg(F.min(stage).alias("_first_stage"))
-    return df.join(best, list(keys)).filter(F.col(stage) == F.col("_first_stage")).drop("_first_stage")
+    """Per key (null is one), keep only the rows of the lowest stage that has any row; a null stage comes last."""
+    kept = with_group_values(df, keys, F.min(stage).alias("_first_stage"))
+    return kept.filter(F.col(stage).eqNullSafe(F.col("_first_stage"))).drop("_first_stage")
 
 
 def collect_candidates(
@@ -234,26 +248,35 @@ def collect_candidates(
     ``relevance_stage`` the page relevance filter (P16) judges the page's links, and
     them alone, by the query's keywords.
 
-    Rows ``(query, stage, link, page_pos, link_pos)``; all decisions are per page row or
-    aggregates per query.
+    Rows ``(query, stage, link, page_pos, link_pos)``. Pages are read once: everything about
+    a page is decided in its row, texts are folded for the judged stage alone, and the links
+    that remain, each once a query and stage, are written before the first stage is taken.
     """
     file_path = candidate_kw.get("file_path", L.FILE_PATH)
-    links = candidate_link_array("html", **candidate_kw)
-    keep = ["query", "stage", "page_pos"]
-    plain = pages.filter(F.col("stage") != relevance_stage).select(*keep, F.posexplode(links).alias("pos", "link"))
-    relevant = page_relevance(
-        pages.filter(F.col("stage") == relevance_stage).withColumn("_links", links),
-        keep, "html", F.col("_links"), dict(keywords_by_query or {}), keyword_key="query",
-    )
+    words = dict(keywords_by_query or {})
+    key = F.col("query")
+    judged = (F.col("stage") == relevance_stage) & key.isin(*[q for q, w in words.items() if w])
+    judged = F.coalesce(judged, F.lit(False))
     # a page that is itself a file stands before its links, whatever they are judged to be
     is_self = F.col("stage").isin(*[int(x) for x in self_link_stages]) & F.lower("page_url").contains(file_path.lower())
-    own = pages.filter(is_self).select(*keep, F.lit(-1).alias("pos"), F.col("page_url").alias("link"))
-    found = plain.unionByName(relevant).unionByName(own).withColumn("link_pos", F.col("pos") + 1).drop("pos")
-    first = first_nonempty_stage(found, ["query"])
-    ordered = first.withColumn("_ord", F.struct("page_pos", "link_pos"))
-    firsts = ordered.groupBy("query", "stage", "link").agg(F.min("_ord").alias("_ord"))
-    return firsts.select("query", "stage", "link", F.col("_ord.page_pos").alias("page_pos"),
-                         F.col("_ord.link_pos").alias("link_pos"))
+    own = F.when(F.coalesce(is_self, F.lit(False)), F.array("page_url")).otherwise(F.array().cast("array<string>"))
+    linked = pages.withColumns({"_links": candidate_link_array("html", **candidate_kw), "_judged": judged, "_own": own})
+    page_hit = _keyword_test(fold(F.when(F.col("_judged"), F.col("html"))), words, key)
+    link_hit = _keyword_test(fold(F.when(F.col("_judged"), F.array_join("_links", " "))), words, key)
+    decided = linked.select(
+        "query", "stage", "page_pos", "_own", F.concat("_own", "_links").alias("_all"),
+        (~F.col("_judged") | F.coalesce(page_hit, F.lit(False)) | ~F.coalesce(link_hit, F.lit(False))).alias("_keep"),
+    )
+    rows = decided.select(
+        "query", "stage", "page_pos", "_keep", F.size("_own").alias("_n_own"), F.posexplode_outer("_all").alias("_pos", "link")
+    ).withColumn("_keep", F.col("_keep") | (F.col("_pos") < F.col("_n_own")))
+    hit = F.coalesce(_keyword_test(fold(F.when(~F.col("_keep"), F.col("link"))), words, key), F.lit(False))
+    found = rows.filter(F.col("link").isNotNull() & (F.col("_keep") | hit))
+    place = F.struct("page_pos", (F.col("_pos") + 1 - F.col("_n_own")).alias("link_pos"))
+    firsts = cut_lineage(found.groupBy("query", "stage", "link").agg(F.min(place).alias("_ord")))
+    return first_nonempty_stage(firsts, ["query"]).select(
+        "query", "stage", "link", F.col("_ord.page_pos").alias("page_pos"), F.col("_ord.link_pos").alias("link_pos")
+    )
 
 
 # ------------------------------------------------------------------ ranking
@@ -289,15 +312,13 @@ def best_link(
     an accepted link produce no row.
 
     The best place per group is an aggregate on one number (hashed, combined before the
-    shuffle); the chosen rows, one a group, are then fetched by a join on group and place.
+    shuffle); the chosen rows, one a group, are then filtered out in place (``with_group_values``).
     Rows of a group that share both are one link listed twice."""
     scored = score_links(df, link, target_year, params, preferred_tokens, accepted_extensions)
     rows = scored.select(
         *keys, F.col(link).alias("link"), F.col(pos).alias("pos"), "score", "year", best_first(F.col("score"), F.col(pos)).alias("_rank")
     )
-    best = rows.groupBy(*keys).agg(F.max("_rank").alias("_rank"))
-    same = reduce(and_, [F.col(f"r.`{k}`").eqNullSafe(F.col(f"b.`{k}`")) for k in [*keys, "_rank"]])
-    found = rows.alias("r").join(best.alias("b"), same, "left_semi").dropDuplicates(list(keys))
+    found = with_group_values(rows, keys, F.max("_rank").alias("_top")).filter("_rank = _top").dropDuplicates(list(keys))
     return found.select(*keys, "link", "pos", "score", "year")
 
 

@@ -66,6 +66,14 @@ def has_columns(df: DataFrame, names: Iterable[str]) -> bool:
     return all(n in keys for n in names)
 
 
+def free_name(base: str, taken: Iterable[str]) -> str:
+    """``base``, lengthened by underscores until no name in ``taken`` is the same in any case."""
+    lower = {t.lower() for t in taken}
+    while base.lower() in lower:
+        base += "_"
+    return base
+
+
 # ---------------------------------------------------------------- P3
 # SQL words that may not stand as a column name without a leading
 # underscore (the reserved ones and those that are common as column names). Other

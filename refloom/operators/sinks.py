@@ -7,39 +7,78 @@ table behind (the reference stored first and checked after).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from refloom.operators import codes, quality
 
 
+def _swap_folder(spark: SparkSession, made: str, target: str) -> None:
+    """``made`` takes the place of ``target``; the old folder is set aside first and goes last."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    new, old, aside = (jvm.org.apache.hadoop.fs.Path(p) for p in (made, target, f"{made}-old"))
+    fs = old.getFileSystem(conf)
+    replaced = fs.exists(old)
+    if replaced and not fs.rename(old, aside):
+        raise OSError(f"{target} cannot be set aside")
+    if not fs.rename(new, old):
+        if replaced:
+            fs.rename(aside, old)
+        raise OSError(f"{target} cannot be replaced")
+    if replaced:
+        fs.delete(aside, True)
+
+
 def write_table(df: DataFrame, name: str, schema: str | None = None, path: str | None = None,
                 partition_by: str | None = None, mode: str = "overwrite",
                 bucket_by: str | None = None, buckets: int = 64) -> str:
     """K1: create-or-replace a table (``schema.name`` in the catalog, created when
     absent) or a parquet directory when ``path`` is given. Returns where it went.
 
+    A replacement is written beside the old table under a name of its own and takes its
+    place when it is complete, so a job that fails leaves the old table as it was (and
+    nothing else); the new rows may be read from the old table. Other modes write in place.
+
     ``bucket_by`` (catalog tables only) stores the rows hashed into ``buckets`` by a
     key, e.g. a code list by ``code``: later joins on that key with a table bucketed
     the same way need no shuffle on either side.
     """
-    writer = df.write.mode(mode)
+    staged = mode == "overwrite"
+    spark = df.sparkSession
+    writer = df.write.mode("error" if staged else mode)
     if partition_by:
         writer = writer.partitionBy(partition_by)
     if bucket_by:
         if path is not None:
             raise ValueError("bucketing needs a catalog table (path writes cannot be bucketed)")
         writer = writer.bucketBy(int(buckets), bucket_by).sortBy(bucket_by)
+    made = f"{name}__new_{uuid.uuid4().hex[:12]}" if staged else name
     if path is not None:
-        target = f"{path.rstrip('/')}/{name}"
-        writer.parquet(target)
-        return target
-    spark = df.sparkSession
-    qualified = name
+        folder = path.rstrip("/")
+        try:
+            writer.parquet(f"{folder}/{made}")
+        except BaseException:
+            if staged:
+                left = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/{made}")
+                left.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(left, True)
+            raise
+        if staged:
+            _swap_folder(spark, f"{folder}/{made}", f"{folder}/{name}")
+        return f"{folder}/{name}"
+    in_schema = f"`{schema}`." if schema else ""
     if schema:
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema}`")
-        qualified = f"`{schema}`.`{name}`"
-    writer.format("parquet").saveAsTable(qualified)
-    return qualified
+    try:
+        writer.format("parquet").saveAsTable(f"{in_schema}`{made}`")
+    except BaseException:
+        if staged:
+            spark.sql(f"DROP TABLE IF EXISTS {in_schema}`{made}`")
+        raise
+    if staged:
+        spark.sql(f"DROP TABLE IF EXISTS {in_schema}`{name}`")
+        spark.sql(f"ALTER TABLE {in_schema}`{made}` RENAME TO {in_schema}`{name}`")
+    return f"{in_schema}`{name}`" if schema else name
 
 
 def build_mapping_table(

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from refloom.functions.codes import valid_code
+from refloom.functions.codes import in_prefix_range, valid_code
 from refloom.operators import codes, history, quality, schema, sinks
 from refloom.plans import bindings as B
 from refloom.plans.oracle import MAP_COLS, METRO, VALID, with_views
@@ -15,8 +15,6 @@ from refloom.session import ensure_checkpoint_dir
 
 TARGET_YEAR = 2025
 TOLERANCE = 4
-# Expected rows of the metropolitan mapping, by the number of rows of the code list.
-EXPECTED_METRO_ROWS = {150: 313, 1_500: 3165, 15_000: 32808}
 
 
 @query(
@@ -117,23 +115,23 @@ def code_mapping_snapshot(spark, sf):
     )
 
 
-_EXPECTED = "CAST(CASE (SELECT count(*) FROM customer) " + " ".join(
-    f"WHEN {n} THEN {rows}" for n, rows in EXPECTED_METRO_ROWS.items()
-) + " END AS BIGINT)"
-
-
 @query(
     "row_count_control",
     with_views(
-        ("event_map",),
-        f"""SELECT count(*) AS n_rows, {_EXPECTED} AS expected_rows, CAST({TOLERANCE} AS BIGINT) AS tolerance,
-                   abs(count(*) - {_EXPECTED}) <= {TOLERANCE} AS passed
+        ("event_map", "event_pairs", "units"),
+        f"""WITH expected AS (
+              SELECT CAST(sum(pairs * coalesce(n, 1)) AS BIGINT) AS e
+              FROM (SELECT cog_reference, count(*) AS pairs FROM event_pairs WHERE {METRO} GROUP BY cog_reference)
+              LEFT JOIN (SELECT code, count(*) AS n FROM units GROUP BY code) ON code = cog_reference)
+            SELECT count(*) AS n_rows, (SELECT e FROM expected) AS expected_rows, CAST({TOLERANCE} AS BIGINT) AS tolerance,
+                   abs(count(*) - (SELECT e FROM expected)) <= {TOLERANCE} AS passed
             FROM event_map WHERE {METRO}""",
     ),
-    "K4 A1",
+    "K4 A1: the mapping's rows against what counts of pairs and units make them",
 )
 def row_count_control(spark, sf):
-    expected = EXPECTED_METRO_ROWS.get(B.cog_raw(spark, sf).count())
+    pairs = codes.mapping_pairs(codes.resolve_reference(B.cog_raw(spark, sf)), codes.history_code_set(B.history_raw(spark, sf)))
+    expected = codes.mapping_size(pairs.filter(in_prefix_range("cog_initial")), codes.urban_units(B.uu_raw(spark, sf)))
     return quality.row_count_report(_mapping(spark, sf, True), expected, TOLERANCE)
 
 

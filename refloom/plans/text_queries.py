@@ -177,15 +177,13 @@ def reference_tables(spark, sf):
     return out.select("dataset_id", "pos", "title", "url", "format", "file_name")
 
 
-_LISTED = """SELECT row_number() OVER (ORDER BY coalesce(title, ''), pos) AS place, pos, title FROM
-             (SELECT * FROM resources ORDER BY coalesce(title, ''), pos LIMIT 100)"""
-
-
-@query("resource_listing", with_views(("resources",), _LISTED), "O4: order by title, then position; the listing's first hundred")
+@query(
+    "resource_listing",
+    with_views(("resources",), "SELECT dataset_id, pos, title, url FROM resources ORDER BY coalesce(title, ''), pos"),
+    "O4: all resources, ordered by title, then position",
+)
 def resource_listing(spark, sf):
-    top = catalog.ordered_listing(B.resources(spark, sf)).limit(100)  # a report of a fixed length
-    order = Window.orderBy(F.coalesce("title", F.lit("")), "pos")
-    return top.select(F.row_number().over(order).cast("long").alias("place"), "pos", "title")
+    return catalog.ordered_listing(B.resources(spark, sf)).select("dataset_id", "pos", "title", "url")
 
 
 @query(

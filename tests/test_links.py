@@ -220,3 +220,26 @@ def test_kinds_without_a_source_are_named(spark):
     df = spark.createDataFrame([("codes", 0, 0, f"{BASE}/1/cog-2025.csv")], "kind string, stage int, pos long, link string")
     rows = LO.source_rejects(LO.choose_sources(df, 2025)).collect()
     assert sorted((r.kind, r.reason) for r in rows) == [("history", "no source found"), ("units", "no source found")]
+
+
+def test_fallbacks_keep_rows_with_nulls(spark):
+    """Null keys are a group, null links do not hit, a null stage comes last; by broadcast and by shuffle."""
+    rows = [("a", 0, "x/table"), ("a", 1, None), ("a", 2, "y"), (None, 0, "z"), (None, 1, "table"), ("b", 0, None), ("b", 1, None), ("c", 0, "q")]
+    df = spark.createDataFrame(rows, "grp string, pos int, link string")
+    want = [("a", 0), ("b", 0), ("b", 1), ("c", 0), (None, 1)]
+    staged = spark.createDataFrame([(None, 1, "x"), (None, 0, "y"), ("a", None, "z"), ("b", 2, "p"), ("b", None, "q")], "key string, stage int, item string")
+    limit = LO.BROADCAST_GROUPS
+    try:
+        for LO.BROADCAST_GROUPS in (limit, 0):
+            out = LO.keyword_filter(df, ["grp"], "link", ("TABLE",))
+            assert sorted(((r.grp, r.pos) for r in out.collect()), key=repr) == sorted(want, key=repr)
+            kept = LO.first_nonempty_stage(staged, ["key"]).collect()
+            assert sorted(((r.key, r.item) for r in kept), key=repr) == sorted([(None, "y"), ("a", "z"), ("b", "p")], key=repr)
+    finally:
+        LO.BROADCAST_GROUPS = limit
+
+
+def test_best_link_of_null_groups(spark):
+    df = spark.createDataFrame([(None, 0, "/f/t_2025.csv"), (None, 1, "/f/t_2024.csv"), ("a", 0, "/f/t_2020.zip")], "grp string, pos int, link string")
+    out = LO.best_link(df, ["grp"], target_year=2025, params=LO.PICK_BEST).collect()
+    assert {(r.grp, r.link) for r in out} == {(None, "/f/t_2025.csv"), ("a", "/f/t_2020.zip")}

@@ -120,3 +120,18 @@ def test_the_listing_query_returns_all_resources(spark):
     n = spark.read.parquet(f"{sf}/documents.parquet").count()
     got = load_all()["resource_listing_whole"].run(spark, sf).collect()
     assert n > 100 and sorted(r.place for r in got) == list(range(1, n + 1))
+
+
+def test_dedupe_keeps_records_without_a_place(spark):
+    """An unknown place comes last, and a dataset whose places are all unknown stays."""
+    from refloom.operators import catalog
+
+    rows = [("x", 0, 0, "first"), ("x", None, 3, "again"), ("y", None, None, "only"), ("z", 2, None, "late"), ("z", 2, 5, "early"), (None, None, 1, "bare"), (None, 4, 0, "bare 4")]
+    df = spark.createDataFrame(rows, "id string, query_pos int, item_pos int, title string")
+    limit = catalog.BROADCAST_KEYS
+    try:
+        for catalog.BROADCAST_KEYS in (limit, 0):
+            out = {r.dataset_key: r.title for r in catalog.dedupe_datasets(df).collect()}
+            assert out == {"x": "first", "y": "only", "z": "early", "": "bare 4"}
+    finally:
+        catalog.BROADCAST_KEYS = limit
