@@ -15,13 +15,11 @@ Only per-member metadata (distinct headers per table) ever reaches the driver.
 from __future__ import annotations
 
 import contextlib
-import csv
 import io
 import itertools
 import posixpath
 import re
 import shutil
-import sys
 import tempfile
 import zipfile
 from collections.abc import Iterator, Sequence
@@ -32,14 +30,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from refloom.functions.text import identifier
-from refloom.operators.schema import normalize_headers
+from refloom.operators.schema import free_name, normalize_headers
 from refloom.session import ship_package
+from refloom.sources import dialect
 
-# Suffixes the builder treats as tabular, archive nesting limit, and the
-# delimiters voted on. Cells and lines have no length limit: a long one is read whole.
+# Suffixes the builder treats as tabular and the archive nesting limit.
+# Cells and lines have no length limit: a long one is read whole.
 TABULAR_SUFFIXES = (".csv", ".xls", ".xlsx", ".dbf", ".shp", ".gpkg", ".geojson")
 MAX_NESTING = 5
-DELIMITERS = (";", ",", "\t", "|")
 SNIFF_BYTES = 4096
 SPOOL_BYTES = 32 << 20
 
@@ -69,32 +67,52 @@ def open_path(path: str):
     return filesystem.open_input_file(inner)
 
 
-def sniff_delimiter(first_line: str) -> str:
-    """Delimiter by vote over the header line (most frequent of ``; , tab |``)."""
-    counts = [(first_line.count(d), -i, d) for i, d in enumerate(DELIMITERS)]
-    best = max(counts)
-    return best[2] if best[0] > 0 else ","
-
-
 def _looks_html(head: bytes) -> bool:
     """K5 on bytes: a doctype or an html tag among the first characters, in any case."""
     return re.search(rb"<(?:!doctype )?html", head[:SNIFF_BYTES], re.IGNORECASE) is not None
 
 
-def text_stream(raw) -> io.TextIOWrapper:
-    return io.TextIOWrapper(raw, encoding="utf-8-sig", errors="replace", newline="")
+class _Headed(io.RawIOBase):
+    """A stream that cannot seek, with what was read of it put back in front."""
+
+    def __init__(self, head: bytes, raw):
+        super().__init__()
+        self.head, self.raw = head, raw
+
+    def readable(self) -> bool:
+        return True
 
+    def readinto(self, into) -> int:
+        data = self.head[: len(into)] if self.head else self.raw.read(len(into))
+        self.head = self.head[len(data) :]
+        into[: len(data)] = data
+        return len(data)
 
-def text_records(stream, sep: str | None = None) -> tuple[str, Iterator[list[str]]]:
-    """(delimiter, records that are not blank, the header first) of a delimited text.
 
-    The delimiter is voted on over the first line that is not blank; header and rows come
-    from one parser, so either may hold quoted line breaks.
+def text_records(raw, sep: str | None = None) -> Iterator[list[str]]:
+    """The records of a delimited text that are not blank, the header first.
+
+    Dialect and encoding are found from its first bytes. A stream is read once: it is
+    Latin-1 from the first bytes on that are no UTF-8, unless it held multi-byte UTF-8
+    before them; then they are replaced.
     """
-    csv.field_size_limit(sys.maxsize)
-    first = next((line for line in stream if line.strip()), "")
-    delim = sep or sniff_delimiter(first)
-    return delim, (r for r in csv.reader(itertools.chain([first], stream), delimiter=delim) if r)
+    head = raw.read(dialect.SAMPLE_BYTES)
+    found = dialect.detect(head, len(head) < dialect.SAMPLE_BYTES, sep)
+    stream = io.BufferedReader(_Headed(head[found.mark :], raw), 1 << 16)
+
+    def texts() -> Iterator[str]:
+        codec, wide = found.codec, False
+        for line in iter(stream.readline, b"") if codec == "utf-8" else ():
+            text, bad = dialect.decoded(line, codec)
+            if bad and not wide and codec == "utf-8":
+                codec = "latin-1"
+                text, _ = dialect.decoded(line, codec)
+            wide |= codec == "utf-8" and not bad and not line.isascii()
+            yield from dialect.pieces(text)
+        for _, text, _ in dialect.lines(stream, codec) if codec.startswith("utf-16") else ():
+            yield from dialect.pieces(text)
+
+    return (r for r in dialect.reader(texts(), found.sep, found.quote) if r)
 
 
 def _dbf_names(raw) -> list[str]:
@@ -103,14 +121,24 @@ def _dbf_names(raw) -> list[str]:
     return [name for name, _, _ in parse_header(raw)[3]]
 
 
+def _geojson_names(raw) -> list[str]:
+    from refloom.sources.geojson import property_names
+
+    return property_names(raw)
+
+
+#: How the column names of a member are read, by suffix.
+_HEADERS = {".csv": lambda raw: next(text_records(raw), []), ".dbf": _dbf_names, ".geojson": _geojson_names}
+
+
 def _header_of(zf: zipfile.ZipFile, name: str) -> tuple[list[str] | None, bool]:
     with zf.open(name) as raw:
         html = _looks_html(raw.read(SNIFF_BYTES))
     kind = posixpath.splitext(name)[1].lower()
-    if html or kind not in (".csv", ".dbf"):
+    if html or kind not in _HEADERS:
         return None, html
     with zf.open(name) as raw:
-        return (next(text_records(text_stream(raw))[1], []) if kind == ".csv" else _dbf_names(raw)), html
+        return _HEADERS[kind](raw), html
 
 
 @contextlib.contextmanager
@@ -269,7 +297,7 @@ def first_tabular_member(members: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ S5 rows
-def _columns_of(rows: list[list[str]], places: Sequence[int], n_columns: int, width: int) -> list[pa.Array]:
+def columns_of(rows: list[list[str]], places: Sequence[int], n_columns: int, width: int) -> list[pa.Array]:
     """Arrow columns of some records: cell ``i`` goes to column ``places[i]``; an empty or
     missing cell is NULL, as in SQL CSV readers; the last column holds surplus cells."""
     nothing = pa.nulls(len(rows), pa.string())
@@ -282,10 +310,15 @@ def _columns_of(rows: list[list[str]], places: Sequence[int], n_columns: int, wi
     return [*out, pa.array([r[width:] or None for r in rows], pa.list_(pa.string()))]
 
 
+def further_names(columns: Sequence[str]) -> list[str]:
+    """Names of the provenance columns and the surplus cells; one that a table has taken is lengthened."""
+    return [free_name(n, columns) for n in ("archive", "member", "_extra")]
+
+
 def _rows_batches(batches, columns: Sequence[str], batch_rows: int = 8192):
     """Data records of the (archive_path, member) rows of each input batch; each archive
     is opened once per batch and only the listed members are decompressed."""
-    names = [*columns, "archive", "member", "_extra"]
+    names = [*columns, *further_names(columns)]
     place = {c: i for i, c in enumerate(columns)}
     for batch in batches:
         wanted: dict[str, list[str]] = {}
@@ -295,11 +328,11 @@ def _rows_batches(batches, columns: Sequence[str], batch_rows: int = 8192):
             with open_path(path) as fh, zipfile.ZipFile(fh) as zf:
                 for member in sorted(wanted[path]):
                     with zf.open(member) as raw:
-                        _, records = text_records(text_stream(raw))
+                        records = text_records(raw)
                         header = normalize_headers(next(records, []))
                         places = [place[h] for h in header]
                         while rows := list(itertools.islice(records, batch_rows)):
-                            *cells, extra = _columns_of(rows, places, len(columns), len(header))
+                            *cells, extra = columns_of(rows, places, len(columns), len(header))
                             source = [pa.array([v] * len(rows), pa.string()) for v in (posixpath.basename(path), member)]
                             yield pa.RecordBatch.from_arrays([*cells, *source, extra], names=names)
 
@@ -307,13 +340,15 @@ def _rows_batches(batches, columns: Sequence[str], batch_rows: int = 8192):
 def read_member_rows(members: DataFrame, columns: Sequence[str], n_tasks: int | None = None) -> DataFrame:
     """S5 for one logical table: all data lines of the given ``(archive_path, member)``
     rows, as text columns in union-by-name order (missing columns NULL, short rows
-    padded, surplus cells in ``_extra``), plus provenance ``archive`` and ``member``.
+    padded, surplus cells in ``_extra``), plus provenance ``archive`` and ``member``. Of
+    these three names, one that is a column's is lengthened by underscores.
 
     Members are spread over tasks (an archive with many members is read by many
     tasks, each decompressing only its own members); one member is one deflate
     stream, so it stays in one task.
     """
-    schema = ", ".join(f"`{c}` string" for c in columns) + ", archive string, member string, _extra array<string>"
+    kinds = ["string"] * (len(columns) + 2) + ["array<string>"]
+    schema = ", ".join(f"`{c}` {k}" for c, k in zip([*columns, *further_names(columns)], kinds, strict=True))
     spark = members.sparkSession
     ship_package(spark)
     tasks = n_tasks or max(1, spark.sparkContext.defaultParallelism * 2)
@@ -327,21 +362,27 @@ def read_member_rows(members: DataFrame, columns: Sequence[str], n_tasks: int |
 # ------------------------------------------------------------------ the chosen member, opened
 def _chosen_batches(batches: Iterator[pa.RecordBatch], columns: Sequence[str], batch_rows: int = 8192):
     """Records of the chosen member of each archive, at any nesting, as text columns."""
-    from refloom.sources import dbf
+    from refloom.sources import dbf, geojson
 
+    names = [*columns, free_name("archive", columns)]
     place = {c: i for i, c in enumerate(columns)}
     for batch in batches:
-        for path, chain, member, suffix in zip(*(batch.column(c).to_pylist() for c in ("archive_path", "chain", "member", "suffix"))):
+        for path, chain, member, suffix, raw_header in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             with contextlib.ExitStack() as stack:
                 zf = stack.enter_context(zipfile.ZipFile(stack.enter_context(open_path(path))))
                 for name in chain:
                     zf = stack.enter_context(nested_zip(zf, name))
                 raw = stack.enter_context(zf.open(member))
                 if suffix == ".csv":
-                    _, records = text_records(text_stream(raw))
+                    records = text_records(raw)
                     header = normalize_headers(next(records, []))
                     blocks = iter(lambda: list(itertools.islice(records, batch_rows)), [])
-                    made = (_columns_of(rows, [place[h] for h in header], len(columns), len(header))[:-1] for rows in blocks)
+                    made = (columns_of(rows, [place[h] for h in header], len(columns), len(header))[:-1] for rows in blocks)
+                elif suffix == ".geojson":
+                    order = dict(zip(raw_header, normalize_headers(raw_header), strict=True))
+                    rows = ({order[k]: v for k, v in f.items()} for f in geojson.features(raw))
+                    blocks = iter(lambda: list(itertools.islice(rows, batch_rows)), [])  # noqa: B023
+                    made = ([pa.array([r.get(c) for r in block], pa.string()) for c in columns] for block in blocks)
                 else:
                     n, length, width, fields = dbf.parse_header(raw)
                     raw.read(length - raw.tell())
@@ -350,24 +391,24 @@ def _chosen_batches(batches: Iterator[pa.RecordBatch], columns: Sequence[str], b
                             for b in dbf.record_batches(raw, width, fields, n, "utf-8"))
                 for cells in made:
                     source = pa.array([posixpath.basename(path)] * len(cells[0]), pa.string())
-                    yield pa.RecordBatch.from_arrays([*cells, source], names=[*columns, "archive"])
+                    yield pa.RecordBatch.from_arrays([*cells, source], names=names)
 
 
 def read_chosen(chosen: DataFrame) -> DataFrame:
-    """S3 -> S10: the rows of the members that ``first_tabular_member`` chose, CSV or dBASE, at
-    any nesting, as text columns united by name, plus ``archive``. Other formats are errors.
+    """S3 -> S10: the rows of the members that ``first_tabular_member`` chose, CSV, dBASE or GeoJSON,
+    at any nesting, as text columns united by name, plus ``archive``. Other formats are errors.
 
     Distinct headers reach the driver (metadata); each member is read by one task.
     """
     spark = chosen.sparkSession
     ship_package(spark)
     found = chosen.groupBy("suffix", "header").agg(F.min("archive_path").alias("first")).orderBy("first").collect()
-    other = sorted({r["suffix"] for r in found} - {".csv", ".dbf"})
+    other = sorted({r["suffix"] for r in found} - set(_HEADERS))
     if other:
         raise ArchiveError(f"no reader for members of the kind {', '.join(other)}")
     columns = union_columns([r["header"] or [] for r in found])
-    schema = ", ".join([*(f"`{c}` string" for c in columns), "archive string"])
-    files = chosen.select("archive_path", "chain", "member", "suffix").repartition(
+    schema = ", ".join(f"`{c}` string" for c in [*columns, free_name("archive", columns)])
+    files = chosen.where(F.size("header") > 0).select("archive_path", "chain", "member", "suffix", "header").repartition(
         max(1, spark.sparkContext.defaultParallelism * 2), "archive_path"
     )
     return files.mapInArrow(lambda it: _chosen_batches(it, columns), schema).hint("rebalance")

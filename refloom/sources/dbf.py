@@ -1,8 +1,8 @@
-"""dBASE attribute-table scan (S6) as a Python Data Source.
+"""dBASE attribute-table scan.
 
 The urban-unit base arrives as a shapefile whose attributes live in a ``.dbf``:
-fixed-width records after a header. The reader splits the record range into
-partitions, so a large table is read by many tasks, each seeking to its slice.
+fixed-width records after a header. Tasks read the headers; record ranges of a fixed
+number are rows that are dealt to tasks, each seeking to its slice.
 Every field is returned as trimmed text (codes keep their leading zeros); deleted
 records are skipped. The text encoding comes from the ``encoding`` option, else
 each file's ``.cpg`` sidecar, else UTF-8. A directory is read file by file.
@@ -17,8 +17,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql import functions as F
+
+from refloom.session import cut_lineage, ship_package
 
 RECORDS_PER_PARTITION = 200_000
 
@@ -44,11 +45,6 @@ def parse_header(fh) -> tuple[int, int, int, list[tuple[str, str, int]]]:
     return n_records, header_len, record_len, fields
 
 
-def read_header(path: str) -> tuple[int, int, int, list[tuple[str, str, int]]]:
-    with _open(path) as fh:
-        return parse_header(fh)
-
-
 def _text_column(cells: np.ndarray, encoding: str) -> pa.Array:
     """A fixed-width field of many records (one row of bytes each) as trimmed text."""
     n, width = cells.shape
@@ -91,77 +87,49 @@ def sidecar_encoding(path: str) -> str | None:
     return None
 
 
-class _Range(InputPartition):
-    def __init__(self, path: str, start: int, stop: int):
-        self.path, self.start, self.stop = path, start, stop
-
-
-def list_dbf_files(path: str) -> list[str]:
-    """A ``.dbf`` file, or every ``.dbf`` file of a directory (sorted)."""
-    if path.lower().endswith(".dbf"):
-        return [path]
-    if "://" in path and not path.startswith("file:"):
-        from pyarrow import fs
-
-        filesystem, inner = fs.FileSystem.from_uri(path)
-        infos = filesystem.get_file_info(fs.FileSelector(inner))
-        scheme = path.split("://", 1)[0]
-        return sorted(f"{scheme}://{i.path}" for i in infos if i.path.lower().endswith(".dbf"))
-    import os
-
-    local = path[len("file:"):] if path.startswith("file:") else path
-    return sorted(os.path.join(local, n) for n in os.listdir(local) if n.lower().endswith(".dbf"))
-
-
-class DbfReader(DataSourceReader):
-    def __init__(self, paths: list[str], encoding: str | None):
-        self.paths, self.encoding = paths, encoding
-        self.headers = {p: read_header(p) for p in paths}
-        names = [n for n, _, _ in self.headers[paths[0]][3]]
-        other = [p for p in paths if [n for n, _, _ in self.headers[p][3]] != names]
-        if other:  # one schema for all: a file with other fields would be mislabelled
-            raise ValueError(f"{len(other)} dBASE files have other fields than {paths[0]}: {other[:3]}")
-
-    def partitions(self):
-        step = RECORDS_PER_PARTITION
-        parts = []
-        for p in self.paths:
-            n = self.headers[p][0]
-            parts.extend(_Range(p, s, min(s + step, n)) for s in range(0, n, step))
-        return parts or [_Range(self.paths[0], 0, 0)]
-
-    def read(self, partition: _Range) -> Iterator:
-        """Arrow record batches, one per block of records (no per-row conversion)."""
-        _, header_len, record_len, fields = self.headers[partition.path]
-        encoding = self.encoding or sidecar_encoding(partition.path) or "utf-8"
-        with _open(partition.path) as fh:
-            fh.seek(header_len + partition.start * record_len)
-            yield from record_batches(fh, record_len, fields, partition.stop - partition.start, encoding)
-
+_LAYOUT = pa.schema([
+    ("path", pa.string()), ("names", pa.list_(pa.string())), ("widths", pa.list_(pa.int32())), ("records", pa.int64()),
+    ("header_len", pa.int32()), ("record_len", pa.int32()), ("encoding", pa.string()),
+])
+_LAYOUT_DDL = "path string, names array<string>, widths array<int>, records long, header_len int, record_len int, encoding string"
 
-class DbfDataSource(DataSource):
-    """``spark.read.format("dbf").option("path", file_or_directory)``; all files of a
-    directory must share the first file's fields."""
 
-    @classmethod
-    def name(cls) -> str:
-        return "dbf"
+def _layouts(batches: Iterator[pa.RecordBatch], encoding: str | None) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = []
+        for path in batch.column(0).to_pylist():
+            with _open(path) as fh:
+                n, header_len, record_len, fields = parse_header(fh)
+            names, widths = [f for f, _, _ in fields], [w for _, _, w in fields]
+            rows.append((path, names, widths, n, header_len, record_len, encoding or sidecar_encoding(path) or "utf-8"))
+        yield pa.RecordBatch.from_pylist([dict(zip(_LAYOUT.names, r, strict=True)) for r in rows], schema=_LAYOUT)
 
-    def schema(self) -> StructType:
-        paths = list_dbf_files(self.options["path"])
-        _, _, _, fields = read_header(paths[0])
-        return StructType([StructField(n, StringType(), True) for n, _, _ in fields])
 
-    def reader(self, schema: StructType) -> DataSourceReader:
-        return DbfReader(list_dbf_files(self.options["path"]), self.options.get("encoding"))
+def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Arrow record batches, one per block of records (no per-row conversion)."""
+    for batch in batches:
+        for r in batch.to_pylist():
+            fields = [(n, "C", w) for n, w in zip(r["names"], r["widths"], strict=True)]
+            with _open(r["path"]) as fh:
+                fh.seek(r["header_len"] + r["start"] * r["record_len"])
+                yield from record_batches(fh, r["record_len"], fields, min(RECORDS_PER_PARTITION, r["records"] - r["start"]), r["encoding"])
 
 
 def read_dbf(spark: SparkSession, path: str, encoding: str | None = None) -> DataFrame:
-    from refloom.session import ship_package
+    """The records of a ``.dbf`` file, or of every ``.dbf`` file of a directory; all share the first file's fields.
 
+    Headers are read in tasks; one row per distinct list of fields reaches the driver.
+    """
     ship_package(spark)
-    spark.dataSource.register(DbfDataSource)
-    reader = spark.read.format("dbf").option("path", path)
-    if encoding:
-        reader = reader.option("encoding", encoding)
-    return reader.load()
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.[dD][bB][fF]").load(path).select("path")
+    tasks = max(1, spark.sparkContext.defaultParallelism * 2)
+    layouts = cut_lineage(listing.repartition(tasks, "path").mapInArrow(lambda it: _layouts(it, encoding), _LAYOUT_DDL))
+    kinds = layouts.groupBy("names").agg(F.min("path").alias("first"), F.count("*").alias("files")).orderBy("first").take(4)
+    if not kinds:
+        raise ValueError(f"no dBASE file in {path}")
+    if len(kinds) > 1:  # one schema for all: a file with other fields would be mislabelled
+        raise ValueError(f"dBASE files have other fields than {kinds[0]['first']}: {[k['first'] for k in kinds[1:]]}")
+    last = F.greatest(F.lit(0).cast("long"), F.col("records") - 1)
+    ranges = layouts.withColumn("start", F.explode(F.sequence(F.lit(0).cast("long"), last, F.lit(RECORDS_PER_PARTITION).cast("long"))))
+    schema = ", ".join(f"`{n.replace('`', '``')}` string" for n in kinds[0]["names"])
+    return ranges.repartition(tasks, "path", "start").mapInArrow(_records, schema)
