@@ -12,10 +12,11 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from refloom.functions.text import DATASET_TERMS, concat_truthy, first_truthy, fold, keyword_score, safe_file_name
+from refloom.operators.order import ordered_places
 from refloom.session import cut_lineage
 
 #: Datasets whose first places may be broadcast; more are joined by shuffle.
@@ -91,20 +92,8 @@ def ordered_listing(resources: DataFrame, pos: str = "pos") -> DataFrame:
 
 
 def listing_places(resources: DataFrame, pos: str = "pos") -> DataFrame:
-    """O4 as a column: ``place`` of each resource in the whole ``ordered_listing``, from 1.
-
-    Rows are dealt into ranges of that order; a place is the number of rows in earlier
-    ranges plus the place inside the range. No task holds more than its range.
-    """
-    order = [F.coalesce(F.col("title"), F.lit("")), F.col(pos)]
-    ranges = int(resources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # the bounds are sampled, so the ranges are written once
-    dealt = cut_lineage(resources.repartitionByRange(ranges, *order).withColumn("range", F.spark_partition_id()))
-    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
-    counts = dealt.groupBy("range").agg(F.count(F.lit(1)).alias("n"))
-    before = counts.select("range", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    inside = F.row_number().over(Window.partitionBy("range").orderBy(*order))
-    return dealt.join(F.broadcast(before), "range").withColumn("place", F.col("before") + inside).drop("range", "before")
+    """O4 as a column: ``place`` of each resource in the whole ``ordered_listing``, from 1."""
+    return ordered_places(resources, [F.coalesce(F.col("title"), F.lit("")), F.col(pos)], "place")
 
 
 def with_file_names(resources: DataFrame) -> DataFrame:

@@ -13,14 +13,16 @@ from refloom.plans.oracle import CODE, MAP_COLS, METRO, with_views
 from refloom.plans.registry import query
 from refloom.session import cut_lineage
 from refloom.sources import archives as A
+from refloom.sources import delimited
 from refloom.sources.catalog import read_catalog
 from refloom.sources.dbf import read_dbf
-from refloom.sources.delimited import read_tabular
+from refloom.sources.delimited import read_lenient_csv, read_tabular
 from refloom.sources.geojson import read_geojson
 
-# Rows whose keys are this far apart stand in different files, so files grow in number
-# with the rows.
-KEYS_A_FILE = 250
+# Rows whose keys are this far apart stand in different files, so files grow in number with
+# the rows and not in size: some 80 KB of a narrow table, 2 MB of documents.
+KEYS_A_FILE = 2_000
+DOCS_A_FILE = 500
 
 
 def _block(k):
@@ -65,17 +67,23 @@ def _archive_dir(spark, sf) -> str:
 
 @query(
     "archive_load",
-    f"""SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS nom,
+    f"""SELECT 'exports_clients' AS table_name, CAST(c_custkey AS VARCHAR) AS id, c_name AS nom,
                CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END AS segment_marche,
                CASE WHEN c_custkey % 2 = 1 THEN printf('%.2f', c_acctbal) END AS solde,
+               NULL AS nom_fournisseur, NULL AS nation,
                'clients-' || CAST({_BLOCK('c_custkey')} AS VARCHAR) || '.zip' AS archive,
                'exports/clients.csv' AS member, CAST(NULL AS VARCHAR[]) AS _extra
-        FROM customer""",
-    "X2 S1 S2 S5 P3 F9",
+        FROM customer
+        UNION ALL
+        SELECT 'exports_fournisseurs', CAST(s_suppkey AS VARCHAR), NULL, NULL, NULL, s_name, CAST(s_nationkey AS VARCHAR),
+               'clients-' || CAST({_BLOCK('s_suppkey')} AS VARCHAR) || '.zip', 'exports/fournisseurs.csv', NULL
+        FROM supplier""",
+    "X2 S1 S2 S5 P3 F9: both tables of the archives",
 )
 def archive_load(spark, sf):
     tables, _ = A.load_archives(spark, _archive_dir(spark, sf))
-    return tables["exports_clients"]
+    named = [df.withColumn("table_name", F.lit(name)) for name, df in sorted(tables.items())]
+    return named[0].unionByName(named[1], allowMissingColumns=True)
 
 
 @query(
@@ -143,10 +151,44 @@ def geojson_load(spark, sf):
     return read_geojson(spark, out).select("CODGEO", "TUU2020", "LIBUU2020")
 
 
+@query(
+    "geojson_values",
+    f"""SELECT {CODE('p_partkey')} AS code, printf('%.2f', p_retailprice) AS prix, CAST(p_size AS VARCHAR) || 'e' || CAST(p_size % 9 AS VARCHAR) AS exposant,
+               CASE WHEN p_partkey % 3 = 0 THEN '{{"k": [' || CAST(p_size AS VARCHAR) || ', {{"b": "' || p_brand || '"}}, 1.50]}}' END AS nested,
+               CASE WHEN p_partkey % 3 = 1 THEN '[ ]' END AS liste, CASE WHEN p_partkey % 2 = 0 THEN 'true' ELSE 'false' END AS pair
+        FROM part WHERE p_partkey % 13 <> 0
+        UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL FROM part WHERE p_partkey % 13 = 0""",
+    "S7: numbers and nested values as written, features without properties, lists without features",
+)
+def geojson_values(spark, sf):
+    out = FF.scratch_dir(spark, "geojson-values")
+    p = B.table(spark, sf, "part")
+    k = F.col("p_partkey")
+    nested = F.concat(F.lit('{"k": ['), F.col("p_size").cast("string"), F.lit(', {"b": '), F.to_json(F.array("p_brand")), F.lit("}, 1.50]}"))
+    nested = F.regexp_replace(nested, r'\{"b": \[("[^"]*")\]\}', r'{"b": $1}')
+    props = F.concat(
+        F.lit('{"code": "'), B.code_of(k), F.lit('", "prix": '), F.format_string("%.2f", F.col("p_retailprice").cast("double")),
+        F.lit(', "exposant": '), F.col("p_size").cast("string"), F.lit("e"), (F.col("p_size") % 9).cast("string"),
+        F.when(k % 3 == 0, F.concat(F.lit(', "nested": '), nested)).when(k % 3 == 1, F.lit(', "liste": [ ]')).otherwise(F.lit(', "nested": null')),
+        F.lit(', "pair": '), F.when(k % 2 == 0, F.lit("true")).otherwise(F.lit("false")), F.lit("}"),
+    )
+    rows = p.select(F.floor(k / KEYS_A_FILE).cast("string").alias("file"), k.alias("ord"), F.when(k % 13 == 0, F.lit("null")).otherwise(props).alias("props"))
+    FF.write_json_lists(
+        rows, "file", out, ".geojson", lambda _k: ('{"type": "FeatureCollection", "name": "x", "features": [', '], "crs": null}'),
+        lambda r: '{"type": "Feature", "properties": ' + r["props"] + ', "geometry": {"type": "Point", "coordinates": [1.5, 2]}}',
+    )
+    # as many files again whose list is empty
+    FF.write_text_files(
+        rows.select(F.concat(F.lit("empty-"), "file").alias("file")).distinct().select("file", F.lit(0).alias("ord"), F.lit("").alias("line")),
+        "file", '{"type": "FeatureCollection", "features": []}', out, ".geojson",
+    )
+    return read_geojson(spark, out).select("code", "prix", "exposant", "nested", "liste", "pair")
+
+
 @query(
     "catalog_json_load",
-    f"""SELECT CAST(dense_rank() OVER (ORDER BY doc_id // {KEYS_A_FILE}) - 1 AS INTEGER) AS query_pos,
-              CAST(row_number() OVER (PARTITION BY doc_id // {KEYS_A_FILE} ORDER BY doc_id) - 1 AS INTEGER) AS item_pos,
+    f"""SELECT CAST(dense_rank() OVER (ORDER BY doc_id // {DOCS_A_FILE}) - 1 AS INTEGER) AS query_pos,
+              CAST(row_number() OVER (PARTITION BY doc_id // {DOCS_A_FILE} ORDER BY doc_id) - 1 AS INTEGER) AS item_pos,
               CASE WHEN doc_id % 11 = 0 THEN NULL ELSE source || '-' || lang END AS id, source AS slug,
               'p' || CAST(doc_id AS VARCHAR) AS page, lang || ' ' || CAST(doc_id AS VARCHAR) AS title,
               text AS description, CAST(doc_id % 3 AS INTEGER) AS n_resources
@@ -158,7 +200,7 @@ def catalog_json_load(spark, sf):
     d = B.table(spark, sf, "documents")
     k = F.col("doc_id")
     rows = d.select(
-        F.lpad(F.floor(k / KEYS_A_FILE).cast("string"), 12, "0").alias("file"), k.alias("ord"),
+        F.lpad(F.floor(k / DOCS_A_FILE).cast("string"), 12, "0").alias("file"), k.alias("ord"),
         F.when(k % 11 == 0, F.lit(None).cast("string")).otherwise(F.concat_ws("-", "source", "lang")).alias("id"),
         F.col("source").alias("slug"), F.concat(F.lit("p"), k.cast("string")).alias("page"),
         F.concat_ws(" ", F.col("lang"), k.cast("string")).alias("title"), F.col("text").alias("description"),
@@ -212,7 +254,7 @@ def _ragged_rows(spark, sf):
     k = F.col("doc_id")
     cells = [k.cast("string"), F.coalesce(F.col("text"), F.lit(""))]
     return d.select(
-        F.floor(k / KEYS_A_FILE).cast("string").alias("file"), k.alias("ord"),
+        F.floor(k / DOCS_A_FILE).cast("string").alias("file"), k.alias("ord"),
         F.when(k % 7 == 0, F.array(*cells)).when(
             k % 5 == 0, F.array(*cells, F.coalesce("lang", F.lit("")), F.lit("more"), F.lit(""), F.col("source"))
         ).otherwise(F.array(*cells, F.coalesce("lang", F.lit("")))).alias("fields"),
@@ -247,6 +289,73 @@ def ragged_csv_load(spark, sf):
     )
 
 
+_CODECS = (("utf-8", ";", "utf-8"), ("latin-1", ",", "latin-1"), ("utf-16-le", "\t", "utf-16-le"), ("utf-8-sig", "|", "utf-8"))
+
+
+def _dialect_rows(spark, sf):
+    """Customers in files of four encodings and delimiters; names hold accents and the delimiters of the others."""
+    c = B.table(spark, sf, "customer")
+    k = F.col("c_custkey")
+    kind = k % 4
+
+    def pick(at):
+        return F.element_at(F.array(*[F.lit(x[at]) for x in _CODECS]), (kind + 1).cast("int"))
+
+    cells = [k.cast("string"), F.concat(F.lit("Été; "), F.col("c_name"), F.lit(", dit | né")), F.coalesce("c_mktsegment", F.lit(""))]
+    line = F.concat(cells[0], pick(1), _quoted(cells[1]), pick(1), _quoted(cells[2]))
+    head = F.concat(F.lit('"Clé; n°"'), pick(1), F.lit('"Nom, prénom"'), pick(1), F.lit("Marché\n"))
+    return c.select(
+        F.concat(F.floor(k / KEYS_A_FILE).cast("string"), F.lit("-"), kind.cast("string")).alias("file"), k.alias("ord"),
+        line.alias("line"), head.alias("head"), pick(0).alias("codec"),
+    )
+
+
+@query(
+    "csv_dialects",
+    """SELECT CAST(c_custkey AS VARCHAR) AS cle_n, 'Été; ' || c_name || ', dit | né' AS nom_prenom, nullif(c_mktsegment, '') AS marche
+       FROM customer""",
+    "S4: encoding, delimiter and quotes found for each file",
+)
+def csv_dialects(spark, sf):
+    out = FF.scratch_dir(spark, "dialects")
+    FF.write_text_files(_dialect_rows(spark, sf), "file", None, out, ".csv")
+    return read_lenient_csv(spark, out + "/*.csv").drop("_extra")
+
+
+@query(
+    "csv_layouts",
+    f"""SELECT encoding, sep, '"' AS quote, count(DISTINCT file) AS n_files FROM (
+          SELECT c_custkey // {KEYS_A_FILE} || '-' || c_custkey % 4 AS file, c_custkey % 4 AS k FROM customer)
+        JOIN (VALUES (0, 'utf-8', ';'), (1, 'latin-1', ','), (2, 'utf-16-le', chr(9)), (3, 'utf-8', '|')) t(kind, encoding, sep) ON kind = k
+        GROUP BY encoding, sep""",
+    "S4: what was found of the files",
+)
+def csv_layouts(spark, sf):
+    out = FF.scratch_dir(spark, "layouts")
+    FF.write_text_files(_dialect_rows(spark, sf), "file", None, out, ".csv")
+    return delimited.csv_layouts(spark, out + "/*.csv").groupBy("encoding", "sep", "quote").agg(F.count("*").alias("n_files"))
+
+
+@query(
+    "csv_rejects",
+    f"""WITH d AS (
+          SELECT doc_id // {DOCS_A_FILE} AS file, row_number() OVER (PARTITION BY doc_id // {DOCS_A_FILE} ORDER BY doc_id) + 3 AS record,
+                 CASE WHEN doc_id % 7 = 0 THEN 2 WHEN doc_id % 5 = 0 THEN 6 ELSE 3 END AS cells, doc_id % 11 = 0 AS broken FROM documents)
+        SELECT CAST(file AS VARCHAR) AS file, record, CASE WHEN broken THEN 'invalid bytes' ELSE 'surplus cells' END AS reason,
+               CAST(cells AS INTEGER) AS cells, (SELECT count(*) FROM d WHERE NOT broken AND cells <= 3) AS rows_loaded
+        FROM d WHERE broken OR cells > 3""",
+    "S4: records that a strict load skips, by their number among quoted cells with line breaks; the others load",
+)
+def csv_rejects(spark, sf):
+    out = FF.scratch_dir(spark, "csv-rejects")
+    line = F.array_join(F.transform("fields", _quoted), ";")
+    line = F.when(F.col("ord") % 11 == 0, F.concat(line, F.lit(FF.BROKEN))).otherwise(line)
+    FF.write_text_files(_ragged_rows(spark, sf).select("file", "ord", line.alias("line")), "file", "\n\nNo.;Texte;Langue\n", out, ".csv")
+    loaded = read_lenient_csv(spark, out + "/*.csv", skip_rejects=True).agg(F.count(F.lit(1)).alias("rows_loaded"))
+    rejects = delimited.csv_rejects(spark, out + "/*.csv")
+    return rejects.select(F.regexp_extract("file", r"([0-9]+)\.csv$", 1).alias("file"), "record", "reason", "cells", loaded.scalar().alias("rows_loaded"))
+
+
 @query(
     "archive_rejects",
     f"""SELECT DISTINCT {_BLOCK('c_custkey')} || '-clients.zip' AS archive, '' AS member_path,
@@ -271,10 +380,10 @@ def archive_rejects(spark, sf):
     return rejects.select("*", loaded.scalar().alias("rows_loaded"))
 
 
-def _from_boxes(spark, rows, name, names, dbf=False):
+def _from_boxes(spark, rows, name, names, kind="csv"):
     """Write a table into nested archives, choose each archive's table, and read it."""
     out = FF.scratch_dir(spark, f"boxed-{name}")
-    FF.write_boxed(rows, name, names, out, dbf)
+    FF.write_boxed(rows, name, names, out, kind)
     members = A.list_members(A.archive_index(spark, out), descend=True)
     # the choice and the rows are used several times: each is made once
     return cut_lineage(A.read_chosen(cut_lineage(A.first_tabular_member(members))))
@@ -283,7 +392,7 @@ def _from_boxes(spark, rows, name, names, dbf=False):
 @query(
     "code_mapping_from_archives",
     with_views(("event_map",), f"SELECT {MAP_COLS} FROM event_map WHERE {METRO}"),
-    "S1 S2 S3 S10 P1 X1: the mapping from files, CSV and dBASE tables in zips inside zips",
+    "S1 S2 S3 S7 S10 P1 X1: the mapping from files, CSV, GeoJSON and dBASE tables in zips inside zips",
 )
 def code_mapping_from_archives(spark, sf):
     from refloom.operators import codes
@@ -298,8 +407,8 @@ def code_mapping_from_archives(spark, sf):
     units = B.uu_raw(spark, sf).toDF("CODGEO", "TUU2020", "TDUU2020")
     return codes.code_mapping(
         _from_boxes(spark, numbered(cog), "liste", cog.columns),
-        _from_boxes(spark, numbered(units), "unites", units.columns, dbf=True),
-        _from_boxes(spark, numbered(history), "mouvements", history.columns),
+        _from_boxes(spark, numbered(units), "unites", units.columns, "geojson"),
+        _from_boxes(spark, numbered(history), "mouvements", history.columns, "dbf"),
         2025,
         metro_only=True,
     )

@@ -71,9 +71,9 @@ def _write_bytes(path: str, data: bytes) -> None:
 
 
 def _run(df: DataFrame) -> None:
-    """Force the writer job; its output is one small row per written file."""
+    """Force the writer job; nothing of it reaches the driver."""
     ship_package(df.sparkSession)
-    df.collect()
+    df.write.format("noop").mode("overwrite").save()
 
 
 def _runs(batches, key: str):
@@ -92,7 +92,7 @@ def _runs(batches, key: str):
 
 
 def _stream_files(df: DataFrame, key: str, order: list[str], open_file, schema: str = "file string, n long") -> None:
-    """Write one file per ``key`` value with bounded memory: ``open_file(key) -> writer``
+    """Write one file per ``key`` value with bounded memory: ``open_file(key, first rows) -> writer``
     with ``add(rows)`` and ``close() -> n``."""
 
     def write(it):
@@ -101,7 +101,7 @@ def _stream_files(df: DataFrame, key: str, order: list[str], open_file, schema:
             if k != current:
                 if writer is not None:
                     yield pd.DataFrame({"file": [str(current)], "n": [writer.close()]})
-                current, writer = k, open_file(k)
+                current, writer = k, open_file(k, rows)
             writer.add(rows)
         if writer is not None:
             yield pd.DataFrame({"file": [str(current)], "n": [writer.close()]})
@@ -159,7 +159,7 @@ def write_archives(lines: DataFrame, out: str, spoil: bool = False) -> None:
     archive holding one CSV member per (archive, member), rows in ``ord`` order. With
     ``spoil``, archives ``<n>-…`` are pages where n % 3 is 1 and torn where it is 2."""
 
-    def open_file(k):
+    def open_file(k, _rows):
         kind = int(k.split("-")[0]) % 3 if spoil else 0
         path = os.path.join(out, k)
         return _SpoiltWriter(path, kind == 1) if kind else _ArchiveWriter(path)
@@ -168,16 +168,19 @@ def write_archives(lines: DataFrame, out: str, spoil: bool = False) -> None:
 
 
 class _BoxedWriter:
-    """A zip that holds, inside another zip, one table: ``<name>.csv`` or ``<name>.dbf``."""
+    """A zip that holds, inside another zip, one table: ``<name>`` with the suffix of its kind."""
 
-    def __init__(self, path: str, name: str, names: list[str], widths: list[int] | None):
-        self.path, self.name, self.names, self.widths = path, name, names, widths
+    def __init__(self, path: str, name: str, names: list[str], kind: str, widths: list[int] | None):
+        self.path, self.name, self.names, self.kind, self.widths = path, name, names, kind, widths
         self.rows, self.n = tempfile.SpooledTemporaryFile(max_size=32 << 20), 0
 
     def add(self, rows) -> None:
         cells = [[None if v is None else str(v) for v in r] for r in rows[self.names].itertuples(index=False)]
-        if self.widths:
+        if self.kind == "dbf":
             self.rows.write(_dbf_records(list(zip(self.names, self.widths)), cells))
+        elif self.kind == "geojson":
+            feats = [{"type": "Feature", "geometry": None, "properties": dict(zip(self.names, c))} for c in cells]
+            self.rows.write((("," if self.n else "") + ",".join(json.dumps(f, ensure_ascii=False) for f in feats)).encode("utf-8"))
         else:
             text = io.StringIO()
             csv.writer(text, delimiter=";", lineterminator="\n").writerows(cells)
@@ -185,13 +188,18 @@ class _BoxedWriter:
         self.n += len(cells)
 
     def close(self) -> int:
-        head = (";".join(self.names) + "\n").encode() if not self.widths else _dbf_header(list(zip(self.names, self.widths)), self.n)
-        member = self.name + (".dbf" if self.widths else ".csv")
+        head, tail = {
+            "csv": lambda: ((";".join(self.names) + "\n").encode(), b""),
+            "dbf": lambda: (_dbf_header(list(zip(self.names, self.widths)), self.n), b"\x1a"),
+            "geojson": lambda: (b'{"type": "FeatureCollection", "features": [', b"]}"),
+        }[self.kind]()
+        member = f"{self.name}.{self.kind}"
         self.rows.seek(0)
         with tempfile.SpooledTemporaryFile(max_size=32 << 20) as inner:
             with zipfile.ZipFile(inner, "w", zipfile.ZIP_DEFLATED) as z, z.open(member, "w") as out:
                 out.write(head)
                 shutil.copyfileobj(self.rows, out, 1 << 20)
+                out.write(tail)
             inner.seek(0)
             with _open_out(self.path) as whole, zipfile.ZipFile(whole, "w") as z:
                 z.writestr("LISEZMOI.txt", "table")
@@ -200,22 +208,32 @@ class _BoxedWriter:
         return self.n
 
 
-def write_boxed(rows: DataFrame, name: str, names: list[str], out: str, dbf: bool = False) -> None:
-    """One ``<name>-<file>.zip`` per value of ``file``, its table in a zip inside; rows in ``ord`` order."""
+def write_boxed(rows: DataFrame, name: str, names: list[str], out: str, kind: str = "csv") -> None:
+    """One ``<name>-<file>.zip`` per value of ``file``, its table (``csv``, ``dbf`` or ``geojson``) in a zip
+    inside; rows in ``ord`` order."""
     widths = None
-    if dbf:
+    if kind == "dbf":
         widest = rows.agg(*[F.max(F.octet_length(n)).alias(n) for n in names]).first()
         widths = [max(1, widest[n] or 0) for n in names]
-    _stream_files(rows, "file", ["ord"], lambda k: _BoxedWriter(os.path.join(out, f"{name}-{k}.zip"), name, names, widths))
+    _stream_files(rows, "file", ["ord"], lambda k, _: _BoxedWriter(os.path.join(out, f"{name}-{k}.zip"), name, names, kind, widths))
+
+
+#: Stands in a line for a byte that is part of no UTF-8 text.
+BROKEN = "\uffff"
 
 
 class _TextWriter:
-    def __init__(self, path: str, head: str):
-        self.out, self.n = _open_out(path), 0
-        self.out.write(head.encode("utf-8"))
+    def __init__(self, path: str, head: str, codec: str):
+        self.out, self.codec, self.n = _open_out(path), codec, 0
+        self.out.write({"utf-16-le": b"\xff\xfe", "utf-8-sig": b"\xef\xbb\xbf"}.get(codec, b""))
+        self._put(head)
+
+    def _put(self, text: str) -> None:
+        raw = text.encode("utf-8" if self.codec == "utf-8-sig" else self.codec)
+        self.out.write(raw.replace(BROKEN.encode(), b"\xff") if self.codec == "utf-8" else raw)
 
     def add(self, rows) -> None:
-        self.out.write("".join(f"{line}\n" for line in rows["line"]).encode("utf-8"))
+        self._put("".join(f"{line}\n" for line in rows["line"]))
         self.n += len(rows)
 
     def close(self) -> int:
@@ -223,9 +241,15 @@ class _TextWriter:
         return self.n
 
 
-def write_text_files(rows: DataFrame, key: str, head: str, out: str, suffix: str) -> None:
-    """One text file per key value: ``head``, then ``line`` in ``ord`` order."""
-    _stream_files(rows, key, ["ord"], lambda k: _TextWriter(os.path.join(out, f"{k}{suffix}"), head))
+def write_text_files(rows: DataFrame, key: str, head: str | None, out: str, suffix: str) -> None:
+    """One text file per key value: ``head`` (or the rows' column ``head``), then ``line`` in ``ord`` order, in
+    the rows' ``codec`` where they have one, else in UTF-8."""
+
+    def open_file(k, first):
+        of = first.iloc[0]
+        return _TextWriter(os.path.join(out, f"{k}{suffix}"), of["head"] if head is None else head, of.get("codec", "utf-8"))
+
+    _stream_files(rows, key, ["ord"], open_file)
 
 
 # ------------------------------------------------------------------ dBASE
@@ -281,11 +305,11 @@ class _DbfWriter:
 def write_dbf_files(rows: DataFrame, key: str, names: list[str], out: str) -> None:
     """One ``<key>.dbf`` (+ ``.cpg``) per key value; field values are the text columns
     ``names``, in ``ord`` order, as wide as their longest value. The record count goes in
-    the header, so the counts per file (one row per file) are computed first."""
+    the header, so each row carries the count of its file."""
     widest = rows.agg(*[F.max(F.octet_length(n)).alias(n) for n in names]).first()
     fields = [(n, max(1, widest[n] or 0)) for n in names]
-    counts = {str(r[0]): int(r[1]) for r in rows.groupBy(key).count().collect()}
-    _stream_files(rows, key, ["ord"], lambda k: _DbfWriter(os.path.join(out, f"{k}.dbf"), fields, counts[str(k)]))
+    counted = rows.join(rows.groupBy(key).agg(F.count("*").alias("records")), key)
+    _stream_files(counted, key, ["ord"], lambda k, first: _DbfWriter(os.path.join(out, f"{k}.dbf"), fields, int(first["records"].iloc[0])))
 
 
 # ------------------------------------------------------------------ JSON documents
@@ -299,7 +323,8 @@ class _JsonListWriter:
     def add(self, rows) -> None:
         parts = []
         for r in rows.to_dict("records"):
-            parts.append(("," if self.n else "") + json.dumps(self.item(r), ensure_ascii=False))
+            made = self.item(r)  # JSON text as it is to stand, or what becomes it
+            parts.append(("," if self.n else "") + (made if isinstance(made, str) else json.dumps(made, ensure_ascii=False)))
             self.n += 1
         self.out.write("".join(parts).encode("utf-8"))
 
@@ -313,7 +338,7 @@ def write_json_lists(rows: DataFrame, key: str, out: str, suffix: str, envelope,
     """One JSON document per key value: ``envelope(key) -> (prefix, suffix)`` around
     the streamed list of ``item(row)`` in ``ord`` order."""
 
-    def open_file(k):
+    def open_file(k, _rows):
         prefix, tail = envelope(k)
         return _JsonListWriter(os.path.join(out, f"{k}{suffix}"), prefix, tail, item)
 

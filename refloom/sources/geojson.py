@@ -8,10 +8,7 @@ values as their JSON text; strings are unescaped, ``null`` is NULL.
 
 from __future__ import annotations
 
-import codecs
 import itertools
-import json
-import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -20,152 +17,16 @@ from pyspark.sql import functions as F
 
 from refloom.operators.schema import free_name
 from refloom.session import ship_package
-
-BLOCK = 1 << 20
-
-_STRING = re.compile(r'"(?:[^"\\]++|\\.)*+"', re.DOTALL)
-_MARK = re.compile(r'["{}\[\]]')
-#: Inside a feature lists need not be followed: coordinates are passed over at once.
-_OBJECT_MARK = re.compile(r'["{}]')
-_SPACE = re.compile(r"[ \t\n\r]*")
-_SCALAR = re.compile(r"[^\s,}\]]+")
-
-
-class GeoJsonError(ValueError):
-    pass
-
-
-class _Text:
-    """A stream of text that forgets what lies before ``drop``."""
-
-    def __init__(self, raw):
-        self.raw, self.decode = raw, codecs.getincrementaldecoder("utf-8-sig")("replace").decode
-        self.held, self.ended = "", False
-
-    def more(self) -> bool:
-        if self.ended:
-            return False
-        block = self.raw.read(BLOCK)
-        self.ended = not block
-        self.held += self.decode(block, final=self.ended)
-        return True
-
-    def mark(self, at: int, marks: re.Pattern = _MARK) -> tuple[str, int, int]:
-        """The next bracket or string from ``at``: (what, start, end); ``""`` at the end."""
-        while True:
-            m = marks.search(self.held, at)
-            if m and m[0] != '"':
-                return m[0], m.start(), m.end()
-            at = m.start() if m else len(self.held)
-            if m and (s := _STRING.match(self.held, at)):
-                return '"', at, s.end()
-            if not self.more():
-                return "", at, at
-
-    def drop(self, at: int) -> None:
-        self.held = self.held[at:]
-
-
-def _objects(raw) -> Iterator[str]:
-    """The JSON text of each feature: the objects of the root's ``features`` list, or a root that is a feature."""
-    text = _Text(raw)
-    what, start, at = text.mark(0)
-    if what != "{":
-        raise GeoJsonError("a GeoJSON document is an object")
-    depth, key, root = 1, None, start
-    while depth:
-        what, a, at = text.mark(at)
-        if what == "":
-            raise GeoJsonError("the document ends within its root object")
-        if what == '"':
-            if depth == 1:
-                key = text.held[a:at]
-        elif what in "{[":
-            if what == "[" and depth == 1 and key == '"features"':
-                root = None  # the root is a collection: what it holds beside the list is not kept
-                text.drop(at)
-                at = yield from _listed(text)
-                key = None
-                continue
-            depth += 1
-        elif what in "}]":
-            depth -= 1
-    if root is not None:
-        yield text.held[root:at]
-
-
-def _listed(text: _Text) -> Iterator[str]:
-    """The objects of a list whose opening bracket was dropped; returns the place behind its end."""
-    at, depth, start = 0, 0, 0
-    while True:
-        what, a, at = text.mark(at, _OBJECT_MARK if depth else _MARK)
-        if what == "":
-            raise GeoJsonError("the document ends within its features")
-        if what == "{":
-            if depth == 0:
-                start = a
-            depth += 1
-        elif what == "}":
-            depth -= 1
-            if depth == 0:
-                yield text.held[start:at]
-                if at > BLOCK:
-                    text.drop(at)
-                    at = 0
-        elif what == "]" and depth == 0:
-            return at
-
-
-def _end(text: str, at: int) -> int:
-    """Where the value that starts at ``at`` ends."""
-    if text[at] == '"':
-        m = _STRING.match(text, at)
-        if not m:
-            raise GeoJsonError("a string is not closed")
-        return m.end()
-    if text[at] not in "{[":
-        return _SCALAR.match(text, at).end()
-    depth = 0
-    while m := _MARK.search(text, at):
-        at = m.end()
-        if m[0] == '"':
-            at = _end(text, m.start())
-        elif m[0] in "{[":
-            depth += 1
-        elif m[0] in "}]":
-            depth -= 1
-            if depth == 0:
-                return at
-    raise GeoJsonError("a value is not closed")
-
-
-def _members(text: str) -> Iterator[tuple[str, str]]:
-    """(key, JSON text of the value) of an object's text."""
-    at = _SPACE.match(text, 1).end()
-    while at < len(text) and text[at] == '"':
-        end = _end(text, at)
-        key = json.loads(text[at:end], strict=False)
-        at = _SPACE.match(text, _SPACE.match(text, end).end() + 1).end()  # behind the colon
-        end = _end(text, at)
-        yield key, text[at:end]
-        at = _SPACE.match(text, end).end()
-        if text[at : at + 1] == ",":
-            at = _SPACE.match(text, at + 1).end()
-
-
-def _as_text(value: str) -> str | None:
-    if value == "null":
-        return None
-    return json.loads(value, strict=False) if value[0] == '"' else value
+from refloom.sources import jsonstream
 
 
 def features(raw) -> Iterator[dict[str, str | None]]:
     """The properties of each feature of an open GeoJSON file (none: an empty dictionary)."""
-    for found in _objects(raw):
-        of = dict(_members(found))
-        held = of.get("properties", "null")
-        if "geometry" in of or "properties" in of or of.get("type") == '"Feature"':
-            yield {k: _as_text(v) for k, v in _members(held)} if held[0] == "{" else {}
+    for listed, found in jsonstream.list_objects(raw, ["features"]):
+        of = dict(jsonstream.members(found))
+        if listed or of.get("type") == '"Feature"':  # a root that is a feature itself counts as one
+            held = of.get("properties", "null")
+            yield {k: jsonstream.as_text(v) for k, v in jsonstream.members(held)} if held[0] == "{" else {}
 
 
 def property_names(raw) -> list[str]:

@@ -15,6 +15,7 @@ from refloom.sources import archives as A
 from refloom.sources import delimited as R
 from refloom.sources import dialect as D
 from refloom.sources import geojson as G
+from refloom.sources import jsonstream as J
 
 
 def test_encodings_and_quoted_headers(spark, tmp_path):
@@ -212,18 +213,16 @@ def test_geojson_values_as_written(spark, tmp_path):
 
 
 def test_geojson_is_streamed(monkeypatch):
-    monkeypatch.setattr(G, "BLOCK", 7)
+    monkeypatch.setattr(J, "BLOCK", 7)
     text = collection([json.dumps({"k": k, "s": 'a"}{[' * 3}) for k in range(50)], head={"a": ["[", "}"]})
     assert list(G.features(io.BytesIO(text.encode()))) == [{"k": str(k), "s": 'a"}{[' * 3} for k in range(50)]
     held = []
-    stream = G._Text(io.BytesIO(text.encode()))
-    stream.mark(0)
-    monkeypatch.setattr(G._Text, "drop", lambda self, at, drop=G._Text.drop: (held.append(len(self.held)), drop(self, at)))
-    assert len(list(G._objects(io.BytesIO(text.encode())))) == 50
+    monkeypatch.setattr(J.Text, "drop", lambda self, at, drop=J.Text.drop: (held.append(len(self.held)), drop(self, at)))
+    assert len(list(J.list_objects(io.BytesIO(text.encode()), ["features"]))) == 50
     assert max(held[1:]) < 400  # one feature and one block
     for torn in (text[:-40], text[: len(text) // 2], "[1]"):
-        with pytest.raises(G.GeoJsonError):
-            list(G._objects(io.BytesIO(torn.encode())))
+        with pytest.raises(J.JsonError):
+            list(J.list_objects(io.BytesIO(torn.encode()), ["features"]))
 
 
 def test_geojson_member_is_chosen_and_read(spark, tmp_path):
@@ -239,3 +238,17 @@ def test_geojson_member_is_chosen_and_read(spark, tmp_path):
     assert df.columns == ["code_unite", "taille", "nom", "archive"]
     rows = sorted((tuple(r) for r in df.collect()), key=repr)
     assert rows == sorted([("00851", "7.50", None, "a.zip"), (None, "1", None, "a.zip"), ("2", None, "b", "b.zip")], key=repr)
+
+
+def test_catalog_responses_are_streams(spark, tmp_path, monkeypatch):
+    """``data`` or else ``results``, in either order; places by file name; odd records."""
+    from refloom.sources.catalog import read_catalog
+
+    docs = {
+        "a": '{"results": [{"id": "no"}], "data": [{"id": "a0", "resources": [{"title": "r]}", "url": null}], "x": 1.50}, {"slug": "a1", "description": "\\u00e9"}]}',
+        "b": '{"data": [], "results": [{"id": "b0", "title": "t"}]}', "c": '{"data": []}', "d": '{"total": 0}', "e": '{"results": [{"id": 5, "resources": []}]}',
+    }
+    for name, text in docs.items():
+        (tmp_path / f"{name}.json").write_text(text)
+    rows = sorted((r.query_pos, r.item_pos, r.id, r.slug, r.description, r.n_resources) for r in read_catalog(spark, str(tmp_path)).collect())
+    assert rows == [(0, 0, "a0", None, None, 1), (0, 1, None, "a1", "é", 0), (1, 0, "b0", None, None, 0), (4, 0, "5", None, None, 0)]
