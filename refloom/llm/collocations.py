@@ -11,6 +11,7 @@ frequent n-grams alone.
 
 from __future__ import annotations
 
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -32,6 +33,8 @@ NESTED_SHARE = 50
 #: Language of texts that name none.
 NO_LANGUAGE = "und"
 
+#: Shares of a language that are ranked apart before the language is.
+SHARES = 16
 #: Bytes of text a hash partition stands for at most; bounds the n-grams that one task holds.
 PART_BYTES = 16_000_000
 #: Bits of the table of survivors, all partitions together (each has 64 at least).
@@ -166,22 +169,55 @@ def frequent(texts: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
         for lang, folded, context in _by_language(batches):
             cut = phrases.cut_words(folded, context)
             words = pa.array(cut.words, pa.binary())
-            total = int(cut.starts[0].sum())
-            yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([0], pa.int32()), pa.array([""]), pa.array([total])], names=names)
+            # the number of words stands as the phrase without words
+            found, counts, part = [pa.array([b""])], [np.array([cut.starts[0].sum()], np.int64)], [np.zeros(1, np.int64)]
             for size, (hashed, ok) in enumerate(zip(phrases.hashes(cut, lang), cut.starts, strict=True), 1):
                 at = np.flatnonzero(ok)
-                parts, counts = phrases.counted(cut, size, at[let_through(hashed[at])])
+                at = at[let_through(hashed[at])]
+                parts, n, first = phrases.counted(cut, size, at)
                 said = [words.take(pa.array(parts[:, k])) for k in range(size)]
-                phrase = (said[0] if size == 1 else pc.binary_join_element_wise(*said, b" ")).cast(pa.string())
-                n = len(phrase)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang]).take(pa.array(np.zeros(n, np.int64))), pa.array(np.full(n, size), pa.int32()), phrase, pa.array(counts, pa.int64())],
-                    names=names,
-                )
+                found.append(said[0] if size == 1 else pc.binary_join_element_wise(*said, b" "))
+                counts.append(n)
+                part.append(_dealt(hashed[first], part_bits)[0].astype(np.int64))
+            yield _boxed(lang, pa.concat_arrays(found), np.concatenate(counts), np.concatenate(part))
 
-    names = ["lang", "size", "phrase", "n"]
-    counted = texts.mapInArrow(run, "lang string, size int, phrase string, n long")
-    return counted.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n")).where((F.col("n") >= threshold) | (F.col("size") == 0))
+    boxes = texts.mapInArrow(run, _BOX_DDL)
+
+    def opened(rows: pa.Table) -> pa.Table:
+        return _opened(rows, threshold)
+
+    return boxes.groupBy("part", "lang").applyInArrow(opened, "lang string, size int, phrase string, n long")
+
+
+_BOX_DDL = "part long, lang string, phrases binary, counts binary"
+
+
+def _boxed(lang: str, found: pa.Array, counts: np.ndarray, part: np.ndarray) -> pa.RecordBatch:
+    """One row a partition: its phrases, one a line (none holds a line break), compressed, and their counts."""
+    order = np.argsort(part, kind="stable")  # what begins with the same words stays together
+    found, counts, part = found.take(pa.array(order)), counts[order], part[order]
+    edges = [*phrases.run_starts(part).tolist(), len(part)]
+    boxes = [zlib.compress(b"\n".join(found[a:b].to_pylist()), 1) for a, b in zip(edges, edges[1:], strict=False)]
+    packed = [phrases.pack_counts(counts[a:b]) for a, b in zip(edges, edges[1:], strict=False)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(part[edges[:-1]]), pa.array([lang] * len(boxes)), pa.array(boxes, pa.binary()), pa.array(packed, pa.binary())],
+        names=["part", "lang", "phrases", "counts"],
+    )
+
+
+def _opened(rows: pa.Table, threshold: int) -> pa.Table:
+    """The phrases of one partition and language that occur ``threshold`` times, counted by their words."""
+    found, counts = [], []
+    for box, packed in zip(rows["phrases"].to_pylist(), rows["counts"].to_pylist(), strict=True):
+        said = zlib.decompress(box).split(b"\n")
+        found.append(pa.array(said, pa.binary()))
+        counts.append(pa.array(phrases.unpack_counts(packed, len(said))))
+    total = pa.table({"phrase": pa.chunked_array(found), "n": pa.chunked_array(counts)}).group_by("phrase").aggregate([("n", "sum")])
+    bare = pc.equal(total["phrase"], b"")
+    total = total.filter(pc.or_(bare, pc.greater_equal(total["n_sum"], threshold)))
+    phrase = total["phrase"].cast(pa.string())
+    size = pc.if_else(pc.equal(phrase, ""), 0, pc.add(pc.count_substring(phrase, " "), 1)).cast(pa.int32())
+    return pa.table({"lang": pa.array([rows["lang"][0].as_py()] * len(phrase), pa.string()), "size": size, "phrase": phrase, "n": total["n_sum"].cast(pa.int64())})
 
 
 def scored(known: DataFrame) -> DataFrame:
@@ -224,8 +260,11 @@ def collocations(
     around = longer.select("lang", inside.alias("phrase"), "n").groupBy("lang", "phrase").agg(F.max("n").alias("around"))
     kept = scored(known).join(around, ["lang", "phrase"], "left")
     kept = kept.where((F.col("size") == max(SIZES)) | F.col("around").isNull() | (100 * F.col("around") < NESTED_SHARE * F.col("a")))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
-    first = kept.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_language)
+    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    # first of each share of a language, then of the language: no task sorts more than SHARES lists
+    some = kept.withColumn("share", F.pmod(F.xxhash64("phrase"), F.lit(SHARES)))
+    some = some.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "share").orderBy(*order))).where(F.col("rank") <= per_language)
+    first = some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= per_language)
     totals = known.where("size = 0").select("lang", F.col("n").alias("words_in_all"))
     return first.join(totals, "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", F.col("words_in_all").alias("n"), "score"

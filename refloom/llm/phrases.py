@@ -16,8 +16,9 @@ import xxhash
 
 #: Longest n-gram; with ``BATCH_BYTES`` it bounds the numbers of n-grams to 63 bits.
 LONGEST = 3
-#: Bytes of text counted at once. A word and its gap take two bytes, so a batch has under 2**21 words.
-BATCH_BYTES = 4_000_000
+#: Bytes of text counted at once. All but some 66,000 words take four bytes with their gap, so a batch has
+#: under 2**21 different words.
+BATCH_BYTES = 8_000_000
 
 #: No UTF-8 text holds this byte: it stands for the end of a piece.
 _END = b"\xff"
@@ -86,17 +87,20 @@ def cut_words(folded: bytes, context: int = 0) -> Slice:
     return Slice(words, ids, starts)
 
 
-def counted(cut: Slice, size: int, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The different n-grams of ``size`` words that start at the places ``at``: word numbers (a column a word), and how often."""
+def counted(cut: Slice, size: int, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different n-grams of ``size`` words that start at the places ``at``: word numbers (a column a word), how
+    often each occurs, and a place of it."""
     base = max(1, len(cut.words))
     key = cut.ids[at]
     for place in range(1, size):
         key = key * base + cut.ids[at + place]
-    got, counts = np.unique(key, return_counts=True)
+    order = np.argsort(key)
+    starts = run_starts(key[order])
+    got, counts, first = key[order[starts]], np.diff(starts, append=len(key)), at[order[starts]]
     parts = np.empty((len(got), size), dtype=np.int64)
     for place in range(size - 1, -1, -1):
         got, parts[:, place] = np.divmod(got, base)
-    return parts, counts
+    return parts, counts, first
 
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -132,8 +136,9 @@ class Summary(NamedTuple):
     error: int
 
 
-#: Bits of a hash that a key keeps; n-grams of a partition that agree in them are counted as one.
-KEY_BITS = 40
+#: Bits of a hash that a key keeps; n-grams of a partition that agree in them are counted as one (which can
+#: only let more of them through).
+KEY_BITS = 32
 
 EMPTY = Summary(np.empty(0, np.uint64), np.empty(0, np.int64), 0)
 
@@ -187,24 +192,25 @@ def capacity_for(mass: int, threshold: int) -> int:
 
 
 def pack(keys: np.ndarray, counts: np.ndarray) -> bytes:
-    """Counters as bytes: gaps between ascending keys and counts, each as planes of bytes (high planes are mostly zero)."""
+    """Counters as bytes: gaps between ascending keys as planes of bytes (high planes are mostly zero), then counts."""
     gaps = np.diff(keys.astype(np.uint64), prepend=np.uint64(0))
     planes = np.ascontiguousarray(gaps.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, : KEY_BITS // 8]
-    wide = counts >= 255
-    return b"".join([
-        np.array([len(keys), int(wide.sum())], "<u4").tobytes(),
-        np.ascontiguousarray(planes.T).tobytes(),
-        np.minimum(counts, 255).astype(np.uint8).tobytes(),
-        counts[wide].astype("<i8").tobytes(),
-    ])
+    return np.array([len(keys)], "<u4").tobytes() + np.ascontiguousarray(planes.T).tobytes() + pack_counts(counts)
 
 
 def unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
-    n, wide = (int(x) for x in np.frombuffer(blob, "<u4", 2))
-    width = KEY_BITS // 8
+    n, width = int(np.frombuffer(blob, "<u4", 1)[0]), KEY_BITS // 8
     planes = np.zeros((n, 8), dtype=np.uint8)
-    planes[:, :width] = np.frombuffer(blob, np.uint8, n * width, 8).reshape(width, n).T
-    keys = np.cumsum(planes.view("<u8").ravel(), dtype=np.uint64)
-    counts = np.frombuffer(blob, np.uint8, n, 8 + n * width).astype(np.int64)
-    counts[counts == 255] = np.frombuffer(blob, "<i8", wide, 8 + n * (width + 1))
-    return keys, counts
+    planes[:, :width] = np.frombuffer(blob, np.uint8, n * width, 4).reshape(width, n).T
+    return np.cumsum(planes.view("<u8").ravel(), dtype=np.uint64), unpack_counts(blob[4 + n * width :], n)
+
+
+def pack_counts(counts: np.ndarray) -> bytes:
+    """A byte a count, larger ones behind them in eight."""
+    return np.minimum(counts, 255).astype(np.uint8).tobytes() + counts[counts >= 255].astype("<i8").tobytes()
+
+
+def unpack_counts(blob: bytes, n: int) -> np.ndarray:
+    counts = np.frombuffer(blob, np.uint8, n).astype(np.int64)
+    counts[counts == 255] = np.frombuffer(blob, "<i8", offset=n)
+    return counts

@@ -87,7 +87,7 @@ def sliced(folded, context):
     """Counts of a slice; equal hashes are equal n-grams."""
     cut, out, seen = P.cut_words(folded, context), Counter(), {}
     for size, (hashed, ok) in enumerate(zip(P.hashes(cut, "en"), cut.starts), 1):
-        parts, counts = P.counted(cut, size, np.flatnonzero(ok))
+        parts, counts, _ = P.counted(cut, size, np.flatnonzero(ok))
         for p, n in zip(parts, counts):
             out[tuple(cut.words[k].decode() for k in p)] += int(n)
         for k in np.flatnonzero(ok):

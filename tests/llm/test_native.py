@@ -171,7 +171,7 @@ def test_queries_match_their_sql(spark):
     from refloom.llm.queries import QUERIES, SQL
 
     sf, con = "/root/testdata/sf0.001", duckdb.connect()
-    for t in ("documents", "pages", "conversations"):
+    for t in ("documents", "pages", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS FROM read_parquet('{sf}/{t}.parquet')")
     for name, sql in SQL.items():
         df = QUERIES[name](spark, sf)
