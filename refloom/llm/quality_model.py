@@ -19,7 +19,7 @@ from refloom.llm import crf
 from refloom.llm.common import add_from_text, fresh
 from refloom.llm.lines import FEATURES, count, line_matrix, with_neighbours
 from refloom.llm.pii import fit_classifier
-from refloom.llm.quality_rules import SAMPLE_LINES, as_batch, drawn_lines, one_text
+from refloom.llm.quality_rules import MOST_LINES, SAMPLE_LINES, as_batch, collected, drawn_lines, one_text
 
 #: Labelled documents of each label that the model is fitted on (those with the smallest hash).
 SAMPLE_A_LABEL = 2_500
@@ -97,7 +97,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
 
     A document with several labels has the commoner one (a tie: 1); null labels say nothing.
     Of rows that repeat an id the text with the smallest hash is drawn; of a document with
-    more than ``SAMPLE_LINES`` lines that many in a row.
+    more than ``SAMPLE_LINES`` lines that many in a row, and of all together ``MOST_LINES``.
     """
     known = (
         labels.select(F.col(doc_id).alias("doc_id"), F.col(label).alias("label"))
@@ -138,7 +138,7 @@ def sampled_lines_and_words(rows: DataFrame) -> list:
         return work
 
     out = add_from_text(rows.select("doc_id", "good", "text"), "text", "lines long, x binary, words binary", make)
-    return out.drop("text").collect()
+    return collected(out.drop("text"), MOST_LINES, x=len(FEATURES), words=4)
 
 
 def score(docs: DataFrame, model: QualityModel, *, text: str = "text", name: str = "score") -> DataFrame:

@@ -18,11 +18,14 @@ from pyspark.sql import functions as F
 from refloom.llm import crf
 from refloom.llm.common import add_from_text, fresh
 from refloom.llm.lines import FEATURES, count, line_matrix
+from refloom.session import cut_lineage
 
 #: Documents that the line model is fitted on (those whose id has the smallest hash).
 SAMPLE_DOCUMENTS = 2_000
 #: Lines in a row that a longer document of that sample stands there with (it is judged whole).
 SAMPLE_LINES = 1_000
+#: Lines of the whole sample, which the driver learns from (some 300 MB): where documents have more, each has its share.
+MOST_LINES = 200_000
 #: Lines that are boilerplate by rule, where the model learns from.
 SEEDS = ("many_symbols", "much_upper", "fewest_distinct", "many_echoes", "repeat", "phrase_repeat", "pipes")
 #: Least share of the words on content lines.
@@ -74,7 +77,26 @@ def sampled_lines(docs: DataFrame, text: str, most_lines: int) -> list:
         return work
 
     out = add_from_text(docs, text, "lines long, x binary", make)
-    return out.drop(text).collect()
+    return collected(out.drop(text), MOST_LINES, x=len(FEATURES))
+
+
+def line_limit(lengths: list[int], most: int) -> int:
+    """Lines a document with which all of them together have at most ``most`` (but one each)."""
+    left, n = most, len(lengths)
+    for k, length in enumerate(sorted(lengths)):
+        if length * (n - k) > left:
+            return max(1, left // (n - k))
+        left -= length
+    return max(lengths, default=0)
+
+
+def collected(rows: DataFrame, most: int, **widths: int) -> list:
+    """The sampled rows on the driver, with ``most`` lines in all: documents with more lines than their
+    share allows stand there with their first ones. ``widths`` gives the bytes a line of each column."""
+    rows = cut_lineage(rows)
+    limit = line_limit([r.lines for r in rows.select("lines").collect()], most)
+    cut = {n: F.substring(F.col(n), 1, limit * w) for n, w in widths.items()}
+    return rows.withColumns({"lines": F.least("lines", F.lit(limit)).cast("long"), **cut}).collect()
 
 
 def as_batch(rows: list) -> tuple[np.ndarray, np.ndarray]:
@@ -144,6 +166,7 @@ def judge(
 
 
 def keep_good(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that ``judge`` keeps, with their columns."""
+    """The rows of ``docs`` that ``judge`` keeps, with their columns: null and empty texts go, repeated rows stay
+    or go alike, an empty table stays empty."""
     out = judge(docs, **options)
     return out.filter(F.col(f"{out.columns[-1]}.kept")).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -182,3 +182,80 @@ def test_queries_on_the_tables(spark):
     assert len(scores) == len(text)
     tested = [r.predicted == quality[r.doc_id] for r in scores if r.held_out and r.doc_id in quality]
     assert np.mean(tested) > 0.95 and all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in scores)
+
+
+def test_shares_of_lines():
+    from refloom.llm.quality_rules import line_limit
+
+    rng = random.Random(6)
+    for _ in range(300):
+        lengths = [rng.randrange(0, 50) for _ in range(rng.randrange(0, 30))]
+        most = rng.randrange(1, 600)
+        limit = line_limit(lengths, most)
+        taken = sum(min(n, limit) for n in lengths)
+        assert taken <= max(most, sum(n > 0 for n in lengths))
+        if sum(lengths) <= most:
+            assert taken == sum(lengths)
+        elif limit > 1:
+            assert sum(min(n, limit + 1) for n in lengths) > most
+
+
+def test_long_documents_share_the_sample(spark, monkeypatch):
+    from refloom.llm import quality_rules as Q
+
+    monkeypatch.setattr(Q, "MOST_LINES", 90)
+    rows = [(k, "\n".join(f"a line of words number {j} in {k}." for j in range(60 if k % 2 else 5))) for k in range(8)]
+    found = Q.sampled_lines(spark.createDataFrame(rows, "key long, text string"), "text", 1000)
+    assert sorted(r.lines for r in found) == [5] * 4 + [17] * 4
+    x, lengths = Q.as_batch(found)
+    assert len(x) == lengths.sum() == 88
+
+
+def test_the_largest_sample_fits_the_driver():
+    """``MOST_LINES`` lines are learned from in under 1 GB, for the rules and for the classifier."""
+    import tracemalloc
+
+    from refloom.llm import crf, quality_model
+    from refloom.llm.lines import FEATURES
+    from refloom.llm.quality_rules import MOST_LINES, seed_labels
+
+    rng = np.random.default_rng(1)
+    lengths = np.full(MOST_LINES // 100, 100)
+    x = (rng.random((MOST_LINES, len(FEATURES))) < 0.2).astype(float)
+    good = rng.integers(0, 2, len(lengths))
+    tracemalloc.start()
+    crf.train(x, seed_labels(x), crf.windows(lengths, 200), rounds=3)
+    quality_model.fit_model(x, np.full(MOST_LINES, 9.0), lengths, good, np.ones(len(lengths)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1 << 30
+
+
+def test_scores_against_a_plain_forward_backward():
+    """Whole documents: marginals by summing over all labellings of each, then the weighted mean on the model's scale."""
+    from itertools import product
+
+    from refloom.llm import quality_model
+    from refloom.llm.lines import count, line_matrix, with_neighbours
+
+    rng = np.random.default_rng(4)
+    texts = ["\n".join(" ".join(rng.choice(["good", "WORDS", "#", "x1", "a", "same same"], rng.integers(1, 9))) for _ in range(n)) for n in (1, 2, 5, 8)] + ["", "\n \n"]
+    n_features = 3 * len(quality_model.FEATURES)
+    chain = quality_model.crf.Crf(rng.normal(size=n_features), rng.normal(size=(2, 2)))
+    model = quality_model.QualityModel(chain, (1.7, -0.3), 0.21)
+    got = model.scores(texts)
+    for text, score in zip(texts, got):
+        x, words, lengths = line_matrix([count(text)])
+        if not len(x):
+            assert score == 0.21
+            continue
+        odds = with_neighbours(x, lengths) @ chain.weights
+        weight, total = np.zeros(len(x)), 0.0
+        for labels in product((0, 1), repeat=len(x)):
+            p = np.exp(sum(o for o, y in zip(odds, labels) if y) + sum(chain.moves[a, b] for a, b in zip(labels, labels[1:])))
+            total += p
+            weight += p * np.array(labels)
+        mean = float(((weight / total) * words).sum() / words.sum())
+        mean = min(max(mean, 1e-3), 1 - 1e-3)
+        want = 1 / (1 + np.exp(-(1.7 * np.log(mean / (1 - mean)) - 0.3)))
+        assert abs(score - want) < 1e-9
