@@ -25,7 +25,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from refloom.llm.common import SLICE_ROWS, add_from_text
+from refloom.llm.common import SLICE_ROWS, add_from_text, fresh
 from refloom.session import cut_lineage
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -131,8 +131,10 @@ def fingerprints(docs: DataFrame, params: MinHash = MinHash(), *, text: str = "t
     """``docs`` plus ``name``: the fingerprint of each whole text (null: empty), in one pass without a shuffle.
 
     Equal texts have equal fingerprints, texts without words the empty string. Texts with
-    fewer words than a shingle are one shingle. Repeated rows stay; ``name`` must be free.
+    fewer words than a shingle are one shingle. Repeated rows stay; an empty table gives an
+    empty result. ``name`` is lengthened where it is taken.
     """
+    name = fresh(docs, name)
 
     def make():
         known: dict[bytes, int] = {}

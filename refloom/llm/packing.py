@@ -193,7 +193,10 @@ def reduce_by_dominance(plan: Plan) -> None:
     * k fills the room exactly, or no two others fit beside j: {j, k}, since whatever
       stands beside j is no longer than k and can go where k stood;
     * at most two others fit beside j, and no two that do are together longer than k:
-      {j, k}, for the same reason.
+      {j, k}, for the same reason;
+    * at most two others fit beside j, the longest two that do are k and some b, and no two
+      pieces longer than b fit beside j: {j, k, b}, since of any two beside j one is no
+      longer than k and the other no longer than b.
 
     Equal pieces are fixed together. What no rule reaches is left for best fit.
     """
@@ -212,11 +215,35 @@ def reduce_by_dominance(plan: Plan) -> None:
             k = left[at]
             one_fits = len(least) < 2 or least[0] + least[1] > room
             two_fit = not one_fits and (len(least) < 3 or sum(least) > room)
-            if k == room or one_fits or (two_fit and _best_pair(left, plan.counts, j, room) <= k):
-                # with fewer others the conditions still hold, so equal sets are fixed at once
-                plan.fix([j, k], plan.counts[j] // 2 if j == k else min(plan.counts[j], plan.counts[k]))
-            else:
+            fixed = None
+            if k == room or one_fits:
+                fixed = [j, k]
+            elif two_fit:
+                pair = _best_pair(left, plan.counts, j, room)
+                b = pair - k
+                if b <= 0:
+                    fixed = [j, k]
+                elif _spare(plan.counts, b, [j, k]) and not _pair_above(left, plan.counts, b, [j, k], room):
+                    fixed = [j, k, b]
+            if not fixed:
                 break
+            # with fewer others the conditions still hold, so equal sets are fixed at once
+            plan.fix(fixed, min(plan.counts[w] // fixed.count(w) for w in fixed))
+
+
+def _spare(counts: dict[int, int], length: int, used: list[int]) -> int:
+    """Pieces of that length left besides those in ``used``."""
+    return counts.get(length, 0) - used.count(length)
+
+
+def _pair_above(left: list[int], counts: dict[int, int], b: int, used: list[int], room: int) -> bool:
+    """Whether two pieces longer than ``b`` besides those in ``used`` fit into ``room``."""
+    found: list[int] = []
+    for w in left[bisect.bisect_right(left, b) :]:
+        found += [w] * min(max(0, _spare(counts, w, used)), 2 - len(found))
+        if len(found) == 2:
+            break
+    return len(found) == 2 and sum(found) <= room
 
 
 def _best_pair(left: list[int], counts: dict[int, int], j: int, room: int) -> int:

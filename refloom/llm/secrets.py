@@ -19,7 +19,7 @@ from itertools import accumulate
 
 from pyspark.sql import DataFrame
 
-from refloom.llm.common import add_from_text
+from refloom.llm.common import add_from_text, fresh
 from refloom.llm.spans import blanked
 
 BASE_KINDS = ("assign", "access", "hex")
@@ -137,8 +137,9 @@ def scan_secrets(docs: DataFrame, *, text: str = "text", spans: str = "spans", r
 
     Works on whole texts (null: empty, no spans) in one pass without a shuffle: a
     document's parts stand in its own row. Repeated rows are scanned each; an empty table
-    gives an empty result. ``spans`` must be a free name.
+    gives an empty result. The name ``spans`` is lengthened where it is taken.
     """
+    spans = fresh(docs, spans)
 
     def make():
         return lambda texts: {spans: [[{"kind": k, "start": a, "end": b} for k, a, b in secret_spans(t, reach)] for t in texts]}
@@ -147,7 +148,12 @@ def scan_secrets(docs: DataFrame, *, text: str = "text", spans: str = "spans", r
 
 
 def redact_secrets(docs: DataFrame, *, text: str = "text", into: str = "redacted", mark: str = "[secret]", reach: int = 300) -> DataFrame:
-    """``docs`` plus ``into``: the text with every span (base and linked) replaced by ``mark``."""
+    """``docs`` plus ``into`` (lengthened where taken): the text with every span (base and linked) replaced by ``mark``.
+
+    Null texts are empty; texts without spans stay as they are. Repeated rows are treated
+    alike; an empty table gives an empty result.
+    """
+    into = fresh(docs, into)
 
     def make():
         return lambda texts: {into: [blanked(t, [s[1:] for s in found], mark) if (found := secret_spans(t, reach)) else t for t in texts]}

@@ -150,3 +150,31 @@ def test_query_packs_whole_table(spark):
     assert total == sum(len(ids_of(t or "")) + 1 for t in docs.values())
     sequences = check_packed(rows, 4096)
     assert sequences == -(-total // 4096)  # no fewer are possible
+
+
+def test_triples_are_fixed_and_keep_the_optimum():
+    rng, triples = random.Random(9), 0
+    for _ in range(400):
+        capacity = rng.choice([20, 31])
+        lengths = tuple(sorted((rng.randint(capacity // 4, capacity // 2) for _ in range(rng.randint(3, 8))), reverse=True))
+        plan = Plan(capacity, counts_of(lengths))
+        reduce_by_dominance(plan)
+        rest = tuple(sorted((w for w, n in plan.counts.items() for _ in range(n)), reverse=True))
+        assert plan.sequences + least_bins(rest, capacity) == least_bins(lengths, capacity), lengths
+        held = {}
+        for w, lo, hi, first, each, _ in plan.steps:
+            for i in range(hi - lo):
+                held.setdefault(first + i // each, []).append(w)
+        triples += sum(len(h) == 3 for h in held.values())
+    assert triples > 50
+
+
+def test_what_the_reduction_fixes_at_length():
+    """Pieces of a third of a sequence and more: most are settled before best fit, and no more sequences are used."""
+    rng = random.Random(10)
+    lengths = [rng.randint(1366, 2600) for _ in range(3000)]
+    plan = Plan(4096, counts_of(lengths))
+    reduce_by_dominance(plan)
+    fixed = plan.sequences
+    best_fit(plan)
+    assert fixed > 1000 and plan.sequences <= by_hand(lengths, 4096)
