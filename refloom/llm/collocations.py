@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from refloom.llm import phrases
+from refloom.llm.common import bound_batches
 from refloom.session import cut_lineage
 
 #: Occurrences of a candidate, words of a candidate, a list's length.
@@ -147,6 +148,7 @@ def survivors(partial: DataFrame, threshold: int, bits: int) -> DataFrame:
 def frequent(texts: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """(lang, size, phrase, n): exact counts of all n-grams of up to three words that occur ``threshold``
     times in their language, and a row of size 0 a language with its number of words."""
+    bound_batches(texts.sparkSession)
     part_bits = _parts(texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
     parts = 1 << part_bits
     bits = max(64, TABLE_BITS // parts // 64 * 64)

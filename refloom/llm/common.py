@@ -54,6 +54,17 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
+#: Bytes of texts that go to a Python worker at once. Spark's own bound of 64 MB is held by the JVM, outside its
+#: heap, and by the worker, each time with what comes back, for every task.
+_BATCH_KEY, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "4m"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Sets the session's bound on Arrow batches to ``BATCH_BYTES`` where it is not set; a bound that is set stays."""
+    if spark.conf.get(_BATCH_KEY, BATCH_BYTES) == BATCH_BYTES:
+        spark.conf.set(_BATCH_KEY, BATCH_BYTES)
+
+
 _KEPT: dict[Any, Any] = {}
 
 
@@ -97,6 +108,7 @@ def add_from_text(
     schema = T.StructType([*df.schema.fields, *new.fields])
     kinds = [(f.name, arrow_type(f.dataType)) for f in new]
     at = df.columns.index(text_col)
+    bound_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()

@@ -25,7 +25,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from refloom.llm.common import SLICE_ROWS, add_from_text, fresh
+from refloom.llm.common import SLICE_ROWS, add_from_text, bound_batches, fresh
 from refloom.session import cut_lineage
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -183,6 +183,7 @@ def successor_likeness(
     rows stream in order, two texts at a time. A table of one row follows itself; an
     empty table gives an empty result.
     """
+    bound_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     bounds = _bounds(rows.select("doc_id").dropna(), ranges)
 

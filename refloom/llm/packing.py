@@ -24,7 +24,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from refloom.llm.common import SLICE_ROWS, kept
+from refloom.llm.common import SLICE_ROWS, bound_batches, kept
 from refloom.session import cut_lineage
 
 # --- tokens -----------------------------------------------------------------------------------
@@ -111,6 +111,7 @@ def tokenizer(path: str) -> WordTokenizer:
 
 def token_pieces(docs: DataFrame, path: str, *, doc_id: str, text: str, capacity: int, end_id: int) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32``: each text's ids, then ``end_id``, cut every ``capacity`` ids."""
+    bound_batches(docs.sparkSession)
     source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = source.schema["doc_id"]
     schema = T.StructType([kind, *T._parse_datatype_string("piece int, start long, length long, ids_crc32 long").fields])
