@@ -141,7 +141,6 @@ def deepest(e: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
             .select("origin_code", F.col("b").alias("current_code"), (F.col("depth") + step).alias("depth"))
             .distinct()
         )
-        ahead = cut_lineage(ahead)
         at = cut_lineage(ahead.unionByName(at.join(ahead.select("origin_code").distinct(), "origin_code", "left_anti")))
     # an origin's rows all have its depth
     return at.groupBy("origin_code").agg(F.min("current_code").alias("current_code"), F.max("depth").alias("depth"))

@@ -14,55 +14,18 @@ import json
 import os
 import shutil
 import tempfile
-import uuid
 import zipfile
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refloom.session import ensure_checkpoint_dir, ship_package
+from refloom.session import ship_package
+from refloom.sources.staging import WholeFile, scratch_dir
 
 
-def scratch_dir(spark: SparkSession, tag: str) -> str:
-    base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    path = os.path.join(base, f"fixture-{tag}-{uuid.uuid4().hex[:12]}")
-    if "://" not in path:
-        os.makedirs(path, exist_ok=True)
-    return path
-
-
-class _Whole:
-    """A file that appears under its name only when it is complete: a task that is retried
-    or run twice writes its own copy, and the last one to finish replaces the others."""
-
-    def __init__(self, path: str):
-        from pyarrow import fs
-
-        self.fs, inner = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
-        folder, _, name = inner.rpartition("/")
-        self.path, self.part = inner, f"{folder}/.{name}.{uuid.uuid4().hex}"
-        self.out = self.fs.open_output_stream(self.part)
-        self.write, self.flush, self.tell = self.out.write, self.out.flush, self.out.tell
-
-    def close(self) -> None:
-        self.out.close()
-        self.fs.move(self.part, self.path)
-
-    def __enter__(self):
-        return self
-
-    def __exit__(self, kind, *_):
-        if kind is None:
-            self.close()
-        else:
-            self.out.close()
-
-
-def _open_out(path: str) -> _Whole:
-    return _Whole(path)
+def _open_out(path: str) -> WholeFile:
+    return WholeFile(path)
 
 
 def _write_bytes(path: str, data: bytes) -> None:

@@ -7,7 +7,8 @@ task opens its archive by path and streams members. Two kinds of output:
 * ``list_members`` - one row per member (any depth of nesting, for the
   tabular-file choice S3/O6) with its header when it is delimited text;
 * ``read_member_rows`` - one row per data line of the CSV members of one logical
-  table, already projected onto that table's union-by-name columns.
+  table, already projected onto that table's union-by-name columns; large members are
+  inflated once into the shared folder and read by many tasks.
 
 Only per-member metadata (distinct headers per table) ever reaches the driver.
 """
@@ -15,6 +16,7 @@ Only per-member metadata (distinct headers per table) ever reaches the driver.
 from __future__ import annotations
 
 import contextlib
+import hashlib
 import io
 import itertools
 import posixpath
@@ -31,8 +33,9 @@ from pyspark.sql import functions as F
 
 from refloom.functions.text import identifier
 from refloom.operators.schema import free_name, normalize_headers
-from refloom.session import ship_package
+from refloom.session import cut_lineage, ship_package
 from refloom.sources import dialect
+from refloom.sources.staging import WholeFile, scratch_dir
 
 # Suffixes the builder treats as tabular and the archive nesting limit.
 # Cells and lines have no length limit: a long one is read whole.
@@ -337,26 +340,63 @@ def _rows_batches(batches, columns: Sequence[str], batch_rows: int = 8192):
                             yield pa.RecordBatch.from_arrays([*cells, *source, extra], names=names)
 
 
+#: A member of more bytes is inflated once into a file of its own and read in ranges by many tasks.
+LARGE_MEMBER = 64 << 20
+
+
+def _stage_batches(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for path, member in zip(*(batch.column(c).to_pylist() for c in ("archive_path", "member")), strict=True):
+            out = f"{folder}/{hashlib.sha256(f'{path}!/{member}'.encode()).hexdigest()}.csv"
+            with open_path(path) as fh, zipfile.ZipFile(fh) as zf, zf.open(member) as raw, WholeFile(out) as whole:
+                while block := raw.read(1 << 20):
+                    whole.write(block)
+                length = whole.tell()
+            names = [pa.array([v], pa.string()) for v in (posixpath.basename(path), member, out)]
+            yield pa.RecordBatch.from_arrays([*names, pa.array([length], pa.int64())], names=["archive", "member", "path", "length"])
+
+
+def _large_rows(members: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The records of large members: each is inflated once, by one task, into the shared folder (the only way
+    through a deflate stream), and then read by byte ranges like any file."""
+    from refloom.sources import delimited
+
+    spark = members.sparkSession
+    folder = scratch_dir(spark, "members")
+    tasks = max(1, spark.sparkContext.defaultParallelism * 2)
+    spread = members.select("archive_path", "member").repartition(tasks, "archive_path", "member")
+    staged = cut_lineage(spread.mapInArrow(lambda it: _stage_batches(it, folder), "archive string, member string, path string, length long"))
+    rows, further = delimited.records_of(delimited.ranges_of(staged.select("path", "length")), columns)
+    archive, member, extra = further_names(columns)
+    of = staged.select(F.col("path").alias("_staged"), F.col("archive").alias("_of_archive"), F.col("member").alias("_of_member"))
+    joined = rows.join(of, F.col(f"`{further['file']}`") == F.col("_staged"))
+    return joined.select(
+        *[F.col(f"`{c}`") for c in columns], F.col("_of_archive").alias(archive), F.col("_of_member").alias(member),
+        F.col(f"`{further['_extra']}`").alias(extra),
+    )
+
+
 def read_member_rows(members: DataFrame, columns: Sequence[str], n_tasks: int | None = None) -> DataFrame:
-    """S5 for one logical table: all data lines of the given ``(archive_path, member)``
+    """S5 for one logical table: all data lines of the given ``(archive_path, member, size)``
     rows, as text columns in union-by-name order (missing columns NULL, short rows
     padded, surplus cells in ``_extra``), plus provenance ``archive`` and ``member``. Of
     these three names, one that is a column's is lengthened by underscores.
 
-    Members are spread over tasks (an archive with many members is read by many
-    tasks, each decompressing only its own members); one member is one deflate
-    stream, so it stays in one task.
+    Members are spread over tasks (an archive with many members is read by many tasks, each
+    decompressing only its own members). A member of more than ``LARGE_MEMBER`` bytes is
+    staged and read by many tasks (``_large_rows``); without a ``size`` none is.
     """
     kinds = ["string"] * (len(columns) + 2) + ["array<string>"]
     schema = ", ".join(f"`{c}` {k}" for c, k in zip([*columns, *further_names(columns)], kinds, strict=True))
     spark = members.sparkSession
     ship_package(spark)
     tasks = n_tasks or max(1, spark.sparkContext.defaultParallelism * 2)
-    spread = members.select("archive_path", "member").repartition(tasks, "archive_path", "member")
-    rows = spread.mapInArrow(lambda it: _rows_batches(it, list(columns)), schema)
-    # One very large member is read by one task; the rebalance hint lets AQE split
-    # its output into evenly sized partitions for whatever comes next.
-    return rows.hint("rebalance")
+    is_large = F.coalesce(F.col("size") > LARGE_MEMBER, F.lit(False)) if "size" in members.columns else F.lit(False)
+    spread = members.where(~is_large).select("archive_path", "member").repartition(tasks, "archive_path", "member")
+    # the rebalance hint lets AQE split what one task makes of a member for whatever comes next
+    rows = spread.mapInArrow(lambda it: _rows_batches(it, list(columns)), schema).hint("rebalance")
+    large = members.where(is_large)
+    return rows if not columns or large.isEmpty() else rows.unionByName(_large_rows(large, columns))
 
 
 # ------------------------------------------------------------------ the chosen member, opened
@@ -445,8 +485,6 @@ def load_archives(spark: SparkSession, source_dir: str, strict: bool = True) ->
     The member listing (one row per file) is checkpointed once and reused by every
     table; the driver collects one row per distinct (table, header) - metadata only.
     """
-    from refloom.session import cut_lineage
-
     index = archive_index(spark, source_dir)
     listed = cut_lineage(list_members(index))
     rejects = archive_rejects(listed)

@@ -102,10 +102,15 @@ def _scan_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def file_ranges(spark: SparkSession, path: str, sep: str | None = None) -> DataFrame:
-    """One row a range of each file: its dialect, header, bytes, whether it starts (``state``) and ends
-    (``end_state``) inside a quoted cell, and the records that end before it (``before``)."""
+    """``ranges_of`` the files under ``path``."""
+    return ranges_of(spark.read.format("binaryFile").load(path).select("path", "length"), sep)
+
+
+def ranges_of(listing: DataFrame, sep: str | None = None) -> DataFrame:
+    """One row a range of each file of a listing (path, length): its dialect, header, bytes, whether it starts
+    (``state``) and ends (``end_state``) inside a quoted cell, and the records that end before it (``before``)."""
+    spark = listing.sparkSession
     ship_package(spark)
-    listing = spark.read.format("binaryFile").load(path).select("path", "length")
     tasks = spark.sparkContext.defaultParallelism * 2
     known = listing.repartition(tasks).mapInArrow(lambda it: _dialects(it, sep), f"path string, length long, {_DIALECT}")
     step = F.lit(RANGE_BYTES).cast("long")
@@ -207,12 +212,19 @@ def read_records(spark: SparkSession, path: str, sep: str | None = None) -> tupl
     # one row per distinct header: metadata, however many files there are
     layouts = ranges.where(F.size("header") > 0).groupBy("header").agg(F.min("path").alias("first")).orderBy("first", "header").collect()
     columns = list(dict.fromkeys(n for r in layouts for n in normalize_headers(r["header"])))
+    rows, further = records_of(ranges, columns)
+    return rows, columns, further
+
+
+def records_of(ranges: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, dict[str, str]]:
+    """The records of ``ranges_of`` some files under ``columns``, and the names of the further columns."""
+    spark = ranges.sparkSession
     further = {n: free_name(n, columns) for n in ("_extra", "file", "record", "reason", "cells")}
     names = [*columns, *further.values()]
     kinds = ["string"] * len(columns) + ["array<string>", "string", "long", "string", "int"]
     todo = ranges.where(F.size("header") > 0).repartition(max(1, spark.sparkContext.defaultParallelism * 2), "path", "start")
     rows = todo.mapInArrow(lambda it: _parse_ranges(it, columns, names), ", ".join(f"`{n}` {k}" for n, k in zip(names, kinds, strict=True)))
-    return rows, columns, further
+    return rows, further
 
 
 def read_lenient_csv(spark: SparkSession, path: str, sep: str | None = None, skip_rejects: bool = False) -> DataFrame:

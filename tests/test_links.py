@@ -176,14 +176,14 @@ def test_known_history_links_skip_keyword_filter(spark):
 def test_choose_sources_search_stage_uses_its_year(spark):
     # codes: nothing on the direct stages nor in the search for 2025; the search for
     # 2024 finds a file -> generic ranking for 2024, year 2024 (not clamped)
-    rows = [("codes", 4, 0, f"{BASE}/123456/cog_2024.csv"), ("codes", 4, 1, f"{BASE}/123456/cog_2023.csv")]
+    rows = [("codes", 4, 0, f"{BASE}/905117/liste_2024.csv"), ("codes", 4, 1, f"{BASE}/905117/liste_2023.csv")]
     df = spark.createDataFrame(rows, "kind string, stage int, pos long, link string")
     r = LO.choose_sources(df, 2025).first()
-    assert r.link.endswith("cog_2024.csv") and r.selected_year == 2024 and r.score == 1060
+    assert r.link.endswith("liste_2024.csv") and r.selected_year == 2024 and r.score == 1060
     # units found by the second search query: generic ranking, year from the link
-    rows = [("units", 3, 0, f"{BASE}/7777777/uu2020_2025.csv")]
+    rows = [("units", 3, 0, f"{BASE}/905118/zones_2020_2025.csv")]
     r = LO.choose_sources(spark.createDataFrame(rows, df.schema), 2025).first()
-    assert r.link.endswith("uu2020_2025.csv") and r.selected_year == 2025
+    assert r.link.endswith("zones_2020_2025.csv") and r.selected_year == 2025
 
 
 def test_collect_candidates_first_stage_and_self_links(spark):

@@ -197,10 +197,10 @@ def _write_dbf(path: Path, fields, records):
 
 def test_dbf_reader(spark):
     d = _tmp()
-    p = d / "com_uu2020_2025.dbf"
+    p = d / "zones.dbf"
     _write_dbf(p, [("CODGEO", 5), ("TUU2020", 1), ("LIBUU", 12)],
                [(False, ["01001", "0", "Ville é"]), (True, ["99999", "9", "gone"]), (False, ["2A004", "5", ""])])
-    (d / "com_uu2020_2025.cpg").write_text("UTF-8")
+    (d / "zones.cpg").write_text("UTF-8")
     df = read_dbf(spark, str(p))
     assert df.columns == ["CODGEO", "TUU2020", "LIBUU"]
     assert sorted(tuple(r) for r in df.collect()) == [("01001", "0", "Ville é"), ("2A004", "5", "")]
