@@ -390,6 +390,49 @@ def available(candidates: DataFrame, inventory: DataFrame, url: str = "url", inv
     return candidates.join(inv, url, "left_semi")
 
 
+def available_candidates(
+    targets: DataFrame,
+    product: str,
+    target_year: str,
+    inventory: DataFrame,
+    patterns: Sequence[str] = KNOWN_CODE_PATTERNS,
+    base: str = L.DEFAULT_BASE,
+    file_path: str = L.FILE_PATH,
+    years_back: int = 1,
+    inventory_url: str = "link",
+) -> DataFrame:
+    """J4 + J5 without the candidates: the rows of ``available(enumerate_urls(...), inventory)``.
+
+    The inventory's URLs are read backwards into (product, pattern, year), where they are of
+    that form, and joined to the targets on the product: one row a product, pattern and year
+    that exists meets the targets, instead of every candidate of every target.
+    """
+    prefix = base + file_path
+    rest = F.substring(F.col(inventory_url), len(prefix) + 1, 1 << 30)
+    parts = inventory.where(F.startswith(F.col(inventory_url), F.lit(prefix))).select(F.split(rest, "/").alias("p")).where(F.size("p") == 2)
+    parts = parts.select(F.col("p")[0].alias("_of"), F.col("p")[1].alias("_file"))
+    read = []
+    for n, pattern in enumerate(patterns):
+        head, dated, tail = pattern.partition("{year}")
+        if dated:  # every place of the year must say the same one, written as numbers are
+            rx = rf"\A{re.escape(head)}(-?[0-9]{{1,9}}){re.escape(tail).replace(re.escape('{year}'), '(-?[0-9]{1,9})')}\z"
+            said = [F.regexp_extract("_file", rx, k + 1) for k in range(pattern.count("{year}"))]
+            fits = F.col("_file").rlike(rx) & reduce(and_, [s == said[0] for s in said]) & (said[0].try_cast("int").cast("string") == said[0])
+            read.append(F.when(fits, F.struct(F.lit(n).alias("n"), said[0].try_cast("int").alias("y"))))
+        else:
+            read.append(F.when(F.col("_file") == pattern, F.struct(F.lit(n).alias("n"), F.lit(None).cast("int").alias("y"))))
+    found = parts.select("_of", "_file", F.explode(F.array_compact(F.array(*read))).alias("r")).distinct()
+    t, oldest = F.col(target_year), F.col(target_year) - F.lit(int(years_back))
+    years = F.when(F.col("r.y").isNull(), F.sequence(t, oldest, F.lit(-1))).when(F.col("r.y").between(oldest, t), F.array("r.y"))
+    out = targets.join(found, F.col(product).cast("string") == F.col("_of")).select("*", F.explode(years).alias("year"))
+    return out.select(
+        *targets.columns,
+        "year",
+        ((t - F.col("year")) * len(patterns) + F.col("r.n")).cast("int").alias("ord"),
+        F.concat(F.lit(prefix), F.col("_of"), F.lit("/"), F.col("_file")).alias("url"),
+    )
+
+
 # ------------------------------------------------------------------ responses (P18), sitemaps
 def response_link_array(
     endpoint_url: Column, final_url: Column, content_type: Column, content_disposition: Column, body: Column,

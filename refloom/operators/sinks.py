@@ -8,10 +8,13 @@ table behind (the reference stored first and checked after).
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
 from refloom.operators import codes, quality
+from refloom.operators.history import empty_history
 
 
 def _swap_folder(spark: SparkSession, made: str, target: str) -> None:
@@ -81,6 +84,45 @@ def write_table(df: DataFrame, name: str, schema: str | None = None, path: str |
     return f"{in_schema}`{name}`" if schema else name
 
 
+class Source(NamedTuple):
+    """Where one of a build's three inputs came from: its year, its address, its file."""
+
+    year: int
+    url: str
+    path: str
+
+
+class BuildResult(NamedTuple):
+    """What a build made, and of what."""
+
+    table_name: str
+    row_count: int
+    codes: Source | None
+    units: Source | None
+    history: Source | None
+
+    def as_row(self, spark: SparkSession) -> DataFrame:
+        """The result as one row, to be stored beside the table."""
+        source = "struct<year:int,url:string,path:string>"
+        return spark.createDataFrame([tuple(self)], f"table_name string, row_count long, codes {source}, units {source}, history {source}")
+
+
+def build_from_sources(
+    spark: SparkSession,
+    sources: dict[str, Source],
+    target_year: int,
+    read: Callable[[SparkSession, str], DataFrame],
+    **options,
+) -> BuildResult:
+    """X1 from chosen files (``codes``, ``units``, ``history``): each is opened by ``read``, the mapping is built,
+    checked and written (``build_mapping_table``), and its table, rows and sources are returned. Without a history
+    file the build takes the empty history (S9)."""
+    frames = {k: read(spark, sources[k].path) for k in ("codes", "units")}
+    history = read(spark, sources["history"].path) if "history" in sources else empty_history(spark)
+    where, n = build_mapping_table(spark, frames["codes"], frames["units"], history, target_year, **options)
+    return BuildResult(where, n, sources["codes"], sources["units"], sources.get("history"))
+
+
 def build_mapping_table(
     spark: SparkSession,
     codes_raw: DataFrame,

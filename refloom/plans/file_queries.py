@@ -100,6 +100,19 @@ def archive_manifest(spark, sf):
     return manifest
 
 
+@query(
+    "archive_files",
+    f"""SELECT DISTINCT 'clients-' || {_BLOCK('c_custkey')} || '.zip' AS archive, 'exports/clients.csv' AS member,
+               'exports_clients' AS table_name, true AS has_size FROM customer
+        UNION ALL
+        SELECT DISTINCT 'clients-' || {_BLOCK('s_suppkey')} || '.zip', 'exports/fournisseurs.csv', 'exports_fournisseurs', true FROM supplier""",
+    "S2 K3 X2: the files that a load reads, with their tables",
+)
+def archive_files(spark, sf):
+    listed = A.list_members(A.archive_index(spark, _archive_dir(spark, sf)))
+    return A.extracted_files(listed).select("archive", "member", "table_name", (F.col("size") > 0).alias("has_size"))
+
+
 @query(
     "lenient_csv_load",
     """SELECT CAST(p_partkey AS VARCHAR) AS code_partie, p_name AS nom, p_brand AS marque,

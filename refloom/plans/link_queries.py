@@ -454,13 +454,24 @@ def history_candidates(spark, sf):
 @query(
     "available_candidates",
     with_views(("links",), "SELECT * FROM (" + _enum_sql(LO.KNOWN_CODE_PATTERNS) + ") c WHERE url IN (SELECT link FROM links)"),
-    "J5",
+    "J5 by the enumerated candidates",
 )
 def available_candidates(spark, sf):
     cands = candidate_enumeration(spark, sf)
     return LO.available(cands, B.links(spark, sf), "url", "link").select(*cands.columns)
 
 
+@query(
+    "available_by_inventory",
+    with_views(("links",), "SELECT * FROM (" + _enum_sql(LO.KNOWN_CODE_PATTERNS) + ") c WHERE url IN (SELECT link FROM links)"),
+    "J4 J5 by the inventory, read backwards",
+)
+def available_by_inventory(spark, sf):
+    return LO.available_candidates(
+        _targets(spark, sf), "pos", "target_year", B.links(spark, sf), LO.KNOWN_CODE_PATTERNS, base=INVENTORY_BASE
+    ).drop("target_year")
+
+
 # ------------------------------------------------------------------ U6, O5
 _STAGE = f"CASE WHEN y = {TARGET} THEN 0 WHEN y = {TARGET - 1} THEN 1 ELSE 2 END"
 

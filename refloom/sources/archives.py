@@ -266,6 +266,11 @@ def archive_rejects(members: DataFrame) -> DataFrame:
     )
 
 
+def extracted_files(members: DataFrame) -> DataFrame:
+    """The files a load reads: ``archive, member, table_name, size``, one row a CSV member that is readable."""
+    return csv_members(members).select("archive", "member", "table_name", "size")
+
+
 def files_per_table(csv_rows: DataFrame) -> DataFrame:
     """A7 + K3: number of files per logical table (not rows), and their archives."""
     return csv_rows.groupBy("table_name").agg(

@@ -243,3 +243,21 @@ def test_best_link_of_null_groups(spark):
     df = spark.createDataFrame([(None, 0, "/f/t_2025.csv"), (None, 1, "/f/t_2024.csv"), ("a", 0, "/f/t_2020.zip")], "grp string, pos int, link string")
     out = LO.best_link(df, ["grp"], target_year=2025, params=LO.PICK_BEST).collect()
     assert {(r.grp, r.link) for r in out} == {(None, "/f/t_2025.csv"), ("a", "/f/t_2020.zip")}
+
+
+def test_available_by_inventory_is_available_by_candidates(spark):
+    import random
+
+    rng = random.Random(3)
+    patterns = ("t{year}.csv", "base.zip", "{year}_x_{year}.csv", "u{year}.7z")
+    targets = spark.createDataFrame([(p, rng.choice([None, 9, 2023, 2024, 2025]), k) for k, p in enumerate([1, 2, 2, 30, None, 4] * 4)], "product int, t int, k int")
+    files = ["t2024.csv", "t2025.csv", "t02024.csv", "t-1.csv", "t9.csv", "t8.csv", "base.zip", "2024_x_2024.csv", "2024_x_2023.csv", "u2023.7z", "u.7z", "t99999999999.csv", "é.csv", "a/t2024.csv"]
+    base, path = "https://s.example.org", "/f/"
+    urls = [f"{base}{path}{rng.choice([1, 2, 30, 4, '02', ''])}/{f}" for f in files * 6] + [None, base, f"{base}{path}", f"http://o.org{path}1/t2024.csv"]
+    inventory = spark.createDataFrame([(u,) for u in urls], "link string")
+    args = dict(patterns=patterns, base=base, file_path=path, years_back=2)
+    want = LO.available(LO.enumerate_urls(targets, "product", "t", **args), inventory)
+    got = LO.available_candidates(targets, "product", "t", inventory, **args)
+    assert got.columns == ["product", "t", "k", "year", "ord", "url"]
+    rows = sorted(map(tuple, got.collect()), key=repr)
+    assert rows == sorted(map(tuple, want.select(*got.columns).collect()), key=repr) and len(rows) > 30
