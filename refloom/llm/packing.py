@@ -72,7 +72,7 @@ class WordTokenizer:
     _WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
     _OTHER = re.compile(r"[^\t-\r -~\xa0-\xb1\xb4-\xb8\xba\xbb\xbf-įı-ſ‐-‧]|<\|")
     #: Bytes of words, and of runs, held in each generation.
-    _HELD = 24_000_000
+    _HELD = 8_000_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -336,9 +336,9 @@ def pack(
     inside = W.partitionBy("length", "part").orderBy("doc_id", "start", "ids_crc32")
     ranked = pieces.join(per_part, ["length", "part"]).withColumn("rank", F.col("before") + F.row_number().over(inside) - 1)
     # one row a step of the plan: it depends on the lengths there are, not on the number of pieces
-    steps = pieces.sparkSession.createDataFrame(
-        plan.steps, "length long, rank_from long, rank_to long, first long, each long, base long"
-    )
+    names = ["length", "rank_from", "rank_to", "first", "each", "base"]
+    columns = np.array(plan.steps, dtype=np.int64).reshape(-1, len(names)).T
+    steps = pieces.sparkSession.createDataFrame(pa.table([pa.array(c) for c in columns], names=names))
     nth = F.col("rank") - F.col("rank_from")
     return (
         ranked.alias("r")
