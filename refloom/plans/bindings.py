@@ -148,3 +148,16 @@ def resources(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("source").alias("dataset_id"), k.alias("pos"), title.alias("title"), url.alias("url"),
         F.when(k % 2 == 0, "CSV").otherwise("").alias("format"),
     )
+
+
+def described_resources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Resources with all seven fields that are searched; the description is the document's whole text, and what
+    is looked for is spread over type, mime and latest."""
+    d = table(spark, sf_dir, "documents")
+    k = F.col("doc_id")
+    return d.select(
+        k.alias("pos"), F.when(k % 5 > 0, F.concat(F.lit("Liste "), k.cast("string"))).alias("title"), F.col("text").alias("description"),
+        F.when(k % 2 == 0, "TABLE").alias("type"), F.when(k % 7 > 0, F.col("lang")).alias("format"),
+        F.when(k % 3 == 0, "text/référence").alias("mime"), F.col("source").alias("url"),
+        F.concat(F.lit("https://data.example.org/"), (F.lit(2020) + k % 8).cast("string")).alias("latest"),
+    )

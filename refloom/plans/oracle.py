@@ -77,6 +77,12 @@ VIEWS: dict[str, str] = {
                ||CASE doc_id%3 WHEN 0 THEN '.csv' WHEN 1 THEN '.tar.gz' ELSE '' END AS url,
                CASE doc_id%2 WHEN 0 THEN 'CSV' ELSE '' END AS format
         FROM documents""",
+    "described": """
+        SELECT doc_id AS pos, CASE WHEN doc_id%5 > 0 THEN 'Liste '||CAST(doc_id AS VARCHAR) END AS title, text AS description,
+               CASE WHEN doc_id%2 = 0 THEN 'TABLE' END AS type, CASE WHEN doc_id%7 > 0 THEN lang END AS format,
+               CASE WHEN doc_id%3 = 0 THEN 'text/référence' END AS mime, source AS url,
+               'https://data.example.org/'||CAST(2020+doc_id%8 AS VARCHAR) AS latest
+        FROM documents""",
 }
 
 # Derived relations, as sets: each statement says which rows belong to the result, not the

@@ -131,6 +131,21 @@ def resource_filter(spark, sf):
     )
 
 
+@query(
+    "resource_filter_fields",
+    with_views(
+        ("described",),
+        f"""SELECT pos, title, length(description) AS description_chars, type, mime, latest FROM (
+              SELECT *, {FOLD(TRUTHY('title', 'description', 'type', 'format', 'mime', 'url', 'latest'))} AS t FROM described)
+            WHERE contains(t, '{RESOURCE_YEAR}') AND contains(t, 'table') AND contains(t, 'refer')""",
+    ),
+    "P10 F2 F3: all seven fields, whole descriptions",
+)
+def resource_filter_fields(spark, sf):
+    found = catalog.matching_resources(B.described_resources(spark, sf), RESOURCE_YEAR)
+    return found.select("pos", "title", F.length("description").cast("long").alias("description_chars"), "type", "mime", "latest")
+
+
 _TITLE_OR_DEFAULT = "coalesce(nullif(title, ''), 'resource')"
 _SLUG = (
     f"regexp_replace(regexp_replace({FOLD(_TITLE_OR_DEFAULT)}, '[^a-z0-9]+', '-', 'g'), "
