@@ -3,7 +3,7 @@
 A page is cut into flat text blocks at its block-level tags. A block is described by its
 number of words and its link density (share of words inside links), those of the block
 before and after it, whether it is a heading, and the kind of container it stands in
-(none known, an article, or page furniture such as a menu or a footer). A decision tree
+(none known, an article or what is named like one, page furniture such as a menu or a footer). A decision tree
 trained on the small table ``LABELLED`` says which blocks are main text. All work is
 done within the page's row, in tasks: no shuffle, memory bounded by the longest page.
 """
@@ -46,8 +46,9 @@ _SPACE = frozenset(["br", "wbr", "input", "img"])
 #: A start tag of the key ends an open element of these names at the top of the stack.
 _ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"td", "th", "tr"}, "option": {"option"}}
 
-OPEN, MAIN, FURNITURE, CLOSED = range(4)
-"""Containers: none known; an article; page furniture an article may still stand in; furniture for good."""
+OPEN, HINTED, MAIN, FURNITURE, CLOSED = range(5)
+"""Containers: none known; named like an article; an article; page furniture an article may still stand in; furniture
+for good."""
 
 _FURNITURE_TAGS = frozenset("nav footer aside menu dialog button select search label".split())
 _FURNITURE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog menu menubar".split())
@@ -59,6 +60,7 @@ _FURNITURE_WORDS = frozenset(
     "socials sponsor sponsored subscribe subscription toolbar topbar trending widget widgets".split()
 )
 _PAGE_HEAD_WORDS = frozenset("header masthead".split())
+_ARTICLE_WORDS = frozenset("article articlebody content entry maincontent post story".split())
 _COMMENT_WORDS = frozenset("comment comments commentlist disqus discussion feedback replies reply respond".split())
 _NEGATED = frozenset("has with no not without is".split())
 
@@ -95,10 +97,10 @@ def _inside(outer: int, name: str, attrs: str) -> int:
     if name in ("main", "article") or role in ("main", "article"):
         return MAIN
     if name == "header" or words & _PAGE_HEAD_WORDS:
-        return outer if outer == MAIN else CLOSED if name == "header" else FURNITURE
+        return outer if outer in (HINTED, MAIN) else CLOSED if name == "header" else FURNITURE
     if name == "form" or words & _FURNITURE_WORDS:
         return FURNITURE
-    return outer
+    return HINTED if outer == OPEN and words & _ARTICLE_WORDS else outer
 
 
 class Block(NamedTuple):
@@ -184,7 +186,7 @@ def text_blocks(page: str) -> list[Block]:
 FEATURES = ("container", "heading", "words", "density", "words_before", "density_before", "words_after", "density_after")
 
 #: The labelled table: a block in no known container (FEATURES without the container), then whether it is main text.
-#: ``labelled_rows`` files each row once more as a block of an article and once as one of page furniture.
+#: ``labelled_rows`` files each row again as a block of the other containers.
 LABELLED = """
 0   3 1.00   0 0.00   4 1.00  0
 0   2 1.00   3 1.00   3 1.00  0
@@ -206,6 +208,8 @@ LABELLED = """
 0   3 0.00   2 0.00   4 0.00  0
 0   7 0.00   4 0.00   2 1.00  0
 0   8 0.00   6 0.00   7 0.00  0
+0   6 0.00   4 1.00  12 0.00  0
+0   3 0.00   2 0.00  10 0.00  0
 0  10 0.10   3 0.00   0 0.00  0
 0   6 0.00  70 0.00   0 0.00  0
 0   9 0.00  55 0.03   3 1.00  0
@@ -290,10 +294,12 @@ def says(tree: Split | bool, row: Sequence[float]) -> bool:
 
 
 def labelled_rows(table: str = LABELLED) -> tuple[list[list[float]], list[int]]:
-    """Rows and labels of a table like ``LABELLED``: what it says holds where no container is known; in an
-    article the same blocks are main text, in page furniture none is."""
+    """Rows and labels of a table like ``LABELLED``: what it says holds where no container is known; in one
+    named like an article blocks that are not mostly links are main text too, in an article all are, in page
+    furniture none is."""
     rows = [[float(x) for x in line.split()] for line in table.split("\n") if line.strip()]
-    filed = [([c, *r[:-1]], int(r[-1]) if c == OPEN else int(c == MAIN)) for c in (OPEN, MAIN, FURNITURE) for r in rows]
+    of = {OPEN: lambda r: r[-1], HINTED: lambda r: r[-1] or r[2] < 0.5, MAIN: lambda r: 1, FURNITURE: lambda r: 0}
+    filed = [([c, *r[:-1]], int(label(r))) for c, label in of.items() for r in rows]
     return [r for r, _ in filed], [y for _, y in filed]
 
 
