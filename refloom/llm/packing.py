@@ -72,7 +72,7 @@ class WordTokenizer:
     _WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
     _OTHER = re.compile(r"[^\t-\r -~\xa0-\xb1\xb4-\xb8\xba\xbb\xbf-įı-ſ‐-‧]|<\|")
     #: Bytes of words, and of runs, held in each generation.
-    _HELD = 8_000_000
+    _HELD = 16_000_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -80,13 +80,17 @@ class WordTokenizer:
         self.whole = Tokenizer.from_file(path)
         merge, alphabet = self.whole.model.tokenize, self._alphabet()
 
+        plain = all(alphabet[c] == chr(c) for c in range(0x21, 0x7F))
+
         def word_ids(word: str) -> bytes:
-            ids = [t.id for t in merge(word.translate(alphabet))]
-            return struct.pack(f"<{len(ids)}I", *ids)
+            tokens = merge(word if plain and word.isascii() else word.translate(alphabet))
+            return pack_ids[len(tokens)](*[t.id for t in tokens]) if len(tokens) < 32 else np.array([t.id for t in tokens], "<u4").tobytes()
 
+        pack_ids = [struct.Struct(f"<{n}I").pack for n in range(32)]
         words = Recent(self._HELD, word_ids).__getitem__
         find = self._WORDS.findall
-        self.runs = Recent(self._HELD, lambda run: b"".join(map(words, find(run))))
+        # a run of letters alone is one word
+        self.runs = Recent(self._HELD, lambda run: words(run) if run.isalpha() else b"".join(map(words, find(run))))
 
     def _alphabet(self) -> dict[int, str]:
         """How the file's pre-tokenizer spells each character of the plain set in bytes."""
