@@ -71,6 +71,8 @@ class WordTokenizer:
 
     _WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
     _OTHER = re.compile(r"[^\t-\r -~\xa0-\xb1\xb4-\xb8\xba\xbb\xbf-įı-ſ‐-‧]|<\|")
+    #: Marks that stand together as one word (the apostrophe may begin one of its own).
+    _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
     #: Bytes of words, and of runs, held in each generation.
     _HELD = 16_000_000
 
@@ -78,7 +80,10 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        merge, alphabet = self.whole.model.tokenize, self._alphabet()
+        model, alphabet = self.whole.model, self._alphabet()
+        merge = model.tokenize
+        if hasattr(model, "_resize_cache"):  # each word comes once: the library need not keep it too
+            model._resize_cache(0)
 
         plain = all(alphabet[c] == chr(c) for c in range(0x21, 0x7F))
 
@@ -89,8 +94,14 @@ class WordTokenizer:
         pack_ids = [struct.Struct(f"<{n}I").pack for n in range(32)]
         words = Recent(self._HELD, word_ids).__getitem__
         find = self._WORDS.findall
-        # a run of letters alone is one word
-        self.runs = Recent(self._HELD, lambda run: words(run) if run.isalpha() else b"".join(map(words, find(run))))
+
+        def run_ids(run: str) -> bytes:
+            core = run.rstrip(self._MARKS)
+            if core.isalpha():  # letters, and perhaps marks behind them: a word each
+                return words(core) + words(run[len(core) :]) if len(core) < len(run) else words(run)
+            return b"".join(map(words, find(run)))
+
+        self.runs = Recent(self._HELD, run_ids)
 
     def _alphabet(self) -> dict[int, str]:
         """How the file's pre-tokenizer spells each character of the plain set in bytes."""
