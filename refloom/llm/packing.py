@@ -74,7 +74,7 @@ class WordTokenizer:
     #: Marks that stand together as one word (the apostrophe may begin one of its own).
     _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
     #: Bytes of words, and of runs, held in each generation.
-    _HELD = 16_000_000
+    _HELD = 32_000_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
