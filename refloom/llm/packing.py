@@ -59,6 +59,10 @@ class Recent(dict):
         return value
 
 
+#: Bytes of words, and of runs of words, that a worker holds in each of two generations.
+HELD = 32_000_000
+
+
 class WordTokenizer:
     """Ids of whole texts by a tokenizers file whose words are encoded one by one.
 
@@ -73,10 +77,8 @@ class WordTokenizer:
     _OTHER = re.compile(r"[^\t-\r -~\xa0-\xb1\xb4-\xb8\xba\xbb\xbf-įı-ſ‐-‧]|<\|")
     #: Marks that stand together as one word (the apostrophe may begin one of its own).
     _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-    #: Bytes of words, and of runs, held in each generation.
-    _HELD = 32_000_000
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, held: int = HELD):
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
@@ -92,7 +94,7 @@ class WordTokenizer:
             return pack_ids[len(tokens)](*[t.id for t in tokens]) if len(tokens) < 32 else np.array([t.id for t in tokens], "<u4").tobytes()
 
         pack_ids = [struct.Struct(f"<{n}I").pack for n in range(32)]
-        words = Recent(self._HELD, word_ids).__getitem__
+        words = Recent(held, word_ids).__getitem__
         find = self._WORDS.findall
 
         def run_ids(run: str) -> bytes:
@@ -101,7 +103,7 @@ class WordTokenizer:
                 return words(core) + words(run[len(core) :]) if len(core) < len(run) else words(run)
             return b"".join(map(words, find(run)))
 
-        self.runs = Recent(self._HELD, run_ids)
+        self.runs = Recent(held, run_ids)
 
     def _alphabet(self) -> dict[int, str]:
         """How the file's pre-tokenizer spells each character of the plain set in bytes."""
@@ -119,12 +121,12 @@ class WordTokenizer:
         return b"".join(map(self.runs.__getitem__, text.lower().split()))
 
 
-def tokenizer(path: str) -> WordTokenizer:
+def tokenizer(path: str, held: int = HELD) -> WordTokenizer:
     """One a worker process and file; what it has looked up serves later tasks until another operator runs."""
-    return kept(("tokenizer", path), lambda: WordTokenizer(path))
+    return kept(("tokenizer", path, held), lambda: WordTokenizer(path, held))
 
 
-def token_pieces(docs: DataFrame, path: str, *, doc_id: str, text: str, capacity: int, end_id: int) -> DataFrame:
+def token_pieces(docs: DataFrame, path: str, *, doc_id: str, text: str, capacity: int, end_id: int, held: int = HELD) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32``: each text's ids, then ``end_id``, cut every ``capacity`` ids."""
     bound_batches(docs.sparkSession)
     source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
@@ -133,7 +135,7 @@ def token_pieces(docs: DataFrame, path: str, *, doc_id: str, text: str, capacity
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokenizer(path)
+        encode = tokenizer(path, held)
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE_ROWS):
                 part = batch.slice(at, SLICE_ROWS)
@@ -332,6 +334,7 @@ def pack(
     text: str = "text",
     capacity: int = 4096,
     end_id: int = 1,
+    held: int = HELD,
 ) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32, sequence_id, offset``: every piece and its place.
 
@@ -339,8 +342,9 @@ def pack(
     id ``end_id``. Repeated rows are packed as often as they stand. An empty table gives an
     empty result. Pieces of equal length are told apart by a rank that comes from a hash
     of the row: ranges of it are counted first, so no length's pieces meet in one task.
+    ``held`` bounds the bytes of words that a worker keeps; it changes the time alone.
     """
-    pieces = cut_lineage(token_pieces(docs, tokenizer_path, doc_id=doc_id, text=text, capacity=capacity, end_id=end_id))
+    pieces = cut_lineage(token_pieces(docs, tokenizer_path, doc_id=doc_id, text=text, capacity=capacity, end_id=end_id, held=held))
     counts = {int(w): int(n) for w, n in pieces.groupBy("length").count().collect()}  # at most `capacity` rows
     plan = make_plan(counts, capacity)
     ranges = max(1, math.isqrt(sum(counts.values())))
