@@ -23,25 +23,27 @@ from refloom.sources.geojson import read_geojson
 # the rows and not in size: some 80 KB of a narrow table, 2 MB of documents.
 KEYS_A_FILE = 2_000
 DOCS_A_FILE = 500
+# The manifest and the rejects are rows and counts of archives, so theirs are many and small.
+KEYS_AN_ARCHIVE = 250
 
 
-def _block(k):
-    """Number of a row's archive: two for each block of keys, by parity of the key."""
-    return F.floor(k / KEYS_A_FILE) * 2 + k % 2
+def _block(k, keys=KEYS_A_FILE):
+    """Number of a row's archive: two for each block of ``keys`` keys, by parity of the key."""
+    return F.floor(k / keys) * 2 + k % 2
 
 
-def _BLOCK(k: str) -> str:
-    return f"({k} // {KEYS_A_FILE} * 2 + {k} % 2)"
+def _BLOCK(k: str, keys: int = KEYS_A_FILE) -> str:
+    return f"({k} // {keys} * 2 + {k} % 2)"
 
 
-def _archive_dir(spark, sf) -> str:
+def _archive_dir(spark, sf, keys=KEYS_A_FILE) -> str:
     """Archives ``clients-<n>.zip``: ``exports/clients.csv`` (two header layouts and
     delimiters, by parity of n) and ``exports/fournisseurs.csv``."""
     c = B.table(spark, sf, "customer")
     k = F.col("c_custkey")
     even = (k % 2) == 0
     clients = c.select(
-        F.concat(F.lit("clients-"), _block(k).cast("string"), F.lit(".zip")).alias("archive"),
+        F.concat(F.lit("clients-"), _block(k, keys).cast("string"), F.lit(".zip")).alias("archive"),
         F.lit("exports/clients.csv").alias("member"),
         F.when(even, F.array(F.lit("ID"), F.lit("Nom"), F.lit("Segment Marché")))
         .otherwise(F.array(F.lit("nom"), F.lit("id"), F.lit("Solde"))).alias("header"),
@@ -53,7 +55,7 @@ def _archive_dir(spark, sf) -> str:
     s = B.table(spark, sf, "supplier")
     sk = F.col("s_suppkey")
     suppliers = s.select(
-        F.concat(F.lit("clients-"), _block(sk).cast("string"), F.lit(".zip")).alias("archive"),
+        F.concat(F.lit("clients-"), _block(sk, keys).cast("string"), F.lit(".zip")).alias("archive"),
         F.lit("exports/fournisseurs.csv").alias("member"),
         F.array(F.lit("Id"), F.lit("Nom Fournisseur"), F.lit("Nation")).alias("header"),
         F.lit(";").alias("sep"),
@@ -88,15 +90,15 @@ def archive_load(spark, sf):
 
 @query(
     "archive_manifest",
-    f"""SELECT 'exports_clients' AS table_name, count(DISTINCT {_BLOCK('c_custkey')}) AS n_files,
-               count(DISTINCT {_BLOCK('c_custkey')}) AS n_archives FROM customer
+    f"""SELECT 'exports_clients' AS table_name, count(DISTINCT {_BLOCK('c_custkey', KEYS_AN_ARCHIVE)}) AS n_files,
+               count(DISTINCT {_BLOCK('c_custkey', KEYS_AN_ARCHIVE)}) AS n_archives FROM customer
         UNION ALL
-        SELECT 'exports_fournisseurs', count(DISTINCT {_BLOCK('s_suppkey')}),
-               count(DISTINCT {_BLOCK('s_suppkey')}) FROM supplier""",
+        SELECT 'exports_fournisseurs', count(DISTINCT {_BLOCK('s_suppkey', KEYS_AN_ARCHIVE)}),
+               count(DISTINCT {_BLOCK('s_suppkey', KEYS_AN_ARCHIVE)}) FROM supplier""",
     "K3 A7 X2",
 )
 def archive_manifest(spark, sf):
-    _, manifest = A.load_archives(spark, _archive_dir(spark, sf))
+    _, manifest = A.load_archives(spark, _archive_dir(spark, sf, KEYS_AN_ARCHIVE))
     return manifest
 
 

@@ -38,3 +38,20 @@ def test_query_returns_the_oracles_rows(spark, tables, name):
     assert df.count() == wanted
     assert wanted > 0 or name in EMPTY
     assert len(set(df.columns)) == len(df.columns)
+
+
+def _clients(spark, folder, n_customers, n_suppliers):
+    """Customers and suppliers with keys from 0 on."""
+    spark.range(n_customers).selectExpr(
+        "id c_custkey", "concat('c', id) c_name", "'BUILDING' c_mktsegment", "CAST(id AS DOUBLE) c_acctbal"
+    ).write.parquet(f"{folder}/customer.parquet")
+    spark.range(n_suppliers).selectExpr("id s_suppkey", "concat('s', id) s_name", "id % 5 s_nationkey").write.parquet(
+        f"{folder}/supplier.parquet"
+    )
+    return str(folder)
+
+
+def test_manifest_counts_two_archives_for_each_250_keys(spark, tmp_path):
+    rows = E.queries()["archive_manifest"](spark, _clients(spark, tmp_path, 1_501, 600)).collect()
+    # the 1,501st customer has an archive of its own
+    assert sorted(map(tuple, rows)) == [("exports_clients", 13, 13), ("exports_fournisseurs", 6, 6)]
