@@ -373,17 +373,17 @@ def csv_rejects(spark, sf):
 
 @query(
     "archive_rejects",
-    f"""SELECT DISTINCT {_BLOCK('c_custkey')} || '-clients.zip' AS archive, '' AS member_path,
-               CASE {_BLOCK('c_custkey')} % 3 WHEN 1 THEN 'the archive is an HTML page'
+    f"""SELECT DISTINCT {_BLOCK('c_custkey', KEYS_AN_ARCHIVE)} || '-clients.zip' AS archive, '' AS member_path,
+               CASE {_BLOCK('c_custkey', KEYS_AN_ARCHIVE)} % 3 WHEN 1 THEN 'the archive is an HTML page'
                     ELSE 'BadZipFile: File is not a zip file' END AS reason,
-               (SELECT count(*) FROM customer WHERE {_BLOCK('c_custkey')} % 3 = 0) AS rows_loaded
-        FROM customer WHERE {_BLOCK('c_custkey')} % 3 <> 0""",
+               (SELECT count(*) FROM customer WHERE {_BLOCK('c_custkey', KEYS_AN_ARCHIVE)} % 3 = 0) AS rows_loaded
+        FROM customer WHERE {_BLOCK('c_custkey', KEYS_AN_ARCHIVE)} % 3 <> 0""",
     "S2 X2: archives that are pages or torn are named, the others load",
 )
 def archive_rejects(spark, sf):
     k = F.col("c_custkey")
     rows = B.table(spark, sf, "customer").select(
-        F.concat(_block(k).cast("string"), F.lit("-clients.zip")).alias("archive"), F.lit("clients.csv").alias("member"),
+        F.concat(_block(k, KEYS_AN_ARCHIVE).cast("string"), F.lit("-clients.zip")).alias("archive"), F.lit("clients.csv").alias("member"),
         F.array(F.lit("ID"), F.lit("Nom")).alias("header"), F.lit(";").alias("sep"), k.alias("ord"),
         FF.text_fields(k, F.col("c_name")).alias("fields"),
     )

@@ -55,3 +55,12 @@ def test_manifest_counts_two_archives_for_each_250_keys(spark, tmp_path):
     rows = E.queries()["archive_manifest"](spark, _clients(spark, tmp_path, 1_501, 600)).collect()
     # the 1,501st customer has an archive of its own
     assert sorted(map(tuple, rows)) == [("exports_clients", 13, 13), ("exports_fournisseurs", 6, 6)]
+
+
+def test_rejects_name_two_of_three_archives_of_each_250_keys(spark, tmp_path):
+    rows = E.queries()["archive_rejects"](spark, _clients(spark, tmp_path, 1_501, 1)).collect()
+    # archives 0 to 11 hold 125 customers each, archive 12 holds the last one
+    page, torn = "the archive is an HTML page", "BadZipFile: File is not a zip file"
+    assert sorted(map(tuple, rows)) == sorted(
+        (f"{n}-clients.zip", "", page if n % 3 == 1 else torn, 4 * 125 + 1) for n in range(13) if n % 3
+    )
